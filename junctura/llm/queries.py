@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard_join import similar_components
 from .suffix_dedup import remove_repeats
 
 
@@ -19,8 +20,13 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_suffix_dedup": op5_suffix_dedup}
+    return {"op5_suffix_dedup": op5_suffix_dedup, "op7_ngram_jaccard": op7_ngram_jaccard}
 
 
 def oracle_sql() -> dict[str, str]:
