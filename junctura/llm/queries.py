@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import similar_components
+from .pieces import encode_decode
 from .suffix_dedup import remove_repeats
 
 
@@ -20,13 +21,25 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("piece_bpe_32k.model"))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = similar_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_suffix_dedup": op5_suffix_dedup, "op7_ngram_jaccard": op7_ngram_jaccard}
+    return {"op5_suffix_dedup": op5_suffix_dedup, "op6_sentencepiece": op6_sentencepiece, "op7_ngram_jaccard": op7_ngram_jaccard}
 
 
 def oracle_sql() -> dict[str, str]:
