@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .jaccard_join import similar_components
 from .pieces import encode_decode
 from .suffix_dedup import remove_repeats
+from .token_files import read_token_files, write_token_files
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +39,23 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
+def _crc32_of_ids(ids):
+    """Checksums of id arrays as little-endian unsigned 32-bit integers."""
+    import zlib
+
+    import pandas as pd
+
+    return pd.Series([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], dtype="int64")
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), 2)
+    crc = F.pandas_udf(_crc32_of_ids, "long")
+    return read_token_files(index).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_suffix_dedup": op5_suffix_dedup, "op6_sentencepiece": op6_sentencepiece, "op7_ngram_jaccard": op7_ngram_jaccard}
+    return {"op5_suffix_dedup": op5_suffix_dedup, "op6_sentencepiece": op6_sentencepiece, "op7_ngram_jaccard": op7_ngram_jaccard, "op8_token_files": op8_token_files}
 
 
 def oracle_sql() -> dict[str, str]:
