@@ -8,15 +8,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import similar_components
+from .mpeg_audio import decode_audio, encode_text
 from .pieces import encode_decode
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
+from .warc import read_warc, write_warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Base 32 from SHA-1 hex digits: five hex digits are four base-32 digits.
+_BASE32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, {5 * g + 1}, 5))::BIGINT >> {s}) & 31)::INTEGER, 1)" for g in range(8) for s in (15, 10, 5, 0))
+OP2_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+t AS (SELECT page_id, h, CAST(strlen(html) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY h) AS top FROM p)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < top THEN top END AS refers_to
+FROM t"""
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -54,9 +72,26 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(index).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"))
 
 
+def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    out = decode_audio(encode_text(docs))
+    feature = F.format_string("mp3 %d Hz %d kbps %d frames %d samples %d bad", "hertz", "max_kbps", "frames", "samples", "bad_checksums")
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_sha256"),
+        F.crc32(F.expr("substring(payload, -64, 64)")).alias("tail_crc32"),
+        F.octet_length("media").cast("long").alias("media_bytes"),
+        F.sha2("media", 256).alias("media_sha256"),
+        feature.alias("feature"),
+        F.col("seconds").alias("duration_seconds"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_suffix_dedup": op5_suffix_dedup, "op6_sentencepiece": op6_sentencepiece, "op7_ngram_jaccard": op7_ngram_jaccard, "op8_token_files": op8_token_files}
+    return {f.__name__: f for f in (op2_warc_index, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_warc_index": OP2_SQL}

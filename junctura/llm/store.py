@@ -6,6 +6,7 @@ chosen.  Everything is written and read by Spark, so the folder may be in any fi
 
 from __future__ import annotations
 
+import re
 import uuid
 from contextlib import contextmanager
 
@@ -16,13 +17,16 @@ _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder's URI; sets the default as the session's checkpoint folder if there is none."""
+    """The shared folder's URI, with its scheme; sets the default as the session's checkpoint folder if there is none."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         named = DEFAULT_DIR
         if spark.sparkContext.getCheckpointDir() is None:
             spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(named)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    return re.sub("^file:/+", "file:///", whole)
 
 
 @contextmanager

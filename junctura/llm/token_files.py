@@ -95,7 +95,7 @@ def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
             nonlocal docs, counts, ids, size, step
             named = [x for x in docs if x is not None]
             system, path, name = fresh(uri, ".ids")
-            with system.open_output_stream(path) as f:
+            with system.open_output_stream(path, compression=None) as f:
                 f.write(pack(np.array(named, np.int64), len(docs) - len(named), np.concatenate(counts), np.concatenate(ids)))
             row = pa.RecordBatch.from_pydict({"file": [name], "first": pa.array([docs[0]], pa.int64()), "step": [step], "part": pa.array([part], pa.int32()), "docs": [len(docs)], "ids": [size]})
             docs, counts, ids, size, step = [], [], [], 0, step + 1
