@@ -38,7 +38,7 @@ COVERS = {
     31: (0, 1, 3, 8, 12, 18),
     57: (0, 1, 3, 13, 32, 36, 43, 52),
 }
-PIECE = 4 << 20
+PIECE = 2 << 20
 _SHORT = np.uint64(24)  # sample ranks are looked up by the upper 40 bits; a false tie only costs a key
 _SENT = "bucket int, __chunk int, piece int, keys binary, ords binary, ids binary"
 _ANSWER = "__chunk int, piece int, bucket int, bits binary"
@@ -56,8 +56,12 @@ class _Piece:
         self.lo, self.length, self.v = lo, length, cover_period(length)
         stop = min(hi + length - 1, len(chunk.data))
         self.sums = rolling.prefixes(chunk.data[lo:stop])
-        self.doc = np.searchsorted(chunk.end, np.arange(lo, stop), "right")
-        self.left = chunk.end[self.doc] - np.arange(lo, stop)
+        a, b = np.searchsorted(chunk.end, [lo, stop - 1], "right")
+        docs = np.arange(a, b + 1, dtype=np.int32)
+        ends = chunk.end[a : b + 1]
+        here = np.diff(np.concatenate([[lo], np.minimum(ends, stop)]))
+        self.doc = np.repeat(docs, here)
+        self.left = np.repeat(np.minimum(ends - lo, 1 << 30).astype(np.int32), here) - np.arange(stop - lo, dtype=np.int32)
         self.starts = hi - lo
 
     def samples(self) -> tuple[np.ndarray, np.ndarray]:
@@ -71,10 +75,7 @@ class _Piece:
 
     def tied(self, at: np.ndarray, shared: np.ndarray) -> np.ndarray:
         """Starts of whole windows that see a shared sample rank."""
-        hit = np.zeros(len(self.left) + 1, np.int32)
-        np.add.at(hit, np.maximum(at[shared] - self.v + 1, 0), 1)
-        np.add.at(hit, at[shared] + 1, -1)
-        near = np.cumsum(hit[:-1]) > 0
+        near = _reached(at[shared], len(self.left), self.v - 1, 0)
         return np.flatnonzero(near[: self.starts] & (self.left[: self.starts] >= self.length))
 
 
@@ -83,6 +84,14 @@ def _pieces(chunk: chunks.Chunk, length: int) -> Iterator[tuple[int, _Piece]]:
         yield i, _Piece(chunk, lo, min(lo + PIECE, len(chunk.data)), length)
 
 
+def _reached(at: np.ndarray, n: int, before: int, after: int) -> np.ndarray:
+    """Places of 0..n with a mark of ``at`` in what is ``before`` places ahead to ``after`` places behind."""
+    marks = np.zeros(n + before + after + 1, np.int32)
+    marks[at + after + 1] = 1
+    np.cumsum(marks, out=marks)
+    return marks[before + after + 1 :] != marks[:n]
+
+
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """An order that sorts ``keys``, and where each group of equal keys begins in it."""
     order = np.argsort(keys)
@@ -193,6 +202,24 @@ def _earlier(key: tuple, table: pa.Table) -> pa.Table:
     return pa.table({chunks.KEY: table[chunks.KEY], "piece": table["piece"], "bucket": table["bucket"], "bits": chunks.binary(bits)})
 
 
+def _remains(chunk: chunks.Chunk, gone: np.ndarray) -> dict[str, pa.Array]:
+    """What is removed from each document and what stays."""
+    bounds = np.concatenate([[0], chunk.end])
+    last = np.zeros(len(gone) + 1, bool)
+    last[bounds] = True
+    before, after = np.zeros(len(gone), bool), np.zeros(len(gone), bool)
+    before[1:], after[:-1] = gone[:-1], gone[1:]
+    begin, stop = np.flatnonzero(gone & (~before | last[:-1])), np.flatnonzero(gone & (~after | last[1:])) + 1
+    span_at = np.searchsorted(begin, bounds)
+    base = np.repeat(chunk.start, np.diff(span_at))
+    runs = pa.StructArray.from_arrays([pa.array(begin - base), pa.array(stop - base)], ["start", "end"])
+    sums = np.concatenate([[0], np.cumsum(stop - begin)])
+    removed = np.diff(sums[span_at])
+    offsets = np.concatenate([[0], np.cumsum(chunk.end - chunk.start - removed)]).astype(np.int32)
+    kept = pa.BinaryArray.from_buffers(pa.binary(), len(removed), [None, pa.py_buffer(offsets), pa.py_buffer(chunk.data[~gone])])
+    return {"n_removed": pa.array(removed, pa.int64()), "spans": pa.ListArray.from_arrays(pa.array(span_at, pa.int32()), runs), "kept": kept}
+
+
 def _remove(ident: str, text: str, length: int, names: list[str]):
     def remove(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         ties = answers["block"].to_numpy() >= 0
@@ -211,40 +238,22 @@ def _remove(ident: str, text: str, length: int, names: list[str]):
             flag = np.ones(len(at), bool)
             flag[first] = False
             flag[order] |= repeat
-            cover = np.zeros(len(piece.left) + 1, np.int32)
-            np.add.at(cover, at[flag], 1)
-            np.add.at(cover, at[flag] + length, -1)
-            gone[piece.lo : piece.lo + len(piece.left)] |= np.cumsum(cover[:-1]) > 0
-        kept, spans, removed = [], [], []
-        for s, e in zip(chunk.start.tolist(), chunk.end.tolist(), strict=True):
-            m = gone[s:e]
-            if not m.any():
-                kept.append(chunk.data[s:e].tobytes())
-                spans.append([])
-                removed.append(0)
-                continue
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], m, [False]]).view(np.int8)))
-            kept.append(chunk.data[s:e][~m].tobytes())
-            spans.append([{"start": a, "end": b} for a, b in edge.reshape(-1, 2).tolist()])
-            removed.append(int(m.sum()))
+            gone[piece.lo : piece.lo + len(piece.left)] |= _reached(at[flag], len(piece.left), 0, length - 1)
         out = {n: chunk.table[n] for n in names}
         out["n_bytes"] = pa.array(chunk.end - chunk.start, pa.int64())
-        out["n_removed"] = pa.array(removed, pa.int64())
-        out["spans"] = pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
-        out["kept"] = chunks.binary(kept)
-        return pa.table(out)
+        return pa.table(out | _remains(chunk, gone[:-1]))
 
     return remove
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 4, chunk_bytes: int = 8 << 20, bucket_keys: int = 1_500_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 2, chunk_bytes: int = 8 << 20, bucket_keys: int = 1_500_000) -> DataFrame:
     """Mark and remove every byte covered by a string of ``length`` bytes that also starts earlier in the corpus.
 
     Earlier means a smaller id, or the same document and an earlier start; strings are judged on the input.  Returns the input
     columns and ``n_bytes``, ``n_removed`` (long), ``spans`` (removed runs as byte offsets) and ``kept`` (binary, the bytes that
     stay); input columns of these names are replaced.  A null text counts as empty and a null id as smallest; an empty table
     gives an empty result; of equal rows one keeps its text and the others lose theirs if it is long enough.  Texts may be of
-    any length: a chunk is worked on in pieces of 4 MB.  ``ident`` must be an integer column and the input must give the same
+    any length: a chunk is worked on in pieces of 2 MB.  ``ident`` must be an integer column and the input must give the same
     rows when a task is run again, as a table does.
     """
     spark = docs.sparkSession
