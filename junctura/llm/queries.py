@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .jaccard_join import similar_components
+from .mixing import mix
 from .mpeg_audio import decode_audio, encode_text
 from .pieces import encode_decode
+from .quality_rules import judge, learn
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
+from .url_cascade import Rule, judge_urls
 from .warc import read_warc, write_warc
 
 
@@ -19,6 +22,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+MIX_POWERS, MIX_ROUNDS, MIX_SEED = (0.5, 0.7, 1.0), 8, 42
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    out = mix(docs, powers=MIX_POWERS, rounds=MIX_ROUNDS, seed=MIX_SEED)
+    return out.select("doc_id", F.col("m_source").alias("source"), F.col("m_lang").alias("lang"), F.col("m_topic").alias("topic"), F.col("m_tokens").alias("tokens"), F.round("probability", 6).alias("probability"), "sampled")
+
+
+def _op1_sql() -> str:
+    """The raking rounds unrolled: one factor table for each half step."""
+    margins = ("source", "lang", "topic")
+    out = """
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+  CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN regexp_matches(coalesce(text, ''), '[#*$%&<>]{2}') THEN 'markup'
+    WHEN regexp_matches(coalesce(text, ''), '[0-9]{6}') THEN 'figures' WHEN regexp_matches(coalesce(text, ''), '[A-Z]{4}') THEN 'capitals' ELSE 'prose' END AS topic,
+  CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens FROM documents),
+cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL)"""
+    for m, p in zip(margins, MIX_POWERS, strict=True):
+        out += f""",
+{m}_w AS MATERIALIZED (SELECT {m} AS k, pow(sum(tokens), {p}) AS w FROM cells GROUP BY 1 HAVING sum(tokens) > 0),
+{m}_0 AS MATERIALIZED (SELECT k, w / (SELECT sum(w) FROM {m}_w) AS target, CAST(1.0 AS DOUBLE) AS f FROM {m}_w)"""
+    at = dict.fromkeys(margins, 0)
+    for step in range(1, MIX_ROUNDS + 1):
+        for m in margins:
+            a, b = (x for x in margins if x != m)
+            sums = f"SELECT c.{m} AS k, sum(c.tokens * coalesce(x.f, 0) * coalesce(y.f, 0)) AS s FROM cells c LEFT JOIN {a}_{at[a]} x ON x.k = c.{a} LEFT JOIN {b}_{at[b]} y ON y.k = c.{b} GROUP BY 1"
+            out += f""",
+{m}_{step} AS MATERIALIZED (SELECT t.k, t.target, CASE WHEN s.s > 0 THEN t.target / s.s ELSE 0 END AS f FROM {m}_{step - 1} t LEFT JOIN ({sums}) s ON s.k = t.k)"""
+            at[m] = step
+    n = MIX_ROUNDS
+    return out + f""",
+r AS (SELECT c.*, coalesce(x.f, 0) * coalesce(y.f, 0) * coalesce(z.f, 0) AS factor FROM cells c LEFT JOIN source_{n} x ON x.k = c.source LEFT JOIN lang_{n} y ON y.k = c.lang LEFT JOIN topic_{n} z ON z.k = c.topic),
+p AS (SELECT d.*, CASE WHEN d.tokens > 0 THEN r.factor / (SELECT max(factor) FROM r WHERE tokens > 0) ELSE 1 END AS p FROM d JOIN r USING (source, lang, topic))
+SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
+  CAST(CAST('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), '(none)'), '{MIX_SEED}')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 < p AS sampled FROM p"""
+
+
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_warc(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return read_warc(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -35,6 +76,12 @@ SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
 FROM t"""
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = judge(docs, learn(docs, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -89,9 +136,31 @@ def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [Rule("org", "/", "allow"), Rule("example.org", "/es/", "block"), Rule("example.org", "/en/1", "block"), Rule("com", "/fr/", "allow"), Rule("com", "/de/", "block")]
+#: Sites of the default list.
+LISTED = [f"{name}.example.{top}" for name in ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm") for top in ("com", "net", "org")]
+
+
+def op10_url_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame([(x,) for x in LISTED], "key string")
+    out = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES, listed)
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op10_sql() -> str:
+    fits = " ".join(f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.text}'" for r in sorted(RULES, key=lambda r: -len(r.text)))
+    says = " ".join(f"WHEN '{r.text}' THEN '{r.verdict}'" for r in RULES)
+    listed = ", ".join(f"'{x}'" for x in LISTED)
+    return f"""
+WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (SELECT *, CASE {fits} END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') IN ({listed}) THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc_index, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio)}
+    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_warc_index": OP2_SQL}
+    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql()}
