@@ -12,6 +12,7 @@ from .mixing import mix
 from .mpeg_audio import decode_audio, encode_text
 from .pieces import encode_decode
 from .quality_rules import judge, learn
+from .quotes import build_conversations
 from .suffix_dedup import remove_repeats
 from .token_files import read_token_files, write_token_files
 from .url_cascade import Rule, judge_urls
@@ -82,19 +83,23 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
+def op4_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_conversations(table(spark, sf_dir, "conversations"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("piece_bpe_32k.model"))
+    out = encode_decode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("piece_bpe_32k.model"))
     ids = F.array_join(F.col("ids").cast("array<string>"), " ")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
@@ -114,7 +119,7 @@ def _crc32_of_ids(ids):
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), _vocabulary("word_bpe_49k.json"), 2)
+    index = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"), 2)
     crc = F.pandas_udf(_crc32_of_ids, "long")
     return read_token_files(index).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"))
 
@@ -159,7 +164,7 @@ SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN array_to_strin
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade)}
+    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade)}
 
 
 def oracle_sql() -> dict[str, str]:
