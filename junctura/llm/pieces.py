@@ -3,25 +3,27 @@
 Where no piece of the model holds a whitespace marker after another character, the text falls apart at the markers, and the marked word
 between two of them is segmented alike wherever it stands.  So every distinct marked word of the corpus is segmented once:
 
-1. each chunk of documents sends its distinct marked words to buckets by hash;
-2. a bucket segments each of its words once, with the library, and sends the ids back to the chunks that asked;
-3. each chunk joins the ids to its words by position and decodes them.
+1. a task cuts its documents into blocks of some MB and sends each block's distinct marked words to buckets by hash;
+2. a bucket segments each of its words once, with the library, and gives the ids back to the blocks that asked;
+3. the blocks are cut once more, and send for each document the places of its words in the block's word list; there they meet the
+   ids, are joined to them by position, and decoded.
 
-A line feed is cut at too if, as usual, no piece but its byte holds one.
+Texts are never shuffled; what moves is packed.  A block is known by a digest of its texts.  A line feed is cut at too if, as usual, no piece but its byte holds one.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
-from . import chunks, packing
+from . import chunks, packing, rolling
 from .store import Scratch
 
 _WORD = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -64,21 +66,91 @@ def segment(sp, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter((i for x in ids for i in x), np.int64), np.array([len(x) for x in ids], np.int64)
 
 
-def _dictionary(texts: list[str | None], buckets: int) -> tuple[list[list[str]], dict[int, list[bytes]]]:
-    words = [marked_words(t or "") for t in texts]
-    by: dict[int, list[bytes]] = {}
-    for w in set().union(*words):
-        b = w.encode()
-        by.setdefault(zlib.crc32(b) % buckets, []).append(b)
-    for v in by.values():
-        v.sort()
-    return words, by
-
-
-def _send(text: str, buckets: int):
-    def send(key: tuple, docs: pa.Table) -> pa.Table:
-        _, by = _dictionary(docs[text].to_pylist(), buckets)
-        return pa.table({"bucket": pa.array(by, pa.int32()), chunks.KEY: pa.array([key[0].as_py()] * len(by), pa.int32()), "words": chunks.binary([zstandard.compress(_END.join(v), 3) for v in by.values()])})
+def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the texts with the marker in front, the starts of the marked words in them, and each text's number of words."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    full = pc.greater(pc.binary_length(texts), 0)
+    marked = pc.if_else(full, pc.binary_join_element_wise(pa.scalar("", pa.large_string()), pc.replace_substring(texts, _MARK, " "), pa.scalar(" ", pa.large_string())), texts)
+    marked = marked.combine_chunks() if isinstance(marked, pa.ChunkedArray) else marked
+    offsets = np.frombuffer(marked.buffers()[1], np.int64)[marked.offset : marked.offset + len(marked) + 1]
+    data = np.frombuffer(marked.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(marked) and offsets[-1] else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    space = data == 0x20
+    begin = space.copy()
+    begin[1:] &= ~space[:-1]
+    begin |= data == 0x0A
+    begin[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(begin)
+    return data, starts, np.diff(np.searchsorted(starts, offsets))
+
+
+def _distinct(data: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words, most frequent first, and each word's place among them."""
+    ends = np.append(starts[1:], len(data))
+    _, first, inverse, times = np.unique(rolling.slices(rolling.prefixes(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
+    size = (ends - starts)[first]
+    if (size[inverse] != ends - starts).any() or not np.array_equal(_take(data, starts[first][inverse], ends - starts), data):
+        words = [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]  # two words with one hash
+        place = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        return list(place), np.array([place[w] for w in words], np.int64)
+    by = np.argsort(-times, kind="stable")
+    rank = np.empty(len(by), np.int64)
+    rank[by] = np.arange(len(by))
+    return [data[a : a + n].tobytes() for a, n in zip(starts[first][by].tolist(), size[by].tolist(), strict=True)], rank[inverse]
+
+
+def _block(idents: pa.Array, texts: pa.Array, buckets: int):
+    """A block's name, its words and their places by bucket, each document's number of words, and each word's place."""
+    data, starts, counts = _cut(texts)
+    words, places = _distinct(data, starts)
+    by: dict[int, list[tuple[bytes, int]]] = {}
+    for i, w in enumerate(words):
+        by.setdefault(zlib.crc32(w) % buckets, []).append((w, i))
+    name = hashlib.blake2b(counts.tobytes() + data.tobytes(), digest_size=16).digest()
+    return name, {b: sorted(by[b]) for b in sorted(by)}, counts, places
+
+
+def _words(idents: pa.Array, texts: pa.Array, buckets: int) -> pa.RecordBatch:
+    name, by, _, _ = _block(idents, texts, buckets)
+    packed = [zstandard.compress(_END.join(w for w, _ in v), 6) for v in by.values()]
+    return pa.RecordBatch.from_pydict({"block": chunks.binary([name] * len(by)), "bucket": pa.array(list(by), pa.int32()), "words": chunks.binary(packed)})
+
+
+def _places(idents: pa.Array, texts: pa.Array, buckets: int) -> pa.RecordBatch:
+    name, by, counts, places = _block(idents, texts, buckets)
+    ids = pc.fill_null(idents.cast(pa.int64()), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = {
+        "block": name,
+        "idents": zstandard.compress(ids.tobytes(), 3),
+        "unnamed": packing.pack_flags(pc.is_null(idents).to_numpy(zero_copy_only=False)),
+        "counts": packing.pack_ints(counts),
+        "order": packing.pack_ints(np.array([i for v in by.values() for _, i in v], np.int64)),
+        "places": packing.pack_ints(places),
+    }
+    return pa.RecordBatch.from_pydict({k: chunks.binary([v]) for k, v in row.items()})
+
+
+def _send(made, ident: str, text: str, buckets: int, block_bytes: int):
+    """Cut documents into blocks, in their order and whatever the batches, and yield ``made`` of each."""
+
+    def block(held):
+        t = pa.Table.from_batches(held).combine_chunks()
+        return made(t[ident].combine_chunks(), t[text].combine_chunks(), buckets)
+
+    def send(batches):
+        held, size = [], 0
+        for batch in batches:
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            at, before = 0, 0
+            while at < batch.num_rows:
+                to = min(batch.num_rows, int(np.searchsorted(sizes, before + block_bytes - size)) + 1)
+                held.append(batch.slice(at, to - at))
+                size, at, before = size + int(sizes[to - 1]) - before, to, int(sizes[to - 1])
+                if size >= block_bytes:
+                    yield block(held)
+                    held, size = [], 0
+        if held:
+            yield block(held)
 
     return send
 
@@ -90,14 +162,19 @@ def _segment(proto: bytes):
         for words in asked:
             for w in words:
                 place.setdefault(w, len(place))
-        ids, count = segment(_processor(proto), [w.decode() for w in place])
-        begin = np.concatenate([[0], np.cumsum(count)])
+        distinct, flat, counts = list(place), [], []
+        for a in range(0, len(distinct), 20_000):
+            ids, count = segment(_processor(proto), [w.decode() for w in distinct[a : a + 20_000]])
+            flat.append(ids.astype(np.int32))
+            counts.append(count)
+        ids, count = np.concatenate(flat), np.concatenate(counts)
+        begin = np.cumsum(count) - count
         out_ids, out_counts = [], []
         for words in asked:
             at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
             out_ids.append(packing.pack_ints(_take(ids, begin[at], count[at])))
             out_counts.append(packing.pack_ints(count[at]))
-        return pa.table({chunks.KEY: table[chunks.KEY], "bucket": table["bucket"], "ids": chunks.binary(out_ids), "counts": chunks.binary(out_counts)})
+        return pa.table({"block": table["block"], "bucket": table["bucket"], "ids": chunks.binary(out_ids), "counts": chunks.binary(out_counts)})
 
     return run
 
@@ -117,54 +194,65 @@ def _piece_bytes(sp) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(out), np.uint8), np.array([len(x) for x in out], np.int64)
 
 
-def _join(text: str, names: list[str], buckets: int, proto: bytes):
+def _join(ident: str, proto: bytes):
     def join(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        sp = _processor(proto)
-        words, by = _dictionary(docs[text].to_pylist(), buckets)
-        got = {b: (i, c) for b, i, c in zip(answers["bucket"].to_pylist(), answers["ids"].to_pylist(), answers["counts"].to_pylist(), strict=True)}
-        place: dict[str, int] = {}
-        flat, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-        for b, known in by.items():
-            for w in known:
-                place[w.decode()] = len(place)
-            flat.append(packing.unpack_ints(got[b][0]))
-            counts.append(packing.unpack_ints(got[b][1]))
-        ids, count = np.concatenate(flat).astype(np.int64), np.concatenate(counts).astype(np.int64)
-        begin = np.cumsum(count) - count
-        stuff, width = _piece_bytes(sp)
-        stuff_at = np.cumsum(width) - width
-        encoded, decoded = [], []
-        for own in words:
-            at = np.fromiter(map(place.__getitem__, own), np.int64, len(own))
-            x = _take(ids, begin[at], count[at])
-            decoded.append(_take(stuff, stuff_at[x], width[x])[1:].tobytes())
-            encoded.append(np.append(x, sp.eos_id()).astype(np.int32))
-        ends = np.concatenate([[0], np.cumsum([len(x) for x in encoded])]).astype(np.int32)
-        out = {n: docs[n] for n in names}
-        out["ids"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(encoded) if encoded else np.zeros(0, np.int32)))
-        out["decoded"] = pa.array(decoded, pa.binary()).cast(pa.string())
-        return pa.table(out)
+        got = {b: (x, n) for b, x, n in zip(answers["bucket"].to_pylist(), answers["ids"].to_pylist(), answers["counts"].to_pylist(), strict=True)}
+        return pa.concat_tables([_joined(_processor(proto), row, [got[b] for b in sorted(got)], ident) for row in docs.to_pylist()])
 
     return join
 
 
-def encode_decode(docs: DataFrame, model: str, ident: str = "doc_id", text: str = "text", chunk_bytes: int = 4 << 20) -> DataFrame:
+def _joined(sp, row: dict, got: list[tuple[bytes, bytes]], ident: str) -> pa.Table:
+    """A block's documents: ids from its words' ids by place, and the texts that they decode to."""
+    flat = np.concatenate([np.zeros(0, np.int64), *(packing.unpack_ints(x).astype(np.int64) for x, _ in got)])
+    sizes = np.concatenate([np.zeros(0, np.int64), *(packing.unpack_ints(x).astype(np.int64) for _, x in got)])
+    # back from the buckets' order to the block's
+    order = packing.unpack_ints(row["order"]).astype(np.int64)
+    if len(order) != len(sizes):
+        raise RuntimeError("a block's words were not segmented: the input gave other rows when it was read again")
+    begin, count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+    begin[order], count[order] = np.cumsum(sizes) - sizes, sizes
+    places = packing.unpack_ints(row["places"]).astype(np.int64)
+    words = packing.unpack_ints(row["counts"]).astype(np.int64)
+    ids = _take(flat, begin[places], count[places])
+    bounds = np.concatenate([[0], np.cumsum(count[places])])[np.concatenate([[0], np.cumsum(words)])]
+    # the end id behind each document's ids
+    n = np.diff(bounds)
+    ends = np.concatenate([[0], np.cumsum(n + 1)])
+    encoded = np.empty(ends[-1], np.int32)
+    encoded[ends[1:] - 1] = sp.eos_id()
+    inner = np.ones(len(encoded), bool)
+    inner[ends[1:] - 1] = False
+    encoded[inner] = ids
+    stuff, width = _piece_bytes(sp)
+    text = _take(stuff, (np.cumsum(width) - width)[ids], width[ids])
+    at = np.concatenate([[0], np.cumsum(width[ids])])[bounds]
+    # the library takes the marker in front away again
+    front = at[:-1][np.diff(at) > 0]
+    lengths = np.diff(at) - (np.diff(at) > 0)
+    keep = np.ones(len(text), bool)
+    keep[front] = False
+    offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    decoded = pa.StringArray.from_buffers(len(lengths), pa.py_buffer(offsets), pa.py_buffer(text[keep]))
+    idents = np.frombuffer(zstandard.decompress(row["idents"]), np.int64)
+    named = pa.array(idents, pa.int64(), mask=packing.unpack_flags(row["unnamed"]))
+    return pa.table({ident: named, "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(encoded)), "decoded": decoded})
+
+
+def encode_decode(docs: DataFrame, model: str, ident: str = "doc_id", text: str = "text", block_bytes: int = 8 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """Encode whole texts with an end id, as the library does, and decode the ids.
 
-    Returns the input columns with ``ids`` (array of int) and ``decoded`` (string); input columns of these names are replaced.  A null or
-    empty text has the end id alone.  ``model`` is a model file's path on the driver; its bytes go to the tasks.  The input must give
-    the same rows when a task is run again, as a table does.  Equal rows are encoded alike; ``ident`` may be null.
+    Returns one row for each row of ``docs``: ``ident`` (long), ``ids`` (array of int) and ``decoded`` (string); other columns are not read.  A null or
+    empty text has the end id alone; a null id stays null; equal rows are encoded alike.  ``model`` is a model file's path on the driver; its bytes
+    go to the tasks.  The input is read twice and must give the same rows, as a table does.
     """
     with open(model, "rb") as f:
         proto = f.read()
     check_model(proto)
-    names = [c for c in docs.columns if c not in ("ids", "decoded") or c == ident]
-    docs = docs.select(*dict.fromkeys([*names, text]))
-    total = chunks.total_bytes(docs, text)
-    n = chunks.count(total, chunk_bytes)
-    keyed = chunks.with_key(docs, ident, text, n)
-    scratch = Scratch(docs.sparkSession, "pieces")
-    sent = keyed.select(ident, text, chunks.KEY).groupBy(chunks.KEY).applyInArrow(_send(text, n), f"bucket int, {chunks.KEY} int, words binary")
-    table = scratch.write(sent.groupBy("bucket").applyInArrow(_segment(proto), f"{chunks.KEY} int, bucket int, ids binary, counts binary"), "table")
-    schema = T.StructType([docs.schema[c] for c in names]).add("ids", T.ArrayType(T.IntegerType())).add("decoded", "string")
-    return keyed.groupBy(chunks.KEY).cogroup(table.groupBy(chunks.KEY)).applyInArrow(_join(text, names, n, proto), schema)
+    docs = docs.select(ident, text)
+    buckets = chunks.count(chunks.total_bytes(docs, text), bucket_bytes)
+    cut = lambda made: _send(made, ident, text, buckets, block_bytes)
+    asked = docs.mapInArrow(cut(_words), "block binary, bucket int, words binary")
+    table = Scratch(docs.sparkSession, "pieces").write(asked.groupBy("bucket").applyInArrow(_segment(proto), "block binary, bucket int, ids binary, counts binary"), "table")
+    places = docs.mapInArrow(cut(_places), "block binary, idents binary, unnamed binary, counts binary, order binary, places binary")
+    return places.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(_join(ident, proto), f"`{ident}` long, ids array<int>, decoded string")

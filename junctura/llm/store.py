@@ -13,7 +13,9 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_DIR = "file:///tmp/checkpoints"
-_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: While an intermediate table is written: shuffle files go as soon as the write ends, so that peaks don't add up, and Arrow batches are
+#: small, since both the JVM and the Python worker hold one outside the heap.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,17 +32,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 @contextmanager
-def tidy_shuffles(spark: SparkSession):
-    """Shuffle files of the actions inside are deleted as soon as each action ends, so that peaks don't add up."""
-    before = spark.conf.get(_CLEAN, None)
-    spark.conf.set(_CLEAN, "true")
+def writing(spark: SparkSession):
+    """Settings for the write of an intermediate table, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in _WRITING}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEAN)
-        else:
-            spark.conf.set(_CLEAN, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class Scratch:
@@ -55,7 +56,7 @@ class Scratch:
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise ``df`` and return it as read back."""
-        with tidy_shuffles(self.spark):
+        with writing(self.spark):
             df.write.mode("overwrite").option("compression", "zstd").parquet(self.at(name))
         return self.spark.read.schema(df.schema).parquet(self.at(name))
 

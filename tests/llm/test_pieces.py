@@ -19,8 +19,8 @@ def test_matches_library(spark):
     for i in range(120):
         rows.append((1000 + i, "".join(r.choice(["the", "Ing", " ", " ", "\n", "é", ".", "字", "99", "▁", "  "]) for _ in range(r.randint(0, 80))), 0.0))
     df = spark.createDataFrame(rows, "doc_id long, text string, ids double")
-    got = sorted(((x.doc_id, x.text, list(x.ids), x.decoded) for x in encode_decode(df, MODEL, chunk_bytes=900).collect()), key=str)
-    want = sorted(((i, t, ids := sp.encode(t or "", add_eos=True), sp.decode(ids)) for i, t, _ in rows), key=str)
+    got = sorted(((x.doc_id, list(x.ids), x.decoded) for x in encode_decode(df, MODEL, block_bytes=900, bucket_bytes=4000).collect()), key=str)
+    want = sorted(((i, ids := sp.encode(t or "", add_eos=True), sp.decode(ids)) for i, t, _ in rows), key=str)
     assert got == want
 
 
