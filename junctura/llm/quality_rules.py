@@ -49,7 +49,9 @@ def base_statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text")
     starts = F.array_sort(F.transform(twice, lambda k: F.get("s", k)["i"]))
     first = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate(starts, first, lambda a, x: F.struct((a["n"] + x + _WINDOW - F.greatest(a["end"], x)).alias("n"), (x + _WINDOW).alias("end")))["n"]
-    return d.select(F.col("id").alias(ident), *keep[1:], F.coalesce(F.when(F.col("s").isNotNull(), covered), F.lit(0)).cast("long").alias("n_repeat_words"))
+    row = F.struct(F.col("id").alias(ident), *keep[1:], F.coalesce(F.when(F.col("s").isNotNull(), covered), F.lit(0)).cast("long").alias("n_repeat_words"))
+    # a generator: no filter above is pushed below it, where it would repeat the work inside the lambdas
+    return d.select(F.inline(F.array(row)))
 
 
 def base_failed() -> Column:
