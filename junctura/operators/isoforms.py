@@ -17,7 +17,7 @@ def in_chromosome(genes: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def ranked_mes(mes: DataFrame, boundary: str) -> DataFrame:
     """Microexons (me, chrom, strand, sj_start, sj_end, start, end) by junction boundary: rank 1 is primary, the rest secondary."""
-    return mes.withColumn("rank", F.row_number().over(Window.partitionBy("chrom", "strand", boundary).orderBy("me")))
+    return mes.withColumn("rank", F.row_number().over(Window.partitionBy("chrom", "strand", boundary).orderBy("me", "sj_start", "sj_end")))
 
 
 def strip_version(ident):
