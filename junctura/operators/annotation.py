@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 
-BY_TX = Window.partitionBy("tx").orderBy("start", "block")
+def _by_tx():
+    return Window.partitionBy("tx").orderBy("start", "block")
 
 
 def bed12_exons(bed: DataFrame) -> DataFrame:
@@ -34,29 +35,29 @@ def gtf_exons(features: DataFrame) -> DataFrame:
 
 def introns(exons: DataFrame) -> DataFrame:
     """Gaps between neighbouring exons of a transcript."""
-    nxt = F.lead("start").over(BY_TX)
+    nxt = F.lead("start").over(_by_tx())
     return exons.withColumn("next", nxt).where("next is not null").select("tx", "block", "chrom", "strand", F.col("end").alias("start"), F.col("next").alias("end"))
 
 
 def triples(exons: DataFrame, max_len: int) -> DataFrame:
     """Internal exons of at most ``max_len`` with their host intron: candidate microexons."""
-    d = exons.withColumns({"host_start": F.lag("end").over(BY_TX), "host_end": F.lead("start").over(BY_TX)})
+    d = exons.withColumns({"host_start": F.lag("end").over(_by_tx()), "host_end": F.lead("start").over(_by_tx())})
     return d.where((F.col("host_start").isNotNull()) & F.col("host_end").isNotNull() & (F.col("end") - F.col("start") <= max_len))
 
 
 def internal(exons: DataFrame) -> DataFrame:
     """Exons that are neither first nor last."""
-    d = exons.withColumns({"before": F.lag("start").over(BY_TX), "after": F.lead("start").over(BY_TX)})
+    d = exons.withColumns({"before": F.lag("start").over(_by_tx()), "after": F.lead("start").over(_by_tx())})
     return d.where("before is not null and after is not null").drop("before", "after")
 
 
 def offsets(exons: DataFrame) -> DataFrame:
     """Each exon's end within its transcript."""
-    return exons.withColumn("tx_end", F.sum(F.col("end") - F.col("start")).over(BY_TX.rowsBetween(Window.unboundedPreceding, 0)))
+    return exons.withColumn("tx_end", F.sum(F.col("end") - F.col("start")).over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)))
 
 
 def previous_intron(gaps: DataFrame) -> DataFrame:
-    return gaps.withColumns({"prev_start": F.lag("start").over(BY_TX), "prev_end": F.lag("end").over(BY_TX)})
+    return gaps.withColumns({"prev_start": F.lag("start").over(_by_tx()), "prev_end": F.lag("end").over(_by_tx())})
 
 
 def transcript_sequences(exons: DataFrame, genome: DataFrame) -> DataFrame:
@@ -68,7 +69,7 @@ def transcript_sequences(exons: DataFrame, genome: DataFrame) -> DataFrame:
 
 def junction_tags(exons: DataFrame, sequences: DataFrame, flank: int) -> DataFrame:
     """Sequence of ``flank`` bases on both sides of each junction of a transcript, cut at its ends: (tx, junction, chrom, strand, start, end, up, tag)."""
-    d = exons.withColumns({"next": F.lead("start").over(BY_TX), "done": F.sum(F.col("end") - F.col("start")).over(BY_TX.rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("tx"))})
+    d = exons.withColumns({"next": F.lead("start").over(_by_tx()), "done": F.sum(F.col("end") - F.col("start")).over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)), "all": F.sum(F.col("end") - F.col("start")).over(Window.partitionBy("tx"))})
     d = d.where("next is not null").withColumn("at", F.when(F.col("strand") == "-", F.col("all") - F.col("done")).otherwise(F.col("done")))
     d = d.join(sequences, "tx").withColumn("up", F.least("at", F.lit(flank)))
     tag = F.substr("seq", (F.col("at") - F.col("up") + 1).cast("int"), (F.col("up") + F.least(F.col("all") - F.col("at"), F.lit(flank))).cast("int"))
@@ -77,7 +78,7 @@ def junction_tags(exons: DataFrame, sequences: DataFrame, flank: int) -> DataFra
 
 def eligible(exons: DataFrame, me_len: int, min_intron: int = 80) -> DataFrame:
     """Introns between two exons longer than a microexon, themselves at least ``min_intron`` long."""
-    d = exons.withColumns({"next": F.lead("start").over(BY_TX), "next_end": F.lead("end").over(BY_TX)})
+    d = exons.withColumns({"next": F.lead("start").over(_by_tx()), "next_end": F.lead("end").over(_by_tx())})
     d = d.withColumns({"up_len": F.col("end") - F.col("start"), "down_len": F.col("next_end") - F.col("next")})
     return d.where((F.col("up_len") > me_len) & (F.col("down_len") > me_len) & (F.col("next") - F.col("end") >= min_intron)).select("tx", "block", "chrom", "strand", F.col("end").alias("start"), F.col("next").alias("end"), "up_len", "down_len")
 
@@ -103,7 +104,7 @@ def learn_matrix(windows: DataFrame) -> DataFrame:
 
 def running_flanks(exons: DataFrame, n: int = 100) -> DataFrame:
     """The last ``n`` transcript bases up to each exon's end (column ``part`` has each exon's sequence)."""
-    so_far = F.array_join(F.collect_list("part").over(BY_TX.rowsBetween(Window.unboundedPreceding, 0)), "")
+    so_far = F.array_join(F.collect_list("part").over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)), "")
     return exons.withColumn("flank", F.right(so_far, F.lit(n)))
 
 
@@ -115,8 +116,8 @@ def first_transcript(rows: DataFrame, key: list[str]) -> DataFrame:
 def me_tags(parts: DataFrame, n: int = 100) -> DataFrame:
     """Tag of each internal exon: the last ``n`` transcript bases before it, itself and the first ``n`` behind, as its strand reads them."""
     join = lambda w: F.array_join(F.collect_list("part").over(w), "")
-    before, after = join(BY_TX.rowsBetween(Window.unboundedPreceding, -1)), join(BY_TX.rowsBetween(1, Window.unboundedFollowing))
-    ends = {"first": F.lag("start").over(BY_TX).isNull(), "last": F.lead("start").over(BY_TX).isNull()}
+    before, after = join(_by_tx().rowsBetween(Window.unboundedPreceding, -1)), join(_by_tx().rowsBetween(1, Window.unboundedFollowing))
+    ends = {"first": F.lag("start").over(_by_tx()).isNull(), "last": F.lead("start").over(_by_tx()).isNull()}
     d = parts.withColumns({"before": before, "after": after} | ends)
     tag = F.concat(F.right("before", F.lit(n)), "part", F.left("after", F.lit(n)))
     return d.where(~F.col("first") & ~F.col("last")).withColumn("tag", S.stranded(tag, F.col("strand")))
