@@ -81,6 +81,15 @@ def test_isoforms(spark):
     assert {r.secondary for r in isoforms.secondary_isoforms(put, mes).collect()} == {"m2", "m3"}
 
 
+def test_significant_nodes(spark):
+    rows = [("g", n, "c", "+", t, 0.8, 0.2, 0.6 if k else d, p) for n, t, d, p in ((1, "CE", 0.6, 0.95), (2, "TE", 0.6, 0.95), (3, "CE", 0.0, 0.5)) for k, p in enumerate((p, p - 0.01, p + 0.01, p - 0.02))]
+    df = spark.createDataFrame(rows, "gene string, node int, coord string, strand string, type string, psi_a double, psi_b double, delta double, probability double")
+    got = {r.node: r for r in P.single_cell(df, cdf_t=0.5, min_delta=0.1, min_p=0.9, min_rep=3).collect()}
+    assert [got[n]["diff"] for n in (1, 2, 3)] == [True, False, False]
+    assert got[1].cdf < 1e-6 and got[1].number == 4
+    assert not any(r["diff"] for r in P.single_cell(df, min_rep=4).collect())
+
+
 def test_stranded(spark):
     assert spark.range(1).select(S.stranded(F.lit("AAC"), F.lit("-")).alias("x")).first().x == "GTT"
 
