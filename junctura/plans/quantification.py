@@ -251,17 +251,17 @@ def j9_containment(spark, sf):
 
 
 @query(
-    """WITH v AS (SELECT DISTINCT chrom, "start" AS rs, "end" AS re, ("start" % 10) / 10 AS value FROM v_exon WHERE tx % 10 = 3), r AS (SELECT DISTINCT chrom, "start" - 2 AS s, "end" + 2 AS e, "start" AS a, "end" AS b FROM v_exon WHERE "end" - "start" <= 10),
+    """WITH v AS (SELECT DISTINCT chrom, "start" AS rs, "end" AS re, "start" % 10 AS value FROM v_exon), r AS (SELECT DISTINCT chrom, "start" - 2 AS s, "end" + 2 AS e, "start" AS a, "end" AS b FROM v_exon WHERE "end" - "start" <= 10),
 h AS (SELECT r.chrom, a, b, sum(value * (least(e, re) - greatest(s, rs))) / sum(least(e, re) - greatest(s, rs)) AS mean FROM r JOIN v ON v.chrom = r.chrom AND s < re AND rs < e GROUP BY ALL)
-SELECT r.chrom, CAST(r.a AS BIGINT) AS "start", CAST(r.b AS BIGINT) AS "end", round(mean, 6) AS mean FROM r LEFT JOIN h USING (chrom, a, b)""",
+SELECT r.chrom, CAST(r.a AS BIGINT) AS "start", CAST(r.b AS BIGINT) AS "end", CAST(floor(mean * 1000) AS BIGINT) AS mean FROM r LEFT JOIN h USING (chrom, a, b)""",
     "v_exon",
 )
 def j26_range_mean(spark, sf):
     e = v_exon(spark, sf)
-    values = e.where("tx % 10 = 3").select("chrom", "start", "end", ((F.col("start") % 10) / 10).alias("value")).distinct()
+    values = e.select("chrom", "start", "end", (F.col("start") % 10).alias("value")).distinct()
     mes = e.where("end - start <= 10").select("chrom", "start", "end").distinct().withColumn("me", F.concat_ws("_", "chrom", "start", "end"))
     out = I.mean_value(mes, values, ["me"]).join(mes, "me")
-    return out.select("chrom", long("start"), long("end"), F.round("mean", 6).alias("mean"))
+    return out.select("chrom", long("start"), long("end"), F.floor(F.col("mean") * 1000).cast("long").alias("mean"))
 
 
 @query("SELECT c.c_custkey, coalesce(o.n, 0) AS n FROM customer c LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o ON o.o_custkey = c.c_custkey")
@@ -306,11 +306,11 @@ def f19_chrom_size(spark, sf):
     return G.in_chromosome(G.gene_extents(_genes(spark, sf)), sizes).select("gene", "chrom")
 
 
-_MES = """m AS (SELECT DISTINCT chrom || '_' || strand || '_' || s || '_' || (s + 12) AS me, chrom, strand, sj_start, sj_end, s, s + 12 AS e FROM (SELECT chrom, strand, "start" AS sj_start, "end" AS sj_end, CAST("start" + 20 + tx % 4 AS INTEGER) AS s FROM v_intron WHERE "end" - "start" > 60 AND (tx + block) % 3 = 0))"""
+_MES = """m AS (SELECT DISTINCT chrom || '_' || strand || '_' || s || '_' || (s + 12) AS me, chrom, strand, sj_start, sj_end, s, s + 12 AS e FROM (SELECT chrom, strand, "start" AS sj_start, "end" AS sj_end, CAST("start" + 20 + tx % 4 AS INTEGER) AS s FROM v_intron WHERE "end" - "start" > 60))"""
 
 
 def _mes(spark, sf) -> DataFrame:
-    g = A.introns(v_exon(spark, sf)).where("end - start > 60 and (tx + block) % 3 = 0")
+    g = A.introns(v_exon(spark, sf)).where("end - start > 60")
     d = g.select("chrom", "strand", F.col("start").alias("sj_start"), F.col("end").alias("sj_end"), (F.col("start") + 20 + F.col("tx") % 4).cast("int").alias("start"), (F.col("start") + 32 + F.col("tx") % 4).cast("int").alias("end")).distinct()
     return d.withColumn("me", K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")))
 

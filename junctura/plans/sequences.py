@@ -96,12 +96,12 @@ def p11_cigar_parse(spark, sf):
 
 
 @query(
-    r"""SELECT read, line, tag, supp, CASE WHEN contains(cigar, 'I') THEN '0-' || q || ',' || (q + l) || '-' || (q + l + p) WHEN supp % 5 = 1 THEN '0-' || (q + p) ELSE NULL END AS blocks
-FROM (SELECT *, score AS q, line AS l, tag % 50 + 10 AS p FROM v_align) WHERE supp % 5 IN (0, 1)""",
+    r"""SELECT read, line, tag, supp, CASE supp % 5 WHEN 0 THEN '0-' || q || ',' || (q + l) || '-' || (q + l + p) WHEN 1 THEN '0-' || (q + p) WHEN 2 THEN '0-' || (q + l + p + l + q) ELSE '0-' || q END AS blocks
+FROM (SELECT *, score AS q, line AS l, tag % 50 + 10 AS p FROM v_align)""",
     "v_align",
 )
 def p12_query_blocks(spark, sf):
-    d = v_align(spark, sf).where(F.col("supp") % 5 < 2).withColumn("b", C.query_blocks(C.parse(F.col("cigar"))))
+    d = v_align(spark, sf).withColumn("b", C.query_blocks(C.parse(F.col("cigar"))))
     text = F.array_join(F.transform("b", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return d.select("read", "line", "tag", "supp", text.alias("blocks"))
 
