@@ -15,6 +15,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .memory import give_back
+
 KEY = "__chunk"
 
 
@@ -43,6 +45,7 @@ class Chunk:
 
 
 def load(table: pa.Table, ident: str, text: str) -> Chunk:
+    give_back()
     order = pc.sort_indices(table, sort_keys=[(ident, "ascending"), (text, "ascending")], null_placement="at_start")
     table = table.take(order).combine_chunks()
     column = table[text].combine_chunks() if table.num_rows else pa.array([], pa.string())

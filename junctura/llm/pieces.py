@@ -23,7 +23,9 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 
-from . import chunks, packing, rolling
+from . import chunks, packing
+from .memory import give_back
+from .slices import distinct_slices, take
 from .store import Scratch
 
 _WORD = re.compile(r" +[^ \n]*|\n[^ \n]*")
@@ -84,25 +86,11 @@ def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, starts, np.diff(np.searchsorted(starts, offsets))
 
 
-def _distinct(data: np.ndarray, starts: np.ndarray) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words, most frequent first, and each word's place among them."""
-    ends = np.append(starts[1:], len(data))
-    _, first, inverse, times = np.unique(rolling.slices(rolling.prefixes(data), starts, ends), return_index=True, return_inverse=True, return_counts=True)
-    size = (ends - starts)[first]
-    if (size[inverse] != ends - starts).any() or not np.array_equal(_take(data, starts[first][inverse], ends - starts), data):
-        words = [data[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]  # two words with one hash
-        place = {w: i for i, w in enumerate(dict.fromkeys(words))}
-        return list(place), np.array([place[w] for w in words], np.int64)
-    by = np.argsort(-times, kind="stable")
-    rank = np.empty(len(by), np.int64)
-    rank[by] = np.arange(len(by))
-    return [data[a : a + n].tobytes() for a, n in zip(starts[first][by].tolist(), size[by].tolist(), strict=True)], rank[inverse]
-
-
 def _block(idents: pa.Array, texts: pa.Array, buckets: int):
     """A block's name, its words and their places by bucket, each document's number of words, and each word's place."""
+    give_back()
     data, starts, counts = _cut(texts)
-    words, places = _distinct(data, starts)
+    words, places = distinct_slices(data, starts, np.append(starts[1:], len(data)))
     by: dict[int, list[tuple[bytes, int]]] = {}
     for i, w in enumerate(words):
         by.setdefault(zlib.crc32(w) % buckets, []).append((w, i))
@@ -172,19 +160,13 @@ def _segment(proto: bytes):
         out_ids, out_counts = [], []
         for words in asked:
             at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-            out_ids.append(packing.pack_ints(_take(ids, begin[at], count[at])))
+            out_ids.append(packing.pack_ints(take(ids, begin[at], count[at])))
             out_counts.append(packing.pack_ints(count[at]))
         return pa.table({"block": table["block"], "bucket": table["bucket"], "ids": chunks.binary(out_ids), "counts": chunks.binary(out_counts)})
 
     return run
 
 
-def _take(values: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """The slices ``begin : begin + count`` of ``values``, one after another."""
-    ends = np.cumsum(count)
-    return values[np.repeat(begin - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)]
-
-
 def _piece_bytes(sp) -> tuple[np.ndarray, np.ndarray]:
     """What each id stands for in a decoded text: bytes, concatenated, and their number."""
     out = []
@@ -214,7 +196,7 @@ def _joined(sp, row: dict, got: list[tuple[bytes, bytes]], ident: str) -> pa.Tab
     begin[order], count[order] = np.cumsum(sizes) - sizes, sizes
     places = packing.unpack_ints(row["places"]).astype(np.int64)
     words = packing.unpack_ints(row["counts"]).astype(np.int64)
-    ids = _take(flat, begin[places], count[places])
+    ids = take(flat, begin[places], count[places])
     bounds = np.concatenate([[0], np.cumsum(count[places])])[np.concatenate([[0], np.cumsum(words)])]
     # the end id behind each document's ids
     n = np.diff(bounds)
@@ -225,7 +207,8 @@ def _joined(sp, row: dict, got: list[tuple[bytes, bytes]], ident: str) -> pa.Tab
     inner[ends[1:] - 1] = False
     encoded[inner] = ids
     stuff, width = _piece_bytes(sp)
-    text = _take(stuff, (np.cumsum(width) - width)[ids], width[ids])
+    stuff_at = np.cumsum(width) - width
+    text = np.concatenate([np.zeros(0, np.uint8), *(take(stuff, stuff_at[x], width[x]) for x in np.array_split(ids, 1 + len(ids) // 250_000))])
     at = np.concatenate([[0], np.cumsum(width[ids])])[bounds]
     # the library takes the marker in front away again
     front = at[:-1][np.diff(at) > 0]

@@ -246,7 +246,7 @@ def _remove(ident: str, text: str, length: int, names: list[str]):
     return remove
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 2, chunk_bytes: int = 8 << 20, bucket_keys: int = 1_500_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 2, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000) -> DataFrame:
     """Mark and remove every byte covered by a string of ``length`` bytes that also starts earlier in the corpus.
 
     Earlier means a smaller id, or the same document and an earlier start; strings are judged on the input.  Returns the input
