@@ -109,19 +109,9 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def _crc32_of_ids(ids):
-    """Checksums of id arrays as little-endian unsigned 32-bit integers."""
-    import zlib
-
-    import pandas as pd
-
-    return pd.Series([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], dtype="int64")
-
-
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = write_token_files(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"), 2)
-    crc = F.pandas_udf(_crc32_of_ids, "long")
-    return read_token_files(index).select("doc_id", "start", F.size("ids").cast("long").alias("n_tokens"), crc("ids").alias("ids_crc32"))
+    return read_token_files(index).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:

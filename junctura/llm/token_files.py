@@ -8,47 +8,144 @@ place in the whole array.
 
 from __future__ import annotations
 
-import re
+import os
 import struct
+import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import chunks
 from .elias_fano import EliasFano
 from .files import fresh, read
+from .slices import distinct_slices, take
 from .store import Scratch
 
 _MAGIC = b"TIDS0001"
 _HEAD = "<8sQqQQQB"  # magic, documents, smallest id, documents without id, bytes of each coded sequence, bytes of an id
-#: White space as the tokenizer splits at it; fixed values.
-_TOKEN = re.compile(r"[^\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
-_CACHE = 400_000
-FILE_IDS = 8 << 20
+#: White space as the tokenizer splits at it, ASCII and beyond; fixed values.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = True
+_WIDE = r"[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: Signs that never join the letters in front of them; no apostrophe, since contractions begin with one.
+_MARKS = ".,;:!?*%&#$"
+_MARKED = np.zeros(256, bool)
+_MARKED[list(_MARKS.encode())] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[0x41:0x5B] += 0x20
+_CACHE = 700_000
+FILE_IDS = 4 << 20
 INDEX = "file string, first long, step long, part int, docs long, ids long"
 
 
+def _letters(word: str) -> bool:
+    """Letters alone, in lower case too."""
+    return word.isalpha() and (word.isascii() or word.lower().isalpha())
+
+
 class _Encoder:
-    """Ids of whole texts.  Normaliser and splitter never look past white space, so each distinct token between spaces is encoded once."""
+    """Ids of whole texts.  Normaliser and splitter never look past white space, so each distinct token between spaces is encoded once.
+
+    Where a token is letters with some of ``_MARKS`` behind, the splitter parts them too.  A vocabulary whose last piece of every word is marked lets many words of
+    letters be encoded as one text and told apart again.
+    """
 
     def __init__(self, spec: str, end: int | None):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.model, self.end, self.known = Tokenizer.from_str(spec), end, {}
-
-    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids and the number for each text."""
-        tokens = [_TOKEN.findall(t) if t else [] for t in texts]
-        if len(self.known) > _CACHE:
-            self.known.clear()
-        new = list(dict.fromkeys(w for own in tokens for w in own if w not in self.known))
-        for w, e in zip(new, self.model.encode_batch(new, add_special_tokens=False), strict=True):
-            self.known[w] = e.ids
-        tail = [] if self.end is None else [self.end]
-        ids = [[i for w in own for i in self.known[w]] + tail for own in tokens]
-        return np.fromiter((i for x in ids for i in x), np.uint32), np.array([len(x) for x in ids], np.int64)
+        suffix = getattr(self.model.model, "end_of_word_suffix", None)
+        self.last = np.zeros(self.model.get_vocab_size(), bool)
+        if suffix:
+            self.last[[i for t, i in self.model.get_vocab().items() if t.endswith(suffix)]] = True
+
+    def _learn(self, parts: set[str]) -> None:
+        words = [p for p in parts if _letters(p)] if self.last.any() else []
+        for a in range(0, len(words), 500):
+            own = words[a : a + 500]
+            ids = np.array(self.model.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(own) and ends[-1] == len(ids):
+                raw, at = ids.tobytes(), 0
+                for w, e in zip(own, (4 * ends).tolist(), strict=True):
+                    self.known[w] = raw[at:e]
+                    at = e
+        rest = [p for p in parts if p not in self.known]
+        for a in range(0, len(rest), 2000):  # the library's result objects are large
+            for w, e in zip(rest[a : a + 2000], self.model.encode_batch_fast(rest[a : a + 2000], add_special_tokens=False), strict=True):
+                self.known[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _ids(self, tokens: list[str]) -> list[bytes]:
+        known = self.known
+        if len(known) > _CACHE:
+            known.clear()
+        new = set(tokens).difference(known)
+        parts: dict[str, tuple[str, str]] = {}
+        for w in [w for w in new if not (w.isascii() and w.isalpha())]:
+            stem = w.rstrip(_MARKS)
+            parts[w] = (stem, w[len(stem) :]) if stem != w and _letters(stem) else (w, "")
+            new.update(parts[w])
+        self._learn(new.difference(known, parts, ("",)).union(a for w, (a, b) in parts.items() if not b))
+        known.update({w: known[a] + known[b] for w, (a, b) in parts.items() if b})
+        return [known[w] for w in tokens]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids and the number for each text; the tokens' places are found for a whole array at once."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        wide = pc.match_substring_regex(texts, _WIDE)
+        if pc.any(wide).as_py():
+            texts = pc.if_else(wide, pc.replace_substring_regex(texts, _WIDE, " "), texts)
+        offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if len(texts) and offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        inside = ~_SPACE[data]
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = True
+        before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        before[1:], after[:-1] = inside[:-1], inside[1:]
+        starts = np.flatnonzero(inside & (~before | edge[:-1]))
+        ends = np.flatnonzero(inside & (~after | edge[1:])) + 1
+        # ASCII letters with marks behind are parted here; elsewhere words are looked at one by one
+        stop = np.maximum.accumulate(np.where(_MARKED[data], -1, np.arange(len(data))))[ends - 1] + 1 if len(ends) else ends
+        letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
+        cut = stop[(stop > starts) & (stop < ends) & (letters[np.maximum(stop, starts)] - letters[starts] == stop - starts)]
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
+        if b"<|" not in data.tobytes():  # special tokens are told apart by case
+            data = _LOWER[data]
+        tokens, place = distinct_slices(data, starts, ends)
+        coded = self._ids([t.decode() for t in tokens])
+        size = np.array([len(c) // 4 for c in coded], np.int64)
+        flat = np.frombuffer(b"".join(coded), "<u4")
+        ids = take(flat, (np.cumsum(size) - size)[place], size[place])
+        bounds = np.concatenate([[0], np.cumsum(size[place])])[np.searchsorted(starts, offsets)]
+        counts = np.diff(bounds)
+        if self.end is None:
+            return ids, counts
+        ends = np.cumsum(counts + 1)
+        out = np.empty(len(ids) + len(counts), "<u4")
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[ends - 1] = self.end
+        out[inner] = ids
+        return out, counts + 1
+
+
+_encoders: dict[tuple[int, int | None], _Encoder] = {}
+
+
+def _encoder(spec: str, end: int | None) -> _Encoder:
+    """One encoder for all tasks of a worker, so that what it knows stays."""
+    key = (zlib.crc32(spec.encode()), end)
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = _Encoder(spec, end)
+    return _encoders[key]
 
 
 def pack(doc_ids: np.ndarray, nulls: int, counts: np.ndarray, ids: np.ndarray) -> bytes:
@@ -88,7 +185,7 @@ def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
     def write(batches):
         from pyspark import TaskContext
 
-        encoder, part, step = _Encoder(spec, end), TaskContext.get().partitionId(), 0
+        encoder, part, step = _encoder(spec, end), TaskContext.get().partitionId(), 0
         docs, counts, ids, size = [], [], [], 0
 
         def close():
@@ -102,9 +199,9 @@ def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
             return row
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                own = batch.slice(a, 500)
-                x, n = encoder.encode(own[text].to_pylist())
+            for a in range(0, batch.num_rows, 2000):
+                own = batch.slice(a, 2000)
+                x, n = encoder.encode(own[text])
                 docs += own[ident].cast(pa.int64()).to_pylist()
                 counts.append(n)
                 ids.append(x)
@@ -136,22 +233,18 @@ def _read(batches):
     for batch in batches:
         for row in batch.to_pylist():
             f = TokenFile(read(row["file"]))
-            for a in range(0, f.docs, 2000):
-                b = min(a + 2000, f.docs)
+            for a in range(0, f.docs, 1000):
+                b = min(a + 1000, f.docs)
                 bounds = f.bounds.select(a, b + 1).astype(np.int64)
-                ids = f.ids[bounds[0] : bounds[-1]].astype(np.int32)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "doc_id": pa.array(f.doc_ids(a, b), pa.int64()),
-                        "start": pa.array(bounds[:-1] + row["before"], pa.int64()),
-                        "ids": pa.ListArray.from_arrays(pa.array((bounds - bounds[0]).astype(np.int32)), pa.array(ids)),
-                    }
-                )
+                ids = f.ids[bounds[0] : bounds[-1]].astype("<u4")
+                offsets = pa.py_buffer((4 * (bounds - bounds[0])).astype(np.int32))
+                coded = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, offsets, pa.py_buffer(ids)])
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(f.doc_ids(a, b), pa.int64()), "start": pa.array(bounds[:-1] + row["before"], pa.int64()), "n_tokens": pa.array(np.diff(bounds)), "ids": coded})
 
 
 def read_token_files(index: DataFrame) -> DataFrame:
-    """Documents of an index's files: doc_id, start (ids of all documents before), ids (array of int)."""
+    """Documents of an index's files: doc_id, start (ids of all documents before), n_tokens, ids (binary: unsigned 32-bit little-endian integers)."""
     order = Window.orderBy("part", "step").rowsBetween(Window.unboundedPreceding, -1)
     files = index.withColumn("before", F.coalesce(F.sum("ids").over(order), F.lit(0)))
     n = max(1, index.count())
-    return files.repartition(n, "file").mapInArrow(_read, "doc_id long, start long, ids array<int>")
+    return files.repartition(n, "file").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
