@@ -65,9 +65,9 @@ class _Encoder:
         if suffix:
             self.last[[i for t, i in self.model.get_vocab().items() if t.endswith(suffix)]] = True
 
-    def _learn(self, parts: set[str]) -> None:
-        words = [p for p in parts if _letters(p)] if self.last.any() else []
-        for a in range(0, len(words), 500):
+    def _learn(self, words: list[str], others: set[str]) -> None:
+        """Encode words of letters alone, and others."""
+        for a in range(0, len(words) if self.last.any() else 0, 500):
             own = words[a : a + 500]
             ids = np.array(self.model.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
@@ -76,7 +76,7 @@ class _Encoder:
                 for w, e in zip(own, (4 * ends).tolist(), strict=True):
                     self.known[w] = raw[at:e]
                     at = e
-        rest = [p for p in parts if p not in self.known]
+        rest = [p for p in (*words, *others) if p not in self.known]
         for a in range(0, len(rest), 2000):  # the library's result objects are large
             for w, e in zip(rest[a : a + 2000], self.model.encode_batch_fast(rest[a : a + 2000], add_special_tokens=False), strict=True):
                 self.known[w] = np.array(e.ids, "<u4").tobytes()
@@ -86,13 +86,19 @@ class _Encoder:
         if len(known) > _CACHE:
             known.clear()
         new = set(tokens).difference(known)
-        parts: dict[str, tuple[str, str]] = {}
-        for w in [w for w in new if not (w.isascii() and w.isalpha())]:
+        words = {w for w in new if w.isascii() and w.isalpha()}
+        parts, rest = {}, set()
+        for w in new.difference(words):
             stem = w.rstrip(_MARKS)
-            parts[w] = (stem, w[len(stem) :]) if stem != w and _letters(stem) else (w, "")
-            new.update(parts[w])
-        self._learn(new.difference(known, parts, ("",)).union(a for w, (a, b) in parts.items() if not b))
-        known.update({w: known[a] + known[b] for w, (a, b) in parts.items() if b})
+            if not _letters(stem):
+                rest.add(w)
+                continue
+            words.add(stem)
+            if stem != w:
+                parts[w] = (stem, w[len(stem) :])
+                rest.add(w[len(stem) :])
+        self._learn(list(words.difference(known)), rest.difference(known))
+        known.update({w: known[a] + known[b] for w, (a, b) in parts.items()})
         return [known[w] for w in tokens]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
