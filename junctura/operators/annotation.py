@@ -94,6 +94,24 @@ def insert_in_tag(tag, up, me):
     return F.concat(F.substr(tag, F.lit(1), up.cast("int")), me, F.substr(tag, (up + 1).cast("int")))
 
 
+def annotated_mes(exons: DataFrame, genome: DataFrame, found: DataFrame, max_len: int) -> DataFrame:
+    """Annotated exons of at most ``max_len`` between AG and GT, as their strand reads them, but those ``found`` has; ``genome`` is (chrom, seq)."""
+    place = ["chrom", "strand", "start", "end"]
+    short = exons.where((F.col("end") - F.col("start") <= max_len) & (F.col("start") >= 2)).select(*place).distinct().join(found.select(*place).distinct(), place, "left_anti")
+    beside = F.concat(S.slice_seq(F.col("seq"), F.col("start") - 2, F.col("start")), S.slice_seq(F.col("seq"), F.col("end"), F.col("end") + 2))
+    return short.join(genome, "chrom").where(S.stranded(beside, F.col("strand")) == "AGGT").select(*place)
+
+
+def tags_of(mes: DataFrame, tags: DataFrame) -> DataFrame:
+    """Each microexon with the tags of its junctions (comma list ``total_sjs``); a junction without a tag is left out."""
+    return mes.select("me", F.explode(F.split("total_sjs", ",")).alias("sj")).join(tags, "sj")
+
+
+def flank_pairs(gaps: DataFrame, ups: DataFrame, downs: DataFrame) -> DataFrame:
+    """Introns with the flank known at their start (chrom, at, up) and at their end (chrom, at, down)."""
+    return gaps.join(ups.withColumnRenamed("at", "start"), ["chrom", "start"]).join(downs.withColumnRenamed("at", "end"), ["chrom", "end"])
+
+
 def learn_matrix(windows: DataFrame) -> DataFrame:
     """Nucleotide shares by position of equally long windows (column ``seq``): (pos, A, C, G, T)."""
     at = windows.select(F.posexplode(F.split("seq", "")).alias("pos", "nt"))

@@ -29,21 +29,21 @@ def tag_counts(reads: DataFrame, anchor: int = ANCHOR) -> DataFrame:
     return reads.groupBy("tag").agg(F.count("*").alias("reads"), F.count_if(up).alias("up_reads"), F.count_if(down).alias("down_reads"), F.countDistinct(F.when(up | down, F.col("seq"))).alias("distinct_seqs"))
 
 
+def with_counts(me_sjs: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows (me, sj, me_tag) with the reads of both tags; absent counts are 0."""
+    named = lambda key, out: counts.select(F.col("tag").alias(key), F.col("reads").alias(out))
+    return me_sjs.join(named("sj", "sj_reads"), "sj", "left").join(named("me_tag", "me_reads"), "me_tag", "left").na.fill(0, ["sj_reads", "me_reads"])
+
+
 def me_sums(me_sjs: DataFrame, counts: DataFrame) -> DataFrame:
     """Per microexon the coverage of its junctions with and without it: rows (me, sj, me_tag) against counts (tag, reads); absent counts are 0."""
-    named = lambda key, out: counts.select(F.col("tag").alias(key), F.col("reads").alias(out))
-    d = me_sjs.join(named("sj", "sj_reads"), "sj", "left").join(named("me_tag", "me_reads"), "me_tag", "left").na.fill(0, ["sj_reads", "me_reads"])
+    d = with_counts(me_sjs, counts)
     listed = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("sj", c))), lambda x: x[c].cast("string")), ",")
     return d.groupBy("me").agg(F.array_join(F.array_sort(F.collect_list("sj")), ",").alias("total_sjs"), listed("me_reads").alias("me_coverages"), F.sum("me_reads").alias("sum_me"), listed("sj_reads").alias("sj_coverages"), F.sum("sj_reads").alias("sum_sj"))
 
 
-def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len: int) -> DataFrame:
-    """Coverage of exons that share a boundary with a microexon.
-
-    ``mes`` (me, chrom, strand, start, end), ``exons`` (chrom, strand, start, end), ``gaps`` (chrom, start, end, n): intron counts.  An exon's coverage sums the
-    introns that end at its start or start at its end; a microexon's total sums distinct (boundary, intron) counts.  Boundaries have no strand, as
-    introns are keyed by place.  Returns (me, kind, exons, total) with kind alt5 or alt3.
-    """
+def boundary_partners(mes: DataFrame, exons: DataFrame, me_len: int) -> DataFrame:
+    """Longer exons (me, chrom, e_start, e_end, kind) that begin or end where a microexon does, by strand; kind is alt5 or alt3."""
     e = exons.where(F.col("end") - F.col("start") > me_len).select("chrom", "strand", F.col("start").alias("e_start"), F.col("end").alias("e_end")).distinct()
     five = lambda s, a, b: F.when(F.col(s) == "-", F.col(b)).otherwise(F.col(a))
     sides = []
@@ -51,10 +51,25 @@ def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len:
         m = mes.withColumn("at", five("strand", *mine))
         x = e.withColumn("at", five("strand", *theirs))
         sides.append(m.join(x.drop("strand"), ["chrom", "at"]).where("not (e_start = start and e_end = end)").select("me", "chrom", "e_start", "e_end", F.lit(kind).alias("kind")))
-    both = sides[0].unionByName(sides[1]).distinct()
+    return sides[0].unionByName(sides[1]).distinct()
+
+
+def adjacent_introns(both: DataFrame, gaps: DataFrame) -> DataFrame:
+    """Introns that end at a partner's start or start at its end, with their counts: (me, kind, e_start, e_end, intron, n)."""
     left = both.join(gaps.select("chrom", F.col("end").alias("e_start"), F.col("start").alias("other"), "n"), ["chrom", "e_start"]).select("me", "kind", "e_start", "e_end", F.concat_ws("|", F.lit("L"), "e_start", "other").alias("intron"), "n")
     right = both.join(gaps.select("chrom", F.col("start").alias("e_end"), F.col("end").alias("other"), "n"), ["chrom", "e_end"]).select("me", "kind", "e_start", "e_end", F.concat_ws("|", F.lit("R"), "e_end", "other").alias("intron"), "n")
-    hit = left.unionByName(right)
+    return left.unionByName(right)
+
+
+def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len: int) -> DataFrame:
+    """Coverage of exons that share a boundary with a microexon.
+
+    ``mes`` (me, chrom, strand, start, end), ``exons`` (chrom, strand, start, end), ``gaps`` (chrom, start, end, n): intron counts.  An exon's coverage sums the
+    introns that end at its start or start at its end; a microexon's total sums distinct (boundary, intron) counts.  Boundaries have no strand, as
+    introns are keyed by place.  Returns (me, kind, exons, total) with kind alt5 or alt3.
+    """
+    both = boundary_partners(mes, exons, me_len)
+    hit = adjacent_introns(both, gaps)
     by_exon = both.join(hit.groupBy("me", "kind", "e_start", "e_end").agg(F.sum("n").alias("cov")), ["me", "kind", "e_start", "e_end"], "left").na.fill(0, ["cov"])
     listed = by_exon.groupBy("me", "kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("e_start", "e_end", "cov"))), lambda x: F.concat_ws(":", x["e_start"].cast("string"), x["e_end"].cast("string"), x["cov"].cast("string"))), ",").alias("exons"))
     totals = hit.select("me", "kind", "intron", "n").distinct().groupBy("me", "kind").agg(F.sum("n").alias("total"))
@@ -74,6 +89,12 @@ def psi(cov: DataFrame, least: int) -> DataFrame:
     return d.withColumn("ci", ci).select(*cov.columns, "psi", F.col("ci.lo").alias("ci_lo"), F.col("ci.hi").alias("ci_hi"))
 
 
+def mates(cov: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Both samples of each pair side by side, where both have the microexon."""
+    other = cov.select(F.col("sample").alias("pair2"), "me", F.col("inc").alias("mate_inc"), F.col("skip").alias("mate_skip"))
+    return cov.withColumnRenamed("sample", "pair1").join(pairs, "pair1").join(other, ["pair2", "me"])
+
+
 def pair_samples(cov: DataFrame, pairs: DataFrame) -> DataFrame:
     """Paired samples summed under the first name; a missing mate counts 0, samples outside the pairs stay."""
     named = pairs.select(F.col("pair2").alias("sample"), F.col("pair1").alias("first"))

@@ -48,6 +48,22 @@ def significant(stats: DataFrame, cdf_t: float, min_delta: float, min_p: float,
     return d.withColumn("diff", F.coalesce((F.abs("delta_mean") >= min_delta) & (F.col("cdf") < 0.05) & (F.col("p_mean") >= min_p) & ~F.col("type").isin("TE", "TS") & (F.col("number") > min_rep), F.lit(False)))
 
 
+def targets(diff: DataFrame) -> DataFrame:
+    """The places to look at: distinct (gene, coord) of nodes that differ."""
+    return diff.where("diff").select("gene", "coord").distinct()
+
+
+def named_clusters(comparisons: DataFrame) -> DataFrame:
+    """One row for each cluster that a comparison's side names."""
+    return comparisons.withColumn("cluster", F.explode(F.split("clusters", ","))).withColumn("cluster", F.trim("cluster"))
+
+
+def side_files(comparisons: DataFrame, cells: DataFrame) -> DataFrame:
+    """The files of each comparison's sides as a comma list."""
+    d = named_clusters(comparisons).join(cells, "cluster").groupBy("comparison", "side").agg(F.array_sort(F.collect_list("file")).alias("f"))
+    return d.select("comparison", "side", F.array_join(F.transform("f", lambda x: x.cast("string")), ",").alias("files"))
+
+
 def cluster_files(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_list("file")), ",").alias("files"), F.count("*").alias("n"))
 
@@ -57,8 +73,7 @@ def pools(comparisons: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
 
     ``comparisons``: (comparison, side, clusters comma list, n_pools, repeats).  The order is a hash of seed, repeat and file, so it needs no generator state.
     """
-    d = comparisons.withColumn("cluster", F.explode(F.split("clusters", ","))).withColumn("rep", F.explode(F.sequence(F.lit(1), "repeats")))
-    d = d.withColumn("cluster", F.trim("cluster")).join(cells, "cluster")
+    d = named_clusters(comparisons).withColumn("rep", F.explode(F.sequence(F.lit(1), "repeats"))).join(cells, "cluster")
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("rep").cast("string"), F.col("file").cast("string")))
     place = F.row_number().over(Window.partitionBy("comparison", "side", "rep").orderBy(key, "file")) - 1
     return d.withColumn("pool", (F.pmod(place, F.col("n_pools")) + 1).cast("int")).select("comparison", "side", "rep", "pool", "file")
@@ -66,7 +81,7 @@ def pools(comparisons: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
 
 def missing_clusters(comparisons: DataFrame, cells: DataFrame) -> DataFrame:
     """Clusters that comparisons name and no cell has."""
-    named = comparisons.select("comparison", F.explode(F.split("clusters", ",")).alias("cluster")).withColumn("cluster", F.trim("cluster"))
+    named = named_clusters(comparisons).select("comparison", "cluster")
     return named.join(cells.select("cluster"), "cluster", "left_anti").distinct()
 
 

@@ -40,6 +40,11 @@ def reanchor(found, up, ins_at, seq):
     return F.coalesce(F.nullif(moved, F.lit("")), found)
 
 
+def introns_per_read(hits: DataFrame, read: str = "read", intron: str = "intron") -> DataFrame:
+    """Number of distinct introns that each read's hits name."""
+    return hits.groupBy(read).agg(F.countDistinct(intron).alias("introns"))
+
+
 def unique_intron(hits: DataFrame, read: str = "read", intron: str = "intron") -> DataFrame:
     """Reads whose hits name one intron."""
     one = hits.groupBy(read).agg(F.min(intron).alias("lo"), F.max(intron).alias("hi")).where("lo = hi").select(read)
@@ -82,6 +87,12 @@ def coverage(reads: DataFrame, key: list[str]) -> DataFrame:
     return reads.groupBy(*key).agg(F.countDistinct("seq").alias("coverage"))
 
 
+def sharing(pairs: DataFrame, key: str, item: str) -> DataFrame:
+    """Pairs of keys (k < other) that share an item, with the number of items."""
+    d = pairs.select(F.col(key).alias("k"), F.col(item).alias("i")).distinct()
+    return d.join(d.withColumnRenamed("k", "other"), "i").where("k < other").groupBy("k", "other").agg(F.count("*").alias("shared"))
+
+
 def neighbour_sets(pairs: DataFrame, key: str, item: str) -> DataFrame:
     """For each key the keys that share an item with it, as a sorted list; equal lists once."""
     d = pairs.select(F.col(key).alias("k"), F.col(item).alias("i")).distinct()

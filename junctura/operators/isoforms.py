@@ -20,6 +20,15 @@ def ranked_mes(mes: DataFrame, boundary: str) -> DataFrame:
     return mes.withColumn("rank", F.row_number().over(Window.partitionBy("chrom", "strand", boundary).orderBy("me", "sj_start", "sj_end")))
 
 
+def mes_of_introns(gaps: DataFrame, mes: DataFrame) -> DataFrame:
+    """Introns with the primary microexon of a junction that starts where they do, and of one that ends there (column ``by``)."""
+    out = []
+    for sj, mine in (("sj_start", "start"), ("sj_end", "end")):
+        first = ranked_mes(mes, sj).where("rank = 1").select("chrom", "strand", F.col(sj).alias(mine), "me")
+        out.append(gaps.join(first, ["chrom", "strand", mine]).select(*gaps.columns, "me", F.lit(mine).alias("by")))
+    return out[0].unionByName(out[1])
+
+
 def strip_version(ident):
     return F.regexp_replace(ident, r"\.\d+$", "")
 
