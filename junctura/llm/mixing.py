@@ -33,10 +33,15 @@ def cells(docs: DataFrame, topic: Column, text: str = "text", source: str = "sou
     return docs.withColumns({"m_source": some(F.col(source)), "m_lang": some(F.col(lang)), "m_topic": some(topic), "m_tokens": tokens(F.col(text))})
 
 
+def _scalar(table: DataFrame, of: Column) -> Column:
+    """One number of a whole table as a literal; null for an empty one."""
+    return F.lit(table.agg(of).first()[0]).cast("double")
+
+
 def tempered(table: DataFrame, margin: str, power: float) -> DataFrame:
     """Target shares in proportion to a power of the tokens: (key, target)."""
     by = table.groupBy(margin).agg(F.sum("tokens").alias("n")).where("n > 0").select(F.col(margin).alias("key"), F.pow("n", F.lit(power)).alias("w"))
-    return by.crossJoin(F.broadcast(by.agg(F.sum("w").alias("all")))).select("key", (F.col("w") / F.col("all")).alias("target"))
+    return by.select("key", (F.col("w") / _scalar(by, F.sum("w"))).alias("target"))
 
 
 def rake(table: DataFrame, targets: dict[str, DataFrame], rounds: int, scratch: Scratch, tolerance: float = 1e-9) -> DataFrame:
@@ -48,8 +53,7 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], rounds: int, scratch:
     factors = {}
     for m, t in targets.items():
         held = table.where("tokens > 0").select(F.col(m).alias("key")).distinct().join(t, "key")
-        total = held.agg(F.sum("target").alias("all"))
-        shares = held.crossJoin(F.broadcast(total)).select("key", (F.col("target") / F.col("all")).alias("target"), F.lit(1.0).alias("f"))
+        shares = held.select("key", (F.col("target") / _scalar(held, F.sum("target"))).alias("target"), F.lit(1.0).alias("f"))
         factors[m] = scratch.write(shares.coalesce(1), f"{m}-0")
 
     def weighed(names) -> DataFrame:
@@ -96,8 +100,8 @@ def mix(docs: DataFrame, topic: Column | None = None, powers: tuple[float, float
     table = scratch.write(dealt.groupBy(*margins).agg(F.sum("m_tokens").alias("tokens")), "cells")
     targets = {m: (targets or {}).get(m) or tempered(table, m, p) for m, p in zip(margins, powers, strict=True)}
     raked = rake(table, targets, rounds, scratch)
-    top = raked.where("tokens > 0").agg(F.max("factor").alias("top"))
-    rates = raked.crossJoin(F.broadcast(top)).select(*margins, "factor", F.when(F.col("tokens") > 0, F.col("factor") / F.col("top")).otherwise(1.0).alias("rate"))
+    top = _scalar(raked.where("tokens > 0"), F.max("factor"))
+    rates = raked.select(*margins, "factor", F.when(F.col("tokens") > 0, F.col("factor") / top).otherwise(1.0).alias("rate"))
     out = dealt.join(scratch.write(rates, "rates"), margins)
     out = out.withColumn("probability", F.when(F.col("m_tokens") > 0, F.col("rate")).otherwise(1.0)).drop("rate")
     return out.withColumn("sampled", uniform(F.col(ident), seed) < F.col("probability")).select(*docs.columns, *made)
