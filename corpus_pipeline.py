@@ -21,16 +21,21 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rules nor the learned list rejects; a document without id is judged like any other."""
-    verdict = judge(docs.select("doc_id", "text"), learn(docs, q.table(spark, sf_dir, "labels"))).where("not kept")
-    gone = verdict.where("doc_id is not null").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Rows that neither the base rules nor the learned list rejects, each judged by its own text, whatever its id."""
+    # the whole row stands for its id, so that the verdict needs no join
+    rows = docs.select(F.struct(*COLUMNS).alias("row"), "text")
+    return judge(rows, learn(docs, q.table(spark, sf_dir, "labels")), "row").where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of similar ones, that with the smallest id."""
-    gone = similar_components(docs.select("doc_id", "text")).where("id <> component").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each component of similar ones, that with the smallest id; a null id is never the smallest."""
+    # ids may be null or occur twice: each row has a number of its own, and equal ids go by a digest of the row
+    numbered = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("digest"), F.monotonically_increasing_id().alias("row"))
+    numbered = Scratch(spark, "numbered").write(numbered, "rows")
+    found = similar_components(numbered.select("row", "text"), "row").select(F.col("id").alias("row"), "component")
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest", "row")
+    stay = found.join(numbered.select("row", "doc_id", "digest"), "row").groupBy("component").agg(F.min(order).alias("first")).select("first.row")
+    return numbered.join(stay, "row", "left_semi").select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -44,3 +44,31 @@ def test_stages(spark, planted, tmp_path):
 
 def test_run(spark, planted):
     assert p.run(spark, planted[0]).count() > 100
+
+
+WORDS = [" ".join(f"{x}{i}" for i in range(60)) for x in "abcdef"]
+ROW = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def rows_of(spark, tmp_path, stage, pairs):
+    """(id, text) of the rows that a stage leaves, sorted."""
+    pq.write_table(pa.table({"doc_id": [1], "quality": pa.array([1], pa.int32()), "toxic": pa.array([0], pa.int32())}), tmp_path / "labels.parquet")
+    spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in pairs], ROW).write.parquet(str(tmp_path / "docs"))
+    out = stage(spark, spark.read.parquet(str(tmp_path / "docs")), str(tmp_path))
+    assert out.columns == p.COLUMNS
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_quality_judges_rows(spark, tmp_path):
+    a, b, c, *_ = WORDS
+    bad = [(None, "too short"), (None, None), (2, "one two three four five " * 9), (3, None)]
+    good = [(None, a), (1, b), (2, b), (2, c), (4, a), (4, a)]
+    assert rows_of(spark, tmp_path, p.quality, bad + good) == sorted(good, key=str)
+
+
+def test_near_duplicates_drops_rows(spark, tmp_path):
+    a, b, c, d, e, f = WORDS
+    near = a.rsplit(" ", 1)[0] + " changed"
+    gone = [(9, a), (None, near), (3, b), (3, b), (None, c), (None, c)]
+    stay = [(1, a), (9, d), (3, b), (None, c), (None, e), (None, f), (5, ""), (5, ""), (None, None)]
+    assert rows_of(spark, tmp_path, p.near_duplicates, gone + stay) == sorted(stay, key=str)
