@@ -26,10 +26,10 @@ def normalised(text: Column) -> Column:
 
 
 def parse_quotes(messages: DataFrame) -> DataFrame:
-    """Each message with ``own`` (its text without quotes and attribution lines) and ``parts``: (level, key) of its passages.
+    """Each message with ``own`` (its text without quotes and attribution lines) and ``parts``: (level, key, short) of its passages.
 
-    Own passages have level 0.  A passage is a whole run of lines of one level, a paragraph or a line; its key hashes the normalised text.
-    Passages shorter than ten characters have no key.
+    Own passages have level 0.  A passage is a whole run of lines of one level, a paragraph or a line; its key hashes the normalised text, and only
+    a blank one has none.  ``short`` marks a line of less than ten characters that is neither a run nor a paragraph.
     """
     lines = F.split(F.translate(F.coalesce("text", F.lit("")), "\x1e\x1f", "  "), "\r?\n")
     d = messages.withColumn("lines", F.transform(lines, lambda x: F.struct(quote_level(x).alias("level"), F.regexp_replace(x, _PREFIX, "").alias("line"))))
@@ -43,20 +43,24 @@ def parse_quotes(messages: DataFrame) -> DataFrame:
     marked = F.array_join(F.transform("lines", lambda x, i: F.concat(F.when(new(x, i), F.concat(F.lit("\x1e"), x["level"].cast("string"), F.lit("\x1f"))).otherwise("\n"), x["line"])), "")
     d = d.withColumn("runs", F.filter(F.split(marked, "\x1e"), lambda r: r != "")).drop("lines")
     level = lambda r: F.substring_index(r, "\x1f", 1).cast("int")
-    pieces = lambda r: F.array_union(F.array(F.substring_index(r, "\x1f", -1)), F.array_union(F.split(F.substring_index(r, "\x1f", -1), r"\n\s*\n"), F.split(F.substring_index(r, "\x1f", -1), "\n")))
-    keyed = F.flatten(F.transform(F.filter("runs", lambda r: level(r) >= 0), lambda r: F.transform(pieces(r), lambda p: F.struct(level(r).alias("level"), normalised(p).alias("p")))))
-    parts = F.transform(F.filter(keyed, lambda x: F.length(x["p"]) >= 10), lambda x: F.struct(x["level"].alias("level"), F.sha2(x["p"], 256).alias("key")))
+    text = lambda r: F.substring_index(r, "\x1f", -1)
+    wide = lambda r: F.array_union(F.array(text(r)), F.split(text(r), r"\n\s*\n"))
+    named = lambda r, of, line: F.transform(of, lambda p: F.struct(level(r).alias("level"), normalised(p).alias("p"), F.lit(line).alias("line")))
+    # lines that are a run or a paragraph are there already
+    pieces = lambda r: F.concat(named(r, wide(r), False), named(r, F.array_except(F.split(text(r), "\n"), wide(r)), True))
+    keyed = F.flatten(F.transform(F.filter("runs", lambda r: level(r) >= 0), pieces))
+    parts = F.transform(F.filter(keyed, lambda x: x["p"] != ""), lambda x: F.struct(x["level"].alias("level"), F.sha2(x["p"], 256).alias("key"), (x["line"] & (F.length(x["p"]) < 10)).alias("short")))
     return d.withColumn("parts", F.array_distinct(parts)).drop("runs")
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, level, origin, hits): the earlier messages whose own passages a message quotes, by level."""
-    parts = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode("parts").alias("p")).select("conv_id", "turn", "p.level", "p.key")
+    """(conv_id, turn, level, origin, hits, short): the earlier messages whose own passages a message quotes, by level; ``short`` if by short lines only."""
+    parts = messages.where("conv_id is not null and turn is not null").select("conv_id", "turn", F.explode("parts").alias("p")).select("conv_id", "turn", "p.level", "p.key", "p.short")
     firsts = parts.where("level = 0").groupBy("conv_id", "key").agg(F.min("turn").alias("origin"))
-    quoted = parts.where("level > 0").distinct().withColumn("salt", F.pmod("turn", F.lit(_SALTS)).cast("int"))
+    quoted = parts.where("level > 0").groupBy("conv_id", "turn", "level", "key").agg(F.min("short").alias("short")).withColumn("salt", F.pmod("turn", F.lit(_SALTS)).cast("int"))
     firsts = firsts.join(quoted.select("conv_id", "key").distinct(), ["conv_id", "key"], "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
     hit = quoted.join(firsts, ["conv_id", "key", "salt"]).where("origin < turn")
-    return hit.groupBy("conv_id", "turn", "level", "origin").agg(F.count("*").alias("hits"))
+    return hit.groupBy("conv_id", "turn", "level", "origin").agg(F.count("*").alias("hits"), F.min("short").alias("short"))
 
 
 def reply_order(replies: DataFrame, scratch: Scratch) -> DataFrame:
@@ -76,14 +80,15 @@ def reply_order(replies: DataFrame, scratch: Scratch) -> DataFrame:
 def build_conversations(messages: DataFrame) -> DataFrame:
     """Conversations (conv_id, turn, role, text) in reply order: each row with ``own`` text, ``reply_to``, ``thread``, ``depth``, ``n_quotes``.
 
-    A message replies to the latest of the messages that its least nested linked quotes come from; without a linked quote it begins a thread.
+    A message replies to the latest of the messages that its least nested linked quotes come from; without a linked quote it begins a thread.  Single
+    lines of less than ten characters count as quotes, but decide the reply only where no run, paragraph or longer line is linked.
     Rows are sorted by (conv_id, thread, turn) within ranges, so that a reply follows what it answers.  Rows that share conv_id and turn are one message for
     linking, and all are returned; rows without conv_id or turn, and null texts, have no links.  Other columns are dropped.
     """
     scratch = Scratch(messages.sparkSession, "quotes")
     parsed = scratch.write(parse_quotes(messages.select("conv_id", "turn", "role", "text")), "parsed")
     links = scratch.write(link_quotes(parsed), "links")
-    best = links.groupBy("conv_id", "turn").agg(F.min(F.struct("level", (-F.col("origin")).alias("o"))).alias("b"), F.count("*").alias("n_quotes"))
+    best = links.groupBy("conv_id", "turn").agg(F.min(F.struct("short", "level", (-F.col("origin")).alias("o"))).alias("b"), F.count("*").alias("n_quotes"))
     replies = scratch.write(best.select("conv_id", "turn", (-F.col("b.o")).alias("reply_to"), "n_quotes"), "replies")
     order = reply_order(replies, scratch).join(replies.select("conv_id", "turn", "n_quotes"), ["conv_id", "turn"])
     out = parsed.join(order, ["conv_id", "turn"], "left")

@@ -45,3 +45,32 @@ def test_levels(spark):
     assert [r[0] for r in df.select(quote_level(F.col("t"))).collect()] == [2, 3, 0, 0, 1]
     row = parse_quotes(spark.createDataFrame([("> one long line\n> another long line\nown long text",)], "text string")).first()
     assert sorted(p.level for p in row.parts) == [0, 1, 1, 1]
+
+
+def test_short_passages(spark):
+    rows = [
+        (1, 0, "user", "Yes?"),
+        (1, 1, "assistant", "> Yes?\nAgreed."),
+        (1, 2, "user", "> Agreed.\nok"),
+        (1, 3, "user", "> ok\n>\n>  \nfine"),
+        (1, 4, "user", "A line of some length\nhm"),
+        (1, 5, "user", "> hm\n> something that nobody wrote\n>> A line of some length\n>> hm\nwell"),
+        (1, 6, "user", "> nobody wrote this\n> well\n>> fine\n>> nor this here\nend"),
+        (1, 7, "user", ">\n>   \nblank"),
+    ]
+    got = {r.turn: r for r in run(spark, rows)}
+    assert {t: r.reply_to for t, r in got.items()} == {0: None, 1: 0, 2: 1, 3: 2, 4: None, 5: 4, 6: 5, 7: None}
+    assert {t: r.n_quotes for t, r in got.items()} == {0: 0, 1: 1, 2: 1, 3: 1, 4: 0, 5: 2, 6: 2, 7: 0}
+    assert got[3].thread == 0 and got[3].depth == 3
+
+
+def test_longer_passages_win(spark):
+    rows = [
+        (1, 0, "user", "A first line of mine\nno"),
+        (1, 1, "user", "yes"),
+        (1, 2, "user", "> nobody ever wrote this\n> yes\n>> A first line of mine\n>> no\nend"),
+        (1, 3, "user", "> nobody ever wrote this\n> yes\nend"),
+    ]
+    got = {r.turn: r for r in run(spark, rows)}
+    assert (got[2].reply_to, got[2].n_quotes) == (0, 2)
+    assert (got[3].reply_to, got[3].n_quotes) == (1, 1)
