@@ -59,6 +59,12 @@ def site(host: Column, labels: int = 3) -> Column:
     return F.substring_index(host, ".", -labels)
 
 
+def suffixes(host: Column) -> Column:
+    """The host and what is left of it without its first label, its first two, and so on."""
+    labels = F.split(host, r"\.")
+    return F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels) - i), "."))
+
+
 @dataclass(frozen=True)
 class Level:
     bits: int
@@ -136,11 +142,11 @@ def exact_listed(urls: DataFrame, listed: DataFrame, key: str) -> DataFrame:
 def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, ident: str = "page_id", url: str = "url") -> DataFrame:
     """``ident``, host, path, rule, verdict, listed for every URL; a rule decides, else the list of sites blocks.
 
+    A host is listed if it or any of its suffixes of whole labels is a listed key, however many labels the key has.
     A null URL, or one without ``://``, has an empty host and path and is allowed unless a rule or the list says otherwise.  Repeated rows stay.
     """
     d = pages.select(F.col(ident).alias(ident), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
-    d = d.withColumn("key", site(F.col("host")))
-    cascade = build_cascade(listed, d.select("key"))
-    d = d.withColumn("said", match_rule(rules, F.col("host"), F.col("path"))).withColumn("listed", cascade.listed(F.col("key")))
+    cascade = build_cascade(listed, d.select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key")))
+    d = d.withColumn("said", match_rule(rules, F.col("host"), F.col("path"))).withColumn("listed", F.exists(suffixes(F.col("host")), cascade.listed))
     verdict = F.coalesce(F.col("said.verdict"), F.when(F.col("listed"), "block").otherwise("allow"))
     return d.select(ident, "host", "path", F.col("said.rule").alias("rule"), verdict.alias("verdict"), "listed")

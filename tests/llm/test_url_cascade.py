@@ -54,3 +54,10 @@ def test_empty_and_large(spark):
     with pytest.raises(ValueError):
         build_cascade(spark.range(1000).select(F.col("id").cast("string").alias("key")), empty, max_bits=500)
     assert spark.range(1).select(site(F.lit("a.b.c.d")).alias("s"), match_rule([], F.lit("a"), F.lit("/")).alias("m")).first() == ("b.c.d", None)
+
+
+def test_listed_keys_of_any_length(spark):
+    hosts = {"evil.com": True, "www.evil.com": True, "a.b.evil.com": True, "xevil.com": False, "com": False, "p.q.r.s": True, "o.p.q.r.s": True, "q.r.s": False, "x.r.s": False, "zone": True, "a.zone": True, "": False}
+    listed = spark.createDataFrame([("evil.com",), ("p.q.r.s",), ("zone",)], "key string")
+    urls = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
+    assert {r.host: r.listed for r in judge_urls(urls, [], listed).collect()} == hosts
