@@ -5,7 +5,8 @@ import re
 
 import numpy as np
 
-from junctura.llm.jaccard_join import similar_components, t_occurrence
+from junctura.llm import shingles
+from junctura.llm.jaccard_join import similar_components, similar_links, t_occurrence
 
 
 def shingle_set(text, width=5):
@@ -76,7 +77,7 @@ def test_search_in_one_block():
     sets = [np.unique(np.where(r.random(len(b)) < 0.08, r.integers(0, 400, len(b)), b)).astype(np.uint64) for b in base for _ in range(12)]
     links = t_occurrence(sets, np.arange(len(sets)), np.arange(len(sets)), 80)
     want = {(i, j) for i in range(len(sets)) for j in range(len(sets)) if i != j and 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
-    assert set(links) <= want
+    assert {(a, b) for a, b, _ in links} <= want
 
     def parts(edges):
         root = list(range(len(sets)))
@@ -85,7 +86,65 @@ def test_search_in_one_block():
             root = [min(x, y) if z in (x, y) else z for z in root]
         return root
 
-    assert parts(links) == parts(want)
+    assert parts((a, b) for a, b, _ in links) == parts(want)
+    every = t_occurrence(sets, np.arange(len(sets)), np.arange(len(sets)), 80, True)
+    assert {(a, b) for a, b, _ in every} == want
+    assert all(t == len(np.intersect1d(sets[a], sets[b])) for a, b, t in every)
+    # halves that tell nothing: the other half decides
+    both = [np.stack([np.full(len(s), 5, np.uint64), s]) for s in sets]
+    assert set(t_occurrence(both, np.arange(len(sets)), np.arange(len(sets)), 80, True)) == set(every)
+
+
+def brute_links(rows):
+    sets = [shingle_set(t) for _, t in rows]
+    out = {i: 0 for i in range(len(rows))}
+    pairs = set()
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                out[i] += 1
+                out[j] += 1
+                if a != b:
+                    pairs.add(frozenset([a, b]))
+    return out, len(pairs)
+
+
+def test_every_link(spark):
+    for seed, more in ((4, {}), (5, {"block_shingles": 300, "chunk_bytes": 20000})):
+        rows = [(i, t) for i, (_, t) in enumerate(make(seed, 120))]
+        pairs, members = similar_links(spark.createDataFrame(rows, "doc_id long, text string"), **more)
+        counts, n = brute_links(rows)
+        got = pairs.collect()
+        assert len(got) == n == len({(r.u, r.v) for r in got}) and all(r.u < r.v and r.shared > 0 for r in got)
+        assert {r.id: r.links for r in members.collect()} == counts
+
+
+def test_words_of_one_structure(spark):
+    """Thue-Morse words and their complements meet in any polynomial hash modulo a power of two."""
+    t = "a"
+    while len(t) < 2048:
+        t += t.translate(str.maketrans("ab", "ba"))
+    other = t.translate(str.maketrans("ab", "ba"))
+    long = " ".join("w%d" % i for i in range(30))
+    rows = [(1, t), (2, other), (3, t + " " + long), (4, other + " " + long), (5, "x" * 15 + " " + long), (6, "x" * 16 + " " + long), (7, "x\0 " + long), (8, "x " + long)]
+    rows += [(10 + i, " ".join([t, other, t, t, other][i:] + [other] * i)) for i in range(4)]
+    assert run(spark, rows) == brute(rows)
+
+
+def test_word_codes_are_apart():
+    words = [b"", b"a", b"a\0", b"\0a", b"abcdefgh", b"abcdefghi", b"abcdefghijklmno", b"abcdefghijklmnop", b"abcdefghijklmnopq", "é".encode(), b"A"]
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    codes, doc = shingles.word_codes(data, np.array([len(data)]))
+    assert len(doc) == len(words) - 1 and len({tuple(c) for c in codes.T.tolist()}) == len(words) - 2  # A is a
+
+
+def test_long_text_and_clashing_columns(spark):
+    r = random.Random(8)
+    words = [r.choice(["w%d" % i for i in range(5000)]) for _ in range(60_000)] + ["y" * 3_000_000]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "z" * 3_000_000])), (3, "n sig id shingles cls")]
+    df = spark.createDataFrame([(i, t, 1, 2, "x") for i, t in rows], "doc_id long, text string, n int, sig int, component string")
+    assert sorted((x.id, x.n, x.component) for x in similar_components(df).collect()) == brute(rows)
 
 
 def test_empty(spark):
