@@ -51,6 +51,11 @@ def internal(exons: DataFrame) -> DataFrame:
     return d.where("before is not null and after is not null").drop("before", "after")
 
 
+def but_last(exons: DataFrame) -> DataFrame:
+    """Exons that another one of their transcript follows."""
+    return exons.withColumn("after", F.lead("start").over(_by_tx())).where("after is not null").drop("after")
+
+
 def offsets(exons: DataFrame) -> DataFrame:
     """Each exon's end within its transcript."""
     return exons.withColumn("tx_end", F.sum(F.col("end") - F.col("start")).over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)))
@@ -120,10 +125,18 @@ def learn_matrix(windows: DataFrame) -> DataFrame:
     return counts.select("pos", *(F.try_divide(F.col(x), total).alias(x) for x in "ACGT"))
 
 
+def _spliced(parts: DataFrame) -> DataFrame:
+    """Each exon beside its whole transcript ``seq``, with ``to``: the exon's end in it.  A transcript is joined once, whatever its number of exons."""
+    ends = parts.withColumn("to", F.sum(F.length("part")).over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)))
+    rest = [c for c in ends.columns if c not in ("tx", "start", "block")]
+    tx = ends.groupBy("tx").agg(F.array_sort(F.collect_list(F.struct("start", "block", *rest))).alias("e"))
+    return tx.select("tx", "e", F.array_join(F.transform("e", lambda x: x["part"]), "").alias("seq"))
+
+
 def running_flanks(exons: DataFrame, n: int = 100) -> DataFrame:
     """The last ``n`` transcript bases up to each exon's end (column ``part`` has each exon's sequence)."""
-    so_far = F.array_join(F.collect_list("part").over(_by_tx().rowsBetween(Window.unboundedPreceding, 0)), "")
-    return exons.withColumn("flank", F.right(so_far, F.lit(n)))
+    cut = lambda x: F.struct(x["block"].alias("block"), F.substr(F.col("seq"), F.greatest(x["to"] - n, F.lit(0)).cast("int") + 1, F.least(x["to"], F.lit(n)).cast("int")).alias("flank"))
+    return _spliced(exons).select("tx", F.inline(F.transform("e", cut)))
 
 
 def first_transcript(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -133,9 +146,10 @@ def first_transcript(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def me_tags(parts: DataFrame, n: int = 100) -> DataFrame:
     """Tag of each internal exon: the last ``n`` transcript bases before it, itself and the first ``n`` behind, as its strand reads them."""
-    join = lambda w: F.array_join(F.collect_list("part").over(w), "")
-    before, after = join(_by_tx().rowsBetween(Window.unboundedPreceding, -1)), join(_by_tx().rowsBetween(1, Window.unboundedFollowing))
-    ends = {"first": F.lag("start").over(_by_tx()).isNull(), "last": F.lead("start").over(_by_tx()).isNull()}
-    d = parts.withColumns({"before": before, "after": after} | ends)
-    tag = F.concat(F.right("before", F.lit(n)), "part", F.left("after", F.lit(n)))
-    return d.where(~F.col("first") & ~F.col("last")).withColumn("tag", S.stranded(tag, F.col("strand")))
+    def tag(x):
+        begin = F.greatest(x["to"] - F.length(x["part"]) - n, F.lit(0)).cast("int")
+        text = F.substr(F.col("seq"), begin + 1, (x["to"] + n - begin).cast("int"))
+        return F.struct(x["block"].alias("block"), S.stranded(text, x["strand"]).alias("tag"))
+
+    inner = F.slice("e", F.lit(2), F.greatest(F.size("e") - 2, F.lit(0)))
+    return _spliced(parts).select("tx", F.inline(F.transform(inner, tag)))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import binomial_interval
+from .annotation import but_last
 
 ANCHOR = 8
 
@@ -42,38 +43,54 @@ def me_sums(me_sjs: DataFrame, counts: DataFrame) -> DataFrame:
     return d.groupBy("me").agg(F.array_join(F.array_sort(F.collect_list("sj")), ",").alias("total_sjs"), listed("me_reads").alias("me_coverages"), F.sum("me_reads").alias("sum_me"), listed("sj_reads").alias("sj_coverages"), F.sum("sj_reads").alias("sum_sj"))
 
 
+_KINDS = ("alt3", "alt5")
+
+
+def _sides(rows: DataFrame, start: str, end: str) -> DataFrame:
+    """Two rows for each: the boundary ``at`` that counts for each ``kind``, as the row's strand reads it."""
+    left, right = F.when(F.col("strand") == "-", F.col(end)).otherwise(F.col(start)), F.when(F.col("strand") == "-", F.col(start)).otherwise(F.col(end))
+    return rows.select("*", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), at.alias("at")) for k, at in zip(_KINDS, (left, right), strict=True)))))
+
+
 def boundary_partners(mes: DataFrame, exons: DataFrame, me_len: int) -> DataFrame:
-    """Longer exons (me, chrom, e_start, e_end, kind) that begin or end where a microexon does, by strand; kind is alt5 or alt3."""
-    e = exons.where(F.col("end") - F.col("start") > me_len).select("chrom", "strand", F.col("start").alias("e_start"), F.col("end").alias("e_end")).distinct()
-    five = lambda s, a, b: F.when(F.col(s) == "-", F.col(b)).otherwise(F.col(a))
-    sides = []
-    for kind, mine, theirs in (("alt3", ("start", "end"), ("e_start", "e_end")), ("alt5", ("end", "start"), ("e_end", "e_start"))):
-        m = mes.withColumn("at", five("strand", *mine))
-        x = e.withColumn("at", five("strand", *theirs))
-        sides.append(m.join(x.drop("strand"), ["chrom", "at"]).where("not (e_start = start and e_end = end)").select("me", "chrom", "e_start", "e_end", F.lit(kind).alias("kind")))
-    return sides[0].unionByName(sides[1]).distinct()
+    """Longer exons (me, chrom, e_start, e_end, kind) that begin or end where a microexon does, by strand; kind is alt5 or alt3.
+
+    A transcript's last exon (by place) is no partner, as in the coverage table that this mirrors; an exon that another transcript has inside counts.
+    """
+    e = but_last(exons).where(F.col("end") - F.col("start") > me_len).select("chrom", "strand", F.col("start").alias("e_start"), F.col("end").alias("e_end")).distinct()
+    hit = _sides(mes, "start", "end").join(_sides(e, "e_start", "e_end").drop("strand"), ["chrom", "kind", "at"])
+    return hit.where("not (e_start = start and e_end = end)").select("me", "chrom", "e_start", "e_end", "kind")
+
+
+def _beside(both: DataFrame, gaps: DataFrame, how: str) -> DataFrame:
+    """Partners with the introns that end at their start (L) or start at their end (R): one join for both sides."""
+    at = lambda side, here, other: F.struct(F.lit(side).alias("side"), F.col(here).alias("at"), *([F.col(other).alias("other")] if other else []))
+    mine = both.select("*", F.inline(F.array(at("L", "e_start", None), at("R", "e_end", None))))
+    theirs = gaps.select("chrom", "n", F.inline(F.array(at("L", "end", "start"), at("R", "start", "end"))))
+    return mine.join(theirs, ["chrom", "side", "at"], how).select("me", "kind", "e_start", "e_end", F.when(F.col("n").isNotNull(), F.concat_ws("|", "side", "at", "other")).alias("intron"), "n")
 
 
 def adjacent_introns(both: DataFrame, gaps: DataFrame) -> DataFrame:
     """Introns that end at a partner's start or start at its end, with their counts: (me, kind, e_start, e_end, intron, n)."""
-    left = both.join(gaps.select("chrom", F.col("end").alias("e_start"), F.col("start").alias("other"), "n"), ["chrom", "e_start"]).select("me", "kind", "e_start", "e_end", F.concat_ws("|", F.lit("L"), "e_start", "other").alias("intron"), "n")
-    right = both.join(gaps.select("chrom", F.col("start").alias("e_end"), F.col("end").alias("other"), "n"), ["chrom", "e_end"]).select("me", "kind", "e_start", "e_end", F.concat_ws("|", F.lit("R"), "e_end", "other").alias("intron"), "n")
-    return left.unionByName(right)
+    return _beside(both, gaps, "inner")
 
 
 def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len: int) -> DataFrame:
     """Coverage of exons that share a boundary with a microexon.
 
-    ``mes`` (me, chrom, strand, start, end), ``exons`` (chrom, strand, start, end), ``gaps`` (chrom, start, end, n): intron counts.  An exon's coverage sums the
-    introns that end at its start or start at its end; a microexon's total sums distinct (boundary, intron) counts.  Boundaries have no strand, as
+    ``mes`` (me, chrom, strand, start, end), ``exons`` (tx, block, chrom, strand, start, end), ``gaps`` (chrom, start, end, n): intron counts.  An exon's coverage
+    sums the introns that end at its start or start at its end; a microexon's total sums distinct (boundary, intron) counts.  Boundaries have no strand, as
     introns are keyed by place.  Returns (me, kind, exons, total) with kind alt5 or alt3.
     """
-    both = boundary_partners(mes, exons, me_len)
-    hit = adjacent_introns(both, gaps)
-    by_exon = both.join(hit.groupBy("me", "kind", "e_start", "e_end").agg(F.sum("n").alias("cov")), ["me", "kind", "e_start", "e_end"], "left").na.fill(0, ["cov"])
-    listed = by_exon.groupBy("me", "kind").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("e_start", "e_end", "cov"))), lambda x: F.concat_ws(":", x["e_start"].cast("string"), x["e_end"].cast("string"), x["cov"].cast("string"))), ",").alias("exons"))
-    totals = hit.select("me", "kind", "intron", "n").distinct().groupBy("me", "kind").agg(F.sum("n").alias("total"))
-    return listed.join(totals, ["me", "kind"], "left").na.fill(0, ["total"])
+    hit = _beside(boundary_partners(mes, exons, me_len), gaps, "left")
+    # each hit counts for its exon and, once for all exons, for its intron
+    none = F.lit(None)
+    of_exon = F.struct(F.col("e_start").alias("s"), F.col("e_end").alias("e"), none.cast("string").alias("i"))
+    of_intron = F.struct(none.cast("int").alias("s"), none.cast("int").alias("e"), F.col("intron").alias("i"))
+    both = hit.select("me", "kind", "n", F.inline(F.array(of_exon, of_intron))).groupBy("me", "kind", "s", "e", "i").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cov"), F.max("n").alias("n"))
+    listed = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e", "cov"))))
+    text = F.array_join(F.transform(listed, lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"), x["cov"].cast("string"))), ",")
+    return both.groupBy("me", "kind").agg(text.alias("exons"), F.coalesce(F.sum(F.when(F.col("i").isNotNull(), F.col("n"))), F.lit(0)).alias("total"))
 
 
 def samples_passing(cov: DataFrame, least: int) -> DataFrame:

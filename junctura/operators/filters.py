@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import sequence as S
+
 
 def explode_matches(total: DataFrame) -> DataFrame:
     """(row columns, me, u2, cons) of ``total_me``: ``ME|U2|cons`` in a comma list."""
@@ -57,6 +59,18 @@ def shared_boundaries(mes: DataFrame) -> DataFrame:
     return d.join(starts, ["chrom", "strand", "start"]).join(ends, ["chrom", "strand", "end"]).select("me", (F.col("n_start") + F.col("n_end")).alias("share"))
 
 
+def intron_end_sequences(mes: DataFrame, genome: DataFrame) -> DataFrame:
+    """First and last bases (``up``, ``down``) of each junction's intron, as many as the microexon has and as its strand reads them.
+
+    ``mes`` (me, chrom, strand, sj_start, sj_end, start, end), ``genome`` (chrom, seq).  A junction that starts or ends where the microexon does is left out.
+    """
+    d = mes.where("sj_start <> start and sj_end <> end").join(genome, "chrom")
+    n = F.col("end") - F.col("start")
+    left, right = S.slice_seq(F.col("seq"), F.col("sj_start"), F.col("sj_start") + n), S.slice_seq(F.col("seq"), F.col("sj_end") - n, F.col("sj_end"))
+    minus = F.col("strand") == "-"
+    return d.select(*mes.columns, F.when(minus, S.revcomp(right)).otherwise(left).alias("up"), F.when(minus, S.revcomp(left)).otherwise(right).alias("down"))
+
+
 def route(rows: DataFrame) -> DataFrame:
     """Rows (me, up, down, share, in_intron_end) with ``balance`` and ``route``: null without reads, drop, ambiguous or high."""
     balance = F.when(F.col("up") + F.col("down") > 0, F.abs(F.col("up") - F.col("down")) / (F.col("up") + F.col("down")))

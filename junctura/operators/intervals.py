@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -24,10 +24,45 @@ def overlaps(left: DataFrame, right: DataFrame, on: list[str], width: int = 4096
     return both.where(F.col("bin") == F.floor(F.greatest("start", "r_start") / width)).drop("bin")
 
 
-def mean_value(regions: DataFrame, values: DataFrame, ident: list[str], flank: int = 2) -> DataFrame:
-    """Base-weighted mean of interval values over each region widened by ``flank``; null where nothing is known."""
+def mean_value(regions: DataFrame, values: DataFrame, ident: list[str], flank: int = 2, width: int = 128) -> DataFrame:
+    """Base-weighted mean of interval values over each region widened by ``flank``; null where nothing is known.
+
+    ``width`` is that of the join's bins, of the order of the intervals' length.
+    """
     wide = regions.select(*ident, "chrom", (F.col("start") - flank).alias("start"), (F.col("end") + flank).alias("end"))
-    hit = overlaps(wide, values.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), "value"), ["chrom"])
+    hit = overlaps(wide, values.select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"), "value"), ["chrom"], width)
     bases = F.least("end", "r_end") - F.greatest("start", "r_start")
     means = hit.withColumn("bases", bases).groupBy(*ident).agg((F.sum(F.col("value") * F.col("bases")) / F.sum("bases")).alias("mean"))
     return regions.select(*ident).distinct().join(means, ident, "left")
+
+
+def carried(rows: DataFrame, group: list[str], at: str, value: Column, agg, width: float = 1 << 14, later: bool = False) -> DataFrame:
+    """``rows`` with ``bin`` (of ``at``) and ``carried``: ``agg`` of ``value`` over all earlier bins of the group (or ``later`` ones), null where there is none.
+
+    A running aggregate over a whole chromosome is then a window over (group, bin) on top of ``carried``; only one row a bin passes the chromosome's task.
+    """
+    d = rows.withColumn("bin", F.floor(F.col(at) / width))
+    before = Window.partitionBy(*group).orderBy("bin")
+    before = before.rowsBetween(1, Window.unboundedFollowing) if later else before.rowsBetween(Window.unboundedPreceding, -1)
+    bins = d.groupBy(*group, "bin").agg(agg(value).alias("own")).withColumn("carried", agg(F.col("own")).over(before)).drop("own")
+    return d.join(bins, [*group, "bin"])
+
+
+def interpolate(points: DataFrame, at: DataFrame, group: list[str], width: float = 1.0) -> DataFrame:
+    """``at`` (group columns, x, others) with ``y`` on the line between the two points (group columns, x, y) beside it.
+
+    Points of one place are averaged; a place of a point has its value; outside the points, and for a null x, y is null.  Bins of ``width`` spread a group.
+    """
+    known = points.where("x is not null and y is not null").groupBy(*group, "x").agg(F.avg("y").alias("y")).withColumn("known", F.lit(True))
+    rows = at.drop("y").withColumn("known", F.lit(False)).unionByName(known, allowMissingColumns=True)
+    point = F.when(F.col("known"), F.struct("x", "y"))
+    d = carried(rows, group, "x", point, F.max, width).withColumnRenamed("carried", "below")
+    d = carried(d.drop("bin"), group, "x", point, F.min, width, True).withColumnRenamed("carried", "above")
+    by = Window.partitionBy(*group, "bin").orderBy("x")
+    lo = F.greatest("below", F.max(point).over(by.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
+    hi = F.least("above", F.min(point).over(by.rangeBetween(Window.currentRow, Window.unboundedFollowing)))
+    d = d.withColumns({"lo": lo, "hi": hi}).where("not known")
+    line = F.col("lo.y") + (F.col("hi.y") - F.col("lo.y")) * (F.col("x") - F.col("lo.x")) / (F.col("hi.x") - F.col("lo.x"))
+    y = F.when(F.col("lo.x") == F.col("hi.x"), F.col("lo.y")).when(F.col("lo.x").isNotNull() & F.col("hi.x").isNotNull(), line)
+    found = d.where("x is not null").withColumn("y", y).select(*at.drop("y").columns, "y")
+    return found.unionByName(at.where("x is null").drop("y").withColumn("y", F.lit(None).cast("double")))

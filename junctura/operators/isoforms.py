@@ -41,43 +41,112 @@ def with_gene(tx: DataFrame, genes: DataFrame) -> DataFrame:
     return d.join(bare, d["bare_tx"] == bare["b_tx"], "left").withColumn("gene", F.coalesce("exact", "bare")).drop("g_tx", "exact", "b_tx", "bare", "bare_tx")
 
 
-def inclusions(exons: DataFrame, mes: DataFrame) -> DataFrame:
-    """Microexons put into transcripts (tx, gene, me, start, end, chrom, strand): those not annotated, strictly inside a transcript of which an exon ends at
-    the junction's start or begins at its end; one for each gene and intron."""
-    known = exons.select("chrom", "strand", "start", "end").distinct()
-    new = mes.join(known, ["chrom", "strand", "start", "end"], "left_anti")
-    span = exons.groupBy("tx").agg(F.min("start").alias("tx_start"), F.max("end").alias("tx_end"))
-    base = exons.select("tx", "gene", "chrom", "strand", F.col("start").alias("x_start"), F.col("end").alias("x_end"))
-    a = base.join(ranked_mes(new, "sj_start").where("rank = 1").withColumn("x_end", F.col("sj_start")), ["chrom", "strand", "x_end"])
-    b = base.join(ranked_mes(new, "sj_end").where("rank = 1").withColumn("x_start", F.col("sj_end")), ["chrom", "strand", "x_start"])
+_PLACE = ["chrom", "strand", "start", "end"]
+
+
+def unannotated(exons: DataFrame, mes: DataFrame) -> DataFrame:
+    """Microexons that are no exon of the annotation."""
+    return mes.join(exons.select(*_PLACE).distinct(), _PLACE, "left_anti")
+
+
+def candidates(exons: DataFrame, mes: DataFrame) -> DataFrame:
+    """Introns of transcripts with a primary microexon of a junction that starts where they do, or of one that ends there, strictly inside the transcript.
+
+    Rows (tx, gene, chrom, strand, i_start, i_end, me, sj_start, sj_end, start, end, turn).  ``turn`` is the order in which a transcript's introns are looked at: by
+    place, and of an intron its start before its end; the end of a transcript's last intron is not looked at.
+    """
+    by = Window.partitionBy("tx").orderBy("start", "block")
+    d = exons.withColumns({"i_end": F.lead("start").over(by), "after": F.lead("start", 2).over(by), "tx_start": F.min("start").over(Window.partitionBy("tx")), "tx_end": F.max("end").over(Window.partitionBy("tx")), "k": F.row_number().over(by)})
+    gaps = d.where("i_end is not null").select("tx", "gene", "chrom", "strand", "tx_start", "tx_end", "k", "after", F.col("end").alias("i_start"), "i_end")
+    new = unannotated(exons, mes)
+    found = []
+    # an intron's end is looked at with the next exon, after that exon's own start of an intron
+    for sj, mine, turn in (("sj_start", "i_start", 2 * F.col("k")), ("sj_end", "i_end", 2 * F.col("k") + 3)):
+        g = gaps if sj == "sj_start" else gaps.where("after is not null")
+        first = ranked_mes(new, sj).where("rank = 1").drop("rank").withColumn(mine, F.col(sj))
+        found.append(g.withColumn("turn", turn).join(first, ["chrom", "strand", mine]))
+    cols = ["tx", "gene", "chrom", "strand", "i_start", "i_end", "me", "sj_start", "sj_end", "start", "end", "turn"]
+    both = found[0].where("start > tx_start and end < tx_end").select(*cols)
+    return both.unionByName(found[1].where("start > tx_start and end < tx_end").select(*cols))
+
+
+def inclusions(exons: DataFrame, mes: DataFrame, max_rounds: int = 50) -> DataFrame:
+    """Microexons put into transcripts (tx, gene, me, chrom, strand, sj_start, sj_end, start, end): one for each intron of a gene, whatever its transcripts, and
+    one place for each microexon in a transcript.
+
+    Candidates come in the order of transcripts (by id) and of their introns; the first for an intron of a gene wins it, and a candidate whose
+    microexon its transcript has already leaves its intron to later ones.  Each round accepts all candidates that no undecided earlier one can
+    bar, which gives what taking them one by one gives; rounds end when none is left (rarely more than two).
+    """
+    left = candidates(exons, mes).withColumn("turn", F.struct("tx", "turn"))
+    intron, once = Window.partitionBy("gene", "chrom", "strand", "i_start", "i_end"), Window.partitionBy("tx", "me")
     cols = ["tx", "gene", "me", "chrom", "strand", "sj_start", "sj_end", "start", "end"]
-    both = a.select(*cols).unionByName(b.select(*cols)).distinct().join(span, "tx").where("start > tx_start and end < tx_end")
-    one = Window.partitionBy("tx", "gene", "sj_start", "sj_end").orderBy("me")
-    return both.withColumn("rank", F.row_number().over(one)).where("rank = 1").select(*cols)
+    out = None
+    for _ in range(max_rounds):
+        d = left.withColumn("put", (F.min("turn").over(intron) == F.col("turn")) & (F.min("turn").over(once) == F.col("turn")))
+        d = d.withColumn("barred", F.max("put").over(intron)).withColumn("barred", F.col("barred") | F.max("put").over(once)).persist()
+        got = d.where("put").select(*cols)
+        out = got if out is None else out.unionByName(got)
+        left = d.where("not barred").drop("put", "barred")
+        if left.isEmpty():
+            return out
+    raise RuntimeError(f"undecided candidates after {max_rounds} rounds")
 
 
 def isoforms(exons: DataFrame, put: DataFrame) -> DataFrame:
-    """Exon rows (tx, gene, chrom, strand, start, end) of the new transcripts: the old exons but those that share a boundary with a microexon, and the microexons."""
-    ids = put.groupBy("tx").agg(F.concat_ws("_", F.first("tx"), F.array_join(F.transform(F.array_sort(F.collect_set("start")), lambda x: x.cast("string")), "_")).alias("new_tx"))
+    """Exon rows (tx, gene, chrom, strand, start, end) of the new transcripts: the old exons but those that share a boundary with a microexon, and the microexons.
+
+    A new transcript is named after the old one and the 1-based starts of its microexons.
+    """
+    ids = put.groupBy("tx").agg(F.concat_ws("_", F.first("tx"), F.array_join(F.transform(F.array_sort(F.collect_set("start")), lambda x: (x + 1).cast("string")), ".")).alias("new_tx"))
     bound = put.select("tx", F.col("start").alias("m_start"), F.col("end").alias("m_end"))
     old = exons.join(ids, "tx")
     old = old.join(bound.select("tx", F.col("m_start").alias("start")).distinct(), ["tx", "start"], "left_anti").join(bound.select("tx", F.col("m_end").alias("end")).distinct(), ["tx", "end"], "left_anti")
-    cols = [F.col("new_tx").alias("tx"), "gene", "chrom", "strand", "start", "end"]
+    cols = [F.col("new_tx").alias("tx"), F.col("tx").alias("of"), "gene", "chrom", "strand", "start", "end"]
     return old.select(*cols).unionByName(put.join(ids, "tx").select(*cols)).distinct()
 
 
-def secondary_isoforms(put: DataFrame, mes: DataFrame) -> DataFrame:
-    """(tx, primary, secondary, start, end): transcripts in which another microexon of the same junction start takes the primary one's place."""
-    others = ranked_mes(mes, "sj_start").where("rank > 1").select("chrom", "strand", "sj_start", F.col("me").alias("secondary"), F.col("start").alias("s_start"), F.col("end").alias("s_end"))
-    return put.join(others, ["chrom", "strand", "sj_start"]).where("secondary <> me").select("tx", F.col("me").alias("primary"), "secondary", F.col("s_start").alias("start"), F.col("s_end").alias("end"))
+def secondaries(exons: DataFrame, mes: DataFrame) -> DataFrame:
+    """(primary, secondary, start, end): unannotated microexons whose junction starts or ends where that of a primary one does, which came first there."""
+    out = []
+    for sj in ("sj_start", "sj_end"):
+        ranked = ranked_mes(unannotated(exons, mes), sj)
+        first = ranked.where("rank = 1").select("chrom", "strand", sj, F.col("me").alias("primary"))
+        out.append(ranked.where("rank > 1").join(first, ["chrom", "strand", sj]).where("me <> primary").select("primary", F.col("me").alias("secondary"), "start", "end"))
+    return out[0].unionByName(out[1]).distinct()
+
+
+def secondary_isoforms(exons: DataFrame, put: DataFrame, mes: DataFrame) -> DataFrame:
+    """Exon rows (tx, of, gene, chrom, strand, start, end, primary, secondary) of transcripts in which a secondary microexon takes a put primary one's place.
+
+    All exons and other microexons of the transcript stay.  The name is that of the transcript, the secondary's 1-based start and its end, and the primary.
+    """
+    pairs = put.select("tx", F.col("me").alias("primary")).join(secondaries(exons, mes).withColumnsRenamed({"start": "s_start", "end": "s_end"}), "primary")
+    pairs = pairs.withColumn("new_tx", F.concat_ws("_", "tx", (F.col("s_start") + 1).cast("string"), F.col("s_end").cast("string"), "primary"))
+    none = F.lit(None).cast("string")
+    whole = exons.select("tx", "gene", *_PLACE, none.alias("me")).unionByName(put.select("tx", "gene", *_PLACE, "me")).distinct()
+    swap = F.coalesce(F.col("me") == F.col("primary"), F.lit(False))
+    start, end = F.when(swap, F.col("s_start")).otherwise(F.col("start")), F.when(swap, F.col("s_end")).otherwise(F.col("end"))
+    return pairs.join(whole, "tx").select(F.col("new_tx").alias("tx"), F.col("tx").alias("of"), "gene", "chrom", "strand", start.alias("start"), end.alias("end"), "primary", "secondary")
+
+
+def new_gtf_rows(exons: DataFrame, made: DataFrame, source: str = "junctura") -> DataFrame:
+    """Transcript and exon features of new transcripts (exon rows with ``of``, the old transcript, whose extent they have)."""
+    span = exons.groupBy(F.col("tx").alias("of")).agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    t = made.select("tx", "of", "gene", "chrom", "strand").distinct().join(span, "of")
+    return _features(t, "transcript").unionByName(_features(made, "exon")).withColumn("source", F.lit(source))
+
+
+def _named(*keys):
+    return F.array_join(F.array(*(F.concat(F.lit(f'{k} "'), F.col(c), F.lit('";')) for k, c in keys)), " ")
+
+
+def _features(rows: DataFrame, feature: str) -> DataFrame:
+    return rows.select("chrom", F.lit(feature).alias("feature"), "start", "end", "strand", _named(("gene_id", "gene"), ("transcript_id", "tx")).alias("attributes"))
 
 
 def gtf_rows(exons: DataFrame, source: str = "junctura") -> DataFrame:
     """Gene, transcript and exon features of exon rows, with attributes."""
-    named = lambda *keys: F.array_join(F.array(*(F.concat(F.lit(f'{k} "'), F.col(c), F.lit('";')) for k, c in keys)), " ")
-    g = gene_extents(exons).select("chrom", F.lit("gene").alias("feature"), "start", "end", "strand", named(("gene_id", "gene")).alias("attributes"))
+    g = gene_extents(exons).select("chrom", F.lit("gene").alias("feature"), "start", "end", "strand", _named(("gene_id", "gene")).alias("attributes"))
     t = exons.groupBy("gene", "tx", "chrom", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
-    both = named(("gene_id", "gene"), ("transcript_id", "tx"))
-    t = t.select("chrom", F.lit("transcript").alias("feature"), "start", "end", "strand", both.alias("attributes"))
-    e = exons.select("chrom", F.lit("exon").alias("feature"), "start", "end", "strand", both.alias("attributes"))
-    return g.unionByName(t).unionByName(e).withColumn("source", F.lit(source))
+    return g.unionByName(_features(t, "transcript")).unionByName(_features(exons, "exon")).withColumn("source", F.lit(source))

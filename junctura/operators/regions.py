@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from .intervals import carried
 
 
 def blocks_of(reads: DataFrame) -> DataFrame:
@@ -18,7 +19,9 @@ def base_coverage(reads: DataFrame) -> DataFrame:
     b = blocks_of(reads).select("chrom", F.explode("blocks").alias("b"))
     events = b.select("chrom", F.explode(F.array(F.struct(F.col("b.start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("b.end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
     sums = events.groupBy("chrom", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
-    return sums.withColumn("depth", F.sum("d").over(Window.partitionBy("chrom").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))).where("d <> 0").drop("d")
+    here = Window.partitionBy("chrom", "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    d = carried(sums, ["chrom"], "pos", F.col("d"), F.sum)
+    return d.withColumn("depth", F.coalesce("carried", F.lit(0)) + F.sum("d").over(here)).where("d <> 0").select("chrom", "pos", "depth")
 
 
 def junction_counts(reads: DataFrame) -> DataFrame:
@@ -44,9 +47,18 @@ def merge_junctions(j: DataFrame) -> DataFrame:
 
 
 def intersect_runs(gaps: DataFrame) -> DataFrame:
-    """Overlapping introns of a group reduced to their common part: a fold over the sorted list that starts anew behind each gap."""
+    """Overlapping introns of a group reduced to their common part: a fold over the sorted list that starts anew where an intron does not touch the common part.
+
+    Where an intron starts behind the end of all before it a new run begins in any case; the fold is done for each such island.
+    """
+    d = gaps.select("group", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")).distinct()
+    by = Window.partitionBy("group", "bin").orderBy("start", "end")
+    before, upto = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.unboundedPreceding, 0)
+    d = carried(d, ["group"], "start", F.col("end"), F.max).withColumn("reach", F.greatest("carried", F.max("end").over(before)))
+    d = d.withColumn("head", F.when(F.col("reach").isNull() | (F.col("start") >= F.col("reach")), F.col("start"))).drop("bin", "carried", "reach")
+    d = carried(d, ["group"], "start", F.col("head"), F.max).withColumn("island", F.greatest("carried", F.max("head").over(upto)))
     kind = "struct<done:array<struct<start:int,end:int>>,start:int,end:int>"
-    sorted_gaps = gaps.groupBy("group").agg(F.array_sort(F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")))).alias("g"))
+    islands = d.groupBy("group", "island").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("g"))
     first = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("done"), F.get("g", 0)["start"].alias("start"), F.get("g", 0)["end"].alias("end")).cast(kind)
     pair = lambda a: F.array(F.struct(a["start"].alias("start"), a["end"].alias("end")))
 
@@ -56,7 +68,7 @@ def intersect_runs(gaps: DataFrame) -> DataFrame:
         return F.when(x["start"] < a["end"], inside).otherwise(fresh).cast(kind)
 
     runs = F.aggregate(F.slice("g", F.lit(2), F.greatest(F.size("g") - 1, F.lit(0))), first, step, lambda a: F.concat(a["done"], pair(a)))
-    return sorted_gaps.select("group", F.explode(runs).alias("r")).select("group", "r.start", "r.end")
+    return islands.select("group", F.explode(runs).alias("r")).select("group", "r.start", "r.end")
 
 
 def shrink(gaps: DataFrame, power: float = 0.7) -> DataFrame:

@@ -78,7 +78,7 @@ def a11_me_sums(spark, sf):
 
 
 _BOUND = """m AS (SELECT DISTINCT chrom || '_' || strand || '_' || "start" || '_' || "end" AS me, chrom, strand, "start" AS s, "end" AS e FROM v_exon WHERE "end" - "start" <= 12),
-x AS (SELECT DISTINCT chrom, strand, "start" AS xs, "end" AS xe FROM v_exon WHERE "end" - "start" > 12), g AS (SELECT chrom, "start" AS gs, "end" AS ge, count(*) AS n FROM v_intron GROUP BY ALL),
+x AS (SELECT DISTINCT chrom, strand, "start" AS xs, "end" AS xe FROM v_exon v WHERE "end" - "start" > 12 AND EXISTS (SELECT 1 FROM v_exon z WHERE z.tx = v.tx AND z."start" > v."start")), g AS (SELECT chrom, "start" AS gs, "end" AS ge, count(*) AS n FROM v_intron GROUP BY ALL),
 b AS (SELECT DISTINCT m.me, m.chrom, x.xs, x.xe, k.kind FROM m JOIN x ON x.chrom = m.chrom, (VALUES ('alt3'), ('alt5')) k(kind) WHERE CASE WHEN (kind = 'alt3') = (m.strand = '+') THEN s ELSE e END = CASE WHEN (kind = 'alt3') = (x.strand = '+') THEN xs ELSE xe END),
 h AS (SELECT me, kind, xs, xe, 'L|' || xs || '|' || gs AS i, n FROM b JOIN g ON g.chrom = b.chrom AND g.ge = xs UNION ALL SELECT me, kind, xs, xe, 'R|' || xe || '|' || ge, n FROM b JOIN g ON g.chrom = b.chrom AND g.gs = xe)"""
 
@@ -136,12 +136,6 @@ def f15_route(spark, sf):
     return L.route(rows).select("me", "route")
 
 
-@query("SELECT doc_id, substr(seq, 1, 9) AS first, right(seq, 9) AS last FROM v_dna WHERE length(seq) >= 9", "v_dna")
-def p36_intron_ends(spark, sf):
-    d = v_dna(spark, sf).where(F.length("seq") >= 9).withColumn("e", S.intron_ends(F.col("seq"), F.lit(9)))
-    return d.select("doc_id", F.get("e", 0).alias("first"), F.get("e", 1).alias("last"))
-
-
 @query("SELECT sample, me, round(inc / (inc + skip), 9) AS psi FROM v_cov WHERE inc / (inc + skip) > 0.3 AND inc + skip > 0", "v_cov")
 def f18_high_psi(spark, sf):
     return Q.psi(v_cov(spark, sf), 1).where("psi > 0.3").select("sample", "me", F.round("psi", 9).alias("psi"))
@@ -270,13 +264,19 @@ def j16_left_default(spark, sf):
     return table(spark, sf, "customer").join(o, "c_custkey", "left").select("c_custkey", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@query("SELECT a.gene, a.node, max(b.node) AS below FROM v_node a LEFT JOIN v_node b ON b.gene = a.gene AND b.node < a.node AND b.type = 'AA' GROUP BY ALL", "v_node")
+@query(
+    """WITH k AS (SELECT gene, CAST(p_size AS DOUBLE) AS x, avg(psi) AS y FROM v_node JOIN part ON p_partkey = node WHERE type = 'AA' GROUP BY ALL), q AS (SELECT gene, node, psi * 50 AS x FROM v_node WHERE type <> 'AA'),
+lo AS (SELECT q.*, k.x AS x0, k.y AS y0 FROM q ASOF LEFT JOIN k ON k.gene = q.gene AND q.x >= k.x)
+SELECT lo.gene, lo.node, round(CASE WHEN x0 IS NULL OR k.x IS NULL THEN NULL WHEN k.x = x0 THEN y0 ELSE y0 + (k.y - y0) * (lo.x - x0) / (k.x - x0) END, 9) AS y FROM lo ASOF LEFT JOIN k ON k.gene = lo.gene AND lo.x <= k.x""",
+    "v_node",
+)
 def j15_interpolate(spark, sf):
-    """The last known value up to each row: an as-of lookup by one window."""
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("gene").orderBy("node").rowsBetween(Window.unboundedPreceding, -1)
-    return v_node(spark, sf).select("gene", "node", F.max(F.when(F.col("type") == "AA", F.col("node"))).over(w).alias("below"))
+    """Linear interpolation between known points; equal places are averaged, and beyond the outermost points nothing is known."""
+    d = v_node(spark, sf)
+    size = table(spark, sf, "part").select(F.col("p_partkey").alias("node"), F.col("p_size").cast("double").alias("x"))
+    points = d.where("type = 'AA'").join(size, "node").select("gene", "x", F.col("psi").alias("y"))
+    at = d.where("type <> 'AA'").select("gene", "node", (F.col("psi") * 50).alias("x"))
+    return I.interpolate(points, at, ["gene"], 8).select("gene", "node", F.round("y", 9).alias("y"))
 
 
 @query("SELECT p_brand AS gene, CAST(p_size AS BIGINT) AS score, min(md5(CAST(p_partkey AS VARCHAR))) AS pick FROM part GROUP BY ALL")
@@ -315,6 +315,19 @@ def _mes(spark, sf) -> DataFrame:
     return d.withColumn("me", K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")))
 
 
+_ENDS = f"""{_MES}, w AS (SELECT m.*, g.seq FROM m JOIN (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, seq FROM v_dna) g USING (chrom)),
+z AS (SELECT me, sj_start, sj_end, strand, substr(seq, sj_start + 1, 12) AS l, substr(seq, sj_end - 11, 12) AS r FROM w WHERE sj_start <> s AND sj_end <> e)"""
+
+
+@query(f"WITH {_ENDS} SELECT me, CAST(sj_start AS BIGINT) AS sj_start, CAST(sj_end AS BIGINT) AS sj_end, CASE WHEN strand = '-' THEN reverse(translate(r, 'ACGT', 'TGCA')) ELSE l END AS up, CASE WHEN strand = '-' THEN reverse(translate(l, 'ACGT', 'TGCA')) ELSE r END AS down FROM z", "v_intron", "v_dna")
+def p36_intron_ends(spark, sf):
+    """Ends of each junction's intron as long as the microexon, as the strand reads them, but for junctions that share a boundary with it."""
+    d = _mes(spark, sf)
+    edge = d.select(*d.columns).withColumns({"sj_end": F.col("end")})  # junctions that share a boundary: left out by the operator
+    genome = v_dna(spark, sf).select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("chrom"), "seq")
+    return L.intron_end_sequences(d.unionByName(edge), genome).select("me", long("sj_start"), long("sj_end"), "up", "down")
+
+
 @query(f"WITH {_MES} SELECT me, CAST(sj_end AS BIGINT) AS sj_end, row_number() OVER (PARTITION BY chrom, strand, sj_end ORDER BY me, sj_start, sj_end) = 1 AS primary_me FROM m", "v_intron")
 def a26_primary_secondary(spark, sf):
     return G.ranked_mes(_mes(spark, sf), "sj_end").select("me", long("sj_end"), (F.col("rank") == 1).alias("primary_me"))
@@ -326,10 +339,26 @@ def g1_skip_annotated(spark, sf):
     return _mes(spark, sf).join(known, ["chrom", "strand", "start", "end"], "left_anti").select("me").distinct()
 
 
-_PUT = f"""{_GENES}, {_MES}, n AS (SELECT * FROM m WHERE NOT EXISTS (SELECT 1 FROM v_exon v WHERE v.chrom = m.chrom AND v.strand = m.strand AND v."start" = m.s AND v."end" = m.e)),
+_ROUNDS = 4  # at most so many rounds decide all candidates of these tables
+
+
+def _put_sql() -> str:
+    """Candidates in the order of transcripts and introns; the first of each (gene, intron) whose microexon its transcript lacks so far wins."""
+    intron = "gene, chrom, strand, i_start, i_end"
+    out = f"""{_GENES}, {_MES}, n AS MATERIALIZED (SELECT * FROM m ANTI JOIN v_exon v ON v.chrom = m.chrom AND v.strand = m.strand AND v."start" = m.s AND v."end" = m.e),
 a AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY chrom, strand, sj_start ORDER BY me, sj_start, sj_end) = 1), b AS (SELECT * FROM n QUALIFY row_number() OVER (PARTITION BY chrom, strand, sj_end ORDER BY me, sj_start, sj_end) = 1),
-u AS (SELECT x.tx, x.gene, a.* FROM x JOIN a ON a.chrom = x.chrom AND a.strand = x.strand AND a.sj_start = x."end" UNION SELECT x.tx, x.gene, b.* FROM x JOIN b ON b.chrom = x.chrom AND b.strand = x.strand AND b.sj_end = x."start"),
-p AS (SELECT u.* FROM u JOIN (SELECT tx, min("start") AS ts, max("end") AS te FROM x GROUP BY tx) t USING (tx) WHERE s > ts AND e < te QUALIFY row_number() OVER (PARTITION BY tx, gene, sj_start, sj_end ORDER BY me, sj_start, sj_end) = 1)"""
+gap AS (SELECT * EXCLUDE ("start", "end", block), "end" AS i_start, nxt AS i_end FROM (SELECT *, lead("start") OVER w AS nxt, lead("start", 2) OVER w AS after, row_number() OVER w AS k, min("start") OVER (PARTITION BY tx) AS ts, max("end") OVER (PARTITION BY tx) AS te
+  FROM x WINDOW w AS (PARTITION BY tx ORDER BY "start", block)) WHERE nxt IS NOT NULL),
+c0 AS MATERIALIZED (SELECT gap.tx, gap.gene, gap.i_start, gap.i_end, 2 * k AS turn, a.* FROM gap JOIN a ON a.chrom = gap.chrom AND a.strand = gap.strand AND a.sj_start = gap.i_start WHERE a.s > ts AND a.e < te
+  UNION ALL SELECT gap.tx, gap.gene, gap.i_start, gap.i_end, 2 * k + 3, b.* FROM gap JOIN b ON b.chrom = gap.chrom AND b.strand = gap.strand AND b.sj_end = gap.i_end WHERE after IS NOT NULL AND b.s > ts AND b.e < te)"""
+    for i in range(1, _ROUNDS + 1):
+        out += f""",
+r{i} AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY {intron} ORDER BY tx, turn) = 1 AND row_number() OVER (PARTITION BY tx, me ORDER BY turn) = 1 AS put FROM c{i - 1}),
+c{i} AS MATERIALIZED (SELECT * EXCLUDE (put, barred) FROM (SELECT *, bool_or(put) OVER (PARTITION BY {intron}) OR bool_or(put) OVER (PARTITION BY tx, me) AS barred FROM r{i}) WHERE NOT barred)"""
+    return out + ", p AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT * FROM r{i} WHERE put" for i in range(1, _ROUNDS + 1)) + ")"
+
+
+_PUT = _put_sql()
 
 
 @query(f'WITH {_PUT} SELECT tx, gene, me, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end" FROM p', "v_intron")
@@ -337,8 +366,9 @@ def g2_inclusions(spark, sf):
     return G.inclusions(_genes(spark, sf), _mes(spark, sf)).select("tx", "gene", "me", long("start"), long("end"))
 
 
-_ISO = f"""{_PUT}, i AS (SELECT tx, tx || '_' || string_agg(DISTINCT CAST(s AS VARCHAR), '_' ORDER BY CAST(s AS VARCHAR)) AS new_tx FROM (SELECT tx, s FROM p) GROUP BY tx),
-o AS (SELECT i.new_tx AS tx, gene, chrom, strand, "start", "end" FROM x JOIN i USING (tx) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.s = x."start") AND NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.e = x."end") UNION SELECT i.new_tx, gene, chrom, strand, s, e FROM p JOIN i USING (tx))"""
+_ISO = f"""{_PUT}, i AS (SELECT tx, tx || '_' || string_agg(CAST(s + 1 AS VARCHAR), '.' ORDER BY s) AS new_tx FROM (SELECT DISTINCT tx, s FROM p) GROUP BY tx),
+o AS (SELECT i.new_tx AS tx, i.tx AS "of", gene, chrom, strand, "start", "end" FROM x JOIN i USING (tx) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.s = x."start") AND NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.e = x."end")
+  UNION SELECT i.new_tx, i.tx, gene, chrom, strand, s, e FROM p JOIN i USING (tx))"""
 
 
 def _iso(spark, sf) -> DataFrame:
@@ -347,24 +377,37 @@ def _iso(spark, sf) -> DataFrame:
     return G.isoforms(x, put)
 
 
-@query(f'WITH {_PUT}, k AS (SELECT tx, count(DISTINCT s) AS n FROM p GROUP BY tx) SELECT gene, CAST(count(*) AS BIGINT) AS exons FROM (SELECT x.tx, gene, "start" AS s, "end" AS e FROM x JOIN k USING (tx) WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.s = x."start") AND NOT EXISTS (SELECT 1 FROM p WHERE p.tx = x.tx AND p.e = x."end") UNION SELECT tx, gene, s, e FROM p) GROUP BY gene', "v_intron")
+@query(f'WITH {_ISO} SELECT tx, gene, chrom, strand, CAST("start" AS BIGINT) AS "start", CAST("end" AS BIGINT) AS "end" FROM o', "v_intron")
 def g2_isoforms(spark, sf):
-    return _iso(spark, sf).groupBy("gene").agg(F.count("*").alias("exons"))
+    return _iso(spark, sf).select("tx", "gene", "chrom", "strand", long("start"), long("end"))
 
 
-@query(f"WITH {_PUT}, r AS (SELECT *, row_number() OVER (PARTITION BY chrom, strand, sj_start ORDER BY me, sj_start, sj_end) AS k FROM m) SELECT p.tx, p.me AS \"primary\", r.me AS secondary FROM p JOIN r ON r.chrom = p.chrom AND r.strand = p.strand AND r.sj_start = p.sj_start AND r.k > 1 AND r.me <> p.me", "v_intron")
+@query(
+    f"""WITH {_PUT}, sec AS (SELECT f.me AS "primary", r.me AS secondary, r.s AS s2, r.e AS e2 FROM n r JOIN a f ON f.chrom = r.chrom AND f.strand = r.strand AND f.sj_start = r.sj_start AND f.me <> r.me
+UNION SELECT f.me, r.me, r.s, r.e FROM n r JOIN b f ON f.chrom = r.chrom AND f.strand = r.strand AND f.sj_end = r.sj_end AND f.me <> r.me),
+whole AS (SELECT tx, "start" AS s, "end" AS e, CAST(NULL AS VARCHAR) AS me FROM x UNION SELECT tx, s, e, me FROM p)
+SELECT p.tx || '_' || (s2 + 1) || '_' || e2 || '_' || "primary" AS tx, "primary", secondary, CAST(CASE WHEN w.me = "primary" THEN s2 ELSE w.s END AS BIGINT) AS "start", CAST(CASE WHEN w.me = "primary" THEN e2 ELSE w.e END AS BIGINT) AS "end"
+FROM p JOIN sec ON "primary" = p.me JOIN whole w ON w.tx = p.tx""",
+    "v_intron",
+)
 def g4_secondary(spark, sf):
-    mes = _mes(spark, sf)
-    return G.secondary_isoforms(G.inclusions(_genes(spark, sf), mes), mes).select("tx", "primary", "secondary")
+    """Exon rows of transcripts with a secondary microexon, by junction starts and junction ends."""
+    x, mes = _genes(spark, sf), _mes(spark, sf)
+    return G.secondary_isoforms(x, G.inclusions(x, mes), mes).select("tx", "primary", "secondary", long("start"), long("end"))
 
 
 @query(
-    f"""WITH {_GENES} SELECT 'gene' AS feature, chrom, CAST(min("start") AS BIGINT) AS "start", CAST(max("end") AS BIGINT) AS "end", 'gene_id "' || gene || '";' AS attributes FROM x GROUP BY gene, chrom, strand
-UNION ALL SELECT 'transcript', chrom, min("start"), max("end"), 'gene_id "' || gene || '"; transcript_id "' || tx || '";' FROM x GROUP BY gene, tx, chrom, strand UNION ALL SELECT 'exon', chrom, "start", "end", 'gene_id "' || gene || '"; transcript_id "' || tx || '";' FROM x""",
-    "v_exon",
+    f"""WITH {_ISO}, rows AS (SELECT 'transcript' AS feature, gene, tx, chrom, min("start") AS s, max("end") AS e FROM x GROUP BY gene, tx, chrom, strand UNION ALL SELECT 'exon', gene, tx, chrom, "start", "end" FROM x
+  UNION ALL SELECT 'exon', gene, tx, chrom, "start", "end" FROM o UNION ALL SELECT 'transcript', n2.gene, n2.tx, n2.chrom, t.s, t.e FROM (SELECT DISTINCT tx, "of", gene, chrom FROM o) n2 JOIN (SELECT tx, min("start") AS s, max("end") AS e FROM x GROUP BY tx) t ON t.tx = n2."of")
+SELECT 'gene' AS feature, chrom, CAST(min("start") AS BIGINT) AS "start", CAST(max("end") AS BIGINT) AS "end", 'gene_id "' || gene || '";' AS attributes FROM x GROUP BY gene, chrom, strand
+UNION ALL SELECT feature, chrom, s, e, 'gene_id "' || gene || '"; transcript_id "' || tx || '";' FROM rows""",
+    "v_intron",
 )
 def g3_gtf_rows(spark, sf):
-    return G.gtf_rows(_genes(spark, sf)).select("feature", "chrom", long("start"), long("end"), "attributes")
+    """Genes, their transcripts and exons, and the transcripts with microexons."""
+    x = _genes(spark, sf)
+    rows = G.gtf_rows(x).unionByName(G.new_gtf_rows(x, G.isoforms(x, G.inclusions(x, _mes(spark, sf)))))
+    return rows.select("feature", "chrom", long("start"), long("end"), "attributes")
 
 
 @query("SELECT p.tx, 'g' || CAST(p.key AS VARCHAR) AS gene FROM (SELECT CAST(p_partkey AS VARCHAR) || '.' || p_size AS tx, p_partkey AS key FROM part) p")

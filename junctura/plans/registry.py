@@ -70,7 +70,9 @@ def v_dna(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def v_exon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("block")).agg(F.max("l_quantity").cast("long").alias("len"), (60 + F.max("l_partkey") % 97).alias("gap"))
+    # dealt by transcript at once: the grouping and every window by transcript then need no other exchange
+    d = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey").repartition("l_orderkey")
+    d = d.groupBy(F.col("l_orderkey").alias("tx"), F.col("l_linenumber").alias("block")).agg(F.max("l_quantity").cast("long").alias("len"), (60 + F.max("l_partkey") % 97).alias("gap"))
     run = F.sum(F.col("len") + F.col("gap")).over(Window.partitionBy("tx").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("gap")
     base = F.floor(F.col("tx") / 25) % 40 * 50
     d = d.withColumn("stop", base + run)

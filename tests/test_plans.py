@@ -70,15 +70,71 @@ def test_final_filter_without_lengths(spark):
 def test_intersect_runs(spark):
     df = spark.createDataFrame([("a", 0, 10), ("a", 5, 20), ("a", 8, 9), ("a", 30, 40), ("b", 1, 2)], "group string, start int, end int")
     assert sorted(tuple(r) for r in regions.intersect_runs(df).collect()) == [("a", 8, 9), ("a", 30, 40), ("b", 1, 2)]
+    r = random.Random(2)
+    rows = sorted({(g, a, a + r.choice((10, 500, 40_000))) for g in "ab" for a in (r.randrange(300_000) for _ in range(150))})
+    want, run = [], None
+    for g, a, b in [*rows, (None, 0, 0)]:
+        if run and (g != run[0] or a >= run[2]):
+            want.append(tuple(run))
+            run = None
+        run = [g, a, min(b, run[2])] if run else [g, a, b]
+    assert sorted(tuple(x) for x in regions.intersect_runs(spark.createDataFrame(rows, "group string, start int, end int")).collect()) == sorted(want)
 
 
 def test_isoforms(spark):
-    ex = spark.createDataFrame([("t", "g", "c", "+", 0, 10), ("t", "g", "c", "+", 100, 110)], "tx string, gene string, chrom string, strand string, start int, end int")
+    ex = spark.createDataFrame([("t", "g", "c", "+", 0, 10, 0), ("t", "g", "c", "+", 100, 110, 1)], "tx string, gene string, chrom string, strand string, start int, end int, block int")
     mes = spark.createDataFrame([("m1", "c", "+", 10, 100, 40, 45), ("m2", "c", "+", 10, 100, 60, 66), ("m3", "c", "+", 10, 100, 0, 10)], "me string, chrom string, strand string, sj_start int, sj_end int, start int, end int")
     put = isoforms.inclusions(ex, mes)
     assert [r.me for r in put.collect()] == ["m1"]
-    assert sorted((r.tx, r.start) for r in isoforms.isoforms(ex, put).collect()) == [("t_40", 0), ("t_40", 40), ("t_40", 100)]
-    assert {r.secondary for r in isoforms.secondary_isoforms(put, mes).collect()} == {"m2", "m3"}
+    assert sorted((r.tx, r.start) for r in isoforms.isoforms(ex, put).collect()) == [("t_41", 0), ("t_41", 40), ("t_41", 100)]
+    second = isoforms.secondary_isoforms(ex, put, mes)
+    assert sorted((r.tx, r.start, r.end) for r in second.collect()) == [("t_61_66_m1", 0, 10), ("t_61_66_m1", 60, 66), ("t_61_66_m1", 100, 110)]
+    new = isoforms.new_gtf_rows(ex, isoforms.isoforms(ex, put)).collect()
+    assert [(r.start, r.end, r.attributes) for r in new if r.feature == "transcript"] == [(0, 110, 'gene_id "g"; transcript_id "t_41";')] and len(new) == 4
+
+
+def brute_inclusions(exons, mes):
+    """One candidate after the other, as a loop over transcripts puts them."""
+    known = {(c, s, a, b) for _, _, c, s, a, b, _ in exons}
+    new = sorted(m for m in mes if (m[1], m[2], m[5], m[6]) not in known)
+    starts, ends = {}, {}
+    for m in sorted(new, key=lambda m: (m[0], m[3], m[4])):
+        starts.setdefault((m[1], m[2], m[3]), m)
+        ends.setdefault((m[1], m[2], m[4]), m)
+    taken, out = set(), []
+    for tx in sorted({e[0] for e in exons}):
+        own = sorted((e for e in exons if e[0] == tx), key=lambda e: (e[4], e[6]))
+        lo, hi, past, had = min(e[4] for e in own), max(e[5] for e in own), None, set()
+        for e, nxt in zip(own, own[1:]):
+            gene, chrom, strand = e[1:4]
+            here = (chrom, strand, e[5], nxt[4])
+            for m, intron in ((starts.get((chrom, strand, e[5])), here), (ends.get((chrom, strand, e[4])), past)):
+                if m and intron and (gene, intron) not in taken and m[0] not in had and lo < m[5] and m[6] < hi:
+                    taken.add((gene, intron))
+                    had.add(m[0])
+                    out.append((tx, gene, m[0]))
+            past = here
+    return sorted(out)
+
+
+def test_inclusions_match_one_by_one(spark):
+    for seed in range(3):
+        r = random.Random(seed)
+        cuts = list(range(0, 400, 10))
+        exons = []
+        for t in range(25):
+            edges = sorted(r.sample(cuts, 2 * r.randint(2, 6)))
+            exons += [("t%02d" % t, "g%d" % (t % 3), "c", "+", a, b, i) for i, (a, b) in enumerate(zip(edges[::2], edges[1::2]))]
+        mes = []
+        for i in range(60):
+            a, b = sorted(r.sample(cuts, 2))
+            if b - a >= 20:
+                at = r.randint(a + 3, b - 8)
+                mes += [("m%02d" % i, "c", "+", a, b, at, at + 5)] + [("m%02d" % i, "c", "+", a - 10, b, at, at + 5)] * (i % 4 == 0)
+        ex = spark.createDataFrame(exons, "tx string, gene string, chrom string, strand string, start int, end int, block int")
+        m = spark.createDataFrame(mes, "me string, chrom string, strand string, sj_start int, sj_end int, start int, end int")
+        got = sorted((x.tx, x.gene, x.me) for x in isoforms.inclusions(ex, m).collect())
+        assert got == brute_inclusions(exons, mes) and len(got) > 20
 
 
 def test_significant_nodes(spark):

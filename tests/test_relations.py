@@ -44,7 +44,9 @@ def test_counts_and_mates(spark):
 
 def test_boundary_partners(spark):
     mes = spark.createDataFrame([("m", "c", "+", 10, 15), ("n", "c", "-", 30, 35)], "me string, chrom string, strand string, start int, end int")
-    ex = spark.createDataFrame([("c", "+", 10, 40), ("c", "+", 0, 15), ("c", "-", 30, 60), ("c", "+", 10, 12)], "chrom string, strand string, start int, end int")
+    ex = [("t", "c", "+", 10, 40), ("u", "c", "+", 0, 15), ("v", "c", "-", 30, 60), ("w", "c", "+", 10, 12)]
+    ex = [(*x, 0) for x in ex] + [(t, "c", s, 80, 99, 1) for t, _, s, _, _ in ex] + [("x", "c", "+", 2, 15, 0)]  # the last of x, and so no partner
+    ex = spark.createDataFrame(ex, "tx string, chrom string, strand string, start int, end int, block int")
     both = Q.boundary_partners(mes, ex, 5)
     assert rows(both.select("me", "e_start", "e_end", "kind")) == [("m", 0, 15, "alt5"), ("m", 10, 40, "alt3"), ("n", 30, 60, "alt5")]
     gaps = spark.createDataFrame([("c", 2, 10, 7), ("c", 40, 50, 8), ("d", 2, 10, 9)], "chrom string, start int, end int, n long")
