@@ -21,6 +21,11 @@ def stranded(seq: Column, strand: Column) -> Column:
     return F.when(strand == "-", revcomp(seq)).otherwise(seq)
 
 
+def flank_dinucleotides(seq: Column, start: Column, end: Column, strand: Column) -> Column:
+    """The two bases in front of ``start`` and the two behind ``end``, as the strand reads them."""
+    return stranded(F.concat(slice_seq(seq, start - 2, start), slice_seq(seq, end, end + 2)), strand)
+
+
 def splice_dinucleotides(intron: Column) -> Column:
     """First two and last two bases of an intron."""
     return F.concat(F.substring(intron, 1, 2), F.substring(intron, -2, 2))

@@ -103,8 +103,8 @@ def annotated_mes(exons: DataFrame, genome: DataFrame, found: DataFrame, max_len
     """Annotated exons of at most ``max_len`` between AG and GT, as their strand reads them, but those ``found`` has; ``genome`` is (chrom, seq)."""
     place = ["chrom", "strand", "start", "end"]
     short = exons.where((F.col("end") - F.col("start") <= max_len) & (F.col("start") >= 2)).select(*place).distinct().join(found.select(*place).distinct(), place, "left_anti")
-    beside = F.concat(S.slice_seq(F.col("seq"), F.col("start") - 2, F.col("start")), S.slice_seq(F.col("seq"), F.col("end"), F.col("end") + 2))
-    return short.join(genome, "chrom").where(S.stranded(beside, F.col("strand")) == "AGGT").select(*place)
+    beside = S.flank_dinucleotides(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"))
+    return short.join(genome, "chrom").where(beside == "AGGT").select(*place)
 
 
 def tags_of(mes: DataFrame, tags: DataFrame) -> DataFrame:

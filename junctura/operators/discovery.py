@@ -96,8 +96,11 @@ def sharing(pairs: DataFrame, key: str, item: str) -> DataFrame:
 def neighbour_sets(pairs: DataFrame, key: str, item: str) -> DataFrame:
     """For each key the keys that share an item with it, as a sorted list; equal lists once."""
     d = pairs.select(F.col(key).alias("k"), F.col(item).alias("i")).distinct()
-    near = d.join(d.withColumnRenamed("k", "other"), "i").groupBy("k").agg(F.array_sort(F.collect_set("other")).alias("keys"))
-    return near.select("keys").distinct()
+    # keys with the same items have the same neighbours: each set of items is joined once, to whole lists of keys in place of pairs
+    sets = d.groupBy("k").agg(F.array_sort(F.collect_list("i")).alias("items")).select("items").distinct()
+    lists = d.groupBy("i").agg(F.collect_list("k").alias("ks"))
+    near = sets.select("items", F.explode("items").alias("i")).join(lists, "i").groupBy("items").agg(F.collect_list("ks").alias("ks"))
+    return near.select(F.array_sort(F.array_distinct(F.flatten("ks"))).alias("keys")).distinct()
 
 
 def intersect_sets(sets):

@@ -201,9 +201,23 @@ def a24_log2_ratio(spark, sf):
     return d.select("me", "n1", "n2", F.round("log2_ratio", 9).alias("log2_ratio"))
 
 
-@query()
+def _dense_sql(m: str, s: str) -> str:
+    return f"exp(-pow((x - {m}) / {s}, 2.0) / 2) / {s}"
+
+
+_EM = f"""WITH RECURSIVE t AS (SELECT CAST(round(p_retailprice, 0) AS DOUBLE) AS x, CAST(count(*) AS DOUBLE) AS n FROM part GROUP BY 1),
+half AS (SELECT median(round(p_retailprice, 0)) AS mid FROM part), h AS (SELECT x <= mid AS low, sum(n) AS n, sum(n * x) / sum(n) AS m, sum(n * x * x) / sum(n) AS q FROM t, half GROUP BY 1),
+em AS (SELECT 0 AS i, a.n / (a.n + b.n) AS w, a.m AS m1, sqrt(greatest(a.q - a.m * a.m, 1e-12)) AS s1, b.m AS m2, sqrt(greatest(b.q - b.m * b.m, 1e-12)) AS s2 FROM h a, h b WHERE a.low AND NOT b.low
+UNION ALL SELECT i + 1, p / (p + q), p1 / p, sqrt(greatest(p2 / p - (p1 / p) * (p1 / p), 1e-12)), q1 / q, sqrt(greatest(q2 / q - (q1 / q) * (q1 / q), 1e-12))
+  FROM (SELECT i, sum(r) AS p, sum(r * x) AS p1, sum(r * x * x) AS p2, sum(n - r) AS q, sum((n - r) * x) AS q1, sum((n - r) * x * x) AS q2
+    FROM (SELECT i, x, n, n * w * {_dense_sql('m1', 's1')} / (w * {_dense_sql('m1', 's1')} + (1 - w) * {_dense_sql('m2', 's2')}) AS r FROM em, t WHERE i < 60) GROUP BY i))
+SELECT round(CASE WHEN m1 <= m2 THEN w ELSE 1 - w END, 5) AS w, round(least(m1, m2), 3) AS m1, round(CASE WHEN m1 <= m2 THEN s1 ELSE s2 END, 3) AS s1, round(greatest(m1, m2), 3) AS m2, round(CASE WHEN m1 <= m2 THEN s2 ELSE s1 END, 3) AS s2 FROM em WHERE i = 60"""
+
+
+@query(_EM)
 def a20_em2(spark, sf):
-    return N.mixture(table(spark, sf, "part").select(F.round("p_retailprice", 0).alias("u2")), "u2", 60)
+    fit = N.mixture(table(spark, sf, "part").select(F.round("p_retailprice", 0).alias("u2")), "u2", 60)
+    return fit.select(F.round("w", 5).alias("w"), *(F.round(c, 3).alias(c) for c in ("m1", "s1", "m2", "s2")))
 
 
 _FIT = (0.4, 40.0, 15.0, 75.0, 10.0)
@@ -478,13 +492,23 @@ def a19_rep_stats(spark, sf):
     return d.select("gene", "node", "type", *((F.round(c, 6) + 0.0).alias(c) for c in ("psi_a_mean", "psi_b_mean", "delta_mean", "delta_sd", "p_mean", "p_sd", "p_var")), "number")
 
 
-@query()
+#: The regularised incomplete beta function at 1/2 by its continued fraction, one term a step.
+_T = "CASE WHEN j % 2 = 0 THEN (j // 2 + 1) * (q - (j // 2 + 1)) * z / ((p + 2 * (j // 2 + 1) - 1) * (p + 2 * (j // 2 + 1))) ELSE -(p + (j // 2 + 1)) * (p + q + (j // 2 + 1)) * z / ((p + 2 * (j // 2 + 1)) * (p + 2 * (j // 2 + 1) + 1)) END"
+_CDF = f"""{_STATS}, k AS (SELECT *, CASE WHEN p_var > 0 AND p_mean > 0 AND p_mean < 1 THEN p_mean * (1 - p_mean) / p_var - 1 END AS k FROM s),
+ab AS (SELECT *, CASE WHEN p_mean * k > 0 AND (1 - p_mean) * k > 0 THEN p_mean * k END AS a, (1 - p_mean) * k AS b FROM k),
+pq AS (SELECT *, 0.5 > (a + 1) / (a + b + 2) AS swap, CASE WHEN 0.5 > (a + 1) / (a + b + 2) THEN b ELSE a END AS p, CASE WHEN 0.5 > (a + 1) / (a + b + 2) THEN a ELSE b END AS q, CAST(0.5 AS DOUBLE) AS z FROM ab),
+cf AS (SELECT *, exp(lgamma(p + q) - lgamma(p) - lgamma(q) + (p + q) * ln(0.5)) / p * list_reduce(range(0, 600), lambda s, j: {{'c': 1 + ({_T}) / s.c, 'd': 1 / (1 + ({_T}) * s.d), 'h': s.h * (1 + ({_T}) / s.c) / (1 + ({_T}) * s.d)}},
+  {{'c': CAST(1 AS DOUBLE), 'd': 1 / (1 - (p + q) * z / (p + 1)), 'h': 1 / (1 - (p + q) * z / (p + 1))}}).h AS half FROM pq WHERE a IS NOT NULL),
+v AS (SELECT pq.*, CASE WHEN pq.swap THEN 1 - half ELSE half END AS cdf FROM pq LEFT JOIN cf USING (gene, node))"""
+
+
+@query(f"WITH {_CDF} SELECT gene, node, round(cdf, 6) + 0.0 AS cdf FROM v", "v_node")
 def p34_beta_cdf(spark, sf):
     d = D.replicate_stats(_reps(spark, sf))
-    return d.select("gene", "node", F.round(N.beta_probability(F.lit(0.5), F.col("p_mean"), F.col("p_var")), 9).alias("cdf"))
+    return d.select("gene", "node", (F.round(N.beta_probability(F.lit(0.5), F.col("p_mean"), F.col("p_var")), 6) + 0.0).alias("cdf"))
 
 
-@query()
+@query(f"WITH {_CDF} SELECT gene, node, type, number, coalesce(abs(delta_mean) >= 0.1 AND cdf < 0.05 AND p_mean >= 0.4 AND type NOT IN ('TE', 'TS') AND number > 3, FALSE) AS diff FROM v", "v_node")
 def f17_diff(spark, sf):
     return D.significant(D.replicate_stats(_reps(spark, sf)), 0.5, 0.1, 0.4, 3).select("gene", "node", "type", "number", "diff")
 
@@ -626,7 +650,13 @@ def a28_junction_merge(spark, sf):
     return R.merge_junctions(d)
 
 
-@query()
+@query(
+    """WITH l AS (SELECT chrom || strand AS grp, list_sort(list(DISTINCT {'s': "start", 'e': "end"})) AS g FROM v_intron GROUP BY 1),
+f AS (SELECT grp, list_reduce(g[2:], lambda a, x: CASE WHEN x.s < a.e THEN {'done': a.done, 's': greatest(a.s, x.s), 'e': least(a.e, x.e)} ELSE {'done': list_append(a.done, {'s': a.s, 'e': a.e}), 's': x.s, 'e': x.e} END,
+  {'done': list_filter(g, lambda y: FALSE), 's': g[1].s, 'e': g[1].e}) AS r FROM l)
+SELECT grp AS "group", CAST(u.s AS BIGINT) AS "start", CAST(u.e AS BIGINT) AS "end" FROM (SELECT grp, unnest(list_append(r.done, {'s': r.s, 'e': r.e})) AS u FROM f)""",
+    "v_intron",
+)
 def a29_intersect_runs(spark, sf):
     g = A.introns(v_exon(spark, sf)).withColumn("group", F.concat("chrom", "strand"))
     return R.intersect_runs(g).select("group", long("start"), long("end"))
@@ -648,7 +678,15 @@ def u9_split_by_sample(spark, sf):
     return v_cov(spark, sf).groupBy("sample").agg(F.count("*").alias("n"), F.sum("inc").alias("inc"))
 
 
-@query()
+@query(
+    """WITH c AS (SELECT DISTINCT tag || '_' || supp AS key, 'm' || (read % 50000) AS me, line / 10 AS u2 FROM v_align), k AS (SELECT tag || '_' || supp AS key, count(DISTINCT read) AS coverage, min(score / 100) AS p FROM v_align GROUP BY 1),
+d AS (SELECT DISTINCT key, me FROM c), g AS (SELECT DISTINCT keys FROM (SELECT list_sort(list(DISTINCT b.key)) AS keys FROM d a JOIN d b USING (me) GROUP BY a.key)),
+u AS (SELECT array_to_string(keys, ',') AS total_sjs, len(keys) AS n, unnest(keys) AS key FROM g),
+t AS (SELECT total_sjs, me, u2 FROM u JOIN c USING (key) GROUP BY total_sjs, n, me, u2 HAVING count(*) = n), b AS (SELECT total_sjs, max({'u2': u2, 'me': me}) AS b, count(*) AS n_matches FROM t GROUP BY 1),
+s AS (SELECT total_sjs, CAST(sum(coverage) AS BIGINT) AS sum_coverage, min(p) AS p_me, string_agg(CAST(coverage AS VARCHAR), ',' ORDER BY key) AS total_coverages FROM u JOIN k USING (key) GROUP BY 1)
+SELECT b.b.me AS me, b.b.u2 AS u2, CAST(1.0 AS DOUBLE) AS cons, sum_coverage, total_sjs, total_coverages, n_matches, p_me FROM b JOIN s USING (total_sjs)""",
+    "v_align",
+)
 def a8_centric(spark, sf):
     d = v_align(spark, sf)
     rows = d.groupBy(F.concat_ws("_", "tag", "supp").alias("key")).agg(F.countDistinct("read").alias("coverage"), F.min(F.col("score") / 100).alias("p_spurious"), F.array_sort(F.collect_set(F.struct(F.concat(F.lit("m"), (F.col("read") % 50000).cast("string")).alias("me"), (F.col("line") / 10).alias("u2"), F.lit(1.0).alias("cons")))).alias("candidates"))

@@ -39,7 +39,7 @@ VIEWS = {
     "v_dna": f"SELECT doc_id, translate(lower(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')), '{_AZ}', '{_NT}') AS seq FROM documents",
     "v_exon": """SELECT tx, block, chrom, strand, CAST(base + run - len AS INTEGER) AS "start", CAST(base + run AS INTEGER) AS "end", len FROM (
   SELECT *, sum(len + gap) OVER (PARTITION BY tx ORDER BY block ROWS UNBOUNDED PRECEDING) - gap AS run FROM (
-    SELECT l_orderkey AS tx, l_linenumber AS block, 'chr' || CAST(l_orderkey % 25 AS VARCHAR) AS chrom, CASE WHEN l_orderkey % 2 = 0 THEN '+' ELSE '-' END AS strand,
+    SELECT l_orderkey AS tx, l_linenumber AS block, 'chr' || CAST(l_orderkey % (SELECT count(*) FROM documents) AS VARCHAR) AS chrom, CASE WHEN l_orderkey // 16 % 2 = 0 THEN '+' ELSE '-' END AS strand,
       CAST(max(l_quantity) AS BIGINT) AS len, 60 + max(l_partkey) % 97 AS gap, (l_orderkey // 25) % 40 * 50 AS base FROM lineitem GROUP BY l_orderkey, l_linenumber))""",
     "v_intron": """SELECT tx, block, chrom, strand, "end" AS "start", nxt AS "end" FROM (SELECT *, lead("start") OVER (PARTITION BY tx ORDER BY "start", block) AS nxt FROM v_exon) WHERE nxt IS NOT NULL""",
     "v_cov": """SELECT CAST(user_id AS BIGINT) AS sample, regexp_extract(props, '"k": *([0-9]+)', 1) AS me, count(*) FILTER (WHERE event_type = 'purchase') AS inc, count(*) FILTER (WHERE event_type <> 'purchase') AS skip FROM events GROUP BY 1, 2""",
@@ -76,7 +76,9 @@ def v_exon(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.sum(F.col("len") + F.col("gap")).over(Window.partitionBy("tx").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)) - F.col("gap")
     base = F.floor(F.col("tx") / 25) % 40 * 50
     d = d.withColumn("stop", base + run)
-    chrom, strand = F.concat(F.lit("chr"), (F.col("tx") % 25).cast("string")), F.when(F.col("tx") % 2 == 0, "+").otherwise("-")
+    # as many chromosomes as documents, whose sequences they have
+    chroms = max(1, table(spark, sf_dir, "documents").count())
+    chrom, strand = F.concat(F.lit("chr"), (F.col("tx") % chroms).cast("string")), F.when(F.floor(F.col("tx") / 16) % 2 == 0, "+").otherwise("-")
     return d.select("tx", "block", chrom.alias("chrom"), strand.alias("strand"), (F.col("stop") - F.col("len")).cast("int").alias("start"), F.col("stop").cast("int").alias("end"), "len")
 
 

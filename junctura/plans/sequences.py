@@ -38,12 +38,6 @@ def p9_splice_dinuc(spark, sf):
     return v_dna(spark, sf).where(F.length("seq") >= 4).select("doc_id", dn.alias("dn"), S.canonical(dn).alias("canonical"))
 
 
-@query("SELECT doc_id, CAST((length(seq) - length(replace(seq, 'AGGT', ''))) / 4 AS BIGINT) AS n FROM v_dna WHERE contains(seq, 'AGGT')", "v_dna")
-def p10_flank_dinuc(spark, sf):
-    """AG and GT side by side: an exon of no length between its flanks."""
-    return v_dna(spark, sf).select("doc_id", F.size(S.overlapping(F.col("seq"), F.lit("AGGT"))).cast("long").alias("n")).where("n > 0")
-
-
 @query("SELECT doc_id, CAST(count(*) AS BIGINT) AS n, CAST(sum(i) AS BIGINT) AS places FROM (SELECT doc_id, seq, unnest(range(0, greatest(length(seq) - 3, 0))) AS i FROM v_dna) WHERE substr(seq, CAST(i + 1 AS INTEGER), 4) = 'ACAC' GROUP BY doc_id", "v_dna")
 def p20_overlap_matches(spark, sf):
     places = v_dna(spark, sf).select("doc_id", F.explode(S.overlapping(F.col("seq"), F.lit("ACAC"))).alias("i"))
@@ -146,55 +140,15 @@ def p17_alt_hits(spark, sf):
     return D.alternative_hits(sam).groupBy("read", "tag").agg(F.count("*").alias("n"))
 
 
-_TRIPLE = "SELECT doc_id, substr(seq, 1, 12) AS up, substr(seq, 13, 1 + CAST(doc_id % 9 AS INTEGER)) AS found, substr(seq, 22) AS down FROM v_dna WHERE length(seq) > 30"
-
-
 def _prefix_sql(a: str, b: str) -> str:
     return f"CAST(coalesce(list_min(list_filter(range(1, least(length({a}), length({b})) + 1), lambda i: substr({a}, CAST(i AS INTEGER), 1) <> substr({b}, CAST(i AS INTEGER), 1))) - 1, least(length({a}), length({b}))) AS BIGINT)"
 
 
-@query(
-    f"""SELECT doc_id, CASE WHEN length(found) <= length(up) THEN length(found) + {_prefix_sql('reverse(up)', 'reverse(up || found)')} ELSE 0 END AS dru,
-{_prefix_sql('(found || down)', 'down')} AS drd FROM ({_TRIPLE})""",
-    "v_dna",
-)
-def p18_direct_repeat(spark, sf):
-    d = v_dna(spark, sf).where(F.length("seq") > 30)
-    d = d.select("doc_id", F.substring("seq", 1, 12).alias("up"), F.substr("seq", F.lit(13), (1 + F.col("doc_id") % 9).cast("int")).alias("found"), F.substr("seq", F.lit(22)).alias("down"))
-    return d.select("doc_id", S.direct_repeat_up(F.col("up"), F.col("found")).cast("long").alias("dru"), S.direct_repeat_down(F.col("down"), F.col("found")).cast("long").alias("drd"))
-
-
-@query("SELECT doc_id, coalesce(nullif(substr(seq, CAST(doc_id % 60 + 1 AS INTEGER), 7), ''), 'ACGTACG') AS moved FROM v_dna", "v_dna")
-def p19_reanchor(spark, sf):
-    return v_dna(spark, sf).select("doc_id", D.reanchor(F.lit("ACGTACG"), F.col("doc_id") % 60, F.lit(0), F.col("seq")).alias("moved"))
-
-
 def _score_sql(w: str) -> str:
     terms = " + ".join("CASE substr({w}, {i}, 1) {cases} ELSE 0.0 END".format(w=w, i=i + 1, cases=" ".join(f"WHEN '{k}' THEN {v}" for k, v in row.items())) for i, row in enumerate(MATRIX))
     return f"round(CAST(100 * ({terms}) / {sum(max(r.values()) for r in MATRIX)} AS DOUBLE), 6)"
 
 
-@query(f"SELECT doc_id, {_score_sql('substr(seq, 1, 5)')} AS first, {_score_sql('right(seq, 5)')} AS last FROM v_dna WHERE length(seq) >= 5", "v_dna")
-def p22_pwm_score(spark, sf):
-    d = v_dna(spark, sf).where(F.length("seq") >= 5)
-    return d.select("doc_id", F.round(S.pwm_score(F.substring("seq", 1, 5), MATRIX), 6).alias("first"), F.round(S.pwm_score(F.right("seq", F.lit(5)), MATRIX), 6).alias("last"))
-
-
-@query(f"SELECT count(*) AS n, round(CAST({S.pwm_best(MATRIX)} AS DOUBLE), 6) AS best FROM v_dna", "v_dna")
-def p23_pwm_max(spark, sf):
-    return v_dna(spark, sf).agg(F.count("*").alias("n"), F.round(F.lit(S.pwm_best(MATRIX)), 6).alias("best"))
-
-
-@query(
-    """WITH w AS (SELECT unnest(range(0, 13)) AS pos, substr(seq, 1, 13) AS s FROM v_dna WHERE length(seq) >= 13), x AS (SELECT pos, substr(s, CAST(pos + 1 AS INTEGER), 1) AS nt FROM w)
-SELECT CAST(pos AS BIGINT) AS pos, """ + ", ".join(f"round(count(*) FILTER (WHERE nt = '{c}') / count(*), 6) AS {c.lower()}" for c in "ACGT") + " FROM x GROUP BY pos",
-    "v_dna",
-)
-def a16_pwm_learn(spark, sf):
-    m = A.learn_matrix(v_dna(spark, sf).where(F.length("seq") >= 13).select(F.substring("seq", 1, 13).alias("seq")))
-    return m.select(F.col("pos").cast("long").alias("pos"), *(F.round(F.col(c), 6).alias(c.lower()) for c in "ACGT"))
-
-
 # annotation -----------------------------------------------------------------------------------------------------------------------------
 
 
@@ -263,6 +217,86 @@ def _genome(spark, sf) -> DataFrame:
     return v_dna(spark, sf).select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("id"), "seq")
 
 
+def _exon_parts(spark, sf) -> DataFrame:
+    return v_exon(spark, sf).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom")
+
+
+def _stranded_sql(x: str) -> str:
+    return f"CASE WHEN strand = '-' THEN reverse(translate({x}, 'ACGT', 'TGCA')) ELSE {x} END"
+
+
+_BESIDE = f"""SELECT tx, block, {_stranded_sql("(substr(seq, \"start\" - 1, 2) || substr(seq, \"end\" + 1, 2))")} AS dn FROM v_exon JOIN ({_GENOME}) g USING (chrom) WHERE "start" >= 2"""
+
+
+@query(f"SELECT tx, CAST(block AS BIGINT) AS block, dn, dn = 'AGGT' AS flanked FROM ({_BESIDE})", "v_dna", "v_exon")
+def p10_flank_dinuc(spark, sf):
+    """The two bases in front of and behind each exon, as its strand reads them."""
+    dn = S.flank_dinucleotides(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"))
+    return _exon_parts(spark, sf).where("start >= 2").select("tx", long("block"), dn.alias("dn"), (dn == "AGGT").alias("flanked"))
+
+
+_AT = f"""SELECT tx, block, strand, i."start" AS s, i."end" AS e, seq, CAST(1 + tx % 9 AS INTEGER) AS k FROM v_intron i JOIN ({_GENOME}) g USING (chrom)"""
+_TRIPLE = f"""SELECT tx, block, substr(seq, greatest(s - 12, 0) + 1, least(s, 12)) AS up, substr(seq, s + 1, k) AS found, substr(seq, s + k + 1, 30) AS down FROM ({_AT}) WHERE length(seq) >= s + 40"""
+
+
+def _intron_seqs(spark, sf) -> DataFrame:
+    return A.introns(v_exon(spark, sf)).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom")
+
+
+@query(
+    f"""SELECT tx, CAST(block AS BIGINT) AS block, CASE WHEN length(found) <= length(up) THEN length(found) + {_prefix_sql('reverse(up)', 'reverse(up || found)')} ELSE 0 END AS dru,
+{_prefix_sql('(found || down)', 'down')} AS drd FROM ({_TRIPLE})""",
+    "v_dna", "v_intron",
+)
+def p18_direct_repeat(spark, sf):
+    """Insertions at the start of every intron: how far each may move either way."""
+    s, k = F.col("start"), (1 + F.col("tx") % 9).cast("int")
+    d = _intron_seqs(spark, sf).where(F.length("seq") >= s + 40)
+    cut = lambda a, b: S.slice_seq(F.col("seq"), a, b)
+    d = d.select("tx", "block", cut(F.greatest(s - 12, F.lit(0)), s).alias("up"), cut(s, s + k).alias("found"), cut(s + k, s + k + 30).alias("down"))
+    return d.select("tx", long("block"), S.direct_repeat_up(F.col("up"), F.col("found")).cast("long").alias("dru"), S.direct_repeat_down(F.col("down"), F.col("found")).cast("long").alias("drd"))
+
+
+@query(f"SELECT tx, CAST(block AS BIGINT) AS block, coalesce(nullif(substr(substr(seq, s + 1, e - s), CAST(tx % 90 + 1 AS INTEGER), 7), ''), 'ACGTACG') AS moved FROM ({_AT})", "v_dna", "v_intron")
+def p19_reanchor(spark, sf):
+    d = _intron_seqs(spark, sf).withColumn("read", S.slice_seq(F.col("seq"), F.col("start"), F.col("end")))
+    return d.select("tx", long("block"), D.reanchor(F.lit("ACGTACG"), F.col("tx") % 90, F.lit(0), F.col("read")).alias("moved"))
+
+
+_WINDOWS = f"""SELECT tx, block, CASE WHEN strand = '-' THEN reverse(translate(substr(seq, e - 4, 5), 'ACGT', 'TGCA')) ELSE substr(seq, s + 1, 5) END AS f,
+  CASE WHEN strand = '-' THEN reverse(translate(substr(seq, s + 1, 5), 'ACGT', 'TGCA')) ELSE substr(seq, e - 4, 5) END AS l FROM ({_AT}) WHERE length(seq) >= e"""
+
+
+@query(f"SELECT tx, CAST(block AS BIGINT) AS block, {_score_sql('f')} AS donor, {_score_sql('l')} AS acceptor FROM ({_WINDOWS})", "v_dna", "v_intron")
+def p22_pwm_score(spark, sf):
+    """Windows at both ends of every intron, as its strand reads them."""
+    d = _intron_seqs(spark, sf).where(F.length("seq") >= F.col("end"))
+    intron = S.stranded(S.slice_seq(F.col("seq"), F.col("start"), F.col("end")), F.col("strand"))
+    score = lambda w: F.round(S.pwm_score(w, MATRIX), 6)
+    return d.select("tx", long("block"), score(F.left(intron, F.lit(5))).alias("donor"), score(F.right(intron, F.lit(5))).alias("acceptor"))
+
+
+_LEARN = f"""w AS (SELECT substr(seq, "start" - 2, 13) AS s FROM ({_LEADS}) x JOIN ({_GENOME}) g USING (chrom) WHERE host_start IS NOT NULL AND host_end IS NOT NULL AND "start" >= 3 AND length(seq) >= "start" + 10),
+x AS (SELECT CAST(i AS BIGINT) AS pos, substr(s, CAST(i + 1 AS INTEGER), 1) AS nt FROM w, range(0, 13) t(i)), m AS (SELECT pos, """ + ", ".join(f"count(*) FILTER (WHERE nt = '{c}') / count(*) AS {c.lower()}" for c in "ACGT") + " FROM x GROUP BY pos)"
+
+
+def _learned(spark, sf) -> DataFrame:
+    parts = A.internal(v_exon(spark, sf)).where("start >= 3").join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom").where(F.length("seq") >= F.col("start") + 10)
+    return A.learn_matrix(parts.select(S.slice_seq(F.col("seq"), F.col("start") - 3, F.col("start") + 10).alias("seq")))
+
+
+@query(f"WITH {_LEARN} SELECT pos, round(a, 6) AS a, round(c, 6) AS c, round(g, 6) AS g, round(t, 6) AS t FROM m", "v_dna", "v_exon")
+def a16_pwm_learn(spark, sf):
+    """Shares by position of windows around the starts of all internal exons."""
+    return _learned(spark, sf).select(F.col("pos").cast("long").alias("pos"), *(F.round(F.col(c), 6).alias(c.lower()) for c in "ACGT"))
+
+
+@query(f"WITH {_LEARN} SELECT count(*) AS positions, round(sum(greatest(a, c, g, t)), 6) AS best FROM m", "v_dna", "v_exon")
+def p23_pwm_max(spark, sf):
+    """The largest sum that a window can reach in the learned matrix."""
+    return _learned(spark, sf).agg(F.count("*").alias("positions"), F.round(F.sum(F.greatest(*"ACGT")), 6).alias("best"))
+
+
 _TX = f"SELECT tx, strand, CASE WHEN strand = '-' THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END AS seq FROM (SELECT tx, strand, string_agg(part, '' ORDER BY \"start\") AS s FROM ({_PARTS}) GROUP BY tx, strand)"
 
 
@@ -435,9 +469,16 @@ def p42_strand_flip(spark, sf):
     return d.select("flag", of("MATE1_SENSE").alias("mate1"), of("MATE2_SENSE").alias("mate2"), of("ANTISENSE").alias("antisense"), "n")
 
 
-@query("SELECT supp % 5 AS kind, count(*) AS n FROM v_align WHERE NOT regexp_matches(cigar, '[SD]') GROUP BY 1", "v_align")
+_EXOTIC = [(0, "'5H' || cigar", lambda c: F.concat(F.lit("5H"), c)), (1, "cigar || '3X'", lambda c: F.concat(c, F.lit("3X"))), (2, "cigar || '2P'", lambda c: F.concat(c, F.lit("2P"))), (3, "'7=' || cigar", lambda c: F.concat(F.lit("7="), c))]
+
+
+@query(f"WITH x AS (SELECT *, CASE line {' '.join(f'WHEN {k} THEN {sql}' for k, sql, _ in _EXOTIC)} ELSE cigar END AS written FROM ({_CUT})) SELECT read, line, tag, supp, CAST(len(b) AS BIGINT) AS blocks FROM x WHERE NOT regexp_matches(written, '[HPX=]')", "v_align")
 def f23_cigar_ops(spark, sf):
-    return v_align(spark, sf).where(~F.col("cigar").rlike("[SD]")).groupBy((F.col("supp") % 5).alias("kind")).agg(F.count("*").alias("n"))
+    """Reads with an operation of H, P, X or = are left out of the blocks."""
+    cigar = F.col("cigar")
+    for k, _, of in _EXOTIC:
+        cigar = F.when(F.col("line") == k, of(F.col("cigar"))).otherwise(cigar)
+    return R.blocks_of(v_align(spark, sf).withColumn("cigar", cigar)).select("read", "line", "tag", "supp", F.size("blocks").cast("long").alias("blocks"))
 
 
 @query("SELECT page_id, CAST(len(string_split(url, '/')) AS BIGINT) AS n FROM pages WHERE len(string_split(url, '/')) = 5")
