@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from .store import Scratch
 
+_SALTS = 16
+
 
 def _mark(edges: DataFrame):
     return edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -22,8 +24,9 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     mark, step = _mark(now), 0
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # only nodes with a larger neighbour are asked for; one of very many neighbours is dealt over salts
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.max("v").alias("x")).where("x > u").select("u", F.least("u", "m").alias("m"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+        large = both.where("v > u").withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(_SALTS)).cast("int")).join(least, ["u", "salt"]).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = scratch.write(large, f"{name}-large")
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(small, "u").where("v <> m").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v"))
