@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import beta_probability
+from .intervals import carried
 
 NODE = ["gene", "node", "coord", "strand", "type"]
 
@@ -68,6 +69,12 @@ def cluster_files(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cluster").agg(F.array_join(F.array_sort(F.collect_list("file")), ",").alias("files"), F.count("*").alias("n"))
 
 
+def _placed(rows: DataFrame, group: list[str]) -> tuple[DataFrame, Column]:
+    """Rows and their 0-based place in the order of (key, file) in their group; ranges of the hash ``key`` spread a group over tasks."""
+    d = carried(rows.withColumn("at", F.conv(F.substring("key", 1, 3), 16, 10).cast("int")), group, "at", F.lit(1), F.sum, 1)
+    return d, F.coalesce("carried", F.lit(0)) + F.row_number().over(Window.partitionBy(*group, "bin").orderBy("key", "file")) - 1
+
+
 def pools(comparisons: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
     """Cells of each comparison's sides dealt into pools in every repeat: (comparison, side, rep, pool, file), pools from 1.
 
@@ -75,7 +82,7 @@ def pools(comparisons: DataFrame, cells: DataFrame, seed: int) -> DataFrame:
     """
     d = named_clusters(comparisons).withColumn("rep", F.explode(F.sequence(F.lit(1), "repeats"))).join(cells, "cluster")
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("rep").cast("string"), F.col("file").cast("string")))
-    place = F.row_number().over(Window.partitionBy("comparison", "side", "rep").orderBy(key, "file")) - 1
+    d, place = _placed(d.withColumn("key", key), ["comparison", "side", "rep"])
     return d.withColumn("pool", (F.pmod(place, F.col("n_pools")) + 1).cast("int")).select("comparison", "side", "rep", "pool", "file")
 
 
@@ -94,7 +101,7 @@ def membership(cells: DataFrame, seed: int) -> DataFrame:
     """(cluster, bulk, files): each cluster's cells dealt into its pseudo-bulks."""
     sized = cells.join(cells.groupBy("cluster").agg(F.count("*").alias("n")), "cluster").withColumn("bulks", pseudo_bulk_count(F.col("n")))
     key = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("file").cast("string")))
-    place = F.row_number().over(Window.partitionBy("cluster").orderBy(key, "file")) - 1
+    sized, place = _placed(sized.withColumn("key", key), ["cluster"])
     d = sized.withColumn("bulk", (F.pmod(place, F.col("bulks")) + 1).cast("int"))
     return d.groupBy("cluster", "bulk").agg(F.array_join(F.transform(F.array_sort(F.collect_list("file")), lambda x: x.cast("string")), ",").alias("files"))
 

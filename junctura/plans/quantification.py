@@ -578,10 +578,11 @@ def p47_join_text(spark, sf):
 # sets -----------------------------------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT event_type, count(*) AS n FROM (SELECT event_type FROM events UNION ALL SELECT event_type FROM events) GROUP BY 1")
+@query("SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT l_linestatus FROM lineitem UNION ALL SELECT o_orderstatus FROM orders) GROUP BY 1")
 def u1_union(spark, sf):
-    e = table(spark, sf, "events").select("event_type")
-    return e.unionByName(e).groupBy("event_type").agg(F.count("*").alias("n"))
+    """Tables of several files under one another."""
+    parts = [table(spark, sf, t).select(F.col(c).alias("kind")) for t, c in (("events", "event_type"), ("lineitem", "l_linestatus"), ("orders", "o_orderstatus"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("SELECT me, 'new' AS origin FROM v_cov WHERE inc > skip UNION ALL SELECT me, 'db' FROM v_cov WHERE inc < skip", "v_cov")

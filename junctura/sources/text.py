@@ -5,16 +5,22 @@ Rows of the wrong arity are dropped, as the formats' users expect; positions bec
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import cigar as C
+from ..operators.intervals import mean_value
+
 BED12 = "chrom start end name score strand thick_start thick_end rgb block_count block_sizes block_starts".split()
 SAM = "read flag tag pos mapq cigar rnext pnext tlen seq qual".split()
 
 
 def fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(id, seq), upper case; the id ends at the first blank.  Records are split by Spark's reader, so a file's records are read in parallel."""
-    rows = spark.read.option("lineSep", ">").text(path).where(F.trim("value") != "")
+    """(id, seq), upper case; the id ends at the first blank.
+
+    A record begins at a line with ``>`` in front; the sign may also stand inside a header.  Records are split by Spark's reader, so a file's records are read in parallel.
+    """
+    rows = spark.read.option("lineSep", "\n>").text(path).select(F.regexp_replace("value", "^>", "").alias("value")).where(F.trim("value") != "")
     head = F.substring_index("value", "\n", 1)
     body = F.substring("value", F.length(head) + 2, F.length("value"))
     return rows.select(F.regexp_extract(head, r"^(\S+)", 1).alias("id"), F.upper(F.regexp_replace(body, r"\s+", "")).alias("seq"))
@@ -29,18 +35,39 @@ def chrom_sizes(genome: DataFrame) -> DataFrame:
     return genome.select(F.col("id").alias("chrom"), F.length("seq").cast("long").alias("size"))
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line, value): text lines with their 0-based number in their file, whatever the number of splits it is read in.
+
+    A first pass counts the lines of each split; a line's number is that of the lines in splits in front of its own, and its place in the split.
+    """
+    at = {"file": F.col("_metadata.file_path"), "split": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
+    lines = spark.read.text(path).select("value", *(c.alias(n) for n, c in at.items()))
+    splits = lines.groupBy("file", "split").agg(F.min("row").alias("first"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return lines.join(splits.select("file", "split", "first", before.alias("before")), ["file", "split"]).select("file", (F.col("before") + F.col("row") - F.col("first")).alias("line"), "value")
+
+
 def fastq(spark: SparkSession, path: str) -> DataFrame:
-    """(id, seq, qual, file).  A record begins at a line with @ two lines in front of one with +; its lines are gathered by their place in the file.
+    """(id, seq, qual, file): records of four lines each, of plain or compressed files of any number of splits.
 
-    Splits of a file keep byte order, so a line's place comes from Spark's row ids within the split; gzipped files are one split.  Files must be
-    gzipped or no longer than a split, and are read in parallel.
+    Blank lines at the end are skipped, a record cut off by the end of its file has null fields, and a file whose records do not begin with @ and + is refused.
     """
-    lines = spark.read.text(path).select("value", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("row"))
-    split = F.shiftright("row", 33)
-    at = F.col("row") - F.shiftleft(split, 33)
-    by = lines.withColumn("record", F.floor(at / 4)).withColumn("part", at % 4).groupBy("file", split.alias("split"), "record")
+    d = numbered_lines(spark, path).select("file", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("part"), "value")
     pick = lambda i: F.max(F.when(F.col("part") == i, F.col("value")))
-    return by.agg(pick(0).alias("h"), pick(1).alias("seq"), pick(3).alias("qual")).where(F.col("h").startswith("@")).select(F.regexp_extract("h", r"^@(\S+)", 1).alias("id"), "seq", "qual", "file")
+    d = d.groupBy("file", "record").agg(pick(0).alias("h"), pick(1).alias("seq"), pick(2).alias("plus"), pick(3).alias("qual")).where(F.trim(F.concat_ws("", "h", "seq", "plus", "qual")) != "")
+    wrong = ~F.col("h").startswith("@") | ~F.coalesce(F.col("plus").startswith("+"), F.lit(True))
+    ident = F.when(wrong, F.raise_error(F.concat(F.lit("no FASTQ record at line "), (F.col("record") * 4 + 1).cast("string"), F.lit(" of "), "file"))).otherwise(F.regexp_extract("h", r"^@(\S*)", 1))
+    return d.select(ident.alias("id"), "seq", "qual", "file")
+
+
+def run_of(file: Column) -> Column:
+    """The run that a read file belongs to: its name without folder, endings and mate number."""
+    return F.regexp_replace(F.element_at(F.split(file, "/"), -1), r"(_[12])?\.(fastq|fq)(\.(gz|bz2))?$", "")
+
+
+def run_reads(reads: DataFrame) -> DataFrame:
+    """Reads (id, seq, qual, file) with their ``run``: both mates' files are one run, a single file is the run whatever its mate number."""
+    return reads.withColumn("run", run_of(F.col("file"))).drop("file")
 
 
 def valid_reads(reads: DataFrame) -> DataFrame:
@@ -84,6 +111,20 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     return d.select("read", F.col("flag").cast("int"), "tag", (F.col("pos").cast("int") - 1).alias("start"), "cigar", "seq", "qual", F.nullif(tag("AS"), F.lit("")).cast("int").alias("score"), F.nullif(tag("XS"), F.lit("")).cast("int").alias("second"), F.nullif(tag("XA"), F.lit("")).alias("others"))
 
 
+def region_reads(alignments: DataFrame, chrom: str, start: int, end: int) -> DataFrame:
+    """Mapped alignments (tag, start, cigar, flag) that cover a base of ``start:end`` (0-based) of a chromosome."""
+    ops = C.parse(F.col("cigar"))
+    stop = F.col("start") + F.greatest(C.length_of(ops, "MDN=X"), F.lit(1))
+    return alignments.where((F.col("tag") == chrom) & (F.col("flag").bitwiseAND(4) == 0) & (F.col("start") < end) & (stop > start))
+
+
+def conservation(regions: DataFrame, values: DataFrame | None, ident: list[str], flank: int = 2) -> DataFrame:
+    """Mean of interval values over each region widened by ``flank``; 0 where nothing is known, and everywhere without ``values``."""
+    if values is None:
+        return regions.select(*ident).distinct().withColumn("mean", F.lit(0.0))
+    return mean_value(regions, values, ident, flank).withColumn("mean", F.coalesce("mean", F.lit(0.0)))
+
+
 def weight_matrix(spark: SparkSession, path: str) -> list[dict[str, float]]:
     """A position weight matrix: tens of rows of a headered table."""
     return [{k: float(v) for k, v in r.asDict().items()} for r in spark.read.csv(path, sep="\t", header=True).select("A", "C", "G", "T").collect()]
@@ -144,6 +185,11 @@ def write_fasta(df: DataFrame, path: str) -> None:
     df.select(F.concat(F.lit(">"), "id", F.lit("\n"), "seq")).write.mode("overwrite").text(path)
 
 
+def write_fastq(df: DataFrame, path: str) -> None:
+    """Reads (id, seq, qual) as gzipped records of four lines."""
+    df.select(F.concat(F.lit("@"), "id", F.lit("\n"), "seq", F.lit("\n+\n"), "qual")).write.mode("overwrite").option("compression", "gzip").text(path)
+
+
 def write_gtf(df: DataFrame, path: str) -> None:
     """Rows of :func:`junctura.operators.isoforms.gtf_rows` as text."""
     df.select(F.concat_ws("\t", "chrom", "source", "feature", (F.col("start") + 1).cast("string"), F.col("end").cast("string"), F.lit("."), "strand", F.lit("."), "attributes")).write.mode("overwrite").text(path)
