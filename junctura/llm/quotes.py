@@ -25,22 +25,28 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"\s+", " "))
 
 
-def parse_quotes(messages: DataFrame) -> DataFrame:
+#: How mail programs introduce a quote, in lower case; a line that fits counts only in front of a quote.
+ATTRIBUTION = r"(wrote|writes|said|schrieb|schreef|skrev|escribi\u00f3|escreveu|ha scritto|a \u00e9crit|a ecrit|pisze|napisa\u0142(a|\(a\))?)\s*:\s*$|^-+ ?(original message|forwarded message|urspr\u00fcngliche nachricht|mensaje original) ?-+$"
+
+
+def parse_quotes(messages: DataFrame, attribution: str = ATTRIBUTION) -> DataFrame:
     """Each message with ``own`` (its text without quotes and attribution lines) and ``parts``: (level, key, short) of its passages.
 
+    An attribution is a line that fits the pattern, in lower case and trimmed, with nothing but blank lines between it and a quote.
+
     Own passages have level 0.  A passage is a whole run of lines of one level, a paragraph or a line; its key hashes the normalised text, and only
     a blank one has none.  ``short`` marks a line of less than ten characters that is neither a run nor a paragraph.
     """
-    lines = F.split(F.translate(F.coalesce("text", F.lit("")), "\x1e\x1f", "  "), "\r?\n")
+    lines = F.split(F.coalesce("text", F.lit("")), "\r?\n")
     d = messages.withColumn("lines", F.transform(lines, lambda x: F.struct(quote_level(x).alias("level"), F.regexp_replace(x, _PREFIX, "").alias("line"))))
-    # a level-0 line that ends in "wrote:" right in front of a quote belongs to the quote
-    attribution = lambda x, i: (x["level"] == 0) & F.lower(F.trim(x["line"])).endswith("wrote:") & (F.coalesce(F.get("lines", i + 1)["level"], F.lit(0)) > 0)
-    d = d.withColumn("lines", F.transform("lines", lambda x, i: F.struct(F.when(attribution(x, i), -1).otherwise(x["level"]).alias("level"), x["line"].alias("line"))))
+    behind = lambda i: F.get(F.filter(F.slice("lines", i + 2, F.size("lines")), lambda y: (y["level"] > 0) | (F.trim(y["line"]) != "")), 0)["level"]
+    introduces = lambda x, i: F.when((x["level"] == 0) & F.lower(F.trim(x["line"])).rlike(attribution), F.coalesce(behind(i), F.lit(0)) > 0).otherwise(F.lit(False))
+    d = d.withColumn("lines", F.transform("lines", lambda x, i: F.struct(F.when(introduces(x, i), -1).otherwise(x["level"]).alias("level"), x["line"].alias("line"))))
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
     d = d.withColumn("own", F.regexp_replace(own, r"^\s+|\s+$", ""))
     # runs of one level as text: a separator stands in front of each line whose level is new
     new = lambda x, i: F.coalesce(F.get("lines", i - 1)["level"] != x["level"], F.lit(True))
-    marked = F.array_join(F.transform("lines", lambda x, i: F.concat(F.when(new(x, i), F.concat(F.lit("\x1e"), x["level"].cast("string"), F.lit("\x1f"))).otherwise("\n"), x["line"])), "")
+    marked = F.array_join(F.transform("lines", lambda x, i: F.concat(F.when(new(x, i), F.concat(F.lit("\x1e"), x["level"].cast("string"), F.lit("\x1f"))).otherwise("\n"), F.translate(x["line"], "\x1e\x1f", "  "))), "")
     d = d.withColumn("runs", F.filter(F.split(marked, "\x1e"), lambda r: r != "")).drop("lines")
     level = lambda r: F.substring_index(r, "\x1f", 1).cast("int")
     text = lambda r: F.substring_index(r, "\x1f", -1)
@@ -64,7 +70,10 @@ def link_quotes(messages: DataFrame) -> DataFrame:
 
 
 def reply_order(replies: DataFrame, scratch: Scratch) -> DataFrame:
-    """(conv_id, turn, reply_to) with ``thread`` (the first message of the chain of replies) and ``depth``, by pointer doubling."""
+    """(conv_id, turn, reply_to) with ``thread`` (the first message of the chain of replies) and ``depth``, by pointer doubling.
+
+    Each (conv_id, turn) comes once and replies to an earlier turn; none of the three is null.  An empty table gives an empty one.
+    """
     now = scratch.write(replies.select("conv_id", "turn", "reply_to", F.col("reply_to").alias("thread"), F.lit(1).alias("depth")), "hop0")
     step = 0
     while True:
@@ -77,7 +86,7 @@ def reply_order(replies: DataFrame, scratch: Scratch) -> DataFrame:
             return now
 
 
-def build_conversations(messages: DataFrame) -> DataFrame:
+def build_conversations(messages: DataFrame, attribution: str = ATTRIBUTION) -> DataFrame:
     """Conversations (conv_id, turn, role, text) in reply order: each row with ``own`` text, ``reply_to``, ``thread``, ``depth``, ``n_quotes``.
 
     A message replies to the latest of the messages that its least nested linked quotes come from; without a linked quote it begins a thread.  Single
@@ -86,7 +95,7 @@ def build_conversations(messages: DataFrame) -> DataFrame:
     linking, and all are returned; rows without conv_id or turn, and null texts, have no links.  Other columns are dropped.
     """
     scratch = Scratch(messages.sparkSession, "quotes")
-    parsed = scratch.write(parse_quotes(messages.select("conv_id", "turn", "role", "text")), "parsed")
+    parsed = scratch.write(parse_quotes(messages.select("conv_id", "turn", "role", "text"), attribution), "parsed")
     links = scratch.write(link_quotes(parsed), "links")
     best = links.groupBy("conv_id", "turn").agg(F.min(F.struct("short", "level", (-F.col("origin")).alias("o"))).alias("b"), F.count("*").alias("n_quotes"))
     replies = scratch.write(best.select("conv_id", "turn", (-F.col("b.o")).alias("reply_to"), "n_quotes"), "replies")

@@ -1,8 +1,11 @@
 """Quotation linking on small conversations."""
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
-from junctura.llm.quotes import build_conversations, parse_quotes, quote_level
+from junctura.llm.quotes import ATTRIBUTION, build_conversations, parse_quotes, quote_level
 
 A = "Hello everybody here.\nShall we meet on Monday?\n\nA second paragraph of mine."
 ROWS = [
@@ -74,3 +77,84 @@ def test_longer_passages_win(spark):
     got = {r.turn: r for r in run(spark, rows)}
     assert (got[2].reply_to, got[2].n_quotes) == (0, 2)
     assert (got[3].reply_to, got[3].n_quotes) == (1, 1)
+
+
+PATTERN = re.compile(ATTRIBUTION)
+
+
+def brute(rows):
+    """Linking by loops over the messages of each conversation."""
+    def level(line):
+        return re.match(r"(?:[ \t]*>)*", line)[0].count(">")
+
+    def parse(text):
+        lines = [(level(x), re.sub(r"^(?:[ \t]*>)+[ \t]?", "", x)) for x in re.split("\r?\n", text or "")]
+        out = []
+        for i, (n, x) in enumerate(lines):
+            after = next((m for m, y in lines[i + 1 :] if m > 0 or y.strip(" ")), 0)
+            out.append((-1 if n == 0 and PATTERN.search(x.strip(" ").lower()) and after > 0 else n, x))
+        parts, i = {}, 0
+        while i < len(out):
+            j = i
+            while j < len(out) and out[j][0] == out[i][0]:
+                j += 1
+            run = "\n".join(x for _, x in out[i:j])
+            wide = {run, *re.split(r"\n\s*\n", run)}
+            for p, line in [(p, False) for p in wide] + [(p, True) for p in set(run.split("\n")) - wide]:
+                key = re.sub(r"\s+", " ", p.lower()).strip(" ")
+                if key and out[i][0] >= 0:
+                    at = out[i][0], key
+                    parts[at] = parts.get(at, True) and line and len(key) < 10
+            i = j
+        return "\n".join(x for n, x in out if n == 0).strip(), parts
+
+    parsed = [(c, t, *parse(x)) for c, t, _, x in rows]
+    first = {}
+    for c, t, _, parts in parsed:
+        for n, key in parts:
+            if n == 0 and c is not None and t is not None:
+                first[c, key] = min(t, first.get((c, key), t))
+    replies, counts = {}, {}
+    for c, t in {(c, t) for c, t, *_ in parsed if c is not None and t is not None}:
+        links = {}
+        for _, _, _, parts in (p for p in parsed if p[:2] == (c, t)):
+            for (n, key), short in parts.items():
+                o = first.get((c, key))
+                if n > 0 and o is not None and o < t:
+                    links[n, o] = links.get((n, o), True) and short
+        if links:
+            short, n, o = min((s, n, -o) for (n, o), s in links.items())
+            replies[c, t], counts[c, t] = -o, len(links)
+    out = []
+    for c, t, own, _ in parsed:
+        thread, depth, at = t, 0, t
+        while (c, at) in replies:
+            at = thread = replies[c, at]
+            depth += 1
+        out.append((c, t, own, replies.get((c, t)), thread, depth, counts.get((c, t), 0)))
+    return sorted(out, key=str)
+
+
+def test_matches_brute_force(spark):
+    r = random.Random(6)
+    said = ["Yes, ok.", "no", "A longer sentence about the plan.", "We meet at\nnoon, as ever.", "Ünïcode Straße", "a\x1eb \x1f c", "", " ", "Another thing:\n\nit rains today"]
+    intro = ["Ann wrote:\n", "Am Montag schrieb Bo:\n\n", "Le 3 mai, Ann a écrit :\n", "-----Original Message-----\n", "Ann said nothing here\n", ""]
+    rows = []
+    for c in range(40):
+        texts = []
+        for t in range(r.randint(1, 9)):
+            text = r.choice(said)
+            if texts and r.random() < 0.7:
+                old = r.choice(texts)
+                text = r.choice(intro) + "\n".join(r.choice([">", "> ", " >"]) + x for x in old.split("\n")) + r.choice(["\n", "\n\n", "\r\n"]) + text
+            texts.append(text)
+            rows.append((c, t, "user", text))
+    rows += [(3, 1, "user", "> Yes, ok.\nagain"), (3, 1, "user", "> Yes, ok.\nagain"), (None, 1, "user", "> no"), (5, None, "user", "> no"), (6, 7, None, None), (7, 90, "user", "> " + "no " * 100_000)]
+    got = sorted(((x.conv_id, x.turn, x.own, x.reply_to, x.thread, x.depth, x.n_quotes) for x in run(spark, rows)), key=str)
+    assert got == brute(rows) and sum(x[6] > 0 for x in got) > 40
+
+
+def test_attribution_lines(spark):
+    texts = ["Ann wrote:\n\n> x y z\nmine", "Ann a écrit :\n> x\nmine", "She wrote:\nnothing quoted", "He wrote:\nmine\n> x", "a\x1e\x1fb"]
+    got = [x.own for x in parse_quotes(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
+    assert got == ["mine", "mine", texts[2], "He wrote:\nmine", "a\x1e\x1fb"]
