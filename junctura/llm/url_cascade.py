@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .store import Scratch
 
+_SALTS = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,6 +66,10 @@ def suffixes(host: Column) -> Column:
     return F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels) - i), "."))
 
 
+class TooLong(ValueError):
+    """A list that needs a longer filter than allowed."""
+
+
 @dataclass(frozen=True)
 class Level:
     bits: int
@@ -102,7 +107,7 @@ def _build(keys: DataFrame, count: int, level: int, rate: float, most: int) -> L
     """A filter of ``keys``: each key's bits are grouped into words, so only the words reach the driver."""
     bits = max(64, math.ceil(count * math.log2(1 / rate) / math.log(2)))
     if bits > most:
-        raise ValueError(f"the filter of {count} keys takes {bits} bits, more than {most}; raise max_bits or use exact_listed()")
+        raise TooLong(f"the filter of {count} keys takes {bits} bits, more than {most}; raise max_bits or use listed_hosts()")
     hashes = max(1, round(math.log2(1 / rate)))
     at = keys.select(F.explode(F.array(*_places(F.col("key"), level, bits, hashes))).alias("p"))
     bit = F.expr("shiftleft(1L, cast(p % 64 as int))")
@@ -117,7 +122,7 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = 1 << 2
     """A cascade for the ``key`` column of ``listed`` over that of ``universe``; nulls and repeated keys are dropped.
 
     Listed keys that the universe lacks take part too.  A list whose first filter needs more than ``max_bits`` is refused with ValueError, since
-    filters are literals of the plan; :func:`exact_listed` serves such lists by a hash join.
+    filters are literals of the plan; :func:`listed_hosts` serves such lists by joins.
     """
     scratch = Scratch(listed.sparkSession, "cascade")
     yes = scratch.write(listed.select("key").where("key is not null").distinct(), "listed")
@@ -133,20 +138,26 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = 1 << 2
     return Cascade(tuple(levels))
 
 
-def exact_listed(urls: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """``urls`` with a boolean ``listed`` by a hash join, for lists too long for literals."""
-    known = listed.select(F.col("key").alias(key)).where(F.col(key).isNotNull()).distinct().withColumn("listed", F.lit(True))
-    return urls.drop("listed").join(known, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+def listed_hosts(hosts: DataFrame, listed: DataFrame) -> DataFrame:
+    """The distinct hosts of ``hosts`` of which any suffix is a key of ``listed``, by hash joins: for lists of any length."""
+    known = listed.select("key").where("key is not null").distinct()
+    return hosts.select("host").distinct().select("host", F.explode(suffixes(F.col("host"))).alias("key")).join(known, "key", "left_semi").select("host").distinct()
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, ident: str = "page_id", url: str = "url") -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], listed: DataFrame, ident: str = "page_id", url: str = "url", max_bits: int = 1 << 20) -> DataFrame:
     """``ident``, host, path, rule, verdict, listed for every URL; a rule decides, else the list of sites blocks.
 
-    A host is listed if it or any of its suffixes of whole labels is a listed key, however many labels the key has.
+    A host is listed if it or any of its suffixes of whole labels is a listed key, however many labels the key has.  A list whose filters would exceed
+    ``max_bits`` (2**20 bits hold about 700 000 keys) is looked up by joins of distinct hosts instead, with the same verdicts; hot hosts are dealt over salts.
     A null URL, or one without ``://``, has an empty host and path and is allowed unless a rule or the list says otherwise.  Repeated rows stay.
     """
     d = pages.select(F.col(ident).alias(ident), host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
-    cascade = build_cascade(listed, d.select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key")))
-    d = d.withColumn("said", match_rule(rules, F.col("host"), F.col("path"))).withColumn("listed", F.exists(suffixes(F.col("host")), cascade.listed))
+    try:
+        cascade = build_cascade(listed, d.select("host").distinct().select(F.explode(suffixes(F.col("host"))).alias("key")), max_bits)
+        d = d.withColumn("listed", F.exists(suffixes(F.col("host")), cascade.listed))
+    except TooLong:
+        known = listed_hosts(d, listed).select("host", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"), F.lit(True).alias("listed"))
+        d = d.withColumn("salt", F.pmod(F.xxhash64(ident, "path"), F.lit(_SALTS)).cast("int")).join(known, ["host", "salt"], "left").drop("salt").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    d = d.withColumn("said", match_rule(rules, F.col("host"), F.col("path")))
     verdict = F.coalesce(F.col("said.verdict"), F.when(F.col("listed"), "block").otherwise("allow"))
     return d.select(ident, "host", "path", F.col("said.rule").alias("rule"), verdict.alias("verdict"), "listed")

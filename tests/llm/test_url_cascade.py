@@ -1,6 +1,6 @@
 """URL rules and cascades against brute force."""
 
-from junctura.llm.url_cascade import Cascade, Rule, build_cascade, exact_listed, judge_urls, match_rule, site
+from junctura.llm.url_cascade import Cascade, Rule, build_cascade, judge_urls, listed_hosts, match_rule, site
 from pyspark.sql import functions as F
 
 import pytest
@@ -41,8 +41,8 @@ def test_cascade_is_exact(spark):
     judged = universe.withColumn("is", cascade.listed(F.col("key"))).where("is <> (cast(substring(key, 2) as int) % 7 = 0)")
     assert judged.count() == 0
     assert sum(x.bits for x in cascade.levels) < 3000 * 8
-    same = exact_listed(universe, listed, "key").withColumn("is", cascade.listed(F.col("key")))
-    assert same.where("is <> listed").count() == 0
+    same = listed_hosts(universe.withColumnRenamed("key", "host"), listed).select(F.col("host").alias("key"))
+    assert same.exceptAll(universe.where(cascade.listed(F.col("key")))).count() == 0 and same.count() == listed.count()
 
 
 def test_empty_and_large(spark):
@@ -61,3 +61,10 @@ def test_listed_keys_of_any_length(spark):
     listed = spark.createDataFrame([("evil.com",), ("p.q.r.s",), ("zone",)], "key string")
     urls = spark.createDataFrame([(i, f"http://{h}/") for i, h in enumerate(hosts)], "page_id long, url string")
     assert {r.host: r.listed for r in judge_urls(urls, [], listed).collect()} == hosts
+
+
+def test_long_lists_give_the_same_verdicts(spark):
+    df = spark.createDataFrame([(i, u) for i, u in enumerate(URLS * 3)] + [(None, None), (9, "http://" + "a." * 60 + "spam.b.net/" + "x" * 100_000)], "page_id long, url string")
+    listed = spark.createDataFrame([("spam.b.net",), ("b.com",), ("",), (None,)] + [(f"k{i}.org",) for i in range(200)], "key string")
+    short = sorted(map(str, judge_urls(df, RULES, listed).collect()))
+    assert sorted(map(str, judge_urls(df, RULES, listed, max_bits=100).collect())) == short and len(short) == len(URLS) * 3 + 2
