@@ -115,7 +115,7 @@ def write_warc(pages: DataFrame, min_revisit_bytes: int = 0, date: str = "1970-0
 
 
 def ranges(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20) -> DataFrame:
-    """Byte ranges that cover the index's records: neighbours in a file up to ``gap`` bytes apart, in ranges of about ``most`` bytes."""
+    """Byte ranges that cover the index's records: neighbours in a file up to ``gap`` bytes apart, in ranges of about ``most`` bytes.  Repeated rows count once."""
     by = Window.partitionBy("file").orderBy("offset")
     end = F.col("offset") + F.col("length")
     breaks = (F.col("offset") - F.lag(end).over(by) > gap) | (F.floor(F.col("offset") / most) != F.floor(F.lag("offset").over(by) / most))
@@ -136,8 +136,14 @@ def _read(batches):
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in zip(rows[0], types, strict=True)], list(rows[0]))
 
 
-def read_warc(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20) -> DataFrame:
-    """The records of an index or of any selection of its rows; a revisit has no payload of its own.  A damaged record raises."""
+def read_warc(index: DataFrame, gap: int = 64 << 10, most: int = 8 << 20, part_bytes: int = 4 << 20) -> DataFrame:
+    """The records of an index or of any selection of its rows; a revisit has no payload of its own.  A damaged record raises.
+
+    Rows that name the same record give it once; rows without a place (file, offset, length) are left out, and an empty index gives no record.
+    Ranges are dealt over as many partitions as their bytes fill, since an index row tells little of what its range holds.
+    """
+    index = index.where("file is not null and offset is not null and length is not null")
     runs = ranges(index, gap, most)
+    parts = max(1, -(-int(index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]) // part_bytes))
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return runs.repartition("file", "run").mapInArrow(_read, schema)
+    return runs.repartition(parts, "file", "run").mapInArrow(_read, schema)
