@@ -128,7 +128,7 @@ def learn(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
     stats = base_statistics(used, "id", "t").join(F.broadcast(known), F.col("id") == F.col("known")).where(~base_failed())
     made = features()
     grow = F.pmod(F.xxhash64("id", F.lit("grow")), F.lit(3)) < 2
-    rows = scratch.write(stats.select(*(c.alias(n) for n, c in made.items()), "low", grow.alias("grow")).coalesce(4), "rows")
+    rows = scratch.write(stats.select(*(c.alias(n) for n, c in made.items()), "low", grow.alias("grow")), "rows")
 
     share = F.lit([i / bins for i in range(1, bins)])
     cuts = rows.agg(*(F.percentile_approx(x, share, 1000).alias(f"{n}:{k}") for n in made for k, x in enumerate((F.col(n), F.when(F.col("low"), F.col(n)))))).first().asDict()
