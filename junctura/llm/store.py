@@ -1,12 +1,13 @@
 """Tables that cut lineage, written to the folder that the whole cluster shares.
 
-The folder is the one the session names in ``spark.checkpoint.dir``; only where none is set (tests, a laptop) a default is
-chosen.  Everything is written and read by Spark, so the folder may be in any file system Spark knows.
+The folder is the one the session names in ``spark.checkpoint.dir``; only where none is set and the session is local (tests, a laptop) a
+default is chosen.  Everything is written and read by Spark, so the folder may be in any file system Spark knows.
 """
 
 from __future__ import annotations
 
 import re
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -19,37 +20,53 @@ _WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder's URI, with its scheme; sets the default as the session's checkpoint folder if there is none."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder's URI, with its scheme: ``spark.checkpoint.dir``, or else the context's checkpoint folder.
+
+    Only a local session may have neither; it gets a default.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = DEFAULT_DIR
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(named)
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(named)
+    path = spark._jvm.org.apache.hadoop.fs.Path(named)
     whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
     return re.sub("^file:/+", "file:///", whole)
 
 
+_lock, _within, _before = threading.Lock(), {}, {}
+
+
 @contextmanager
 def writing(spark: SparkSession):
-    """Settings for the write of an intermediate table, put back afterwards."""
-    before = {k: spark.conf.get(k, None) for k in _WRITING}
-    for k, v in _WRITING.items():
-        spark.conf.set(k, v)
+    """Settings for the write of an intermediate table; put back when the last of the session's concurrent writes ends."""
+    key = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if not _within.get(key):
+            _before[key] = {k: spark.conf.get(k, None) for k in _WRITING}
+            for k, v in _WRITING.items():
+                spark.conf.set(k, v)
+        _within[key] = _within.get(key, 0) + 1
     try:
         yield
     finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+        with _lock:
+            _within[key] -= 1
+            if not _within[key]:
+                for k, v in _before.pop(key).items():
+                    spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 class Scratch:
-    """One operator run's folder of intermediate tables."""
+    """One operator run's folder of intermediate tables, deleted when the driver's JVM ends: results are read from it until then."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(path)
+        system.deleteOnExit(path)
 
     def at(self, name: str) -> str:
         return f"{self.path}/{name}"
