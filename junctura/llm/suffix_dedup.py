@@ -1,26 +1,26 @@
 """Exact removal of long repeated byte strings: a difference-cover, blockwise suffix construction.
 
 A suffix array answers "does the string of ``length`` bytes that starts here also start earlier?".  Only the first ``length``
-bytes of a suffix matter, so suffixes are grouped by those, in three passes over the chunks of :mod:`chunks`:
-
-1. *Cover samples.*  A difference cover D of period v holds, for any two positions i and j, an offset d < v with i+d and j+d
-   both in the sample.  The sample suffixes' ranks are built first, to the depth length-v+1 that every pair is sure to share;
-   of a rank only one thing is needed later, whether another sample suffix has it too.
-2. *Blocks of buckets.*  A suffix whose next v sample ranks are all unshared is alone in its group and is never moved.  The
-   others, long ties all, are keyed by their first ``length`` bytes and cut into buckets; the buckets of one block at a time
-   are sent, sorted and answered, so disk and memory follow a block, not the suffix array.  An answer is one bit for each key of a
-   chunk: is the group's first start elsewhere and earlier?
+bytes of a suffix matter, so suffixes are ordered to that depth, in three passes over the chunks of :mod:`chunks`:
+
+1. *Corpus-wide cover samples.*  A difference cover D of period v holds, for any two positions i and j, an offset d < v with i+d and
+   j+d both in the sample.  Of a sample suffix only one thing is asked here, whether another has its first length-v+1 bytes too; 40-bit
+   fingerprints answer that, as a false "yes" only sends a suffix on.  A suffix whose next v samples are all unshared is alone and is never moved.
+2. *Buckets.*  The others, long ties all, are dealt into buckets by the least mixed 8-byte string among their bytes, which equal suffixes
+   share.  Neighbouring suffixes mostly share it, so a run of them travels as one string of bytes.  One bucket at a time is sorted
+   (:func:`first_equal`): by first and last bytes, and what ties there by the ranks of a second cover's samples, which are built from the
+   bucket's bytes by doubling.  Ranks and bytes alone decide what is equal; no fingerprint does.  The answer is one bit for each suffix.
 3. *Removal.*  Each chunk lays its bits over its bytes.
-
-Keys are 64-bit fingerprints of the strings: with n tied suffixes about n*n/2**65 are taken for equal wrongly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,8 +39,10 @@ COVERS = {
     57: (0, 1, 3, 13, 32, 36, 43, 52),
 }
 PIECE = 2 << 20
-_SHORT = np.uint64(24)  # sample ranks are looked up by the upper 40 bits; a false tie only costs a key
-_SENT = "bucket int, __chunk int, piece int, keys binary, ords binary, ids binary"
+_SHORT = np.uint64(24)
+_GRAM = 8
+_SALT = np.uint64(0x5851F42D4C957F2D)
+_SENT = "bucket int, __chunk int, texts binary, sizes binary, ords binary, ids binary"
 _ANSWER = "__chunk int, piece int, bucket int, bits binary"
 
 
@@ -107,7 +109,7 @@ def _cuts(keys: np.ndarray, bits: int, width: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(keys, edges), [len(keys)]])
 
 
-def _by_chunk(answers: pa.Table) -> dict[int, np.ndarray]:
+def _by_piece(answers: pa.Table) -> dict[int, np.ndarray]:
     """Answers of each piece, its buckets in order."""
     got: dict[int, list[tuple[int, bytes]]] = {}
     for p, b, bits in zip(answers["piece"].to_pylist(), answers["bucket"].to_pylist(), answers["bits"].to_pylist(), strict=True):
@@ -148,58 +150,152 @@ def _piece_ties(piece: _Piece, answer: np.ndarray | None) -> np.ndarray:
     return piece.tied(at, ((times > 1) | answer)[inverse])
 
 
-def _send_ties(ident: str, text: str, length: int, bits: int, block: int, blocks: int):
+def _eight(data: np.ndarray, kind: str = ">u8") -> np.ndarray:
+    """The 8 bytes from each place on as a number, zeros behind the end; big-endian numbers are in byte order."""
+    return np.ndarray(len(data) + 1, kind, np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def _least(values: np.ndarray, k: int) -> np.ndarray:
+    """The least of ``k`` values from each place on."""
+    n = len(values) - k + 1
+    if n < 1:
+        return values[:0]
+    rows = np.full((-(-len(values) // k), k), np.iinfo(values.dtype).max, values.dtype)
+    rows.reshape(-1)[: len(values)] = values
+    ahead = np.minimum.accumulate(rows, axis=1).reshape(-1)
+    behind = np.minimum.accumulate(rows[:, ::-1], axis=1)[:, ::-1].reshape(-1)
+    return np.minimum(behind[:n], ahead[k - 1 : k - 1 + n])
+
+
+@dataclass
+class _Runs:
+    """Runs of neighbouring tied suffixes of a chunk with one bucket: where they start in the chunk, how many they are, and their bucket."""
+
+    start: np.ndarray
+    count: np.ndarray
+    bucket: np.ndarray
+
+
+def _runs(chunk: chunks.Chunk, length: int, shared: dict[int, np.ndarray], bits: int) -> _Runs:
+    found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))]
+    gram = min(_GRAM, length)
+    for i, piece in _pieces(chunk, length):
+        at = _piece_ties(piece, shared.get(i))
+        if not len(at):
+            continue
+        grams = _eight(chunk.data[piece.lo : piece.lo + len(piece.left)], "<u8")[: len(piece.left) - gram + 1]
+        least = _least(rolling.mix(grams & np.uint64((1 << 8 * gram) - 1)), length - gram + 1)[at]
+        begin = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])]))
+        bucket = rolling.mix(least[begin] ^ _SALT) >> np.uint64(64 - bits) if bits else np.zeros(len(begin), np.uint64)
+        found.append((at[begin] + piece.lo, np.diff(np.append(begin, len(at))), bucket))
+    start, count, bucket = (np.concatenate(x) for x in zip(*found, strict=True))
+    return _Runs(start, count, bucket.astype(np.int64))
+
+
+def _texts(chunk: chunks.Chunk, runs: _Runs, length: int) -> Iterator[tuple[int, bytes, bool]]:
+    """Each run's place among the runs, its bytes, and whether the chunk has had a run of these bytes; runs of one bucket stand together, in order."""
+    data, had = chunk.data, set()
+    for j in np.argsort(runs.bucket, kind="stable").tolist():
+        text = data[runs.start[j] : runs.start[j] + runs.count[j] + length - 1].tobytes()
+        yield j, text, text in had
+        had.add(text)
+
+
+def _send_runs(ident: str, text: str, length: int, bits: int, block: int, blocks: int):
     def send(key: tuple, docs: pa.Table, ranks: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        shared = _by_chunk(ranks)
         chunk = chunks.load(docs, ident, text)
-        low, high = (block << bits) // blocks, ((block + 1) << bits) // blocks
-        for i, piece in _pieces(chunk, length):
-            at = _piece_ties(piece, shared.get(i))
-            keys = rolling.windows(piece.sums, length, at)
-            bucket = keys >> np.uint64(64 - bits) if bits else np.zeros(len(keys), np.uint64)
-            mine = (bucket >= low) & (bucket < high)
-            at, keys = at[mine], keys[mine]
-            order, begin = _grouped(keys)
-            if not len(keys):
-                continue
-            first, sorted_keys = np.minimum.reduceat(order, begin), keys[order[begin]]
-            docs_here, ords = np.unique(piece.doc[at[first]], return_inverse=True)
-            cuts = _cuts(sorted_keys, bits, 64)
-            ids = chunk.ids[docs_here].astype(np.int64).tobytes()
-            out += [
-                (b, key[0].as_py(), i, packing.pack_sorted(sorted_keys[cuts[b] : cuts[b + 1]]), packing.pack_ints(ords[cuts[b] : cuts[b + 1]]), ids)
-                for b in np.flatnonzero(np.diff(cuts))
-            ]
-        b, k, p, packed, ords, ids = zip(*out, strict=True) if out else ((), (), (), (), (), ())
-        return pa.table(
-            {"bucket": pa.array(b, pa.int32()), chunks.KEY: pa.array(k, pa.int32()), "piece": pa.array(p, pa.int32()), "keys": chunks.binary(list(packed)), "ords": chunks.binary(list(ords)), "ids": chunks.binary(list(ids))}
-        )
+        runs = _runs(chunk, length, _by_piece(ranks), bits)
+        mine = (runs.bucket >= (block << bits) // blocks) & (runs.bucket < ((block + 1) << bits) // blocks)
+        runs = _Runs(runs.start[mine], runs.count[mine], runs.bucket[mine])
+        doc = np.searchsorted(chunk.end, runs.start, "right")
+        parts: dict[int, list[tuple[bytes, int]]] = {}
+        for j, run, had in _texts(chunk, runs, length):
+            if not had:
+                parts.setdefault(int(runs.bucket[j]), []).append((run, j))
+        out = []
+        for b, own in parts.items():
+            docs_here, ords = np.unique(doc[[j for _, j in own]], return_inverse=True)
+            joined = zstandard.compress(b"".join(x for x, _ in own), 1)
+            out.append((b, key[0].as_py(), joined, packing.pack_ints(np.array([len(x) for x, _ in own])), packing.pack_ints(ords), chunk.ids[docs_here].astype(np.int64).tobytes()))
+        b, k, *rest = zip(*out, strict=True) if out else ((), (), (), (), (), ())
+        return pa.table({"bucket": pa.array(b, pa.int32()), chunks.KEY: pa.array(k, pa.int32())} | {n: chunks.binary(list(x)) for n, x in zip(("texts", "sizes", "ords", "ids"), rest, strict=True)})
 
     return send
 
 
-def _earlier(key: tuple, table: pa.Table) -> pa.Table:
-    """For each key of each piece: does another piece hold it at an earlier place?  Places go by document id, chunk, piece."""
-    parts = [packing.unpack_sorted(x) for x in table["keys"].to_pylist()]
-    place = np.empty(sum(len(np.frombuffer(x, np.int64)) for x in table["ids"].to_pylist()), [("id", np.int64), ("k", np.int32), ("p", np.int32)])
-    ords, at = [], 0
-    for ids, o, k, p in zip(table["ids"].to_pylist(), table["ords"].to_pylist(), table[chunks.KEY].to_pylist(), table["piece"].to_pylist(), strict=True):
-        own = np.frombuffer(ids, np.int64)
-        place["id"][at : at + len(own)], place["k"][at : at + len(own)], place["p"][at : at + len(own)] = own, k, p
-        ords.append(packing.unpack_ints(o).astype(np.int64) + at)
-        at += len(own)
-    by = np.lexsort((place["p"], place["k"], place["id"]))
-    rank = np.empty(len(place), np.int64)
-    rank[by] = np.arange(len(place))
-    keys, where = np.concatenate(parts), rank[np.concatenate(ords)]
-    order, begin = _grouped(keys)
-    size = np.diff(np.append(begin, len(keys)))
-    later = np.zeros(len(keys), bool)
-    later[order] = where[order] > np.repeat(np.minimum.reduceat(where[order], begin), size)
-    ends = np.cumsum([len(x) for x in parts])
-    bits = [packing.pack_flags(later[e - len(x) : e]) for x, e in zip(parts, ends, strict=True)]
-    return pa.table({chunks.KEY: table[chunks.KEY], "piece": table["piece"], "bucket": table["bucket"], "bits": chunks.binary(bits)})
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """The rank of each key among the distinct ones."""
+    return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
+
+
+def first_equal(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """For each suffix of ``text`` that starts at one of the places ``at``, the number of the first of them with the same ``length`` bytes.
+
+    Suffixes are sorted by their first 8 bytes and their last 8 or 16; ties are resolved by ranks of the samples of the cover {0, 1, 3} modulo 7 to a depth that
+    spans the middle.  The ranks come from the bytes themselves: 8 bytes are a number, and the ranks of two overlapping stretches give that of both.
+    """
+    eight = _eight(np.concatenate([text, np.zeros(length + 8, np.uint8)]))
+    n, high = len(text), np.uint64(32)
+    if length <= 8:
+        name, offsets = _ranks(eight[at].astype(np.uint64) >> np.uint64(8 * (8 - length))), None
+    else:
+        name = _ranks(_ranks(eight[at].astype(np.uint64)) << high | _ranks(eight[at + length - 8].astype(np.uint64)))
+    if length > 16:
+        v, cover = 7, COVERS[7]
+        depth = max(r for r in range(8, length - v + 2) if r % v == 8 % v)
+        if depth < length - 8:
+            name = _ranks(name << high | _ranks(eight[at + length - 16].astype(np.uint64)))
+        samples = np.sort(np.concatenate([np.arange(r, n + v, v) for r in cover]))
+        rank = np.zeros(n + length + v, np.uint64)
+        rank[samples] = _ranks(eight[np.minimum(samples, len(eight) - 1)].astype(np.uint64))
+        reach = 8
+        while reach < depth:
+            step = min(reach // v * v, depth - reach)
+            rank[samples] = _ranks(rank[samples] << high | rank[np.minimum(samples + step, len(rank) - 1)])
+            reach += step
+        # each phase sees the three samples of the cover behind it; two suffixes of any phases see one at the same offset
+        offsets = np.array([[d for d in range(v) if (p + d) % v in cover] for p in range(v)])[at % v]
+        # 30, 3 and 31 bits
+        name = np.concatenate([(name << np.uint64(3) | offsets[:, c].astype(np.uint64)) << np.uint64(31) | rank[at + offsets[:, c]] for c in range(len(cover))])
+    order, begin = _grouped(name)
+    number = np.arange(len(name)) % max(1, len(at))
+    first = np.empty(len(name), np.int64)
+    first[order] = np.repeat(np.minimum.reduceat(number[order], begin), np.diff(np.append(begin, len(name)))) if len(name) else first
+    return first.reshape(-1, len(at)).min(axis=0) if len(at) else first
+
+
+def _sort_bucket(length: int):
+    def sort(key: tuple, table: pa.Table) -> pa.Table:
+        """For each suffix of the bucket: does an earlier one have its bytes?  Places go by document id, chunk and place in the chunk."""
+        rows = table.select([chunks.KEY, "texts", "sizes", "ords", "ids"]).to_pylist()
+        texts, ids, chunk_of, row_of = [], [], [], []
+        for r, row in enumerate(rows):
+            blob, at = zstandard.decompress(row["texts"]), 0
+            sizes = packing.unpack_ints(row["sizes"]).astype(np.int64)
+            for size in sizes.tolist():
+                texts.append(blob[at : at + size])
+                at += size
+            ids.append(np.frombuffer(row["ids"], np.int64)[packing.unpack_ints(row["ords"]).astype(np.int64)])
+            chunk_of.append(np.full(len(sizes), row[chunks.KEY]))
+            row_of.append(np.full(len(sizes), r))
+        ids, chunk_of, row_of = np.concatenate(ids), np.concatenate(chunk_of), np.concatenate(row_of)
+        order = np.lexsort((np.arange(len(texts)), chunk_of, ids))
+        # whole runs first: of equal ones the first alone is sorted
+        had: dict[bytes, int] = {}
+        first = [i for i in order.tolist() if had.setdefault(texts[i], i) == i]
+        size = np.array([len(texts[i]) for i in first], np.int64)
+        count = size - length + 1
+        begin = np.cumsum(size) - size
+        at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+        later = first_equal(np.frombuffer(b"".join(texts[i] for i in first), np.uint8), at, length) != np.arange(len(at))
+        own = dict(zip(first, np.split(later, np.cumsum(count)[:-1]), strict=True))
+        flags: list[list[np.ndarray]] = [[] for _ in rows]
+        for i, r in enumerate(row_of.tolist()):
+            flags[r].append(own[i] if i in own else np.ones(len(texts[i]) - length + 1, bool))
+        bits = [packing.pack_flags(np.concatenate(f)) for f in flags]
+        return pa.table({chunks.KEY: table[chunks.KEY], "piece": pa.array([-1] * len(rows), pa.int32()), "bucket": table["bucket"], "bits": chunks.binary(bits)})
+
+    return sort
 
 
 def _remains(chunk: chunks.Chunk, gone: np.ndarray) -> dict[str, pa.Array]:
@@ -220,40 +316,34 @@ def _remains(chunk: chunks.Chunk, gone: np.ndarray) -> dict[str, pa.Array]:
     return {"n_removed": pa.array(removed, pa.int64()), "spans": pa.ListArray.from_arrays(pa.array(span_at, pa.int32()), runs), "kept": kept}
 
 
-def _remove(ident: str, text: str, length: int, names: list[str]):
+def _remove(ident: str, text: str, length: int, bits: int, names: list[str]):
     def remove(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
-        ties = answers["block"].to_numpy() >= 0
-        shared, later = _by_chunk(answers.filter(pa.array(~ties))), _by_chunk(answers.filter(pa.array(ties)))
+        got = _by_piece(answers)
+        later = got.pop(-1, np.zeros(0, bool))
         chunk = chunks.load(docs, ident, text)
-        gone = np.zeros(len(chunk.data) + 1, bool)
-        for i, piece in _pieces(chunk, length):
-            at = _piece_ties(piece, shared.get(i))
-            if not len(at):
-                continue
-            keys = rolling.windows(piece.sums, length, at)
-            order, begin = _grouped(keys)
-            size = np.diff(np.append(begin, len(keys)))
-            repeat = np.repeat(later[i], size)
-            first = np.minimum.reduceat(order, begin)
-            flag = np.ones(len(at), bool)
-            flag[first] = False
-            flag[order] |= repeat
-            gone[piece.lo : piece.lo + len(piece.left)] |= _reached(at[flag], len(piece.left), 0, length - 1)
+        runs = _runs(chunk, length, got, bits)
+        marks, at = np.zeros(len(chunk.data) + 1, bool), 0
+        for j, _, had in _texts(chunk, runs, length):
+            start, count = runs.start[j], runs.count[j]
+            marks[start : start + count] = True if had else later[at : at + count]
+            at += 0 if had else count
+        gone = _reached(np.flatnonzero(marks), len(chunk.data), 0, length - 1)
         out = {n: chunk.table[n] for n in names}
         out["n_bytes"] = pa.array(chunk.end - chunk.start, pa.int64())
-        return pa.table(out | _remains(chunk, gone[:-1]))
+        return pa.table(out | _remains(chunk, gone[: len(chunk.data)]))
 
     return remove
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 2, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 1, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000, bucket_bytes: int = 4 << 20) -> DataFrame:
     """Mark and remove every byte covered by a string of ``length`` bytes that also starts earlier in the corpus.
 
     Earlier means a smaller id, or the same document and an earlier start; strings are judged on the input.  Returns the input
     columns and ``n_bytes``, ``n_removed`` (long), ``spans`` (removed runs as byte offsets) and ``kept`` (binary, the bytes that
     stay); input columns of these names are replaced.  A null text counts as empty and a null id as smallest; an empty table
     gives an empty result; of equal rows one keeps its text and the others lose theirs if it is long enough.  Texts may be of
-    any length: a chunk is worked on in pieces of 2 MB.  ``ident`` must be an integer column and the input must give the same
+    any length: a chunk is worked on in pieces of 2 MB.  Buckets are sent and sorted in ``blocks`` turns, each of which reads the texts once and holds
+    its share of the tied runs on disk.  ``ident`` must be an integer column and the input must give the same
     rows when a task is run again, as a table does.
     """
     spark = docs.sparkSession
@@ -264,15 +354,15 @@ def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", l
     keyed = chunks.with_key(docs, ident, text, chunks.count(total, chunk_bytes))
     slim = keyed.select(ident, text, chunks.KEY)
     v = cover_period(length)
-    bits = lambda n: max(0, int(np.ceil(np.log2(max(1, n / bucket_keys)))))
-    sample_bits, tie_bits = bits(total * len(COVERS[v]) / v), bits(total / 2) if blocks == 1 else max(bits(total / 2), int(np.ceil(np.log2(blocks))))
+    bits = lambda n, most: max(0, int(np.ceil(np.log2(max(1, n / most)))))
+    sample_bits, run_bits = bits(total * len(COVERS[v]) / v, bucket_keys), max(bits(total, bucket_bytes), bits(blocks, 1))
     scratch = Scratch(spark, "repeats")
     sent = slim.groupBy(chunks.KEY).applyInArrow(_send_samples(ident, text, length, sample_bits), "bucket int, __chunk int, piece int, keys binary")
     ranks = scratch.write(sent.groupBy("bucket").applyInArrow(_shared_ranks, _ANSWER), "ranks")
-    answers = ranks.withColumn("block", F.lit(-1))
+    answers = ranks
     for block in range(blocks):
-        ties = slim.groupBy(chunks.KEY).cogroup(ranks.groupBy(chunks.KEY)).applyInArrow(_send_ties(ident, text, length, tie_bits, block, blocks), _SENT)
-        answers = answers.unionByName(scratch.write(ties.groupBy("bucket").applyInArrow(_earlier, _ANSWER), f"ties{block}").withColumn("block", F.lit(block)))
+        runs = slim.groupBy(chunks.KEY).cogroup(ranks.groupBy(chunks.KEY)).applyInArrow(_send_runs(ident, text, length, run_bits, block, blocks), _SENT)
+        answers = answers.unionByName(scratch.write(runs.groupBy("bucket").applyInArrow(_sort_bucket(length), _ANSWER), f"ties{block}"))
     schema = T.StructType([docs.schema[n] for n in names]).add("n_bytes", "long").add("n_removed", "long")
     schema = schema.add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
-    return keyed.groupBy(chunks.KEY).cogroup(answers.groupBy(chunks.KEY)).applyInArrow(_remove(ident, text, length, names), schema)
+    return keyed.groupBy(chunks.KEY).cogroup(answers.groupBy(chunks.KEY)).applyInArrow(_remove(ident, text, length, run_bits, names), schema)

@@ -44,7 +44,55 @@ def test_matches_brute_force(spark, length, seed):
     rows += [(100, rows[5][1]), (101, rows[5][1]), (102, None), (103, ""), (104, "aaaa" * length)]
     r.shuffle(rows)
     want = sorted(brute(rows, length), key=lambda x: (x[0] is not None, x[0] or 0, x[3]))
-    assert run(spark, rows, length, blocks=3, chunk_bytes=700, bucket_keys=500) == want
+    assert run(spark, rows, length, blocks=3, chunk_bytes=700, bucket_keys=500, bucket_bytes=600) == want
+    assert run(spark, rows, length) == want
+
+
+def test_first_equal():
+    import numpy as np
+
+    from junctura.llm.suffix_dedup import first_equal
+
+    for seed, length in enumerate([1, 3, 8, 9, 16, *range(17, 34), 40, 57, 64, 99, 100, 101]):
+        r = random.Random(seed)
+        unit = "".join(r.choices("ab", k=150))
+        text = ("".join(r.choice([unit, unit[:80], "a" * 120, "".join(r.choices("ab", k=9))]) for _ in range(30))).encode()
+        at = [i for i in range(len(text) - length + 1) if r.random() < 0.7]
+        seen = {}
+        want = [seen.setdefault(text[i : i + length], n) for n, i in enumerate(at)]
+        assert first_equal(np.frombuffer(text, np.uint8), np.array(at), length).tolist() == want
+    assert first_equal(np.zeros(0, np.uint8), np.zeros(0, np.int64), 100).tolist() == []
+
+
+@pytest.mark.parametrize("collide", [False, True])
+def test_fingerprints_decide_nothing(monkeypatch, collide):
+    """The passes by hand over two chunks; with hashes that are all alike the result is the same."""
+    import numpy as np
+    import pyarrow as pa
+
+    from junctura.llm import rolling, suffix_dedup as d
+
+    if collide:
+        monkeypatch.setattr(rolling, "windows", lambda sums, length, at: np.zeros(len(at), np.uint64))
+        monkeypatch.setattr(rolling, "mix", lambda x: x * np.uint64(0))
+    r = random.Random(3)
+    passages = ["".join(r.choices("abc ", k=130)) for _ in range(4)]
+    rows = [(i, "".join(r.choice([*passages, "".join(r.choices("abc ", k=r.randint(1, 150)))]) for _ in range(r.randint(0, 5)))) for i in range(30)]
+    rows[7] = (7, rows[2][1])
+    parts = [pa.table({"doc_id": pa.array([i for i, _ in own], pa.int64()), "text": [t for _, t in own]}) for own in (rows[::2], rows[1::2])]
+    keyed = lambda f, tables, *more: [f((pa.scalar(k),), t, *(m[k] for m in more)) for k, t in enumerate(tables)]
+
+    def by_bucket(f, sent):
+        sent = pa.concat_tables(sent)
+        done = [f((pa.scalar(b),), sent.filter(pa.compute.equal(sent["bucket"], b))) for b in sorted(set(sent["bucket"].to_pylist()))]
+        done = pa.concat_tables([x.select(["__chunk", "piece", "bucket", "bits"]) for x in done])
+        return [done.filter(pa.compute.equal(done["__chunk"], k)) for k in range(len(parts))]
+
+    ranks = by_bucket(d._shared_ranks, keyed(d._send_samples("doc_id", "text", 100, 2), parts))
+    ties = by_bucket(d._sort_bucket(100), keyed(d._send_runs("doc_id", "text", 100, 3, 0, 1), parts, ranks))
+    both = [pa.concat_tables([a, b]) for a, b in zip(ranks, ties)]
+    out = pa.concat_tables(keyed(d._remove("doc_id", "text", 100, 3, ["doc_id"]), parts, both)).to_pylist()
+    assert sorted((x["doc_id"], x["n_bytes"], x["n_removed"], x["kept"]) for x in out) == sorted(brute(rows, 100))
 
 
 def test_null_ids_and_equal_rows(spark):
