@@ -128,6 +128,7 @@ def op9_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("media", 256).alias("media_sha256"),
         feature.alias("feature"),
         F.col("seconds").alias("duration_seconds"),
+        F.col("seek").alias("seek_offsets"),
     )
 
 
