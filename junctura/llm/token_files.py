@@ -8,6 +8,7 @@ place in the whole array.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -15,6 +16,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -187,7 +189,37 @@ class TokenFile:
         return self.ids[a:b]
 
 
-def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
+#: What the encoder relies on: steps that work on the white space between words and on single words, never on several words at once.
+_NORMALISERS = {"NFC", "Lowercase"}
+
+
+def check_spec(spec: str) -> None:
+    """Refuse a tokenizer of which words between white space can't be encoded one by one.
+
+    It must be byte-pair encoding without dropout; normalise by NFC, lower case and white space runs to one blank alone; and split by one pattern that never matches
+    white space, then into bytes without a prefix blank; and have no post-processor.
+    """
+    d = json.loads(spec)
+    steps = lambda x, key: [] if x is None else x[key] if x["type"] == "Sequence" else [x]
+    wrong = []
+    if d["model"]["type"] != "BPE" or d["model"].get("dropout") or d["model"].get("continuing_subword_prefix"):
+        wrong.append("model")
+    normalisers = steps(d.get("normalizer"), "normalizers")
+    plain = [n for n in normalisers if not (n["type"] == "Replace" and n["pattern"] == {"Regex": r"\s+"} and n["content"] == " ")]
+    if {n["type"] for n in plain} - _NORMALISERS or "Lowercase" not in {n["type"] for n in plain}:
+        wrong.append("normalizer")
+    splits = steps(d.get("pre_tokenizer"), "pretokenizers")
+    if not splits or splits[0]["type"] != "Split" or splits[0]["behavior"] != "Removed" or not splits[0]["invert"] or any(s["type"] != "ByteLevel" or s["add_prefix_space"] or s.get("use_regex", True) for s in splits[1:]):
+        wrong.append("pre_tokenizer")
+    elif any(regex.search(splits[0]["pattern"].get("Regex", r"\s"), x) for x in (" ", "\t", "\n", "\x85", "\xa0", "\u2003", " \n ")) or any(any(c.isspace() for c in m) for m in regex.findall(splits[0]["pattern"]["Regex"], " a  b, 9 's . é ", overlapped=True) if isinstance(m, str)):
+        wrong.append("pre_tokenizer's pattern")
+    if d.get("post_processor") is not None:
+        wrong.append("post_processor")
+    if wrong:
+        raise ValueError(f"words can't be encoded one by one with this {', '.join(wrong)}")
+
+
+def _write(uri: str, spec: str, end: int | None, ident: str, text: str, file_ids: int, rows_a_turn: int):
     def write(batches):
         from pyspark import TaskContext
 
@@ -205,14 +237,14 @@ def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
             return row
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 2000):
-                own = batch.slice(a, 2000)
+            for a in range(0, batch.num_rows, rows_a_turn):
+                own = batch.slice(a, rows_a_turn)
                 x, n = encoder.encode(own[text])
                 docs += own[ident].cast(pa.int64()).to_pylist()
                 counts.append(n)
                 ids.append(x)
                 size += len(x)
-                if size >= FILE_IDS:
+                if size >= file_ids:
                     yield close()
         if docs:
             yield close()
@@ -220,19 +252,21 @@ def _write(uri: str, spec: str, end: int | None, ident: str, text: str):
     return write
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, end: int | None, ident: str = "doc_id", text: str = "text", part_bytes: int = 16 << 20) -> DataFrame:
+def write_token_files(docs: DataFrame, tokenizer: str, end: int | None, ident: str = "doc_id", text: str = "text", part_bytes: int = 16 << 20, file_ids: int = FILE_IDS, rows_a_turn: int = 2000) -> DataFrame:
     """Encode whole texts and write them in ascending id order; returns the index table, one row for each file.
 
     A null or empty text has the end id alone (nothing if ``end`` is None).  Documents without id come first; those with equal ids stand together
-    in no fixed order.  ``tokenizer`` is a tokenizers file on the driver.  An empty table writes no file.  ``ident`` must be an integer column.
+    in no fixed order.  ``tokenizer`` is a tokenizers file on the driver; one that does not suit is refused (:func:`check_spec`).  A part ends a file once it has
+    ``file_ids`` ids.  An empty table writes no file.  ``ident`` must be an integer column; other columns are not read.
     """
     with open(tokenizer, encoding="utf-8") as f:
         spec = f.read()
+    check_spec(spec)
     scratch = Scratch(docs.sparkSession, "tokens")
     docs = docs.select(ident, text)
     n = chunks.count(chunks.total_bytes(docs, text), part_bytes)
     dealt = docs.repartitionByRange(n, F.col(ident).asc_nulls_first()).sortWithinPartitions(F.col(ident).asc_nulls_first())
-    return scratch.write(dealt.mapInArrow(_write(scratch.at("files"), spec, end, ident, text), INDEX), "index")
+    return scratch.write(dealt.mapInArrow(_write(scratch.at("files"), spec, end, ident, text, file_ids, rows_a_turn), INDEX), "index")
 
 
 def _read(batches):
@@ -250,7 +284,11 @@ def _read(batches):
 
 def read_token_files(index: DataFrame) -> DataFrame:
     """Documents of an index's files: doc_id, start (ids of all documents before), n_tokens, ids (binary: unsigned 32-bit little-endian integers)."""
-    order = Window.orderBy("part", "step").rowsBetween(Window.unboundedPreceding, -1)
-    files = index.withColumn("before", F.coalesce(F.sum("ids").over(order), F.lit(0)))
+    # running sums in two steps: over stretches of parts, and within each
+    stretch = F.floor(F.col("part") / 256)
+    ahead = lambda w: F.coalesce(F.sum("ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = index.groupBy(stretch.alias("stretch")).agg(F.sum("ids").alias("ids")).select("stretch", ahead(Window.orderBy("stretch")).alias("base"))
+    files = index.withColumn("stretch", stretch).withColumn("within", ahead(Window.partitionBy("stretch").orderBy("part", "step")))
+    files = files.join(sums, "stretch").withColumn("before", F.col("base") + F.col("within")).drop("stretch", "base", "within")
     n = max(1, index.count())
     return files.repartition(n, "file").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids binary")
