@@ -16,7 +16,9 @@ def shingle_set(text, width=5):
     return frozenset(tuple(w[i : i + width]) for i in range(len(w) - width + 1)) or frozenset([tuple(w)])
 
 
-def brute(rows):
+def brute_rows(rows):
+    """(id, set size, component number) of each row (id, text, ...)."""
+    rows = [r[:2] for r in rows]
     sets = [shingle_set(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -30,11 +32,15 @@ def brute(rows):
             a, b = sets[i], sets[j]
             if a and b and 100 * len(a & b) >= 80 * len(a | b):
                 root[find(i)] = find(j)
-    least = {}
-    for i, (d, _) in enumerate(rows):
+    return [(d, len(s), find(i)) for i, ((d, _), s) in enumerate(zip(rows, sets))]
+
+
+def brute(rows):
+    found, least = brute_rows(rows), {}
+    for d, _, c in found:
         if d is not None:
-            least[find(i)] = min(least.get(find(i), d), d)
-    return sorted(((d, len(s), least.get(find(i)) if s else d) for i, ((d, _), s) in enumerate(zip(rows, sets))), key=str)
+            least[c] = min(least.get(c, d), d)
+    return sorted(((d, n, least.get(c) if n else d) for d, n, c in found), key=str)
 
 
 def make(seed, n=150):

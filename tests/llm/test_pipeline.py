@@ -1,12 +1,19 @@
 """Each pipeline stage on planted rows."""
 
+import collections
+import hashlib
+import math
 import random
+import re
 
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+import sentencepiece
+import test_jaccard_join as jaccard
 
 import corpus_pipeline as p
+from junctura.llm import queries as q
 
 
 @pytest.fixture(scope="module")
@@ -72,3 +79,97 @@ def test_near_duplicates_drops_rows(spark, tmp_path):
     gone = [(9, a), (None, near), (3, b), (3, b), (None, c), (None, c)]
     stay = [(1, a), (9, d), (3, b), (None, c), (None, e), (None, f), (5, ""), (5, ""), (None, None)]
     assert rows_of(spark, tmp_path, p.near_duplicates, gone + stay) == sorted(stay, key=str)
+
+
+def brute_mix(rows):
+    """Raking and sampling of (id, text, lang, source) rows in plain Python."""
+    def topic(t):
+        for name, pattern in (("table", r" \| "), ("markup", "[#*$%&<>]{2}"), ("figures", "[0-9]{6}"), ("capitals", "[A-Z]{4}")):
+            if re.search(pattern, t):
+                return name
+        return "prose"
+
+    some = lambda x: "(none)" if x is None else x
+    keys = [(some(r[3]), some(r[2]), topic(r[1] or "")) for r in rows]
+    words = [len(re.findall(r"[^\x20\x09-\x0D]+", r[1] or "")) for r in rows]
+    cells = collections.Counter()
+    for k, n in zip(keys, words):
+        cells[k] += n
+    targets = []
+    for m, power in enumerate(q.MIX_POWERS):
+        sums = collections.Counter()
+        for k, n in cells.items():
+            sums[k[m]] += n
+        w = {k: n**power for k, n in sums.items() if n > 0}
+        targets.append({k: x / sum(w.values()) for k, x in w.items()})
+    f = [dict.fromkeys(t, 1.0) for t in targets]
+    for _ in range(q.MIX_ROUNDS):
+        for m in range(3):
+            sums = collections.Counter()
+            for k, n in cells.items():
+                sums[k[m]] += n * math.prod(f[x].get(k[x], 0.0) for x in range(3) if x != m)
+            f[m] = {k: targets[m][k] / sums[k] if sums[k] > 0 else 0.0 for k in targets[m]}
+    factor = {k: math.prod(f[m].get(k[m], 0.0) for m in range(3)) for k in cells}
+    top = max((factor[k] for k, n in cells.items() if n > 0), default=1.0)
+    chance = lambda i: int(hashlib.md5(f"{'(none)' if i is None else i}:{q.MIX_SEED}".encode()).hexdigest()[:12], 16) / 2**48
+    return [r for r, k, n in zip(rows, keys, words) if chance(r[0]) < (factor[k] / top if n else 1.0)]
+
+
+def brute_run(rows):
+    """All five stages over (id, text, lang, source) rows; without labels of low quality nothing is learned."""
+    def kept(text):
+        w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
+        inside = {j for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
+        return len(w) >= 10 and 100 * len(inside) <= 20 * len(w)
+
+    rows = [r for r in rows if kept(r[1])]
+    component = [c for *_, c in jaccard.brute_rows(rows)]
+    first = {}
+    for c, r in sorted(zip(component, rows), key=lambda x: (x[1][0] is None, x[1][0] or 0, x[1][1])):
+        first.setdefault(c, r)
+    rows = sorted(first.values(), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode()))
+    seen, cut = set(), []
+    for i, text, lang, source in rows:
+        b, gone = text.encode(), set()
+        for p in range(len(b) - 99):
+            if b[p : p + 100] in seen:
+                gone.update(range(p, p + 100))
+            seen.add(b[p : p + 100])
+        left = bytes(x for k, x in enumerate(b) if k not in gone).decode("utf-8", "ignore") if gone else text
+        if len(gone) < len(b):
+            cut.append((i, left, lang, source))
+    sp = sentencepiece.SentencePieceProcessor(model_file=q.vocabulary("piece_bpe_32k.model"))
+    return sorted(((r[0], ids := sp.encode(r[1], add_eos=True), len(ids)) for r in brute_mix(cut)), key=str)
+
+
+def put(folder, rows):
+    """The tables of a run, with a column more, some of whose names operators use themselves."""
+    cols = {"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()), "lang": pa.array([r[2] for r in rows], pa.string()), "source": pa.array([r[3] for r in rows], pa.string())}
+    n = len(rows)
+    cols |= {"n_chars": pa.array([len(r[1] or "") for r in rows], pa.int64()), "kept": ["x"] * n, "sig": [1] * n, "row": [2] * n, "factor": [3.0] * n, "spans": [4] * n}
+    pq.write_table(pa.table(cols), folder / "documents.parquet")
+    pq.write_table(pa.table({"doc_id": [1, 2], "quality": pa.array([1, 1], pa.int32()), "toxic": pa.array([0, 0], pa.int32())}), folder / "labels.parquet")
+    return str(folder)
+
+
+def test_whole_run_matches_brute_force(spark, tmp_path):
+    r = random.Random(12)
+    word = lambda: "".join(r.choices("abcdefghijk", k=r.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(30), "é" + text(35) + "ö", text(25) + " AAAA | 1234567"]
+    rows = []
+    for i in range(90):
+        own = " ".join(r.choice([text(20), text(40), *passages]) for _ in range(r.randint(1, 4)))
+        rows.append((r.choice([i, i, i, None]), own, r.choice(["en", "fr", None]), r.choice(["web", "web", "book", None])))
+    rows += [(200 + i, x[1], x[2], x[3]) for i, x in enumerate(rows[:20])]
+    rows += [(300 + i, x[1].rsplit(" ", 1)[0] + " end", "de", "web") for i, x in enumerate(rows[20:40])]
+    # one id with several texts, equal rows, and what the base rules reject
+    rows += [(7, text(50), "en", "web"), (7, text(30), "en", "book"), (400, None, "en", "web"), (401, "", "en", "web"), (402, "few words", None, None), (403, "one two three four five " * 12, "en", "web")]
+    rows += [rows[3], rows[3], (None, rows[5][1], "en", "web")]
+    got = sorted(((x.doc_id, list(x.ids), x.n_tokens) for x in p.run(spark, put(tmp_path, rows)).collect()), key=str)
+    assert got == brute_run(rows) and len(got) > 20
+
+
+def test_empty_run(spark, tmp_path):
+    assert p.run(spark, put(tmp_path, [])).collect() == []
