@@ -14,15 +14,18 @@ def mismatches(a, b):
 def ungapped_matches(reads: DataFrame, tags: DataFrame, most: int = 2, seed: int = 12) -> DataFrame:
     """Alignments (read, tag, start, cigar, mismatches) of ``reads`` (id, seq) to ``tags`` (id, seq) with at most ``most`` mismatches.
 
-    A read is cut into ``most + 1`` parts, of which one must match exactly; its first ``seed`` bases are joined to the tags' words.
-    Reads shorter than ``(most + 1) * seed`` are left out.  Repeated reads are aligned once.
+    A read is cut into ``most + 1`` parts, of which one must match exactly; its first ``seed`` bases, or all of a shorter part, are joined to the
+    tags' words of that length.  Reads of at most ``most`` bases match anywhere and are left out.  Repeated reads are aligned once.
     """
     n = most + 1
-    r = reads.select(F.col("id").alias("read"), F.col("seq").alias("r_seq")).where(F.length("r_seq") >= n * seed)
+    r = reads.select(F.col("id").alias("read"), F.col("seq").alias("r_seq")).where(F.length("r_seq") >= n)
     part = F.floor(F.length("r_seq") / n)
-    seeds = r.select("r_seq").distinct().withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (i * part).cast("int")))).withColumn("word", F.substr("r_seq", F.col("at") + 1, F.lit(seed)))
-    words = tags.where(F.length("seq") >= seed).select(F.col("id").alias("tag"), F.explode(F.sequence(F.lit(0), F.length("seq") - seed)).alias("w_at"), "seq").withColumn("word", F.substr("seq", F.col("w_at") + 1, F.lit(seed)))
-    hit = seeds.join(words, "word").withColumn("start", F.col("w_at") - F.col("at")).where("start >= 0 and start + length(r_seq) <= length(seq)")
+    seeds = r.select("r_seq").distinct().withColumn("at", F.explode(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (i * part).cast("int"))))
+    seeds = seeds.withColumn("size", F.least(F.lit(seed), part).cast("int")).withColumn("word", F.substr("r_seq", F.col("at") + 1, F.col("size")))
+    sizes = [x[0] for x in seeds.select("size").distinct().collect()] or [seed]  # at most ``seed`` numbers
+    words = tags.select(F.col("id").alias("tag"), "seq", F.explode(F.array(*map(F.lit, sizes))).alias("size")).where(F.length("seq") >= F.col("size"))
+    words = words.withColumn("w_at", F.explode(F.sequence(F.lit(0), F.length("seq") - F.col("size")))).withColumn("word", F.substr("seq", F.col("w_at") + 1, F.col("size"))).drop("size")
+    hit = seeds.drop("size").join(words, "word").withColumn("start", F.col("w_at") - F.col("at")).where("start >= 0 and start + length(r_seq) <= length(seq)")
     hit = hit.select("r_seq", "tag", "start", mismatches(F.col("r_seq"), F.substr("seq", F.col("start") + 1, F.length("r_seq"))).alias("mismatches")).where(F.col("mismatches") <= most).distinct()
     return r.join(hit, "r_seq").select("read", "tag", "start", F.concat(F.length("r_seq").cast("string"), F.lit("M")).alias("cigar"), "mismatches", F.col("r_seq").alias("seq"))
 

@@ -52,6 +52,23 @@ def test_discovery_and_quantification(spark, world):
     assert row.ci_lo < row.psi < row.ci_hi
 
 
+def test_short_reads_align(spark):
+    r = random.Random(4)
+    tags = [("t%d" % i, "".join(r.choices("ACGT", k=60))) for i in range(6)]
+    reads = []
+    for n in (3, 7, 12, 20, 35, 36, 50):
+        for i in range(4):
+            t, s = r.choice(tags)
+            at = r.randrange(len(s) - n + 1)
+            seq = list(s[at : at + n])
+            for _ in range(r.randint(0, 3)):
+                seq[r.randrange(n)] = r.choice("ACGT")
+            reads.append((f"r{n}_{i}", "".join(seq)))
+    got = {(x.read, x.tag, x.start, x.mismatches) for x in align.ungapped_matches(spark.createDataFrame(reads, "id string, seq string"), spark.createDataFrame(tags, "id string, seq string")).collect()}
+    want = {(i, t, p, d) for i, q in reads for t, s in tags for p in range(len(s) - len(q) + 1) if (d := sum(a != b for a, b in zip(q, s[p:]))) <= 2}
+    assert got == want and len({x[0] for x in got}) > 20
+
+
 def test_centric_groups_are_one_hop(spark):
     cand = lambda *m: [(x, 1.0 * len(x), 0.0) for x in m]
     rows = [("A", 2, 0.1, cand("m1", "m2")), ("B", 3, 0.2, cand("m2", "m3")), ("C", 5, 0.3, cand("m3", "m44"))]
