@@ -101,7 +101,7 @@ def mix(docs: DataFrame, topic: Column | None = None, powers: tuple[float, float
     targets = {m: (targets or {}).get(m) or tempered(table, m, p) for m, p in zip(margins, powers, strict=True)}
     raked = rake(table, targets, rounds, scratch)
     top = _scalar(raked.where("tokens > 0"), F.max("factor"))
-    rates = raked.select(*margins, "factor", F.when(F.col("tokens") > 0, F.col("factor") / top).otherwise(1.0).alias("rate"))
+    rates = raked.select(*margins, "factor", F.when(F.col("tokens") > 0, F.col("factor") / top).otherwise(1.0).alias("__rate"))
     out = dealt.join(scratch.write(rates, "rates"), margins)
-    out = out.withColumn("probability", F.when(F.col("m_tokens") > 0, F.col("rate")).otherwise(1.0)).drop("rate")
+    out = out.withColumn("probability", F.when(F.col("m_tokens") > 0, F.col("__rate")).otherwise(1.0)).drop("__rate")
     return out.withColumn("sampled", uniform(F.col(ident), seed) < F.col("probability")).select(*docs.columns, *made)

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from junctura.llm import packing, rolling, slices
+from junctura.llm import files, packing, rolling, slices, store
 from junctura.llm.components import components
 from junctura.llm.store import Scratch
 
@@ -46,3 +46,52 @@ def test_components(spark):
     got = {r.node: r.component for r in components(df, Scratch(spark, "test"), "c").collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 20: 1, 21: 1, 8: 8, 9: 8, 30: 30, 31: 30, 32: 30, 33: 30}
     assert components(df.limit(0), Scratch(spark, "test"), "c").collect() == []
+
+
+def test_hub_components(spark):
+    edges = [(0, i) for i in range(1, 400)] + [(1000 + i, 399) for i in range(50)] + [(None, 1), (2, None)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long"), Scratch(spark, "test"), "c").collect()}
+    assert set(got.values()) == {0} and len(got) == 450
+
+
+class Context:
+    def __init__(self, master, folder):
+        self.master, self.folder = master, folder
+
+    def getCheckpointDir(self):
+        return self.folder
+
+
+class Session:
+    """A session that names no folder."""
+
+    def __init__(self, spark, master, folder):
+        self._jvm, self._jsc, self.sparkContext = spark._jvm, spark._jsc, Context(master, folder)
+        self.conf = self
+
+    def get(self, key, default):
+        return default
+
+
+def test_shared_folder(spark, tmp_path):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        store.shared_dir(Session(spark, "spark://host:7077", None))
+    assert store.shared_dir(Session(spark, "spark://host:7077", f"file:{tmp_path}")) == f"file://{tmp_path}"
+    assert store.shared_dir(Session(spark, "local[2]", None)) == store.DEFAULT_DIR
+
+
+def test_concurrent_writes_put_settings_back(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    with store.writing(spark):
+        with store.writing(spark):
+            pass
+        assert spark.conf.get(key) == "1000"
+    assert spark.conf.get(key) == before
+
+
+def test_file_systems(tmp_path):
+    system, path = files.system_of(f"file://{tmp_path}/a")
+    assert path == f"{tmp_path}/a" and system.type_name == "local"
+    with pytest.raises(ValueError, match="no file system for unheard"):
+        files.system_of("unheard://x/y")

@@ -50,3 +50,24 @@ def test_empty(spark):
 def test_expressions(spark):
     row = spark.createDataFrame([("a\x0bb  c\n", "x | y"), (None, None)], "t string, u string").select(tokens(F.col("t")).alias("n"), surface_topic(F.col("u")).alias("s"), uniform(F.lit(5), 1).alias("r")).collect()
     assert [(r.n, r.s) for r in row] == [(3, "table"), (0, "prose")] and 0 <= row[0].r < 1
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    rows = [(1, "a b", "s", "en"), (1, "a b", "s", "en"), (2, None, None, None), (3, "x " * 100_000, "s", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    taken = df.withColumns({c: F.lit("mine") for c in ("m_source", "m_tokens", "sampled", "probability", "tokens", "key", "f", "rate")})
+    plain, other = (sorted(map(str, mix(d, rounds=2).select("doc_id", "m_source", "m_tokens", "factor", "probability", "sampled").collect())) for d in (df, taken))
+    assert plain == other and len(plain) == 4 and plain[0] == plain[1]
+    assert mix(taken, rounds=2).select("tokens", "key", "f", "rate").distinct().collect() == [("mine",) * 4]
+
+
+def test_rounds_end_before_convergence(spark):
+    table = spark.createDataFrame([("a", "x", "t", 10), ("a", "y", "t", 1), ("b", "x", "t", 3), ("b", "y", "t", 90)], "m_source string, m_lang string, m_topic string, tokens long")
+    targets = {"m_source": spark.createDataFrame([("a", 0.9), ("b", 0.1)], "key string, target double"), "m_lang": spark.createDataFrame([("x", 0.1), ("y", 0.9)], "key string, target double"), "m_topic": spark.createDataFrame([("t", 1.0)], "key string, target double")}
+    off = []
+    for rounds in (1, 2, 40):
+        got = rake(table, targets, rounds, Scratch(spark, "test")).collect()
+        off.append(abs(sum(x.tokens * x.factor for x in got if x.m_source == "a") - 0.9))
+        # the margin that was met last holds after any round
+        assert abs(sum(x.tokens * x.factor for x in got) - 1) < 1e-9
+    assert off[0] > off[1] > off[2] and off[2] < 1e-6

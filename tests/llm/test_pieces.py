@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from junctura.llm import pieces
 from junctura.llm.pieces import encode_decode, marked_words
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -37,6 +38,56 @@ def test_empty_and_long(spark):
     assert list(row.ids) == sp.encode(long, add_eos=True) and row.decoded == long
 
 
-def test_crossing_models_are_refused(tmp_path):
-    with pytest.raises(Exception):
-        encode_decode(None, str(tmp_path / "none.model"))
+class Fake:
+    """A model of given pieces, as the library would show it."""
+
+    def __init__(self, pieces, real=None):
+        self.pieces, self.real = pieces, real
+
+    def get_piece_size(self):
+        return len(self.pieces)
+
+    def id_to_piece(self, i):
+        return self.pieces[i]
+
+    def is_control(self, i):
+        return self.pieces[i] == "</s>"
+
+    def is_unknown(self, i):
+        return self.pieces[i] == "<unk>"
+
+    def is_byte(self, i):
+        return self.pieces[i].startswith("<0x")
+
+    def encode(self, text):
+        return self.real.encode(text) if self.real else [0]
+
+
+def test_crossing_models_are_refused(monkeypatch):
+    real = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    with open(MODEL, "rb") as f:
+        pieces.check_model(f.read())
+    for bad in (["<unk>", "a▁b"], ["</s>", "▁the▁end"], ["x\ny"]):
+        monkeypatch.setattr(pieces, "_processor", lambda proto, bad=bad: Fake(bad, real))
+        with pytest.raises(ValueError, match="crosses a whitespace marker"):
+            pieces.check_model(b"")
+    monkeypatch.setattr(pieces, "_processor", lambda proto: Fake(["<unk>", "</s>", "<0x0A>", "▁▁", "▁a", "b"], real))
+    pieces.check_model(b"")
+    # spaces that collapse
+    monkeypatch.setattr(pieces, "_processor", lambda proto: Fake(["▁a"]))
+    with pytest.raises(ValueError, match="repeated spaces"):
+        pieces.check_model(b"")
+
+
+def test_query_matches_library(spark):
+    import hashlib
+
+    import pyarrow.parquet as pq
+
+    from junctura.llm.queries import op6_sentencepiece
+
+    sf, sp, want = "/root/testdata/sf0.001", sentencepiece.SentencePieceProcessor(model_file=MODEL), []
+    for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist():
+        ids = sp.encode(r["text"] or "", add_eos=True)
+        want.append((r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest()))
+    assert sorted(tuple(r) for r in op6_sentencepiece(spark, sf).collect()) == sorted(want)

@@ -1,5 +1,6 @@
 """Base statistics against brute force; learned lists on planted labels."""
 
+import collections
 import random
 import re
 
@@ -60,3 +61,48 @@ def test_nothing_to_learn(spark):
     assert learn(docs, none) == Rules(())
     assert judge(docs, Rules(())).where("not kept").count() == 0
     assert judge(docs.limit(0), Rules(())).collect() == []
+
+
+def test_long_texts_and_ties(spark):
+    long = " ".join("w%d" % (i % 50_000) for i in range(120_000)) + "\n" + "y" * 500_000
+    row = base_statistics(spark.createDataFrame([(1, long)], "doc_id long, text string")).first()
+    assert (row.n_words, row.n_repeat_words) == (120_001, 120_000) and row.word_chars == len(long) - 120_000
+    # two features part the labels equally well: the same one is taken every time, and each row is judged
+    rows = [(i, " ".join((f"W{i}X{j}" if i % 2 else f"w{i}x{j}") + ("#" if i % 2 else "") for j in range(30))) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2, 0) for i in range(120)], "doc_id long, quality int, toxic int")
+    first, second = learn(docs, labels), learn(docs.repartition(7), labels.repartition(3))
+    assert first == second and len(first.rules) == 1 and len(first.rules[0]) == 1
+    assert all(x.kept == (x.doc_id % 2 == 0) for x in judge(docs, first).collect())
+
+
+def test_query_verdicts(spark):
+    """The query's verdicts are those of the learned list on statistics counted by loops."""
+    import pyarrow.parquet as pq
+
+    from junctura.llm.queries import op3_quality_rules, table
+
+    sf = "/root/testdata/sf0.001"
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    rules = learn(docs, table(spark, sf, "labels"))
+    want = []
+    for r in pq.read_table(f"{sf}/documents.parquet", columns=["doc_id", "text"]).to_pylist():
+        text = r["text"] or ""
+        n, chars, symbols, dup, repeats = brute_fast(text)
+        of = {
+            "n_words": n, "symbols_per_1000_words": symbols * 1000 // max(n, 1), "tenths_of_letters_per_word": chars * 10 // max(n, 1), "dup_lines": dup, "repeats_per_1000_words": repeats * 1000 // max(n, 1),
+            "capitals_per_1000_chars": len(re.findall("[A-Z]", text)) * 1000 // max(len(text), 1),
+        }
+        failed = n < 10 or 100 * repeats > 20 * n
+        fits = any(all((of[x.feature] >= x.bound) == x.at_least for x in rule) for rule in rules.rules)
+        want.append((r["doc_id"], n, chars, symbols, dup, repeats, failed, not failed and not fits))
+    got = [tuple(x)[:8] for x in op3_quality_rules(spark, sf).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def brute_fast(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    times = collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {i + j for i in range(len(words) - 4) if times[tuple(words[i : i + 5])] > 1 for j in range(5)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
