@@ -116,7 +116,7 @@ def centric(rows: DataFrame) -> DataFrame:
     of a spurious match.
     """
     pairs = rows.select("key", F.explode("candidates").alias("c")).select("key", F.col("c.me").alias("me"))
-    groups = neighbour_sets(pairs, "key", "me").withColumn("group", F.array_join("keys", ","))
+    groups = neighbour_sets(pairs, "key", "me").withColumn("group", F.sha2(F.to_json("keys"), 256))
     members = groups.select("group", F.explode("keys").alias("key")).join(rows, "key")
     agg = members.groupBy("group").agg(
         F.sum("coverage").alias("sum_coverage"), F.min("p_spurious").alias("p_me"), F.array_sort(F.collect_list(F.struct("key", "coverage"))).alias("sjs"), F.array_sort(F.collect_list("candidates")).alias("sets")
