@@ -5,6 +5,7 @@ import gzip
 import hashlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from junctura.llm.files import read
 from junctura.llm.warc import parse, ranges, read_warc, record, write_warc
@@ -55,3 +56,13 @@ def test_damage_is_found():
     for bad in (good.replace(b"payload\r", b"pAyload\r"), good[:-1], b"x" + good):
         with pytest.raises(ValueError):
             parse(bad)
+
+
+def test_ranges_of_odd_indexes(spark):
+    rows = [(i, f"http://h/{i}", "<p>" + "x" * (i * 40)) for i in range(40)]
+    index = write_warc(spark.createDataFrame(rows, "page_id long, url string, html string")).cache()
+    holes = index.limit(3).unionByName(index).unionByName(index.limit(2).withColumn("offset", F.lit(None).cast("long")))
+    got = read_warc(holes, gap=0, most=500, part_bytes=300).collect()
+    assert sorted(r.page_id for r in got) == list(range(40))
+    assert read_warc(index, part_bytes=300).rdd.getNumPartitions() > 4
+    assert read_warc(index.limit(0)).collect() == []
