@@ -68,7 +68,8 @@ def s5_gtf(spark, sf):
     return IO.gtf(spark, path).where("feature = 'exon'").select("feature", "chrom", "strand", long("start"), long("end"), "gene", "tx")
 
 
-_SAM = ["read", "flag", "chrom", F.col("start") + 1, F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"), F.concat(F.lit("AS:i:"), F.col("score").cast("string")), F.concat(F.lit("XA:Z:"), F.col("tag").cast("string"))]
+def _sam_fields() -> list:
+    return ["read", "flag", "chrom", F.col("start") + 1, F.lit("60"), "cigar", F.lit("*"), F.lit("0"), F.lit("0"), F.lit("*"), F.lit("*"), F.concat(F.lit("AS:i:"), F.col("score").cast("string")), F.concat(F.lit("XA:Z:"), F.col("tag").cast("string"))]
 
 
 @query("SELECT CAST(read AS VARCHAR) AS read, CAST(flag AS BIGINT) AS flag, chrom, CAST(\"start\" AS BIGINT) AS \"start\", cigar, CAST(score AS BIGINT) AS score, CAST(tag AS VARCHAR) AS others FROM v_align", "v_align")
@@ -76,7 +77,7 @@ def s6_sam(spark, sf):
     """Header lines and a line of few fields stand among the alignments."""
     d = v_align(spark, sf)
     path = shared_folder(spark, "sam")
-    lines = d.select(F.concat_ws("\t", *_SAM).alias("value"))
+    lines = d.select(F.concat_ws("\t", *_sam_fields()).alias("value"))
     short = spark.createDataFrame([("@HD\tVN:1.6",), ("@SQ\tSN:chr1\tLN:9",), ("too\tshort",)], "value string")
     short.unionByName(lines).write.text(path)
     got = IO.sam(spark, path)

@@ -1,6 +1,9 @@
 """A synthetic genome with planted microexons, end to end; and the registered queries."""
 
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -167,6 +170,12 @@ def test_stranded(spark):
     assert spark.range(1).select(S.stranded(F.lit("AAC"), F.lit("-")).alias("x")).first().x == "GTT"
 
 
+def test_entry_is_imported_without_a_session():
+    """A driver imports the entry module before it makes its session."""
+    root = Path(__file__).resolve().parents[1]
+    subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; assert len(e.queries()) > 100 and e.oracle_sql()"], cwd=root, check=True)
+
+
 def test_registered_queries_have_plans(spark):
     import __spark_entry__ as e
 
