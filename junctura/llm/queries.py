@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import find_contamination
 from .jaccard_join import similar_components
 from .mixing import mix
 from .mpeg_audio import decode_audio, encode_text
@@ -154,9 +155,27 @@ r AS (SELECT *, CASE {fits} END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') IN ({listed}) THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w, least(len(w), 10) AS n FROM benchmark),
+g AS (SELECT DISTINCT item_id, n, list_slice(w, i, i + n - 1) AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS i FROM b WHERE n > 0)),
+p AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+m AS MATERIALIZED (SELECT r, i, n, item_id FROM (SELECT r, i, n, list_slice(w, i, i + n - 1) AS g FROM p, (SELECT DISTINCT n FROM g) WHERE i + n - 1 <= len(w)) JOIN g USING (n, g)),
+h AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS at FROM m) GROUP BY r),
+f AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM m WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN f USING (r)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade)}
+    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade, op12_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql()}
+    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql(), "op12_decontamination": OP12_SQL}
