@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .decontamination import find_contamination
+from .divergence import audit
 from .jaccard_join import similar_components
 from .mixing import mix
 from .mpeg_audio import decode_audio, encode_text
@@ -173,9 +174,33 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN h USING (r) LEFT JOIN f USING (r)"""
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+k AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+v AS (SELECT lang, count(*) AS v, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY lang),
+g AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+c AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM t JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT lang, source, CAST(sum(n) AS BIGINT) AS n FROM c GROUP BY ALL),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + CAST(1000000000 * CAST(coalesce(c.n, 0) + 2 AS HUGEINT) // (coalesce(s.n, 0) + 2 * v.v) AS BIGINT) AS p, 1 + CAST(1000000000 * CAST(k.n + 2 AS HUGEINT) // (v.n + 2 * v.v) AS BIGINT) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN s USING (lang, source)),
+u AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+x AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(u.value, 0) AS BIGINT) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN u ON u.lang = a.lang AND u.source = a.source AND u.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM x)
+WHERE part = 'pair' OR rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade, op12_decontamination)}
+    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade, op12_decontamination, op13_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql(), "op12_decontamination": OP12_SQL}
+    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql(), "op12_decontamination": OP12_SQL, "op13_divergence": OP13_SQL}
