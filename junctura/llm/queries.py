@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import collocations
 from .decontamination import find_contamination
 from .divergence import audit
 from .jaccard_join import similar_components
@@ -156,6 +157,27 @@ r AS (SELECT *, CASE {fits} END AS rule FROM h)
 SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') IN ({listed}) THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+    return out.withColumn("rank", F.col("rank").cast("long"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]') AS parts FROM documents),
+w AS (SELECT lang, regexp_extract_all(part, '[^\\x20\\x09]+') AS w FROM (SELECT lang, unnest(parts) AS part FROM d)),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(list_slice(w, j, j + k - 1), ' ') AS phrase FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS j FROM w), (SELECT unnest(range(1, 6)) AS k) WHERE j + k - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT p.lang, p.phrase, p.k, p.f AS a, j, x.f AS l, y.f AS r, n.n, (1000 * CAST(p.f AS HUGEINT) * n.n) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM f WHERE k >= 2) p JOIN n USING (lang)
+  JOIN f x ON x.lang = p.lang AND x.phrase = array_to_string(list_slice(p.w, 1, j), ' ') JOIN f y ON y.lang = p.lang AND y.phrase = array_to_string(list_slice(p.w, j + 1, p.k), ' ')),
+s AS (SELECT lang, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, array_to_string(list_slice(w, b, b + m - 1), ' ') AS phrase, max(f) AS within FROM (SELECT *, unnest(range(1, k + 1)) AS b FROM f WHERE k >= 3), (SELECT unnest(range(2, 5)) AS m) WHERE m < k AND b + m - 1 <= k GROUP BY 1, 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM s LEFT JOIN i USING (lang, phrase) WHERE within IS NULL OR 100 * within < 100 * a
+QUALIFY rank <= 2000"""
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = find_contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
@@ -199,8 +221,8 @@ WHERE part = 'pair' OR rank <= 10"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade, op12_decontamination, op13_divergence)}
+    return {f.__name__: f for f in (op1_mixing, op2_warc_index, op3_quality_rules, op4_quotes, op5_suffix_dedup, op6_sentencepiece, op7_ngram_jaccard, op8_token_files, op9_mpeg_audio, op10_url_cascade, op11_collocations, op12_decontamination, op13_divergence)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql(), "op12_decontamination": OP12_SQL, "op13_divergence": OP13_SQL}
+    return {"op1_mixing": _op1_sql(), "op2_warc_index": OP2_SQL, "op10_url_cascade": _op10_sql(), "op11_collocations": OP11_SQL, "op12_decontamination": OP12_SQL, "op13_divergence": OP13_SQL}
