@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import annotation as A
 from ..operators import isoforms as G
+from ..sources import bam as B
+from ..sources import bigwig as W
 from ..sources import text as IO
 from ..sources.shared import shared_folder
 from .quantification import _GENES, _genes
@@ -114,6 +116,22 @@ def s10_range_mean(spark, sf):
     return IO.conservation(mes, IO.bedgraph(spark, path), ["me"]).select("me", F.floor(F.col("mean") * 1000).cast("long").alias("mean"))
 
 
+@query(
+    """WITH v AS (SELECT DISTINCT chrom, "start" AS rs, "end" AS re, "start" % 10 AS value FROM v_exon WHERE "end" - "start" > 25), z AS (SELECT chrom, max("end") AS size FROM v_exon GROUP BY chrom),
+r AS (SELECT DISTINCT chrom, "start" - 2 AS s, "end" + 2 AS e, "start" AS a, "end" AS b FROM v_exon WHERE "end" - "start" <= 10),
+h AS (SELECT r.chrom, a, b, sum(value * (least(e, re) - greatest(s, rs))) / sum(least(e, re) - greatest(s, rs)) AS mean FROM r JOIN v ON v.chrom = r.chrom AND s < re AND rs < e JOIN z ON z.chrom = r.chrom AND s >= 0 AND e <= size GROUP BY ALL)
+SELECT r.chrom || '_' || a || '_' || b AS me, CAST(coalesce(floor(mean * 1000), 0) AS BIGINT) AS mean FROM r LEFT JOIN h USING (chrom, a, b)""",
+    "v_exon",
+)
+def s10_bigwig_mean(spark, sf):
+    """Values are written and read as bigWig files, of which only the touched blocks are decoded; regions that leave their chromosome have 0."""
+    e = v_exon(spark, sf)
+    path = shared_folder(spark, "bigwig")
+    W.write_bigwig(e.where("end - start > 25").select("chrom", "start", "end", (F.col("start") % 10).alias("value")).distinct(), e.groupBy("chrom").agg(F.max("end").alias("size")), path)
+    mes = e.where("end - start <= 10").select("chrom", "start", "end").distinct().withColumn("me", F.concat_ws("_", "chrom", "start", "end"))
+    return W.conservation(spark, mes, path, ["me"]).select("me", F.floor(F.col("mean") * 1000).cast("long").alias("mean"))
+
+
 @query("SELECT CAST(sample AS VARCHAR) AS sample, me, CAST(inc AS VARCHAR) AS inc, CAST(skip AS VARCHAR) AS skip FROM v_cov", "v_cov")
 def s11_table(spark, sf):
     path = shared_folder(spark, "table")
@@ -171,3 +189,46 @@ def s15_runs(spark, sf):
 def s19_region_reads(spark, sf):
     d = v_align(spark, sf).withColumnsRenamed({"tag": "t"}).withColumn("tag", F.col("chrom"))
     return IO.region_reads(d, "chr7", 300, 500).select("read", "line", F.col("t").alias("tag"), "supp")
+
+
+def _bam(spark, sf) -> str:
+    """The alignments as BAM files with their indexes; a read's name holds what the format has no field for."""
+    path = shared_folder(spark, "bam")
+    none = {"seq": "string", "qual": "string", "second": "int", "others": "string"}
+    name = F.concat_ws(":", "read", "line", "tag", "supp").alias("read")
+    rows = v_align(spark, sf).select(name, "flag", F.col("chrom").alias("tag"), "start", "cigar", "score", *(F.lit(None).cast(t).alias(c) for c, t in none.items()))
+    B.write_bam(rows, spark.createDataFrame([(f"chr{i}", 1 << 20) for i in range(25)], "chrom string, size long"), path, 1 << 20)
+    return path
+
+
+_NAME = "concat_ws(':', read, line, tag, supp)"
+
+
+@query(f'SELECT {_NAME} AS read, flag, chrom AS tag, CAST("start" AS BIGINT) AS "start", cigar, score FROM v_align', "v_align")
+def s6_bam(spark, sf):
+    """Every record of a folder of BAM files, each read in splits."""
+    return B.bam(spark, _bam(spark, sf), 1 << 18).select("read", "flag", "tag", long("start"), "cigar", "score")
+
+
+@query(f"SELECT {_NAME} AS name FROM (SELECT * FROM ({_CUT}) WHERE chrom = 'chr7' AND flag & 4 = 0 AND \"start\" < 500 AND b[len(b)][2] > 300)", "v_align")
+def s19_bam_region(spark, sf):
+    """A region through the binning index."""
+    return B.bam_region(spark, _bam(spark, sf), "chr7", 300, 500).select(F.col("read").alias("name"))
+
+
+@query(
+    """WITH r AS (SELECT doc_id // 2 AS id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 1 + doc_id % 2 END AS mate, CASE WHEN doc_id % 3 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM v_dna WHERE seq <> ''),
+b AS (SELECT *, sum(CASE WHEN mate > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) = 2 AS both FROM r)
+SELECT 'd' || id AS id, CASE WHEN both AND mate > 0 THEN CAST(mate AS VARCHAR) ELSE 'single' END AS file, seq FROM b""",
+    "v_dna",
+)
+def s16_alignment_pairs(spark, sf):
+    """Alignments back to reads: mates and singles apart, as they were sequenced, each once though secondary records repeat them."""
+    d = v_dna(spark, sf).where("seq <> ''")
+    mate = F.when(F.col("doc_id") % 5 == 0, 0).when(F.col("doc_id") % 2 == 0, 0x41).otherwise(0x81)
+    flag = mate + F.when(F.col("doc_id") % 3 == 0, 0x10).otherwise(0)
+    rows = d.select(F.concat(F.lit("d"), F.floor(F.col("doc_id") / 2).cast("string")).alias("read"), flag.alias("flag"), F.concat(F.lit("chr"), (F.col("doc_id") % 9).cast("string")).alias("tag"), F.lit(1).alias("start"), "seq", F.lit("*").alias("qual"))
+    again = rows.withColumn("flag", F.col("flag") + 0x100).withColumn("seq", F.lit("ACGT"))
+    first, second, single = B.paired(B.read_pairs(rows.unionByName(again)))
+    named = lambda d, file: d.select("id", F.lit(file).alias("file"), "seq")
+    return named(first, "1").unionByName(named(second, "2")).unionByName(named(single, "single"))
