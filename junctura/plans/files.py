@@ -218,8 +218,8 @@ def s19_bam_region(spark, sf):
 
 @query(
     """WITH r AS (SELECT doc_id // 2 AS id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE 1 + doc_id % 2 END AS mate, CASE WHEN doc_id % 3 = 0 THEN reverse(translate(seq, 'ACGT', 'TGCA')) ELSE seq END AS seq FROM v_dna WHERE seq <> ''),
-b AS (SELECT *, sum(CASE WHEN mate > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) = 2 AS both FROM r)
-SELECT 'd' || id AS id, CASE WHEN both AND mate > 0 THEN CAST(mate AS VARCHAR) ELSE 'single' END AS file, seq FROM b""",
+b AS (SELECT *, sum(CASE WHEN mate > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY id) = 2 AS pair FROM r)
+SELECT 'd' || id AS id, CASE WHEN pair AND mate > 0 THEN CAST(mate AS VARCHAR) ELSE 'single' END AS file, seq FROM b""",
     "v_dna",
 )
 def s16_alignment_pairs(spark, sf):
