@@ -24,6 +24,7 @@ _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 _WORD = ~_BREAK
 _WORD[[0x20, 0x09]] = False
 CHUNK = 8 << 20
+_SALTS = 64
 _SLOT = 15  # a slot has 2**15 bits
 _FACTORS = np.random.default_rng(23).integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COUNTS = "lang string, phrase string, f long"
@@ -179,7 +180,10 @@ def collocations(
     cuts = phrases.select("lang", "phrase", "k", "a", "w", F.explode(F.sequence(F.lit(1), F.col("k") - 1)).alias("cut"))
     cuts = cuts.select("lang", "phrase", "a", "cut", _joined(F.col("w"), 1, F.col("cut")).alias("left"), _joined(F.col("w"), F.col("cut") + 1, F.col("k") - F.col("cut")).alias("right"))
     cuts = cuts.join(parts.select("lang", F.col("phrase").alias("left"), F.col("f").alias("l")), ["lang", "left"])
-    cuts = cuts.join(parts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"]).join(n, "lang")
+    cuts = cuts.join(parts.select("lang", F.col("phrase").alias("right"), F.col("f").alias("r")), ["lang", "right"])
+    # a language may hold most phrases: its number of words comes to each of some salts
+    n = n.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    cuts = cuts.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(_SALTS)).cast("int")).join(n, ["lang", "salt"])
     whole = lambda c: F.col(c).cast("decimal(19,0)").cast("decimal(38,0)")
     cuts = cuts.withColumn("above", F.lit(1000).cast("decimal(38,0)") * whole("a") * whole("n")).withColumn("below", whole("l") * whole("r"))
     lowest = F.min(F.struct(F.expr("above div below").alias("score"), "cut", "l", "r", "n")).alias("lowest")
