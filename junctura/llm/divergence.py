@@ -21,7 +21,7 @@ from .store import Scratch
 #: Bytes of terms: ASCII letters (lower-cased by then) and all bytes of other characters.
 _TERM = np.zeros(256, bool)
 _TERM[0x61:0x7B] = _TERM[0x80:] = True
-CHUNK = 12 << 20
+CHUNK = 8 << 20
 _COUNTS = "lang string, source string, term string, n long, docs long"
 _PARTS = "lang string, source string, part string, item string, value long"
 
