@@ -21,11 +21,6 @@ def stranded(seq: Column, strand: Column) -> Column:
     return F.when(strand == "-", revcomp(seq)).otherwise(seq)
 
 
-def flank_dinucleotides(seq: Column, start: Column, end: Column, strand: Column) -> Column:
-    """The two bases in front of ``start`` and the two behind ``end``, as the strand reads them."""
-    return stranded(F.concat(slice_seq(seq, start - 2, start), slice_seq(seq, end, end + 2)), strand)
-
-
 def splice_dinucleotides(intron: Column) -> Column:
     """First two and last two bases of an intron."""
     return F.concat(F.substring(intron, 1, 2), F.substring(intron, -2, 2))
@@ -82,9 +77,8 @@ def spurious_annotated(length: Column, intron: Column) -> Column:
     return 1 - F.pow(1 - 1 / (F.pow(F.lit(4.0), length) + 4), intron - (length + 4))
 
 
-def pwm_score(window: Column, matrix: list[dict[str, float]]) -> Column:
-    """Percent of a position weight matrix's best sum that a window reaches; N counts 0, a window of another length gives null."""
-    best = sum(max(row.values()) for row in matrix)
+def pwm_sum(window: Column, matrix: list[dict[str, float]]) -> Column:
+    """Sum of a window's values in a position weight matrix; other letters and missing places count 0."""
     total = F.lit(0.0)
     for i, row in enumerate(matrix):
         base = F.substring(window, i + 1, 1)
@@ -92,7 +86,12 @@ def pwm_score(window: Column, matrix: list[dict[str, float]]) -> Column:
         for nt, p in row.items():
             value = F.when(base == nt, F.lit(p)).otherwise(value)
         total = total + value
-    return F.when(F.length(window) == len(matrix), 100 * total / best)
+    return total
+
+
+def pwm_score(window: Column, matrix: list[dict[str, float]]) -> Column:
+    """Percent of a matrix's best sum that a window reaches; a window of another length gives null."""
+    return F.when(F.length(window) == len(matrix), 100 * pwm_sum(window, matrix) / pwm_best(matrix))
 
 
 def pwm_best(matrix: list[dict[str, float]]) -> float:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from .genome import pieces, tiles, with_slices
+
 
 def _by_tx():
     return Window.partitionBy("tx").orderBy("start", "block")
@@ -67,9 +69,23 @@ def previous_intron(gaps: DataFrame) -> DataFrame:
 
 def transcript_sequences(exons: DataFrame, genome: DataFrame) -> DataFrame:
     """Spliced sequence of each transcript, as its strand reads it; transcripts of an unknown chromosome are left out."""
-    parts = exons.join(genome.select(F.col("id").alias("chrom"), "seq"), "chrom").withColumn("part", S.slice_seq(F.col("seq"), F.col("start"), F.col("end")))
-    tx = parts.groupBy("tx", "strand").agg(F.array_sort(F.collect_list(F.struct("start", "part"))).alias("p"))
-    return tx.select("tx", S.stranded(F.array_join(F.transform("p", lambda x: x["part"]), ""), F.col("strand")).alias("seq"))
+    rows, held = exons.select("tx", "strand", "chrom", "start", "end"), tiles(genome)
+    parts = pieces(rows, held, F.col("start"), F.col("end")).select("tx", "strand", F.struct("start", "piece_at", "piece").alias("p"))
+    # every sequence has a tile 0: a transcript without a base on a known chromosome is empty
+    known = rows.join(held.where("tile = 0").select("chrom"), "chrom", "left_semi").select("tx", "strand")
+    tx = parts.unionByName(known, allowMissingColumns=True).groupBy("tx", "strand").agg(F.array_sort(F.collect_list("p")).alias("p"))
+    return tx.select("tx", S.stranded(F.array_join(F.transform("p", lambda x: x["piece"]), ""), F.col("strand")).alias("seq"))
+
+
+def exon_parts(exons: DataFrame, genome: DataFrame) -> DataFrame:
+    """Exons with ``part``, their sequence on the plus strand."""
+    return with_slices(exons, genome, {"part": (F.col("start"), F.col("end"))})
+
+
+def flank_dinucleotides(exons: DataFrame, genome: DataFrame) -> DataFrame:
+    """Exons with ``beside``: the two bases in front of and behind each, as its strand reads them; null where the two in front leave the chromosome."""
+    d = with_slices(exons, genome, {"__up": (F.col("start") - 2, F.col("start")), "__down": (F.col("end"), F.col("end") + 2)})
+    return d.select(*exons.columns, S.stranded(F.concat("__up", "__down"), F.col("strand")).alias("beside"))
 
 
 def junction_tags(exons: DataFrame, sequences: DataFrame, flank: int) -> DataFrame:
@@ -100,11 +116,10 @@ def insert_in_tag(tag, up, me):
 
 
 def annotated_mes(exons: DataFrame, genome: DataFrame, found: DataFrame, max_len: int) -> DataFrame:
-    """Annotated exons of at most ``max_len`` between AG and GT, as their strand reads them, but those ``found`` has; ``genome`` is (chrom, seq)."""
+    """Annotated exons of at most ``max_len`` between AG and GT, as their strand reads them, but those ``found`` has."""
     place = ["chrom", "strand", "start", "end"]
     short = exons.where((F.col("end") - F.col("start") <= max_len) & (F.col("start") >= 2)).select(*place).distinct().join(found.select(*place).distinct(), place, "left_anti")
-    beside = S.flank_dinucleotides(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"))
-    return short.join(genome, "chrom").where(beside == "AGGT").select(*place)
+    return flank_dinucleotides(short, genome).where("beside = 'AGGT'").select(*place)
 
 
 def tags_of(mes: DataFrame, tags: DataFrame) -> DataFrame:
@@ -117,12 +132,45 @@ def flank_pairs(gaps: DataFrame, ups: DataFrame, downs: DataFrame) -> DataFrame:
     return gaps.join(ups.withColumnRenamed("at", "start"), ["chrom", "start"]).join(downs.withColumnRenamed("at", "end"), ["chrom", "end"])
 
 
-def learn_matrix(windows: DataFrame) -> DataFrame:
-    """Nucleotide shares by position of equally long windows (column ``seq``): (pos, A, C, G, T)."""
-    at = windows.select(F.posexplode(F.split("seq", "")).alias("pos", "nt"))
-    counts = at.groupBy("pos").agg(*(F.count_if(F.col("nt") == x).alias(x) for x in "ACGT"))
-    total = F.col("A") + F.col("C") + F.col("G") + F.col("T")
-    return counts.select("pos", *(F.try_divide(F.col(x), total).alias(x) for x in "ACGT"))
+#: Bases of the splice sites' windows: the acceptor's in front of and inside the exon, the donor's inside and behind.  Fixed values.
+ACCEPTOR, DONOR = (14, 3), (3, 10)
+
+
+def splice_windows(places: DataFrame, genome: DataFrame) -> DataFrame:
+    """Exons (chrom, strand, start, end) with ``acceptor``, 17 bases over their first border, and ``donor``, 13 over their last, as the strand reads them.
+
+    A window is shorter where it leaves the chromosome behind, and empty where it leaves it in front.
+    """
+    minus, s, e = F.col("strand") == "-", F.col("start"), F.col("end")
+    side = lambda plus, other: F.when(minus, other).otherwise(plus)
+    (a_out, a_in), (d_in, d_out) = ACCEPTOR, DONOR
+    windows = {"__a": (side(s - a_out, e - a_in), side(s + a_in, e + a_out)), "__d": (side(e - d_in, s - d_out), side(e + d_out, s + d_in))}
+    read = lambda c: S.stranded(F.coalesce(c, F.lit("")), F.col("strand"))
+    return with_slices(places, genome, windows).select(*places.columns, read("__a").alias("acceptor"), read("__d").alias("donor"))
+
+
+def learn_matrices(exons: DataFrame, genome: DataFrame) -> DataFrame:
+    """(site, pos, A, C, G, T): nucleotide shares around the internal exons of all transcripts that stand between AG and GT; letters other than the four do not count."""
+    d = splice_windows(internal(exons).select("tx", "block", "chrom", "strand", "start", "end"), genome)
+    d = d.where(F.concat(F.substring("donor", DONOR[0] + 1, 2), F.substring("acceptor", -ACCEPTOR[1] - 2, 2)) == "GTAG")
+    both = F.explode(F.array(*(F.struct(F.lit(x).alias("site"), F.col(x).alias("w")) for x in ("acceptor", "donor")))).alias("x")
+    at = d.select(both).select("x.site", F.posexplode(F.split("x.w", "")).alias("pos", "nt")).where(F.col("nt").isin(*"ACGT"))
+    counts = at.groupBy("site", "pos").agg(F.count("*").alias("n"), *(F.count_if(F.col("nt") == x).alias(x) for x in "ACGT"))
+    return counts.select("site", "pos", *((F.col(x) / F.col("n")).alias(x) for x in "ACGT"))
+
+
+def collected(matrices: DataFrame) -> tuple[list[dict[str, float]], list[dict[str, float]]]:
+    """The learned acceptor and donor matrices on the driver: as many rows as their windows have bases."""
+    rows = matrices.orderBy("pos").collect()
+    return tuple([{nt: r[nt] for nt in "ACGT"} for r in rows if r.site == site] for site in ("acceptor", "donor"))
+
+
+def splice_scores(places: DataFrame, genome: DataFrame, acceptor: list[dict[str, float]], donor: list[dict[str, float]]) -> DataFrame:
+    """Exons with ``u2``: what both windows reach of the two matrices' joint maximum, in percent.  Letters other than the four count 0."""
+    most = S.pwm_best(acceptor) + S.pwm_best(donor)
+    d = splice_windows(places, genome)
+    total = S.pwm_sum(F.col("acceptor"), acceptor) + S.pwm_sum(F.col("donor"), donor)
+    return d.select(*places.columns, (100 * total / most if most else F.lit(0.0)).alias("u2"))
 
 
 def _spliced(parts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from .genome import with_slices
 
 
 def explode_matches(total: DataFrame) -> DataFrame:
@@ -62,13 +63,13 @@ def shared_boundaries(mes: DataFrame) -> DataFrame:
 def intron_end_sequences(mes: DataFrame, genome: DataFrame) -> DataFrame:
     """First and last bases (``up``, ``down``) of each junction's intron, as many as the microexon has and as its strand reads them.
 
-    ``mes`` (me, chrom, strand, sj_start, sj_end, start, end), ``genome`` (chrom, seq).  A junction that starts or ends where the microexon does is left out.
+    ``mes`` (me, chrom, strand, sj_start, sj_end, start, end).  A junction that starts or ends where the microexon does is left out.
     """
-    d = mes.where("sj_start <> start and sj_end <> end").join(genome, "chrom")
     n = F.col("end") - F.col("start")
-    left, right = S.slice_seq(F.col("seq"), F.col("sj_start"), F.col("sj_start") + n), S.slice_seq(F.col("seq"), F.col("sj_end") - n, F.col("sj_end"))
+    windows = {"__l": (F.col("sj_start"), F.col("sj_start") + n), "__r": (F.col("sj_end") - n, F.col("sj_end"))}
+    d = with_slices(mes.where("sj_start <> start and sj_end <> end"), genome, windows)
     minus = F.col("strand") == "-"
-    return d.select(*mes.columns, F.when(minus, S.revcomp(right)).otherwise(left).alias("up"), F.when(minus, S.revcomp(left)).otherwise(right).alias("down"))
+    return d.select(*mes.columns, F.when(minus, S.revcomp("__r")).otherwise(F.col("__l")).alias("up"), F.when(minus, S.revcomp("__l")).otherwise(F.col("__r")).alias("down"))
 
 
 def route(rows: DataFrame) -> DataFrame:

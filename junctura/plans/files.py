@@ -12,7 +12,7 @@ from ..sources import bigwig as W
 from ..sources import text as IO
 from ..sources.shared import shared_folder
 from .quantification import _GENES, _genes
-from .registry import MATRIX, query, table, v_align, v_cov, v_dna, v_exon
+from .registry import query, table, v_align, v_cov, v_dna, v_exon
 from .sequences import _CUT
 
 
@@ -94,14 +94,6 @@ def s7_fastq(spark, sf):
     return IO.valid_reads(IO.fastq(spark, path)).select("id", "seq", "qual")
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"(CAST({i} AS BIGINT), CAST({m['A']} AS DOUBLE), CAST({m['C']} AS DOUBLE), CAST({m['G']} AS DOUBLE), CAST({m['T']} AS DOUBLE))" for i, m in enumerate(MATRIX)) + ") t(pos, a, c, g, t)")
-def s9_weight_matrix(spark, sf):
-    path = shared_folder(spark, "matrix")
-    spark.createDataFrame([tuple(m[k] for k in "ACGT") for m in MATRIX], "A double, C double, G double, T double").coalesce(1).write.option("sep", "\t").option("header", True).csv(path)
-    got = IO.weight_matrix(spark, path)
-    return spark.createDataFrame([(i, m["A"], m["C"], m["G"], m["T"]) for i, m in enumerate(got)], "pos long, a double, c double, g double, t double")
-
-
 @query(
     """WITH v AS (SELECT DISTINCT chrom, "start" AS rs, "end" AS re, "start" % 10 AS value FROM v_exon WHERE "end" - "start" > 25), r AS (SELECT DISTINCT chrom, "start" - 2 AS s, "end" + 2 AS e, "start" AS a, "end" AS b FROM v_exon WHERE "end" - "start" <= 10),
 h AS (SELECT r.chrom, a, b, sum(value * (least(e, re) - greatest(s, rs))) / sum(least(e, re) - greatest(s, rs)) AS mean FROM r JOIN v ON v.chrom = r.chrom AND s < re AND rs < e GROUP BY ALL)

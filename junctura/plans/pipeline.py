@@ -15,6 +15,8 @@ from ..operators import coverage as Q
 from ..operators import differential as D
 from ..operators import discovery as X
 from ..operators import filters as L
+from ..operators import genome as G
+from ..sources import bigwig as W
 
 
 @dataclass(frozen=True)
@@ -34,8 +36,8 @@ def tag_library(exons: DataFrame, genome: DataFrame, s: Settings) -> DataFrame:
     """One junction tag for each intron of eligible size and canonical ends: (id, seq, up, chrom, strand, start, end)."""
     tags = A.junction_tags(exons, A.transcript_sequences(exons, genome), s.max_read_len)
     best = A.best_tags(A.eligible(exons, s.me_len)).select("tx", F.col("block").alias("junction"))
-    d = tags.join(best, ["tx", "junction"]).join(genome.select(F.col("id").alias("chrom"), F.col("seq").alias("g")), "chrom")
-    intron = S.stranded(S.slice_seq(F.col("g"), F.col("start"), F.col("end")), F.col("strand"))
+    d = G.with_slices(tags.join(best, ["tx", "junction"]), genome, {"between": (F.col("start"), F.col("end"))})
+    intron = S.stranded(F.col("between"), F.col("strand"))
     d = d.where(S.canonical(S.splice_dinucleotides(intron)))
     return d.select(K.sj_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")).alias("id"), F.col("tag").alias("seq"), "up", "chrom", "strand", "start", "end", intron.alias("intron_seq"))
 
@@ -57,6 +59,19 @@ def discover(hits: DataFrame, tags: DataFrame, s: Settings) -> DataFrame:
     return hit.withColumns({"start": start, "end": start + n}).select("read", F.col("tag").alias("sj"), "me_seq", K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")).alias("me"), "seq", (F.col("i_end") - F.col("i_start")).alias("intron_len"))
 
 
+def splice_matrices(exons: DataFrame, genome: DataFrame) -> tuple[list[dict[str, float]], list[dict[str, float]]]:
+    """The acceptor and donor matrices that an annotation's own exons give."""
+    return A.collected(A.learn_matrices(exons, genome))
+
+
+def microexon_scores(found: DataFrame, genome: DataFrame, acceptor: list[dict[str, float]], donor: list[dict[str, float]], conservation: str | None = None, flank: int = 2) -> DataFrame:
+    """(me, u2, cons) of the microexons of discovered rows: their splice score, and the mean of a bigWig file over them widened by ``flank``, 0 without a file."""
+    part = lambda i: F.regexp_extract("me", r"^(.*)_([+-])_(\d+)_(\d+)$", i)
+    places = found.select("me").distinct().where(part(2) != "").select("me", part(1).alias("chrom"), part(2).alias("strand"), part(3).cast("int").alias("start"), part(4).cast("int").alias("end"))
+    known = W.conservation(found.sparkSession, places, conservation, ["me"], flank)
+    return A.splice_scores(places, genome, acceptor, donor).select("me", "u2").join(known.withColumnRenamed("mean", "cons"), "me")
+
+
 def microexon_table(found: DataFrame, scores: DataFrame) -> DataFrame:
     """The microexon table: coverage by junction and sequence, common candidates and the best of them; ``scores`` (me, u2, cons)."""
     key = F.concat_ws("_", "sj", "me_seq")
@@ -101,4 +116,4 @@ def single_cell(replicates: DataFrame, cdf_t: float = 0.5, min_delta: float = 0.
     return D.significant(D.replicate_stats(replicates), cdf_t, min_delta, min_p, min_rep)
 
 
-__all__ = ["Settings", "differential", "discover", "final_filter", "microexon_table", "quantify", "single_cell", "tag_library"]
+__all__ = ["Settings", "differential", "discover", "final_filter", "microexon_scores", "microexon_table", "quantify", "single_cell", "splice_matrices", "tag_library"]

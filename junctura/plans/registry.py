@@ -114,7 +114,4 @@ def v_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("cluster"), F.col("c_custkey").cast("long").alias("file"))
 
 
-#: A matrix for the scoring queries: tenths by position of a five-base window.  Made up, since the driver's tables hold no splice sites.
-MATRIX = [{"A": 0.4, "C": 0.3, "G": 0.2, "T": 0.1}, {"A": 0.1, "C": 0.2, "G": 0.6, "T": 0.1}, {"A": 0.1, "C": 0.1, "G": 0.1, "T": 0.7}, {"A": 0.5, "C": 0.1, "G": 0.3, "T": 0.1}, {"A": 0.25, "C": 0.25, "G": 0.25, "T": 0.25}]
-
-__all__ = ["MATRIX", "QUERIES", "S", "SQL", "VIEWS", "query", "table", "v_align", "v_cell", "v_cov", "v_dna", "v_exon", "v_node", "with_views"]
+__all__ = ["QUERIES", "S", "SQL", "VIEWS", "query", "table", "v_align", "v_cell", "v_cov", "v_dna", "v_exon", "v_node", "with_views"]

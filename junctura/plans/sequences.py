@@ -11,9 +11,11 @@ from ..functions import sequence as S
 from ..operators import annotation as A
 from ..operators import coverage as Q
 from ..operators import discovery as D
+from ..operators import genome as G
 from ..operators import regions as R
 from ..sources import text as IO
-from .registry import MATRIX, query, table, v_align, v_dna, v_exon
+from ..sources.shared import shared_folder
+from .registry import query, table, v_align, v_dna, v_exon
 
 _COMP = "reverse(translate(seq, 'ACGT', 'TGCA'))"
 
@@ -144,11 +146,6 @@ def _prefix_sql(a: str, b: str) -> str:
     return f"CAST(coalesce(list_min(list_filter(range(1, least(length({a}), length({b})) + 1), lambda i: substr({a}, CAST(i AS INTEGER), 1) <> substr({b}, CAST(i AS INTEGER), 1))) - 1, least(length({a}), length({b}))) AS BIGINT)"
 
 
-def _score_sql(w: str) -> str:
-    terms = " + ".join("CASE substr({w}, {i}, 1) {cases} ELSE 0.0 END".format(w=w, i=i + 1, cases=" ".join(f"WHEN '{k}' THEN {v}" for k, v in row.items())) for i, row in enumerate(MATRIX))
-    return f"round(CAST(100 * ({terms}) / {sum(max(r.values()) for r in MATRIX)} AS DOUBLE), 6)"
-
-
 # annotation -----------------------------------------------------------------------------------------------------------------------------
 
 
@@ -217,10 +214,6 @@ def _genome(spark, sf) -> DataFrame:
     return v_dna(spark, sf).select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("id"), "seq")
 
 
-def _exon_parts(spark, sf) -> DataFrame:
-    return v_exon(spark, sf).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom")
-
-
 def _stranded_sql(x: str) -> str:
     return f"CASE WHEN strand = '-' THEN reverse(translate({x}, 'ACGT', 'TGCA')) ELSE {x} END"
 
@@ -231,18 +224,14 @@ _BESIDE = f"""SELECT tx, block, {_stranded_sql("(substr(seq, \"start\" - 1, 2) |
 @query(f"SELECT tx, CAST(block AS BIGINT) AS block, dn, dn = 'AGGT' AS flanked FROM ({_BESIDE})", "v_dna", "v_exon")
 def p10_flank_dinuc(spark, sf):
     """The two bases in front of and behind each exon, as its strand reads them."""
-    dn = S.flank_dinucleotides(F.col("seq"), F.col("start"), F.col("end"), F.col("strand"))
-    return _exon_parts(spark, sf).where("start >= 2").select("tx", long("block"), dn.alias("dn"), (dn == "AGGT").alias("flanked"))
+    d = A.flank_dinucleotides(v_exon(spark, sf).where("start >= 2"), _genome(spark, sf))
+    return d.select("tx", long("block"), F.col("beside").alias("dn"), (F.col("beside") == "AGGT").alias("flanked"))
 
 
 _AT = f"""SELECT tx, block, strand, i."start" AS s, i."end" AS e, seq, CAST(1 + tx % 9 AS INTEGER) AS k FROM v_intron i JOIN ({_GENOME}) g USING (chrom)"""
 _TRIPLE = f"""SELECT tx, block, substr(seq, greatest(s - 12, 0) + 1, least(s, 12)) AS up, substr(seq, s + 1, k) AS found, substr(seq, s + k + 1, 30) AS down FROM ({_AT}) WHERE length(seq) >= s + 40"""
 
 
-def _intron_seqs(spark, sf) -> DataFrame:
-    return A.introns(v_exon(spark, sf)).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom")
-
-
 @query(
     f"""SELECT tx, CAST(block AS BIGINT) AS block, CASE WHEN length(found) <= length(up) THEN length(found) + {_prefix_sql('reverse(up)', 'reverse(up || found)')} ELSE 0 END AS dru,
 {_prefix_sql('(found || down)', 'down')} AS drd FROM ({_TRIPLE})""",
@@ -251,52 +240,85 @@ def _intron_seqs(spark, sf) -> DataFrame:
 def p18_direct_repeat(spark, sf):
     """Insertions at the start of every intron: how far each may move either way."""
     s, k = F.col("start"), (1 + F.col("tx") % 9).cast("int")
-    d = _intron_seqs(spark, sf).where(F.length("seq") >= s + 40)
-    cut = lambda a, b: S.slice_seq(F.col("seq"), a, b)
-    d = d.select("tx", "block", cut(F.greatest(s - 12, F.lit(0)), s).alias("up"), cut(s, s + k).alias("found"), cut(s + k, s + k + 30).alias("down"))
+    d = G.with_slices(A.introns(v_exon(spark, sf)), _genome(spark, sf), {"up": (F.greatest(s - 12, F.lit(0)), s), "rest": (s, s + 40)}).where("length(rest) = 40")
+    d = d.select("tx", "block", "up", F.substr("rest", F.lit(1), k).alias("found"), F.substr("rest", k + 1, F.lit(30)).alias("down"))
     return d.select("tx", long("block"), S.direct_repeat_up(F.col("up"), F.col("found")).cast("long").alias("dru"), S.direct_repeat_down(F.col("down"), F.col("found")).cast("long").alias("drd"))
 
 
 @query(f"SELECT tx, CAST(block AS BIGINT) AS block, coalesce(nullif(substr(substr(seq, s + 1, e - s), CAST(tx % 90 + 1 AS INTEGER), 7), ''), 'ACGTACG') AS moved FROM ({_AT})", "v_dna", "v_intron")
 def p19_reanchor(spark, sf):
-    d = _intron_seqs(spark, sf).withColumn("read", S.slice_seq(F.col("seq"), F.col("start"), F.col("end")))
+    d = G.with_slices(A.introns(v_exon(spark, sf)), _genome(spark, sf), {"read": (F.col("start"), F.col("end"))})
     return d.select("tx", long("block"), D.reanchor(F.lit("ACGTACG"), F.col("tx") % 90, F.lit(0), F.col("read")).alias("moved"))
 
 
-_WINDOWS = f"""SELECT tx, block, CASE WHEN strand = '-' THEN reverse(translate(substr(seq, e - 4, 5), 'ACGT', 'TGCA')) ELSE substr(seq, s + 1, 5) END AS f,
-  CASE WHEN strand = '-' THEN reverse(translate(substr(seq, s + 1, 5), 'ACGT', 'TGCA')) ELSE substr(seq, e - 4, 5) END AS l FROM ({_AT}) WHERE length(seq) >= e"""
-
-
-@query(f"SELECT tx, CAST(block AS BIGINT) AS block, {_score_sql('f')} AS donor, {_score_sql('l')} AS acceptor FROM ({_WINDOWS})", "v_dna", "v_intron")
-def p22_pwm_score(spark, sf):
-    """Windows at both ends of every intron, as its strand reads them."""
-    d = _intron_seqs(spark, sf).where(F.length("seq") >= F.col("end"))
-    intron = S.stranded(S.slice_seq(F.col("seq"), F.col("start"), F.col("end")), F.col("strand"))
-    score = lambda w: F.round(S.pwm_score(w, MATRIX), 6)
-    return d.select("tx", long("block"), score(F.left(intron, F.lit(5))).alias("donor"), score(F.right(intron, F.lit(5))).alias("acceptor"))
-
-
-_LEARN = f"""w AS (SELECT substr(seq, "start" - 2, 13) AS s FROM ({_LEADS}) x JOIN ({_GENOME}) g USING (chrom) WHERE host_start IS NOT NULL AND host_end IS NOT NULL AND "start" >= 3 AND length(seq) >= "start" + 10),
-x AS (SELECT CAST(i AS BIGINT) AS pos, substr(s, CAST(i + 1 AS INTEGER), 1) AS nt FROM w, range(0, 13) t(i)), m AS (SELECT pos, """ + ", ".join(f"count(*) FILTER (WHERE nt = '{c}') / count(*) AS {c.lower()}" for c in "ACGT") + " FROM x GROUP BY pos)"
+_WINDOWS = f"""w AS (SELECT tx, block, CASE WHEN strand = '-' THEN CASE WHEN "end" >= 3 THEN reverse(translate(substr(seq, "end" - 2, 17), 'ACGT', 'TGCA')) ELSE '' END WHEN "start" >= 14 THEN substr(seq, "start" - 13, 17) ELSE '' END AS acceptor,
+    CASE WHEN strand = '-' THEN CASE WHEN "start" >= 10 THEN reverse(translate(substr(seq, "start" - 9, 13), 'ACGT', 'TGCA')) ELSE '' END WHEN "end" >= 3 THEN substr(seq, "end" - 2, 13) ELSE '' END AS donor
+  FROM ({_LEADS}) x JOIN ({_GENOME}) g USING (chrom) WHERE host_start IS NOT NULL AND host_end IS NOT NULL),
+z AS (SELECT tx, block, site, i AS pos, substr(s, CAST(i + 1 AS INTEGER), 1) AS nt, learns FROM (SELECT *, length(acceptor) >= 5 AND substr(donor, 4, 2) || substr(acceptor, greatest(length(acceptor) - 4, 1), 2) = 'GTAG' AS learns FROM w)
+  UNPIVOT (s FOR site IN (acceptor, donor)), range(0, 17) t(i) WHERE i < length(s)),
+m AS (SELECT site, pos, """ + ", ".join(f"count(*) FILTER (WHERE nt = '{c}') / count(*) AS {c.lower()}" for c in "ACGT") + " FROM z WHERE learns AND nt IN ('A', 'C', 'G', 'T') GROUP BY site, pos)"
 
 
 def _learned(spark, sf) -> DataFrame:
-    parts = A.internal(v_exon(spark, sf)).where("start >= 3").join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom").where(F.length("seq") >= F.col("start") + 10)
-    return A.learn_matrix(parts.select(S.slice_seq(F.col("seq"), F.col("start") - 3, F.col("start") + 10).alias("seq")))
+    return A.learn_matrices(v_exon(spark, sf), _genome(spark, sf))
 
 
-@query(f"WITH {_LEARN} SELECT pos, round(a, 6) AS a, round(c, 6) AS c, round(g, 6) AS g, round(t, 6) AS t FROM m", "v_dna", "v_exon")
+@query(f"WITH {_WINDOWS} SELECT site, CAST(pos AS BIGINT) AS pos, round(a, 6) AS a, round(c, 6) AS c, round(g, 6) AS g, round(t, 6) AS t FROM m", "v_dna", "v_exon")
 def a16_pwm_learn(spark, sf):
-    """Shares by position of windows around the starts of all internal exons."""
-    return _learned(spark, sf).select(F.col("pos").cast("long").alias("pos"), *(F.round(F.col(c), 6).alias(c.lower()) for c in "ACGT"))
+    """Shares by position of 17 bases over the first and 13 over the last border of all internal exons between AG and GT."""
+    return _learned(spark, sf).select("site", F.col("pos").cast("long").alias("pos"), *(F.round(F.col(c), 6).alias(c.lower()) for c in "ACGT"))
 
 
-@query(f"WITH {_LEARN} SELECT count(*) AS positions, round(sum(greatest(a, c, g, t)), 6) AS best FROM m", "v_dna", "v_exon")
+@query(f"WITH {_WINDOWS} SELECT count(*) AS positions, round(sum(greatest(a, c, g, t)), 6) AS best FROM m", "v_dna", "v_exon")
 def p23_pwm_max(spark, sf):
-    """The largest sum that a window can reach in the learned matrix."""
+    """The largest sum that an exon's two windows can reach together."""
     return _learned(spark, sf).agg(F.count("*").alias("positions"), F.round(F.sum(F.greatest(*"ACGT")), 6).alias("best"))
 
 
+@query(
+    f"""WITH {_WINDOWS}, u AS (SELECT * FROM m UNPIVOT (share FOR letter IN (a, c, g, t))), s AS (SELECT tx, block, sum(share) AS s FROM z JOIN u ON u.site = z.site AND u.pos = z.pos AND upper(u.letter) = nt GROUP BY ALL)
+SELECT tx, CAST(block AS BIGINT) AS block, round(coalesce(100 * s.s / (SELECT sum(greatest(a, c, g, t)) FROM m), 0), 6) AS u2 FROM w LEFT JOIN s USING (tx, block)""",
+    "v_dna", "v_exon",
+)
+def p22_pwm_score(spark, sf):
+    """Splice score of every internal exon: both windows by the learned matrices, in percent of their joint maximum."""
+    e, genome = v_exon(spark, sf), _genome(spark, sf)
+    acceptor, donor = A.collected(A.learn_matrices(e, genome))
+    inner = A.internal(e).select("tx", "block", "chrom", "strand", "start", "end")
+    return A.splice_scores(inner, genome, acceptor, donor).select("tx", long("block"), F.round("u2", 6).alias("u2"))
+
+
+@query(f"WITH {_WINDOWS} SELECT CAST(pos AS BIGINT) AS pos, a, c, g, t FROM m WHERE site = 'donor'", "v_dna", "v_exon")
+def s9_weight_matrix(spark, sf):
+    """The learned donor matrix, written as a headered table and read again."""
+    path = shared_folder(spark, "matrix")
+    _learned(spark, sf).where("site = 'donor'").coalesce(1).sortWithinPartitions("pos").select(*"ACGT").write.option("sep", "\t").option("header", True).csv(path)
+    got = IO.weight_matrix(spark, path)
+    return spark.createDataFrame([(i, m["A"], m["C"], m["G"], m["T"]) for i, m in enumerate(got)], "pos long, a double, c double, g double, t double")
+
+
+_TILED = """g AS (SELECT 'chr' || CAST(doc_id % 25 AS VARCHAR) AS chrom, string_agg(seq, '' ORDER BY doc_id) AS seq FROM v_dna GROUP BY 1)"""
+
+
+@query(
+    f"""WITH {_TILED} SELECT tx, CAST(block AS BIGINT) AS block, md5(s) AS digest, CAST(length(s) AS BIGINT) AS n
+FROM (SELECT tx, block, substr(seq, CAST("start" * 20 + 1 AS INTEGER), CAST(50 + tx % 7 * 400 AS INTEGER)) AS s FROM v_exon e JOIN g ON g.chrom = 'chr' || CAST(tx % 25 AS VARCHAR))""",
+    "v_dna", "v_exon",
+)
+def p7_tiled_slices(spark, sf):
+    """Slices over several tiles each of 25 long chromosomes, which are read from FASTA lines and never assembled."""
+    path = shared_folder(spark, "genome")
+    d = v_dna(spark, sf).withColumn("chrom", (F.col("doc_id") % 25).cast("string"))
+    first = F.col("doc_id") == F.min("doc_id").over(Window.partitionBy("chrom"))
+    lines = d.withColumn("first", first).repartition("chrom").sortWithinPartitions("chrom", "doc_id")
+    body = F.regexp_replace(F.lower("seq"), "(.{70})", "$1\n")
+    lines.select(F.when(F.col("first"), F.concat(F.lit(">chr"), "chrom", F.lit(" more\n"), body)).otherwise(body)).write.text(path)
+    tiles = IO.fasta_tiles(spark, path, 1024)
+    at = v_exon(spark, sf).select("tx", "block", F.concat(F.lit("chr"), (F.col("tx") % 25).cast("string")).alias("chrom"), (F.col("start") * 20).alias("s"))
+    out = G.with_slices(at, tiles, {"cut": (F.col("s"), F.col("s") + 50 + F.col("tx") % 7 * 400)}, 1024)
+    return out.select("tx", long("block"), F.md5("cut").alias("digest"), F.length("cut").cast("long").alias("n"))
+
+
 _TX = f"SELECT tx, strand, CASE WHEN strand = '-' THEN reverse(translate(s, 'ACGT', 'TGCA')) ELSE s END AS seq FROM (SELECT tx, strand, string_agg(part, '' ORDER BY \"start\") AS s FROM ({_PARTS}) GROUP BY tx, strand)"
 
 
@@ -318,7 +340,7 @@ def p6_junction_tag(spark, sf):
 
 @query(f'SELECT tx, CAST(block AS BIGINT) AS block, right(string_agg(part, \'\') OVER (PARTITION BY tx ORDER BY "start", block ROWS UNBOUNDED PRECEDING), 100) AS flank FROM ({_PARTS})', "v_dna", "v_exon")
 def w4_running_flank(spark, sf):
-    parts = v_exon(spark, sf).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom").withColumn("part", S.slice_seq(F.col("seq"), F.col("start"), F.col("end")))
+    parts = A.exon_parts(v_exon(spark, sf), _genome(spark, sf))
     return A.running_flanks(parts).select("tx", long("block"), "flank")
 
 
@@ -329,7 +351,7 @@ FROM ({_PARTS}) WINDOW w AS (PARTITION BY tx ORDER BY "start", block)) WHERE t I
     "v_dna", "v_exon",
 )
 def p27_me_tag(spark, sf):
-    parts = v_exon(spark, sf).join(_genome(spark, sf).withColumnRenamed("id", "chrom"), "chrom").withColumn("part", S.slice_seq(F.col("seq"), F.col("start"), F.col("end")))
+    parts = A.exon_parts(v_exon(spark, sf), _genome(spark, sf))
     return A.me_tags(parts).select("tx", long("block"), "tag")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..operators.genome import WIDTH
 from ..operators.intervals import mean_value
 
 BED12 = "chrom start end name score strand thick_start thick_end rgb block_count block_sizes block_starts".split()
@@ -31,7 +32,36 @@ def transcripts(spark: SparkSession, path: str) -> DataFrame:
     return fasta(spark, path).withColumn("id", F.substring_index("id", "|", 1))
 
 
+def fasta_tiles(spark: SparkSession, path: str, width: int = WIDTH) -> DataFrame:
+    """Tiles (chrom, tile, seq) of :mod:`junctura.operators.genome` straight from FASTA lines, upper case: no chromosome is ever one row.
+
+    Lines are numbered within their split of the file; how many bases of a record stand in front of a split is summed over the splits before it.
+    """
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("row"), "value")
+    lines = lines.withColumn("head", F.when(F.col("value").startswith(">"), F.regexp_extract("value", r"^>(\S*)", 1)))
+    lines = lines.withColumn("text", F.when(F.col("head").isNull(), F.upper(F.regexp_replace("value", r"\s+", ""))).otherwise("")).withColumn("n", F.length("text").cast("long"))
+    upto = Window.partitionBy("file", "split").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    d = lines.withColumn("done", F.sum("n").over(upto)).withColumn("own", F.last("head", True).over(upto)).withColumn("from", F.last(F.when(F.col("head").isNotNull(), F.col("done")), True).over(upto))
+    tail = F.col("all") - F.coalesce("last_from", F.lit(0))
+    splits = d.groupBy("file", "split").agg(F.max("done").alias("all"), F.max_by("head", F.when(F.col("head").isNotNull(), F.col("row"))).alias("last"), F.max("from").alias("last_from")).withColumn("tail", tail)
+    by = Window.partitionBy("file").orderBy("split")
+    splits = splits.withColumn("record", F.count("last").over(by))
+    splits = splits.withColumn("after", F.sum("tail").over(Window.partitionBy("file", "record").orderBy("split").rowsBetween(Window.unboundedPreceding, 0)))
+    splits = splits.select("file", "split", F.last("last", True).over(by.rowsBetween(Window.unboundedPreceding, -1)).alias("held"), F.coalesce(F.lag("after").over(by), F.lit(0)).alias("before"))
+    d = d.join(splits, ["file", "split"]).withColumn("at", F.col("done") - F.col("n") - F.coalesce("from", -F.col("before")))
+    d = d.select(F.coalesce("own", "held").alias("chrom"), "at", "text", "n").where("chrom is not null")
+    # a header stands for its record's first tile, if that has no bases
+    every = F.sequence(F.floor(F.col("at") / width).cast("int"), F.floor((F.col("at") + F.greatest(F.col("n"), F.lit(1)) - 1) / width).cast("int"))
+    piece = lambda t: F.substr("text", F.greatest(t * width - F.col("at"), F.lit(0)).cast("int") + 1, (F.least(F.col("at") + F.col("n"), (t + 1) * width) - F.greatest(F.col("at"), t * width)).cast("int"))
+    d = d.where("n > 0 or at = 0").select("chrom", F.inline(F.transform(every, lambda t: F.struct(t.alias("tile"), F.greatest(F.col("at"), t * width).alias("at"), piece(t).alias("piece")))))
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "piece"))), lambda x: x["piece"]), "")
+    return d.groupBy("chrom", "tile").agg(whole.alias("seq"))
+
+
 def chrom_sizes(genome: DataFrame) -> DataFrame:
+    """(chrom, size) of whole sequences (id, seq) or of tiles."""
+    if "tile" in genome.columns:
+        return genome.groupBy("chrom").agg(F.sum(F.length("seq")).cast("long").alias("size"))
     return genome.select(F.col("id").alias("chrom"), F.length("seq").cast("long").alias("size"))
 
 
