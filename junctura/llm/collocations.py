@@ -54,9 +54,12 @@ def _counted(lang: np.ndarray, langs: list[str], w: words.Words, at: np.ndarray,
         used[at + j] = True
     number = np.zeros(len(w.begin), np.int64)
     terms, number[used] = slices.distinct_slices(w.data, w.begin[used], w.stop[used])
-    key = lang[w.doc[at]]
+    key, top = lang[w.doc[at]], len(langs)
     for j in range(k):
-        _, first, key, times = np.unique(key * max(1, len(terms)) + number[at + j], return_index=True, return_inverse=True, return_counts=True)
+        if top * len(terms) >= 1 << 62:  # numbers of what is there, before they grow too large
+            key, top = np.unique(key, return_inverse=True)[1], len(at)
+        key, top = key * max(1, len(terms)) + number[at + j], top * len(terms)
+    _, first, times = np.unique(key, return_index=True, return_counts=True)
     like = at[first] if len(at) else at
     # words of a phrase and blanks between them, from one array
     begin, size = np.empty((len(like), 2 * k - 1), np.int64), np.ones((len(like), 2 * k - 1), np.int64)
