@@ -40,8 +40,9 @@ def carried(rows: DataFrame, group: list[str], at: str, value: Column, agg, widt
     """``rows`` with ``bin`` (of ``at``) and ``carried``: ``agg`` of ``value`` over all earlier bins of the group (or ``later`` ones), null where there is none.
 
     A running aggregate over a whole chromosome is then a window over (group, bin) on top of ``carried``; only one row a bin passes the chromosome's task.
+    The rows are dealt by group and bin once, for the bins' sums, the join and windows over both.
     """
-    d = rows.withColumn("bin", F.floor(F.col(at) / width))
+    d = rows.withColumn("bin", F.floor(F.col(at) / width)).repartition(*group, "bin")
     before = Window.partitionBy(*group).orderBy("bin")
     before = before.rowsBetween(1, Window.unboundedFollowing) if later else before.rowsBetween(Window.unboundedPreceding, -1)
     bins = d.groupBy(*group, "bin").agg(agg(value).alias("own")).withColumn("carried", agg(F.col("own")).over(before)).drop("own")

@@ -14,14 +14,22 @@ def blocks_of(reads: DataFrame) -> DataFrame:
     return reads.where(~F.col("cigar").rlike("[HPX=]")).withColumn("blocks", C.exon_blocks(F.col("start"), C.parse(F.col("cigar"))))
 
 
-def base_coverage(reads: DataFrame) -> DataFrame:
-    """(chrom, pos, depth) from block edges: +1 and -1 events and their running sum, one row for each place where the depth changes."""
-    b = blocks_of(reads).select("chrom", F.explode("blocks").alias("b"))
-    events = b.select("chrom", F.explode(F.array(F.struct(F.col("b.start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("b.end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
-    sums = events.groupBy("chrom", F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
-    here = Window.partitionBy("chrom", "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    d = carried(sums, ["chrom"], "pos", F.col("d"), F.sum)
-    return d.withColumn("depth", F.coalesce("carried", F.lit(0)) + F.sum("d").over(here)).where("d <> 0").select("chrom", "pos", "depth")
+def base_coverage(reads: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
+    """(by, pos, depth) from block edges: +1 and -1 events and their running sum, one row for each place where the depth changes.
+
+    With a column of samples in ``by`` each sample has its own.
+    """
+    b = blocks_of(reads).select(*by, F.explode("blocks").alias("b"))
+    events = b.select(*by, F.explode(F.array(F.struct(F.col("b.start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("b.end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
+    sums = events.groupBy(*by, F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
+    return _running(sums, by).where("d <> 0").select(*by, "pos", "depth")
+
+
+def _running(events: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``depth``: the running sum of ``d`` by ``pos``."""
+    here = Window.partitionBy(*by, "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    d = carried(events, list(by), "pos", F.col("d"), F.sum)
+    return d.withColumn("depth", F.coalesce("carried", F.lit(0)) + F.sum("d").over(here))
 
 
 def junction_counts(reads: DataFrame) -> DataFrame:
@@ -36,9 +44,27 @@ def exon_counts(reads: DataFrame) -> DataFrame:
     return inner.groupBy("chrom", F.col("b.start").alias("start"), F.col("b.end").alias("end")).agg(F.count("*").alias("n"))
 
 
-def overlay(depths: DataFrame, key: list[str]) -> DataFrame:
-    """Mean and median over samples of ``depth``."""
-    return depths.groupBy(*key).agg(F.avg("depth").alias("mean"), F.percentile("depth", 0.5).alias("median"))
+def overlay(coverage: DataFrame, samples: DataFrame) -> DataFrame:
+    """Step functions of a group's samples laid over each other: (group, chrom, start, end, mean, median, total), a row for each stretch between two breakpoints of any.
+
+    ``coverage`` (sample, chrom, pos, depth) as :func:`base_coverage` gives it, ``samples`` (group, sample) all members of each group.  A sample has depth 0 in front
+    of its first breakpoint, behind its last, and everywhere if it has no reads; every base of a stretch then has the same depths, so that mean and median are those of
+    base-by-base arrays.  Stretches where no sample has reads are left out; a base-weighted mean over a region is sum(mean * (end - start)) over its length.
+    """
+    members = samples.select("group", "sample").distinct()
+    own = members.join(coverage, "sample").select("group", "sample", "chrom", F.col("pos").cast("long").alias("pos"), "depth")
+    # each breakpoint of a group comes to all its members
+    marks = own.select("group", "chrom", "pos").distinct().join(members, "group")
+    d = marks.join(own, ["group", "sample", "chrom", "pos"], "left").withColumn("held", F.when(F.col("depth").isNotNull(), F.struct("pos", "depth")))
+    d = carried(d, ["group", "sample", "chrom"], "pos", F.col("held"), F.max)
+    upto = Window.partitionBy("group", "sample", "chrom", "bin").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    now = F.greatest("carried", F.max("held").over(upto))
+    d = d.select("group", "chrom", "bin", "pos", F.coalesce(now["depth"], F.lit(0)).alias("depth"))
+    at = d.groupBy("group", "chrom", "bin", "pos").agg(F.avg("depth").alias("mean"), F.percentile("depth", 0.5).alias("median"), F.sum("depth").alias("total"))
+    # the next breakpoint is in this bin or the first of a later one
+    later = carried(at.drop("bin"), ["group", "chrom"], "pos", F.col("pos"), F.min, later=True)
+    end = F.coalesce(F.lead("pos").over(Window.partitionBy("group", "chrom", "bin").orderBy("pos")), "carried")
+    return later.withColumn("end", end).where("total > 0").select("group", "chrom", F.col("pos").alias("start"), "end", "mean", "median", "total")
 
 
 def merge_junctions(j: DataFrame) -> DataFrame:

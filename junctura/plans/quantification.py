@@ -17,6 +17,7 @@ from ..operators import intervals as I
 from ..operators import isoforms as G
 from ..operators import regions as R
 from .registry import query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
+from .sequences import _CUT
 
 
 def long(c: str):
@@ -639,10 +640,21 @@ def p43_shrink(spark, sf):
     return R.shrink(A.introns(v_exon(spark, sf)).withColumnRenamed("tx", "group")).select("group", long("start"), "new_start", "new_end")
 
 
-@query("SELECT chrom, \"start\" AS pos, round(avg(score), 6) AS mean, CAST(median(score) AS DOUBLE) AS median FROM v_align GROUP BY ALL", "v_align")
+@query(
+    f"""WITH c AS ({_CUT}), e AS (SELECT line AS sample, chrom, unnest(b) AS x FROM c), v AS (SELECT sample, chrom, pos, sum(d) AS d FROM (SELECT sample, chrom, x[1] AS pos, 1 AS d FROM e UNION ALL SELECT sample, chrom, x[2], -1 FROM e) GROUP BY ALL HAVING sum(d) <> 0),
+g AS (SELECT s AS sample, s % 3 AS grp FROM (SELECT unnest(range(1, 10)) AS s)), k AS (SELECT DISTINCT grp, chrom, pos FROM v JOIN g USING (sample)),
+a AS (SELECT grp, sample, chrom, pos, d FROM v JOIN g USING (sample) UNION ALL SELECT k.grp, g.sample, chrom, pos, 0 FROM k JOIN g ON g.grp = k.grp),
+s AS (SELECT grp, sample, chrom, pos, sum(d) AS d FROM a GROUP BY ALL), r AS (SELECT grp, chrom, pos, sum(d) OVER (PARTITION BY grp, sample, chrom ORDER BY pos ROWS UNBOUNDED PRECEDING) AS depth FROM s),
+m AS (SELECT grp, chrom, pos, avg(depth) AS mean, median(depth) AS median, sum(depth) AS total FROM r GROUP BY ALL)
+SELECT CAST(grp AS BIGINT) AS "group", chrom, CAST(pos AS BIGINT) AS "start", CAST(nxt AS BIGINT) AS "end", round(mean, 6) AS mean, CAST(median AS DOUBLE) AS median, CAST(total AS BIGINT) AS total
+FROM (SELECT *, lead(pos) OVER (PARTITION BY grp, chrom ORDER BY pos) AS nxt FROM m) WHERE total > 0""",
+    "v_align",
+)
 def a27_overlay_stats(spark, sf):
-    d = v_align(spark, sf).select("chrom", F.col("start").alias("pos"), F.col("score").alias("depth"))
-    return R.overlay(d, ["chrom", "pos"]).select("chrom", "pos", F.round("mean", 6).alias("mean"), "median")
+    """Coverage of the samples of three groups laid over each other; two samples have no reads."""
+    depths = R.base_coverage(v_align(spark, sf).withColumnRenamed("line", "sample"), ("sample", "chrom"))
+    samples = spark.range(1, 10).select((F.col("id") % 3).alias("group"), F.col("id").cast("int").alias("sample"))
+    return R.overlay(depths, samples).select("group", "chrom", "start", "end", F.round("mean", 6).alias("mean"), "median", "total")
 
 
 @query("SELECT \"start\" AS x, tag AS xend, CAST(max(score) AS INTEGER) AS y, CAST(max(line) AS INTEGER) AS yend, CAST(sum(score) AS BIGINT) AS n, string_agg(CAST(supp AS VARCHAR), ',' ORDER BY CAST(supp AS VARCHAR)) AS labels FROM v_align GROUP BY ALL", "v_align")
