@@ -316,7 +316,15 @@ def _remains(chunk: chunks.Chunk, gone: np.ndarray) -> dict[str, pa.Array]:
     return {"n_removed": pa.array(removed, pa.int64()), "spans": pa.ListArray.from_arrays(pa.array(span_at, pa.int32()), runs), "kept": kept}
 
 
-def _remove(ident: str, text: str, length: int, bits: int, names: list[str]):
+def _whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """Bytes of characters of which a byte goes."""
+    number = np.cumsum(data & 0xC0 != 0x80)
+    hit = np.zeros(int(number[-1]) + 1 if len(number) else 0, bool)
+    hit[number[gone]] = True
+    return hit[number]
+
+
+def _remove(ident: str, text: str, length: int, bits: int, names: list[str], whole: bool = False):
     def remove(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         got = _by_piece(answers)
         later = got.pop(-1, np.zeros(0, bool))
@@ -327,20 +335,22 @@ def _remove(ident: str, text: str, length: int, bits: int, names: list[str]):
             start, count = runs.start[j], runs.count[j]
             marks[start : start + count] = True if had else later[at : at + count]
             at += 0 if had else count
-        gone = _reached(np.flatnonzero(marks), len(chunk.data), 0, length - 1)
+        gone = _reached(np.flatnonzero(marks), len(chunk.data), 0, length - 1)[: len(chunk.data)]
+        if whole:
+            gone = _whole_characters(chunk.data, gone)
         out = {n: chunk.table[n] for n in names}
         out["n_bytes"] = pa.array(chunk.end - chunk.start, pa.int64())
-        return pa.table(out | _remains(chunk, gone[: len(chunk.data)]))
+        return pa.table(out | _remains(chunk, gone))
 
     return remove
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 1, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000, bucket_bytes: int = 4 << 20) -> DataFrame:
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 1, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000, bucket_bytes: int = 4 << 20, characters: bool = False) -> DataFrame:
     """Mark and remove every byte covered by a string of ``length`` bytes that also starts earlier in the corpus.
 
     Earlier means a smaller id, or the same document and an earlier start; strings are judged on the input.  Returns the input
     columns and ``n_bytes``, ``n_removed`` (long), ``spans`` (removed runs as byte offsets) and ``kept`` (binary, the bytes that
-    stay); input columns of these names are replaced.  A null text counts as empty and a null id as smallest; an empty table
+    stay); input columns of these names are replaced.  With ``characters`` a character of which a byte goes goes whole, so that what stays is text.  A null text counts as empty and a null id as smallest; an empty table
     gives an empty result; of equal rows one keeps its text and the others lose theirs if it is long enough.  Texts may be of
     any length: a chunk is worked on in pieces of 2 MB.  Buckets are sent and sorted in ``blocks`` turns, each of which reads the texts once and holds
     its share of the tied runs on disk.  ``ident`` must be an integer column and the input must give the same
@@ -365,4 +375,4 @@ def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", l
         answers = answers.unionByName(scratch.write(runs.groupBy("bucket").applyInArrow(_sort_bucket(length), _ANSWER), f"ties{block}"))
     schema = T.StructType([docs.schema[n] for n in names]).add("n_bytes", "long").add("n_removed", "long")
     schema = schema.add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
-    return keyed.groupBy(chunks.KEY).cogroup(answers.groupBy(chunks.KEY)).applyInArrow(_remove(ident, text, length, run_bits, names), schema)
+    return keyed.groupBy(chunks.KEY).cogroup(answers.groupBy(chunks.KEY)).applyInArrow(_remove(ident, text, length, run_bits, names, characters), schema)
