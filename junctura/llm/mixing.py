@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from .store import Scratch
 
 NONE = "(none)"
+#: Factor tables of up to so many keys are written as one file each half step.
+ONE_FILE = 100_000
 
 
 def tokens(text: Column) -> Column:
@@ -50,11 +52,12 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], rounds: int, scratch:
     ``targets`` maps a margin's column to (key, target).  A key without target gets factor 0; one without tokens is left out, and the others
     share its target in proportion.  Ends after ``rounds``, or as soon as no factor moves by more than ``tolerance`` of itself.
     """
-    factors = {}
+    factors, small = {}, {}
     for m, t in targets.items():
         held = table.where("tokens > 0").select(F.col(m).alias("key")).distinct().join(t, "key")
         shares = held.select("key", (F.col("target") / _scalar(held, F.sum("target"))).alias("target"), F.lit(1.0).alias("f"))
-        factors[m] = scratch.write(shares.coalesce(1), f"{m}-0")
+        factors[m] = scratch.write(shares, f"{m}-0")
+        small[m] = factors[m].count() <= ONE_FILE
 
     def weighed(names) -> DataFrame:
         out = table
@@ -71,7 +74,7 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], rounds: int, scratch:
             others = [x for x in targets if x != m]
             sums = weighed(others).groupBy(F.col(m).alias("key")).agg(F.sum(F.col("tokens") * F.col("product")).alias("s"))
             after = factors[m].join(sums, "key", "left").select("key", "target", F.when(F.col("s") > 0, F.col("target") / F.col("s")).otherwise(0.0).alias("f"), F.col("f").alias("was"))
-            after = scratch.write(after.coalesce(1), f"{m}-{step}")
+            after = scratch.write(after.coalesce(1) if small[m] else after, f"{m}-{step}")
             moved = max(moved, after.agg(F.max(F.abs(F.col("f") - F.col("was")) / F.greatest("f", F.lit(1e-300)))).first()[0] or 0.0)
             factors[m] = after.select("key", "target", "f")
         if moved <= tolerance:
@@ -79,9 +82,10 @@ def rake(table: DataFrame, targets: dict[str, DataFrame], rounds: int, scratch:
     return scratch.write(weighed(list(targets)).select(*targets, "tokens", F.col("product").alias("factor")), "factors")
 
 
-def uniform(ident: Column, seed: int) -> Column:
-    """A number in 0..1 from an id: the same for every run, engine and partitioning."""
-    digits = F.substring(F.md5(F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit(NONE)), F.lit(str(seed)))), 1, 12)
+def uniform(ident: Column, text: Column, seed: int) -> Column:
+    """A number in 0..1 from an id, or from the text where there is none: the same for every run, engine and partitioning."""
+    name = F.coalesce(ident.cast("string"), F.concat(F.lit(NONE), F.md5(F.coalesce(text, F.lit("")))))
+    digits = F.substring(F.md5(F.concat_ws(":", name, F.lit(str(seed)))), 1, 12)
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(2**48))
 
 
@@ -90,7 +94,8 @@ def mix(docs: DataFrame, topic: Column | None = None, powers: tuple[float, float
 
     Targets are tables (key, target) for ``m_source``, ``m_lang`` and ``m_topic``, or tempered shares by ``powers`` where none is given.  Returns the
     input columns with ``m_source, m_lang, m_topic, m_tokens, factor, probability, sampled`` (they replace columns of these names).  Documents without
-    words have probability 1, since they weigh nothing; those of a cell without target have 0.  Equal ids are sampled alike; null ids count as one id.
+    words have probability 1, since they weigh nothing; those of a cell without target have 0.  Equal ids are sampled alike, rows without id by
+    their texts, so that equal texts without id are sampled alike.
     """
     made = ["m_source", "m_lang", "m_topic", "m_tokens", "factor", "probability", "sampled"]
     docs = docs.select(*(c for c in docs.columns if c not in made))
@@ -104,4 +109,4 @@ def mix(docs: DataFrame, topic: Column | None = None, powers: tuple[float, float
     rates = raked.select(*margins, "factor", F.when(F.col("tokens") > 0, F.col("factor") / top).otherwise(1.0).alias("__rate"))
     out = dealt.join(scratch.write(rates, "rates"), margins)
     out = out.withColumn("probability", F.when(F.col("m_tokens") > 0, F.col("__rate")).otherwise(1.0)).drop("__rate")
-    return out.withColumn("sampled", uniform(F.col(ident), seed) < F.col("probability")).select(*docs.columns, *made)
+    return out.withColumn("sampled", uniform(F.col(ident), F.col(text), seed) < F.col("probability")).select(*docs.columns, *made)

@@ -39,7 +39,7 @@ def _op1_sql() -> str:
     """The raking rounds unrolled: one factor table for each half step."""
     margins = ("source", "lang", "topic")
     out = """
-WITH d AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+WITH d AS MATERIALIZED (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, CASE WHEN doc_id IS NULL THEN md5(coalesce(text, '')) END AS textmd5,
   CASE WHEN contains(coalesce(text, ''), ' | ') THEN 'table' WHEN regexp_matches(coalesce(text, ''), '[#*$%&<>]{2}') THEN 'markup'
     WHEN regexp_matches(coalesce(text, ''), '[0-9]{6}') THEN 'figures' WHEN regexp_matches(coalesce(text, ''), '[A-Z]{4}') THEN 'capitals' ELSE 'prose' END AS topic,
   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS tokens FROM documents),
@@ -61,7 +61,7 @@ cells AS MATERIALIZED (SELECT source, lang, topic, CAST(sum(tokens) AS DOUBLE) A
 r AS (SELECT c.*, coalesce(x.f, 0) * coalesce(y.f, 0) * coalesce(z.f, 0) AS factor FROM cells c LEFT JOIN source_{n} x ON x.k = c.source LEFT JOIN lang_{n} y ON y.k = c.lang LEFT JOIN topic_{n} z ON z.k = c.topic),
 p AS (SELECT d.*, CASE WHEN d.tokens > 0 THEN r.factor / (SELECT max(factor) FROM r WHERE tokens > 0) ELSE 1 END AS p FROM d JOIN r USING (source, lang, topic))
 SELECT doc_id, source, lang, topic, tokens, round(p, 6) AS probability,
-  CAST(CAST('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), '(none)'), '{MIX_SEED}')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 < p AS sampled FROM p"""
+  CAST(CAST('0x' || substr(md5(concat_ws(':', coalesce(CAST(doc_id AS VARCHAR), '(none)' || textmd5), '{MIX_SEED}')), 1, 12) AS BIGINT) AS DOUBLE) / 281474976710656.0 < p AS sampled FROM p"""
 
 
 def op2_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:

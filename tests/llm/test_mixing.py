@@ -48,7 +48,7 @@ def test_empty(spark):
 
 
 def test_expressions(spark):
-    row = spark.createDataFrame([("a\x0bb  c\n", "x | y"), (None, None)], "t string, u string").select(tokens(F.col("t")).alias("n"), surface_topic(F.col("u")).alias("s"), uniform(F.lit(5), 1).alias("r")).collect()
+    row = spark.createDataFrame([("a\x0bb  c\n", "x | y"), (None, None)], "t string, u string").select(tokens(F.col("t")).alias("n"), surface_topic(F.col("u")).alias("s"), uniform(F.lit(5), F.col("t"), 1).alias("r")).collect()
     assert [(r.n, r.s) for r in row] == [(3, "table"), (0, "prose")] and 0 <= row[0].r < 1
 
 
@@ -71,3 +71,11 @@ def test_rounds_end_before_convergence(spark):
         # the margin that was met last holds after any round
         assert abs(sum(x.tokens * x.factor for x in got) - 1) < 1e-9
     assert off[0] > off[1] > off[2] and off[2] < 1e-6
+
+
+def test_rows_without_id_are_drawn_one_by_one(spark):
+    rows = [(None, f"text number {i} of this source", "a" if i % 10 == 0 else "b", "en") for i in range(4_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    out = mix(df, topic=F.lit("t"), powers=(0.5, 1.0, 1.0))
+    by = {r.m_source: (r.n, r.p) for r in out.groupBy("m_source").agg(F.sum(F.col("sampled").cast("int")).alias("n"), F.avg("probability").alias("p")).collect()}
+    assert by["a"] == (400, 1.0) and abs(by["b"][0] - 3_600 * by["b"][1]) < 120 and 0 < by["b"][1] < 0.5
