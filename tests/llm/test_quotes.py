@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from junctura.llm.quotes import ATTRIBUTION, build_conversations, parse_quotes, quote_level
+from junctura.llm.quotes import ATTRIBUTION, CLOSED, OPENING, build_conversations, parse_quotes, quote_level
 
 A = "Hello everybody here.\nShall we meet on Monday?\n\nA second paragraph of mine."
 ROWS = [
@@ -79,7 +79,7 @@ def test_longer_passages_win(spark):
     assert (got[3].reply_to, got[3].n_quotes) == (1, 1)
 
 
-PATTERN = re.compile(ATTRIBUTION)
+PATTERN, OPENS = re.compile(ATTRIBUTION), re.compile(OPENING)
 
 
 def brute(rows):
@@ -89,39 +89,53 @@ def brute(rows):
 
     def parse(text):
         lines = [(level(x), re.sub(r"^(?:[ \t]*>)+[ \t]?", "", x)) for x in re.split("\r?\n", text or "")]
-        out = []
+        low = [x.strip(" ").lower() for _, x in lines]
+        gone = set()
         for i, (n, x) in enumerate(lines):
             after = next((m for m, y in lines[i + 1 :] if m > 0 or y.strip(" ")), 0)
-            out.append((-1 if n == 0 and PATTERN.search(x.strip(" ").lower()) and after > 0 else n, x))
+            for d in range(3):
+                own = range(i - d, i + 1)
+                if own[0] < 0 or after <= 0 or any(lines[k][0] or not low[k] for k in own) or not PATTERN.search(" ".join(low[k] for k in own)):
+                    continue
+                if not d or (OPENS.search(low[own[0]]) and not any(OPENS.search(low[k]) for k in own[1:]) and not any(re.search(CLOSED, low[k]) for k in own[:-1])):
+                    gone.update(own)
+        out = [(-1 if i in gone else n, x) for i, (n, x) in enumerate(lines)]
+        norm = lambda p: re.sub(r"\s+", " ", p.lower()).strip(" ")
         parts, i = {}, 0
         while i < len(out):
             j = i
             while j < len(out) and out[j][0] == out[i][0]:
                 j += 1
             run = "\n".join(x for _, x in out[i:j])
-            wide = {run, *re.split(r"\n\s*\n", run)}
-            for p, line in [(p, False) for p in wide] + [(p, True) for p in set(run.split("\n")) - wide]:
-                key = re.sub(r"\s+", " ", p.lower()).strip(" ")
-                if key and out[i][0] >= 0:
-                    at = out[i][0], key
-                    parts[at] = parts.get(at, True) and line and len(key) < 10
+            wide = {norm(p) for p in (run, *re.split(r"\n\s*\n", run))}
+            lines_ = {norm(p) for p in run.split("\n")} - wide
+            sentences = {p for p in re.split(r"(?<=[.!?]) ", norm(run)) if len(p) >= 10} - wide - lines_
+            for p, kind in [(p, 0) for p in wide] + [(p, int(len(p) < 10)) for p in lines_] + [(p, 2) for p in sentences]:
+                if p and out[i][0] >= 0:
+                    at = out[i][0], i if out[i][0] else 0, p
+                    parts[at] = min(parts.get(at, 9), kind)
             i = j
         return "\n".join(x for n, x in out if n == 0).strip(), parts
 
     parsed = [(c, t, *parse(x)) for c, t, _, x in rows]
     first = {}
     for c, t, _, parts in parsed:
-        for n, key in parts:
+        for n, _, key in parts:
             if n == 0 and c is not None and t is not None:
                 first[c, key] = min(t, first.get((c, key), t))
     replies, counts = {}, {}
     for c, t in {(c, t) for c, t, *_ in parsed if c is not None and t is not None}:
         links = {}
+        hits = {}
         for _, _, _, parts in (p for p in parsed if p[:2] == (c, t)):
-            for (n, key), short in parts.items():
-                o = first.get((c, key))
-                if n > 0 and o is not None and o < t:
-                    links[n, o] = links.get((n, o), True) and short
+            for at, kind in parts.items():
+                if at[0] > 0 and first.get((c, at[2]), t) < t:
+                    hits[at] = min(hits.get(at, 9), kind)
+        wide = {at[:2] for at, kind in hits.items() if kind < 2}
+        for (n, run, key), kind in hits.items():
+            if kind < 2 or (n, run) not in wide:
+                o = first[c, key]
+                links[n, o] = links.get((n, o), True) and kind == 1
         if links:
             short, n, o = min((s, n, -o) for (n, o), s in links.items())
             replies[c, t], counts[c, t] = -o, len(links)
@@ -137,8 +151,8 @@ def brute(rows):
 
 def test_matches_brute_force(spark):
     r = random.Random(6)
-    said = ["Yes, ok.", "no", "A longer sentence about the plan.", "We meet at\nnoon, as ever.", "Ünïcode Straße", "a\x1eb \x1f c", "", " ", "Another thing:\n\nit rains today"]
-    intro = ["Ann wrote:\n", "Am Montag schrieb Bo:\n\n", "Le 3 mai, Ann a écrit :\n", "-----Original Message-----\n", "Ann said nothing here\n", ""]
+    said = ["Yes, ok.", "no", "A longer sentence about the plan.", "We meet at\nnoon, as ever.", "Ünïcode Straße", "a\x1eb \x1f c", "", " ", "Another thing:\n\nit rains today", "First of all, hello there. The second point is\nthis one! And a third?", "The second point is this one! ok."]
+    intro = ["On Monday Ann\nwrote:\n", "On Monday the 3rd,\nAnn B. Carter of\nExample wrote:\n", "On balance I agree.\nAnn wrote:\n", "Il giorno 3 Bo ha\nscritto:\n", "Ann wrote:\n", "Am Montag schrieb Bo:\n\n", "Le 3 mai, Ann a écrit :\n", "-----Original Message-----\n", "Ann said nothing here\n", ""]
     rows = []
     for c in range(40):
         texts = []
@@ -146,6 +160,7 @@ def test_matches_brute_force(spark):
             text = r.choice(said)
             if texts and r.random() < 0.7:
                 old = r.choice(texts)
+                old = r.choice([old, old, old.split(". ")[-1], old.split("! ")[0]])
                 text = r.choice(intro) + "\n".join(r.choice([">", "> ", " >"]) + x for x in old.split("\n")) + r.choice(["\n", "\n\n", "\r\n"]) + text
             texts.append(text)
             rows.append((c, t, "user", text))
@@ -158,3 +173,33 @@ def test_attribution_lines(spark):
     texts = ["Ann wrote:\n\n> x y z\nmine", "Ann a écrit :\n> x\nmine", "She wrote:\nnothing quoted", "He wrote:\nmine\n> x", "a\x1e\x1fb"]
     got = [x.own for x in parse_quotes(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
     assert got == ["mine", "mine", texts[2], "He wrote:\nmine", "a\x1e\x1fb"]
+
+
+def test_partial_quotes(spark):
+    text = "First sentence of the message. Second sentence of the message. Third one."
+    rows = [
+        (1, 0, "u", text),
+        (1, 1, "u", "> Second sentence of the message.\nyes"),
+        (1, 2, "u", "> First sentence of the\n> message. Second sentence of the message.\nno"),
+        (1, 3, "u", "Second sentence of the message."),
+        (1, 4, "u", "Thanks a lot to you. A message of its own."),
+        (1, 5, "u", "Thanks a lot to you. But no."),
+        (1, 6, "u", "> Thanks a lot to you. But no.\nfine"),
+        (1, 7, "u", "> one.\nshort"),
+    ]
+    got = {r.turn: r for r in run(spark, rows)}
+    # a whole run that is linked keeps its sentences from linking elsewhere
+    assert {t: (r.reply_to, r.n_quotes) for t, r in got.items()} == {0: (None, 0), 1: (0, 1), 2: (0, 1), 3: (None, 0), 4: (None, 0), 5: (None, 0), 6: (5, 1), 7: (None, 0)}
+
+
+def test_wrapped_attributions(spark):
+    texts = ["On Monday he\nwrote:\n> x\nmine", "On Monday the 3rd of May,\nAnn Carter <ann@example.org>\nwrote:\n\n> x\nmine", "On balance I agree.\nAnn wrote:\n> x", "I think so\nAnn wrote:\n> x", "On Monday he\n\nwrote:\n> x"]
+    got = [x.own for x in parse_quotes(spark.createDataFrame([(t,) for t in texts], "text string")).collect()]
+    assert got == ["mine", "mine", "On balance I agree.", "I think so", "On Monday he"]
+
+
+def test_long_text_of_many_quotes(spark):
+    said = [f"Point {i} of a very long discussion, said once." for i in range(3_000)]
+    rows = [(1, 0, "u", "\n\n".join(said)), (1, 1, "u", "\n".join(f"> {x}\nanswer {i}" for i, x in enumerate(said)))]
+    got = {r.turn: r for r in run(spark, rows)}
+    assert got[1].reply_to == 0 and got[1].own.count("answer") == 3_000
