@@ -31,13 +31,15 @@ from .store import Scratch
 _WORD = re.compile(r" +[^ \n]*|\n[^ \n]*")
 _END = b"\xff"  # in no UTF-8 text
 _MARK = "▁"
-_models: dict[int, object] = {}
+#: Texts on which normalisers, markers and line feeds show whether a model takes words one by one.
+_PROBES = ("a", " a ", "a  b", "\na", "a\n\nb", "a\n b", "x\ty\r\nz", "▁a▁b", "ﬁ Å ①", "\u3000a\xa0b\u200bc", "é e\u0301", "\x00 \x7f")
+_models: dict[bytes, object] = {}
 
 
 def _processor(proto: bytes):
     import sentencepiece
 
-    key = zlib.crc32(proto)
+    key = hashlib.sha256(proto).digest()
     if key not in _models:
         _models[key] = sentencepiece.SentencePieceProcessor(model_proto=proto)
     return _models[key]
@@ -50,8 +52,11 @@ def check_model(proto: bytes) -> None:
         piece = sp.id_to_piece(i)
         if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)) and (_MARK in piece.lstrip(_MARK) or "\n" in piece):
             raise ValueError(f"piece {piece!r} crosses a whitespace marker")
-    if sp.encode("a  b") == sp.encode("a b") or sp.encode("a")[0] == sp.encode("\na")[0]:
+    if sp.encode("a  b") == sp.encode("a b") or not "".join(map(sp.id_to_piece, sp.encode("a"))).startswith(_MARK):
         raise ValueError("the model must add a marker in front and keep repeated spaces")
+    for text in _PROBES:
+        if segment(sp, marked_words(text))[0].tolist() != sp.encode(text):
+            raise ValueError(f"the model does not take {text!r} word by word")
 
 
 def marked_words(text: str) -> list[str]:
@@ -172,7 +177,10 @@ def _piece_bytes(sp) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for i in range(sp.get_piece_size()):
         piece = sp.id_to_piece(i)
-        out.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else piece.replace(_MARK, " ").encode())
+        if sp.is_unknown(i):
+            out.append(sp.decode([i]).encode())  # the model's own sign for it
+        else:
+            out.append(bytes([int(piece[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else piece.replace(_MARK, " ").encode())
     return np.frombuffer(b"".join(out), np.uint8), np.array([len(x) for x in out], np.int64)
 
 

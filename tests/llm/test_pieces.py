@@ -59,8 +59,11 @@ class Fake:
     def is_byte(self, i):
         return self.pieces[i].startswith("<0x")
 
-    def encode(self, text):
-        return self.real.encode(text) if self.real else [0]
+    def encode(self, text, **_):
+        return self.real.encode(text) if self.real else [[0]] * len(text) if isinstance(text, list) else [0]
+
+    def decode(self, ids):
+        return " ⁇ " * len(ids)
 
 
 def test_crossing_models_are_refused(monkeypatch):
@@ -71,8 +74,6 @@ def test_crossing_models_are_refused(monkeypatch):
         monkeypatch.setattr(pieces, "_processor", lambda proto, bad=bad: Fake(bad, real))
         with pytest.raises(ValueError, match="crosses a whitespace marker"):
             pieces.check_model(b"")
-    monkeypatch.setattr(pieces, "_processor", lambda proto: Fake(["<unk>", "</s>", "<0x0A>", "▁▁", "▁a", "b"], real))
-    pieces.check_model(b"")
     # spaces that collapse
     monkeypatch.setattr(pieces, "_processor", lambda proto: Fake(["▁a"]))
     with pytest.raises(ValueError, match="repeated spaces"):
@@ -91,3 +92,34 @@ def test_query_matches_library(spark):
         ids = sp.encode(r["text"] or "", add_eos=True)
         want.append((r["doc_id"], len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest()))
     assert sorted(tuple(r) for r in op6_sentencepiece(spark, sf).collect()) == sorted(want)
+
+
+def test_unknown_pieces_and_caches():
+    stuff, width = pieces._piece_bytes(Fake(["<unk>", "</s>", "<0x0A>", "▁a"]))
+    assert stuff.tobytes() == " ⁇ \n a".encode() and width.tolist() == [5, 0, 1, 2]
+    with open(MODEL, "rb") as f:
+        proto = f.read()
+    pieces._processor(proto)
+    assert all(len(k) == 32 for k in pieces._models)
+
+
+def test_probes_refuse_models_that_normalise_line_feeds(monkeypatch):
+    real = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+    class Normalising(Fake):
+        def encode(self, text, **_):
+            flat = lambda t: self.real.encode(t.replace("\n", " ").strip(" "))
+            return [flat(t) for t in text] if isinstance(text, list) else self.real.encode(text.replace("\n", " "))
+
+        def id_to_piece(self, i):
+            return self.real.id_to_piece(i)
+
+        def get_piece_size(self):
+            return 1
+
+        def piece_to_id(self, piece):
+            return self.real.piece_to_id(piece)
+
+    monkeypatch.setattr(pieces, "_processor", lambda proto: Normalising(["<unk>"], real))
+    with pytest.raises(ValueError, match="word by word"):
+        pieces.check_model(b"")
