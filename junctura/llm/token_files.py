@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import os
 import struct
-import zlib
+import hashlib
 
 import numpy as np
 import pyarrow as pa
@@ -144,12 +144,12 @@ class _Encoder:
         return out, counts + 1
 
 
-_encoders: dict[tuple[int, int | None], _Encoder] = {}
+_encoders: dict[tuple[bytes, int | None], _Encoder] = {}
 
 
 def _encoder(spec: str, end: int | None) -> _Encoder:
     """One encoder for all tasks of a worker, so that what it knows stays."""
-    key = (zlib.crc32(spec.encode()), end)
+    key = (hashlib.sha256(spec.encode()).digest(), end)
     if key not in _encoders:
         _encoders.clear()
         _encoders[key] = _Encoder(spec, end)
@@ -256,7 +256,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int | None, ident: s
     """Encode whole texts and write them in ascending id order; returns the index table, one row for each file.
 
     A null or empty text has the end id alone (nothing if ``end`` is None).  Documents without id come first; those with equal ids stand together
-    in no fixed order.  ``tokenizer`` is a tokenizers file on the driver; one that does not suit is refused (:func:`check_spec`).  A part ends a file once it has
+    in the order of a hash of their texts, so that one id, or none, for many rows fills as many parts as it needs.  ``tokenizer`` is a tokenizers file on the driver; one that does not suit is refused (:func:`check_spec`).  A part ends a file once it has
     ``file_ids`` ids.  An empty table writes no file.  ``ident`` must be an integer column; other columns are not read.
     """
     with open(tokenizer, encoding="utf-8") as f:
@@ -265,7 +265,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int | None, ident: s
     scratch = Scratch(docs.sparkSession, "tokens")
     docs = docs.select(ident, text)
     n = chunks.count(chunks.total_bytes(docs, text), part_bytes)
-    dealt = docs.repartitionByRange(n, F.col(ident).asc_nulls_first()).sortWithinPartitions(F.col(ident).asc_nulls_first())
+    order = [F.col(ident).asc_nulls_first(), F.xxhash64(text), F.col(text)]
+    dealt = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
     return scratch.write(dealt.mapInArrow(_write(scratch.at("files"), spec, end, ident, text, file_ids, rows_a_turn), INDEX), "index")
 
 

@@ -100,3 +100,13 @@ def test_unsuitable_tokenizers_are_refused():
     ):
         with pytest.raises(ValueError):
             check_spec(json.dumps(spec | {key: value}))
+
+
+def test_one_id_fills_many_parts(spark):
+    rows = [(None if i % 2 else 7, f"text {i}") for i in range(3_000)]
+    starts = []
+    for n in (3, 7):
+        index = write_token_files(spark.createDataFrame(rows, "doc_id long, text string").repartition(n), SPEC, 2, part_bytes=4_000)
+        assert index.groupBy("part").sum("docs").agg({"sum(docs)": "max"}).first()[0] < 1_500
+        starts.append(sorted((x.start, x.n_tokens, bytes(x.ids)) for x in read_token_files(index).collect()))
+    assert starts[0] == starts[1] and len(starts[0]) == 3_000
