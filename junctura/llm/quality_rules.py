@@ -22,7 +22,7 @@ _WINDOW = 5
 def base_statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
     """Statistics of every whole text: ``ident``, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_upper, n_chars_text (long).
 
-    A null text counts as empty.  Repeated windows of five words are found by their 64-bit hashes.
+    A null text counts as empty.  Repeated windows of five words are found by 64-bit hashes, and those that share one are compared by their words.
     """
     d = docs.select(F.col(ident).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
     d = d.select("id", "t", F.filter(F.split("t", _BLANKS), lambda w: w != "").alias("words"))
@@ -33,19 +33,24 @@ def base_statistics(docs: DataFrame, ident: str = "doc_id", text: str = "text")
         F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a + F.length(w)).alias("word_chars"),
         (F.length("t") - F.length(F.regexp_replace("t", "[#*$%&|<>]", ""))).cast("long").alias("n_symbols"),
         lines.alias("lines"),
+        "words",
         F.transform("words", lambda w: F.xxhash64(w)).alias("h"),
         (F.length("t") - F.length(F.regexp_replace("t", "[A-Z]+", ""))).cast("long").alias("n_upper"),
         F.length("t").cast("long").alias("n_chars_text"),
     )
     grams = F.transform(F.sequence(F.lit(0), F.size("h") - _WINDOW), lambda i: F.xxhash64(*(F.get("h", i + j) for j in range(_WINDOW))))
     keep = ["id", "n_words", "word_chars", "n_symbols", "n_upper", "n_chars_text"]
-    d = d.select(*keep, (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.when(F.size("h") >= _WINDOW, grams).alias("grams"))
+    d = d.select(*keep, (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), F.when(F.size("h") >= _WINDOW, grams).alias("grams"), "words")
     keep.append("n_dup_lines")
     # windows in hash order, only where one repeats
     repeats = F.size(F.array_distinct("grams")) < F.size("grams")
-    d = d.select(*keep, F.when(repeats, F.array_sort(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("s"))
+    d = d.select(*keep, F.when(repeats, F.array_sort(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))).alias("s"), F.when(repeats, F.col("words")).alias("words"))
     same = lambda k, j: F.get("s", k)["h"] == F.get("s", k + j)["h"]
     twice = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda k: F.coalesce(same(k, -1), F.lit(False)) | F.coalesce(same(k, 1), F.lit(False)))
+    # of windows with one hash only those with the same words repeat
+    d = d.select(*keep, F.array_sort(F.transform(twice, lambda k: F.struct(F.get("s", k)["h"].alias("h"), F.slice("words", F.get("s", k)["i"] + 1, F.lit(_WINDOW)).alias("w"), F.get("s", k)["i"].alias("i")))).alias("s"))
+    alike = lambda k, j: (F.get("s", k)["h"] == F.get("s", k + j)["h"]) & (F.get("s", k)["w"] == F.get("s", k + j)["w"])
+    twice = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda k: F.coalesce(alike(k, -1), F.lit(False)) | F.coalesce(alike(k, 1), F.lit(False)))
     starts = F.array_sort(F.transform(twice, lambda k: F.get("s", k)["i"]))
     first = F.struct(F.lit(0).alias("n"), F.lit(0).alias("end"))
     covered = F.aggregate(starts, first, lambda a, x: F.struct((a["n"] + x + _WINDOW - F.greatest(a["end"], x)).alias("n"), (x + _WINDOW).alias("end")))["n"]

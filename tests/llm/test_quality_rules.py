@@ -106,3 +106,12 @@ def brute_fast(text):
     covered = {i + j for i in range(len(words) - 4) if times[tuple(words[i : i + 5])] > 1 for j in range(5)}
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def test_windows_are_compared_by_their_words(spark, monkeypatch):
+    r = random.Random(8)
+    texts = [" ".join(r.choices("abcde", k=r.randint(0, 40))) for _ in range(60)]
+    weak = F.length
+    monkeypatch.setattr(F, "xxhash64", lambda *c: sum((weak(x.cast("string")) for x in c), F.lit(0)).cast("long"))  # most windows share a hash
+    got = base_statistics(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.n_repeat_words) for x in got) == [(i, brute(t)[4]) for i, t in enumerate(texts)]
