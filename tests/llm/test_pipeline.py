@@ -111,13 +111,16 @@ def brute_mix(rows):
             f[m] = {k: targets[m][k] / sums[k] if sums[k] > 0 else 0.0 for k in targets[m]}
     factor = {k: math.prod(f[m].get(k[m], 0.0) for m in range(3)) for k in cells}
     top = max((factor[k] for k, n in cells.items() if n > 0), default=1.0)
-    chance = lambda i: int(hashlib.md5(f"{'(none)' if i is None else i}:{q.MIX_SEED}".encode()).hexdigest()[:12], 16) / 2**48
-    return [r for r, k, n in zip(rows, keys, words) if chance(r[0]) < (factor[k] / top if n else 1.0)]
+    md5 = lambda x: hashlib.md5(x.encode()).hexdigest()
+    chance = lambda r: int(md5(f"{'(none)' + md5(r[1] or '') if r[0] is None else r[0]}:{q.MIX_SEED}")[:12], 16) / 2**48
+    return [r for r, k, n in zip(rows, keys, words) if chance(r) < (factor[k] / top if n else 1.0)]
 
 
-def brute_run(rows):
-    """All five stages over (id, text, lang, source) rows; without labels of low quality nothing is learned."""
+def brute_run(rows, low=None):
+    """All five stages over (id, text, lang, source) rows; ``low`` says which texts the learned list rejects, if one is learned."""
     def kept(text):
+        if low and low(text or ""):
+            return False
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
         grams = collections.Counter(tuple(w[i : i + 5]) for i in range(len(w) - 4))
         inside = {j for i in range(len(w) - 4) if grams[tuple(w[i : i + 5])] > 1 for j in range(i, i + 5)}
@@ -136,20 +139,28 @@ def brute_run(rows):
             if b[p : p + 100] in seen:
                 gone.update(range(p, p + 100))
             seen.add(b[p : p + 100])
-        left = bytes(x for k, x in enumerate(b) if k not in gone).decode("utf-8", "ignore") if gone else text
+        # whole characters go
+        at = 0
+        for c in text:
+            size = len(c.encode())
+            if gone & set(range(at, at + size)):
+                gone.update(range(at, at + size))
+            at += size
+        left = bytes(x for k, x in enumerate(b) if k not in gone).decode() if gone else text
         if len(gone) < len(b):
             cut.append((i, left, lang, source))
     sp = sentencepiece.SentencePieceProcessor(model_file=q.vocabulary("piece_bpe_32k.model"))
     return sorted(((r[0], ids := sp.encode(r[1], add_eos=True), len(ids)) for r in brute_mix(cut)), key=str)
 
 
-def put(folder, rows):
+def put(folder, rows, labels=((1, 1, 0), (2, 1, 0))):
     """The tables of a run, with a column more, some of whose names operators use themselves."""
     cols = {"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows], pa.string()), "lang": pa.array([r[2] for r in rows], pa.string()), "source": pa.array([r[3] for r in rows], pa.string())}
     n = len(rows)
     cols |= {"n_chars": pa.array([len(r[1] or "") for r in rows], pa.int64()), "kept": ["x"] * n, "sig": [1] * n, "row": [2] * n, "factor": [3.0] * n, "spans": [4] * n}
     pq.write_table(pa.table(cols), folder / "documents.parquet")
-    pq.write_table(pa.table({"doc_id": [1, 2], "quality": pa.array([1, 1], pa.int32()), "toxic": pa.array([0, 0], pa.int32())}), folder / "labels.parquet")
+    ids, quality, toxic = zip(*labels)
+    pq.write_table(pa.table({"doc_id": pa.array(ids, pa.int64()), "quality": pa.array(quality, pa.int32()), "toxic": pa.array(toxic, pa.int32())}), folder / "labels.parquet")
     return str(folder)
 
 
@@ -173,3 +184,27 @@ def test_whole_run_matches_brute_force(spark, tmp_path):
 
 def test_empty_run(spark, tmp_path):
     assert p.run(spark, put(tmp_path, [])).collect() == []
+
+
+def test_whole_run_with_a_learned_rule(spark, tmp_path):
+    r = random.Random(21)
+    word = lambda: "".join(r.choices("abcdefghijk", k=r.randint(2, 8)))
+    text = lambda n, mark="": " ".join(word() + mark for _ in range(n))
+    passage = "é\ufffdß" * 40
+    rows = [(i, text(r.randint(20, 60), "##" if i % 4 == 0 else ""), "en", "web") for i in range(400)]
+    rows += [(1_000 + i, text(30) + " " + passage + " " + text(30), "fr", "book") for i in range(12)]
+    rows += [(None, text(40, "##"), "en", "web"), (None, text(40), "en", "web"), (2_000, text(30) + " keeps its \ufffd mark " + "x" * 101, "en", "web"), (2_001, text(30) + " also \ufffd here " + "x" * 101, "en", "web")]
+    labels = [(i, int(i % 4 != 0), 0) for i in range(300)]
+    got = sorted(((x.doc_id, list(x.ids), x.n_tokens) for x in p.run(spark, put(tmp_path, rows, labels)).collect()), key=str)
+    want = brute_run(rows, low=lambda t: t.count("##") > len(t.split()) / 2)
+    assert got == want and 100 < len(got) < 330
+
+
+def test_source_marks_stay(spark, tmp_path):
+    """A replacement mark of the source is text like any other, though a passage beside it goes."""
+    shared, other = "".join(f"<s{i}>" for i in range(30)), "".join(f"<o{i}>" for i in range(30))
+    first, second = WORDS[0] + " \ufffd" + shared, WORDS[1] + " tail with \ufffd mark" + shared
+    # é and ĩ share their second byte
+    rows = [(1, first), (2, second), (3, "é" + other), (4, "a\ufffdĩ" + other), (5, None)]
+    got = rows_of(spark, tmp_path, p.repeated_passages, rows)
+    assert dict(got) == {1: first, 2: WORDS[1] + " tail with \ufffd mark", 3: "é" + other, 4: "a\ufffd", 5: None}
