@@ -39,20 +39,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of strings of 100 bytes that start earlier in the corpus; a character of which a byte went goes whole."""
-    out = remove_repeats(docs.select(*COLUMNS))
-    # what is cut through a character is dropped: bytes that are no UTF-8 become the replacement mark first
-    text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.decode(F.expr("encode(make_valid_utf8(kept), 'UTF-8')"), "UTF-8"), "�", "")).otherwise(F.col("text"))
+    """Texts without the bytes of strings of 100 bytes that start earlier in the corpus; a character of which a byte went goes whole.
+
+    A null text and one of which nothing goes stay as they are, one of which all goes is dropped; of equal long rows, or rows without id, the first in the
+    operator's order keeps its text.
+    """
+    out = remove_repeats(docs.select(*COLUMNS), characters=True)
+    text = F.when(F.col("n_removed") > 0, F.col("kept").cast("string")).otherwise(F.col("text"))
     return out.withColumn("text", text).where("n_removed < n_bytes or n_removed = 0").withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose tokens meet the target shares of sources, languages and topics."""
+    """A sample whose tokens meet the target shares of sources, languages and topics.
+
+    A null source or language is a margin of its own; rows are drawn by their ids, those without id by their texts, so equal rows stay or go together.
+    """
     return mix(docs, powers=q.MIX_POWERS, rounds=q.MIX_ROUNDS, seed=q.MIX_SEED).where("sampled").select(*COLUMNS)
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document."""
+    """Token ids of every row, whatever its id; a null text has the end id alone."""
     out = encode_decode(docs.select("doc_id", "text"), q.vocabulary("piece_bpe_32k.model"))
     return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
