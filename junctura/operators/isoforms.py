@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import written
+
 
 def gene_extents(exons: DataFrame) -> DataFrame:
     return exons.groupBy("gene", "chrom", "strand").agg(F.min("start").alias("start"), F.max("end").alias("end"))
@@ -46,7 +48,7 @@ _PLACE = ["chrom", "strand", "start", "end"]
 
 def unannotated(exons: DataFrame, mes: DataFrame) -> DataFrame:
     """Microexons that are no exon of the annotation."""
-    return mes.join(exons.select(*_PLACE).distinct(), _PLACE, "left_anti")
+    return mes.join(exons.select(*_PLACE), _PLACE, "left_anti")
 
 
 def candidates(exons: DataFrame, mes: DataFrame) -> DataFrame:
@@ -57,17 +59,15 @@ def candidates(exons: DataFrame, mes: DataFrame) -> DataFrame:
     """
     by = Window.partitionBy("tx").orderBy("start", "block")
     d = exons.withColumns({"i_end": F.lead("start").over(by), "after": F.lead("start", 2).over(by), "tx_start": F.min("start").over(Window.partitionBy("tx")), "tx_end": F.max("end").over(Window.partitionBy("tx")), "k": F.row_number().over(by)})
-    gaps = d.where("i_end is not null").select("tx", "gene", "chrom", "strand", "tx_start", "tx_end", "k", "after", F.col("end").alias("i_start"), "i_end")
-    new = unannotated(exons, mes)
-    found = []
     # an intron's end is looked at with the next exon, after that exon's own start of an intron
-    for sj, mine, turn in (("sj_start", "i_start", 2 * F.col("k")), ("sj_end", "i_end", 2 * F.col("k") + 3)):
-        g = gaps if sj == "sj_start" else gaps.where("after is not null")
-        first = ranked_mes(new, sj).where("rank = 1").drop("rank").withColumn(mine, F.col(sj))
-        found.append(g.withColumn("turn", turn).join(first, ["chrom", "strand", mine]))
-    cols = ["tx", "gene", "chrom", "strand", "i_start", "i_end", "me", "sj_start", "sj_end", "start", "end", "turn"]
-    both = found[0].where("start > tx_start and end < tx_end").select(*cols)
-    return both.unionByName(found[1].where("start > tx_start and end < tx_end").select(*cols))
+    sides = F.array(F.struct(F.lit(0).alias("side"), F.col("end").alias("at"), (2 * F.col("k")).alias("turn")), F.struct(F.lit(1).alias("side"), F.when(F.col("after").isNotNull(), F.col("i_end")).alias("at"), (2 * F.col("k") + 3).alias("turn")))
+    gaps = d.where("i_end is not null").select("tx", "gene", "chrom", "strand", "tx_start", "tx_end", F.col("end").alias("i_start"), "i_end", F.inline(sides)).where("at is not null")
+    borders = F.array(*(F.struct(F.lit(i).alias("side"), F.col(c).alias("at")) for i, c in enumerate(("sj_start", "sj_end"))))
+    new = unannotated(exons, mes).select("me", "chrom", "strand", "sj_start", "sj_end", "start", "end", F.inline(borders))
+    rank = F.row_number().over(Window.partitionBy("chrom", "strand", "side", "at").orderBy("me", "sj_start", "sj_end"))
+    first = new.withColumn("rank", rank).where("rank = 1").drop("rank")
+    found = gaps.join(first, ["chrom", "strand", "side", "at"]).where("start > tx_start and end < tx_end")
+    return found.select("tx", "gene", "chrom", "strand", "i_start", "i_end", "me", "sj_start", "sj_end", "start", "end", "turn")
 
 
 def inclusions(exons: DataFrame, mes: DataFrame, max_rounds: int = 50) -> DataFrame:
@@ -76,15 +76,16 @@ def inclusions(exons: DataFrame, mes: DataFrame, max_rounds: int = 50) -> DataFr
 
     Candidates come in the order of transcripts (by id) and of their introns; the first for an intron of a gene wins it, and a candidate whose
     microexon its transcript has already leaves its intron to later ones.  Each round accepts all candidates that no undecided earlier one can
-    bar, which gives what taking them one by one gives; rounds end when none is left (rarely more than two).
+    bar, which gives what taking them one by one gives; rounds end when none is left (rarely more than two).  A round is a table in the shared folder.
     """
     left = candidates(exons, mes).withColumn("turn", F.struct("tx", "turn"))
     intron, once = Window.partitionBy("gene", "chrom", "strand", "i_start", "i_end"), Window.partitionBy("tx", "me")
     cols = ["tx", "gene", "me", "chrom", "strand", "sj_start", "sj_end", "start", "end"]
     out = None
     for _ in range(max_rounds):
-        d = left.withColumn("put", (F.min("turn").over(intron) == F.col("turn")) & (F.min("turn").over(once) == F.col("turn")))
-        d = d.withColumn("barred", F.max("put").over(intron)).withColumn("barred", F.col("barred") | F.max("put").over(once)).persist()
+        d = left.withColumn("first", F.min("turn").over(intron)).withColumn("put", (F.col("first") == F.col("turn")) & (F.min("turn").over(once) == F.col("turn")))
+        d = d.withColumn("barred", F.max("put").over(once)).withColumn("barred", F.col("barred") | F.max("put").over(intron))
+        d = written(d.drop("first"), "inclusions")
         got = d.where("put").select(*cols)
         out = got if out is None else out.unionByName(got)
         left = d.where("not barred").drop("put", "barred")

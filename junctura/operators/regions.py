@@ -98,15 +98,44 @@ def intersect_runs(gaps: DataFrame) -> DataFrame:
 
 
 def shrink(gaps: DataFrame, power: float = 0.7) -> DataFrame:
-    """New places of introns whose length l becomes l**power: the shift so far is a running sum."""
-    d = gaps.withColumn("saved", (F.col("end") - F.col("start")) - F.floor(F.pow(F.col("end") - F.col("start"), F.lit(power))))
-    before = F.coalesce(F.sum("saved").over(Window.partitionBy("group").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return d.withColumn("shift", before).select("group", "start", "end", (F.col("start") - F.col("shift")).cast("long").alias("new_start"), (F.col("end") - F.col("shift") - F.col("saved")).cast("long").alias("new_end"))
-
+    """New places of introns whose length l becomes l**power: the shift so far is a running sum, over ranges of a group and then within each.
 
-def neighbourhood(nodes: DataFrame, reach: int = 2) -> DataFrame:
+    Introns of a group that start at one place follow each other by their ends.
+    """
+    d = gaps.withColumn("saved", (F.col("end") - F.col("start")) - F.floor(F.pow(F.col("end") - F.col("start"), F.lit(power))))
+    d = carried(d, ["group"], "start", F.col("saved"), F.sum)
+    here = F.sum("saved").over(Window.partitionBy("group", "bin").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1))
+    d = d.withColumn("shift", F.coalesce("carried", F.lit(0)) + F.coalesce(here, F.lit(0)))
+    return d.select("group", "start", "end", (F.col("start") - F.col("shift")).cast("long").alias("new_start"), (F.col("end") - F.col("shift") - F.col("saved")).cast("long").alias("new_end"))
+
+
+def _bordered(nodes: DataFrame, reach: int, width: int) -> DataFrame:
+    """Nodes (gene, node, start, end, own) dealt by ranges of ``width`` numbers (``bin``); each range also holds the last ``reach`` nodes of its gene in front of it and
+    the first behind it, not its own.  Only one row a range passes the gene's task."""
+    d = nodes.select("gene", "node", "start", "end", F.floor(F.col("node") / width).alias("bin")).repartition("gene", "bin")
+    ends = d.groupBy("gene", "bin").agg(F.array_sort(F.collect_list(F.struct("node", "start", "end"))).alias("own"))
+    ends = ends.select("gene", "bin", F.slice("own", 1, reach).alias("first"), F.slice(F.reverse("own"), 1, reach).alias("last"))
+    by, names = Window.partitionBy("gene").orderBy("bin"), []
+    for c, step in (("last", F.lag), ("first", F.lead)):
+        for i in range(1, reach + 1):
+            names.append(f"{c}{i}")
+            ends = ends.withColumn(names[-1], step(c, i).over(by))
+    near = lambda c: F.slice(F.flatten(F.filter(F.array(*(x for x in names if x.startswith(c))), lambda x: x.isNotNull())), 1, reach)
+    borders = ends.select("gene", "bin", F.inline(F.concat(near("last"), near("first"))), F.lit(False).alias("own"))
+    return d.withColumn("own", F.lit(True)).unionByName(borders)
+
+
+def neighbours(nodes: DataFrame, reach: int = 2, width: int = 1 << 12) -> DataFrame:
+    """(gene, node, before, behind): the nodes ``reach`` places in front of and behind each in its gene; null where there are fewer."""
+    w = Window.partitionBy("gene", "bin").orderBy("node")
+    d = _bordered(nodes, reach, width).withColumns({"before": F.lag("node", reach).over(w), "behind": F.lead("node", reach).over(w)})
+    return d.where("own").select("gene", "node", "before", "behind")
+
+
+def neighbourhood(nodes: DataFrame, reach: int = 2, width: int = 1 << 12) -> DataFrame:
     """Region from the node ``reach`` before to that ``reach`` behind it in its gene, or as far as there are any."""
-    w = Window.partitionBy("gene").orderBy("node")
+    w = Window.partitionBy("gene", "bin").orderBy("node")
     lo = F.coalesce(*(F.lag("start", i).over(w) for i in range(reach, 0, -1)), "start")
     hi = F.coalesce(*(F.lead("end", i).over(w) for i in range(reach, 0, -1)), "end")
-    return nodes.withColumns({"lo": lo, "hi": hi}).select("gene", "node", F.least("lo", "hi").alias("from"), F.greatest("lo", "hi").alias("to"))
+    d = _bordered(nodes, reach, width).withColumns({"lo": lo, "hi": hi}).where("own")
+    return d.select("gene", "node", F.least("lo", "hi").alias("from"), F.greatest("lo", "hi").alias("to"))

@@ -624,10 +624,7 @@ def p40_node_region(spark, sf):
 
 @query("SELECT gene, node, lag(node, 2) OVER w AS lag2, lead(node, 2) OVER w AS lead2 FROM v_node WINDOW w AS (PARTITION BY gene ORDER BY node)", "v_node")
 def w8_neighbours(spark, sf):
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("gene").orderBy("node")
-    return v_node(spark, sf).select("gene", "node", F.lag("node", 2).over(w).alias("lag2"), F.lead("node", 2).over(w).alias("lead2"))
+    return R.neighbours(v_node(spark, sf)).select("gene", "node", F.col("before").alias("lag2"), F.col("behind").alias("lead2"))
 
 
 @query("SELECT gene, node, chrom || ':' || (\"start\" - 499) || '-' || (\"end\" + 500) AS region FROM v_node", "v_node")

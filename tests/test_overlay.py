@@ -1,4 +1,4 @@
-"""Overlaid step functions against arrays of bases."""
+"""Overlaid step functions against arrays of bases; neighbours and shifts over ranges against whole groups."""
 
 import random
 import re
@@ -53,3 +53,31 @@ def test_overlay_equals_bases(spark):
 def test_empty(spark):
     d = spark.createDataFrame([], "sample string, chrom string, start int, cigar string")
     assert R.overlay(R.base_coverage(d, ("sample", "chrom")), spark.createDataFrame([("x", "a")], "group string, sample string")).collect() == []
+
+
+def test_neighbours_over_ranges(spark):
+    r = random.Random(4)
+    nodes = [(g, n, n * 10, n * 10 + r.randint(1, 9)) for g in "abc" for n in sorted(r.sample(range(500), r.choice([1, 2, 3, 60])))] + [("d", n, n * 10, n * 10 + 1) for n in range(300)]
+    d = spark.createDataFrame(nodes, "gene string, node int, start int, end int")
+    by = {g: [x for x in nodes if x[0] == g] for g in "abcd"}
+    want, region = {}, {}
+    for g, own in by.items():
+        for i, (_, n, s, e) in enumerate(own):
+            want[g, n] = own[i - 2][1] if i > 1 else None, own[i + 2][1] if i + 2 < len(own) else None
+            lo, hi = own[max(0, i - 2)][2], own[min(len(own) - 1, i + 2)][3]
+            region[g, n] = min(lo, hi), max(lo, hi)
+    for width in (1, 7, 1_000):
+        assert {(x.gene, x.node): (x.before, x.behind) for x in R.neighbours(d, 2, width).collect()} == want
+        assert {(x.gene, x.node): (x["from"], x["to"]) for x in R.neighbourhood(d, 2, width).collect()} == region
+
+
+def test_shrunken_introns_over_ranges(spark):
+    r = random.Random(5)
+    gaps = sorted((g, s, s + r.randint(1, 30_000)) for g in ("x", "y") for s in r.sample(range(900_000), 60))
+    got = {(x.group, x.start, x.end): (x.new_start, x.new_end) for x in R.shrink(spark.createDataFrame(gaps, "group string, start int, end int")).collect()}
+    for g in ("x", "y"):
+        shift = 0
+        for _, s, e in (x for x in gaps if x[0] == g):
+            saved = (e - s) - int((e - s) ** 0.7)
+            assert got[g, s, e] == (s - shift, e - shift - saved)
+            shift += saved
