@@ -9,6 +9,7 @@ from ..operators import annotation as A
 from ..operators import isoforms as G
 from ..sources import bam as B
 from ..sources import bigwig as W
+from ..sources import gz as Z
 from ..sources import text as IO
 from ..sources.shared import shared_folder
 from .quantification import _GENES, _genes
@@ -139,6 +140,22 @@ def s12_gz_report(spark, sf):
     return IO.table(spark, path).select("sample", "me", "inc", "skip")
 
 
+@query("SELECT CAST(sample AS VARCHAR) AS sample, me, CAST(inc AS VARCHAR) AS inc, CAST(skip AS VARCHAR) AS skip FROM v_cov", "v_cov")
+def s12_gz_members(spark, sf):
+    """The same report as one folder of gzip files, cut at members and read by many tasks."""
+    path = shared_folder(spark, "members")
+    IO.write_report(v_cov(spark, sf).repartition(4, "sample"), path)
+    return Z.gz_table(spark, path, 1 << 14).select("sample", "me", "inc", "skip")
+
+
+@query("SELECT 'd' || doc_id AS id, seq, lower(seq) AS qual FROM v_dna WHERE seq <> ''", "v_dna")
+def s7_fastq_members(spark, sf):
+    """Gzipped FASTQ through the reader that cuts at members."""
+    path = shared_folder(spark, "fastq")
+    IO.write_fastq(v_dna(spark, sf).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(" more")).alias("id"), "seq", F.lower("seq").alias("qual")), path)
+    return IO.fastq(spark, path, members=True, split_bytes=1 << 18).select("id", "seq", "qual")
+
+
 _LISTS = """SELECT 'A' || c_custkey AS sample, 'accession' AS origin, 'A' || c_custkey AS location FROM customer WHERE c_nationkey < 10 UNION SELECT 'L' || c_custkey, 'local', '/data/' || c_custkey || '.fastq' FROM customer
 UNION SELECT 'U' || c_custkey, 'url', 'http://host/' || c_custkey || CASE WHEN c_custkey % 2 = 0 THEN '.fastq.gz' ELSE '.fastq.bz2' END FROM customer UNION SELECT 'C' || c_custkey, 'cram', '/cram/' || c_custkey || '.cram' FROM customer"""
 

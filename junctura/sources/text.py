@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import cigar as C
 from ..operators.genome import WIDTH
 from ..operators.intervals import mean_value
+from .gz import gz_lines
 
 BED12 = "chrom start end name score strand thick_start thick_end rgb block_count block_sizes block_starts".split()
 SAM = "read flag tag pos mapq cigar rnext pnext tlen seq qual".split()
@@ -71,18 +72,25 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     A first pass counts the lines of each split; a line's number is that of the lines in splits in front of its own, and its place in the split.
     """
     at = {"file": F.col("_metadata.file_path"), "split": F.col("_metadata.file_block_start"), "row": F.monotonically_increasing_id()}
-    lines = spark.read.text(path).select("value", *(c.alias(n) for n, c in at.items()))
+    return _numbered(spark.read.text(path).select("value", *(c.alias(n) for n, c in at.items())))
+
+
+def _numbered(lines: DataFrame) -> DataFrame:
+    """(file, line, value) of lines (file, split, row, value), whose ``row`` rises by one within each split of a file."""
     splits = lines.groupBy("file", "split").agg(F.min("row").alias("first"), F.count("*").alias("n"))
     before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return lines.join(splits.select("file", "split", "first", before.alias("before")), ["file", "split"]).select("file", (F.col("before") + F.col("row") - F.col("first")).alias("line"), "value")
 
 
-def fastq(spark: SparkSession, path: str) -> DataFrame:
+def fastq(spark: SparkSession, path: str, members: bool = False, split_bytes: int = 64 << 20) -> DataFrame:
     """(id, seq, qual, file): records of four lines each, of plain or compressed files of any number of splits.
 
+    With ``members`` the files are gzip, and those of several members, blocked ones among them, are read by as many tasks as ``split_bytes`` gives.
+
     Blank lines at the end are skipped, a record cut off by the end of its file has null fields, and a file whose records do not begin with @ and + is refused.
     """
-    d = numbered_lines(spark, path).select("file", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("part"), "value")
+    lines = _numbered(gz_lines(spark, path, split_bytes)) if members else numbered_lines(spark, path)
+    d = lines.select("file", F.floor(F.col("line") / 4).alias("record"), (F.col("line") % 4).alias("part"), "value")
     pick = lambda i: F.max(F.when(F.col("part") == i, F.col("value")))
     d = d.groupBy("file", "record").agg(pick(0).alias("h"), pick(1).alias("seq"), pick(2).alias("plus"), pick(3).alias("qual")).where(F.trim(F.concat_ws("", "h", "seq", "plus", "qual")) != "")
     wrong = ~F.col("h").startswith("@") | ~F.coalesce(F.col("plus").startswith("+"), F.lit(True))
