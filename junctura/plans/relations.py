@@ -12,6 +12,7 @@ from ..operators import differential as D
 from ..operators import discovery as X
 from ..operators import isoforms as G
 from ..sources import text as IO
+from ..sources.shared import shared_folder
 from .quantification import _BOUND, _CMP, _MES, _comparisons, _mes
 from .registry import query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
 from .sequences import _CUT
@@ -225,9 +226,32 @@ def j28_sides(spark, sf):
     return v_cov(spark, sf).join(sides, "sample").select("comparison", "side", "sample", "me", "inc", "skip")
 
 
-@query(f"WITH {_CMP} SELECT comparison, side, cluster, n_pools, repeats FROM c")
+@query("SELECT 'cmp' || CAST(sample % 3 AS VARCHAR) AS comparison, CASE WHEN sample % 2 = 0 THEN 'A' ELSE 'B' END AS side, sample, me, inc, skip FROM v_cov", "v_cov")
+def s18_comparison_file(spark, sf):
+    """All samples listed in a comparison file, which is written from the table and read as YAML."""
+    path = shared_folder(spark, "comparisons")
+    cov = v_cov(spark, sf)
+    of = {"comparison": F.concat(F.lit("cmp"), (F.col("sample") % 3).cast("string")), "side": F.when(F.col("sample") % 2 == 0, "A").otherwise("B")}
+    listed = cov.select("sample", *(c.alias(n) for n, c in of.items())).groupBy("comparison", "side").agg(F.array_join(F.array_sort(F.collect_set("sample")).cast("array<string>"), ", ").alias("samples"))
+    sides = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("side", "samples"))), lambda x: F.concat(F.lit("\n  "), x["side"], F.lit(": "), x["samples"])), "")
+    listed.groupBy("comparison").agg(sides.alias("s")).select(F.concat("comparison", F.lit(":  # one of three"), "s")).write.text(path)
+    found = IO.comparison_file(spark, path).withColumn("sample", F.col("sample").cast("long"))
+    return cov.join(found, "sample").select("comparison", "side", "sample", "me", "inc", "skip")
+
+
+@query(
+    """SELECT DISTINCT 'n' || c_nationkey AS comparison, side, c_mktsegment AS cluster, n_pools, repeats FROM (SELECT *, CASE WHEN c_custkey % 2 = 0 THEN 'A' ELSE 'B' END AS side,
+CAST(1 + max(c_custkey) OVER (PARTITION BY c_nationkey, c_custkey % 2) % 7 AS INTEGER) AS n_pools, CAST(1 + min(c_custkey) OVER (PARTITION BY c_nationkey, c_custkey % 2) % 3 AS INTEGER) AS repeats FROM customer)"""
+)
 def d2_clusters(spark, sf):
-    return D.named_clusters(_comparisons(spark)).select("comparison", "side", "cluster", "n_pools", "repeats")
+    """Comparisons of the customers' segments by nation, as a table of comma lists that is written and parsed."""
+    path = shared_folder(spark, "clusters")
+    c = table(spark, sf, "customer").withColumn("side", F.when(F.col("c_custkey") % 2 == 0, "A").otherwise("B"))
+    listed = F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ", ").alias("clusters")
+    rows = c.groupBy(F.concat(F.lit("n"), F.col("c_nationkey").cast("string")).alias("comparison"), "side").agg(listed, (1 + F.max("c_custkey") % 7).alias("n_pools"), (1 + F.min("c_custkey") % 3).alias("repeats"))
+    rows.write.option("sep", "\t").option("header", True).csv(path)
+    found = IO.table(spark, path).withColumns({n: F.col(n).cast("int") for n in ("n_pools", "repeats")})
+    return D.named_clusters(found).select("comparison", "side", "cluster", "n_pools", "repeats")
 
 
 @query(f"WITH {_CMP} SELECT comparison, side, string_agg(CAST(file AS VARCHAR), ',' ORDER BY file) AS files FROM c JOIN v_cell USING (cluster) GROUP BY ALL", "v_cell")

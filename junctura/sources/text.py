@@ -213,6 +213,24 @@ def comparisons(spark: SparkSession, spec: dict[str, dict[str, str]]) -> DataFra
     return spark.createDataFrame(rows, "comparison string, side string, sample string")
 
 
+def comparison_file(spark: SparkSession, path: str) -> DataFrame:
+    """(comparison, side, sample) of a YAML file: a mapping of comparisons, each with A and B as comma lists, flow lists or block lists of samples.
+
+    Comments and blank lines are skipped; any other line is refused.  A comparison's rows follow its head within the file, so the file goes through one window.
+    """
+    lines = numbered_lines(spark, path).withColumn("value", F.regexp_replace("value", r"(^|\s+)#.*$|\s+$|^---$", "")).where("value <> ''")
+    bare = lambda c: F.regexp_replace(F.trim(c), r"^([\"'])(.*)\1$", "$2")
+    head, side, item = r"^([^\s-].*?)\s*:$", r"^\s+[\"']?([AB])[\"']?\s*:\s*(.*)$", r"^\s*-\s+(.+)$"
+    get = lambda pattern, i: F.when(F.col("value").rlike(pattern), F.regexp_extract("value", pattern, i))
+    d = lines.withColumns({"head": get(head, 1), "own": get(side, 1), "items": F.coalesce(get(side, 2), get(item, 1))})
+    wrong = F.col("head").isNull() & F.col("items").isNull()
+    d = d.withColumn("items", F.when(wrong, F.raise_error(F.concat(F.lit("not a line of comparisons: "), "value")).cast("string")).otherwise(F.col("items")))
+    upto = Window.partitionBy("file").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
+    d = d.select(bare(F.last("head", True).over(upto)).alias("comparison"), F.last("own", True).over(upto).alias("side"), "items").where("items is not null")
+    each = F.explode(F.split(F.regexp_replace("items", r"^\[|\]$", ""), ",")).alias("sample")
+    return d.select("comparison", "side", each).select("comparison", "side", bare(F.col("sample")).alias("sample")).where("sample <> ''")
+
+
 def write_report(df: DataFrame, path: str, by: str | None = None) -> None:
     """Gzipped tab-separated report, one folder for each value of ``by``."""
     out = df.write.mode("overwrite").option("sep", "\t").option("header", True).option("compression", "gzip").option("nullValue", "NA")

@@ -100,3 +100,24 @@ def test_mixture(spark):
     fit = N.mixture(spark.createDataFrame([(float(v),) for v in x], "u2 double"), "u2").first()
     assert fit.m1 == pytest.approx(40, abs=1) and fit.m2 == pytest.approx(80, abs=1) and fit.w == pytest.approx(0.75, abs=0.02)
     assert N.mixture(spark.createDataFrame([], "u2 double"), "u2").collect() == []
+
+
+def test_beta_distribution_of_large_counts():
+    """Against exact sums of binomial terms in whole numbers, and closed forms."""
+    from fractions import Fraction
+    from math import comb
+
+    for a, b in [(3, 9), (150, 250), (201, 220), (400, 1_500)]:
+        n = a + b - 1
+        for k in (-4, -1, 0, 0.5, 3):
+            x = Fraction(round((a / (a + b) + k * (a * b / (a + b) ** 3) ** 0.5) * 4096), 4096)
+            if 0 < x < 1:
+                tail = sum(comb(n, j) * x**j * (1 - x) ** (n - j) for j in range(a, n + 1))
+                assert float(N.beta_cdf(np.array([float(x)]), np.array([a]), np.array([b]))[0]) == pytest.approx(float(tail), abs=1e-11)
+    big = np.array([1e3, 1e5, 1e7, 1e9])
+    assert N.beta_cdf(np.full(4, 0.5), big, big) == pytest.approx(0.5, abs=1e-10)
+    x = np.array([1e-12, 1e-9, 5e-9, 3e-8])
+    assert N.beta_cdf(x, np.ones(4), np.full(4, 1e9)) == pytest.approx(-np.expm1(1e9 * np.log1p(-x)), abs=1e-9)
+    both = N.beta_cdf(np.array([0.3001, 0.2999]), np.full(2, 3e7), np.full(2, 7e7))
+    assert both[0] == pytest.approx(1 - N.beta_cdf(np.array([0.6999]), np.array([7e7]), np.array([3e7]))[0], abs=1e-10) and both[1] < 0.5 < both[0]
+    assert np.isnan(N.beta_cdf(np.array([0.5, np.nan]), np.array([0.0, 1.0]), np.array([1.0, 1.0]))).all()

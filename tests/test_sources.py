@@ -104,3 +104,11 @@ def test_tables(spark, tmp_path):
     assert IO.table(spark, str(tmp_path / "out/origin=url")).first().sample == "S2"
     IO.write_fasta(spark.createDataFrame([("a", "AC")], "id string, seq string"), str(tmp_path / "fa"))
     assert IO.fasta(spark, str(tmp_path / "fa")).first().seq == "AC"
+
+
+def test_comparison_file(spark, tmp_path):
+    text = "---\n# all of them\nfirst one:\n  A : s1,s2, s3  # three\n  B : \"s4\"\n\n'x y':\n  A: [a, 'b']\n  B:\n    - c\n    - d#e\n"
+    got = IO.comparison_file(spark, put(tmp_path / "c.yaml", text)).collect()
+    assert sorted(map(tuple, got)) == sorted([("first one", "A", "s1"), ("first one", "A", "s2"), ("first one", "A", "s3"), ("first one", "B", "s4"), ("x y", "A", "a"), ("x y", "A", "b"), ("x y", "B", "c"), ("x y", "B", "d#e")])
+    with pytest.raises(Exception, match="not a line"):
+        IO.comparison_file(spark, put(tmp_path / "d.yaml", "a:\n  C: x\n")).collect()
