@@ -265,8 +265,8 @@ def write_token_files(docs: DataFrame, tokenizer: str, end: int | None, ident: s
     scratch = Scratch(docs.sparkSession, "tokens")
     docs = docs.select(ident, text)
     n = chunks.count(chunks.total_bytes(docs, text), part_bytes)
-    order = [F.col(ident).asc_nulls_first(), F.xxhash64(text), F.col(text)]
-    dealt = docs.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    order = [F.col(ident).asc_nulls_first(), F.xxhash64(text)]  # the driver sees a sample of these
+    dealt = docs.repartitionByRange(n, *order).sortWithinPartitions(*order, text)
     return scratch.write(dealt.mapInArrow(_write(scratch.at("files"), spec, end, ident, text, file_ids, rows_a_turn), INDEX), "index")
 
 
