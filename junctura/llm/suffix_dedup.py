@@ -10,6 +10,8 @@ bytes of a suffix matter, so suffixes are ordered to that depth, in three passes
    share.  Neighbouring suffixes mostly share it, so a run of them travels as one string of bytes.  One bucket at a time is sorted
    (:func:`first_equal`): by first and last bytes, and what ties there by the ranks of a second cover's samples, which are built from the
    bucket's bytes by doubling.  Ranks and bytes alone decide what is equal; no fingerprint does.  The answer is one bit for each suffix.
+   A bucket's bytes are measured before it is sorted: one beyond its bound, whose 8-byte string is common, is dealt anew by the least of the other strings among a
+   suffix's bytes, which equal suffixes share as well (:func:`_next_runs`), into as many parts as its bytes need.
 3. *Removal.*  Each chunk lays its bits over its bytes.
 """
 
@@ -42,7 +44,9 @@ PIECE = 2 << 20
 _SHORT = np.uint64(24)
 _GRAM = 8
 _SALT = np.uint64(0x5851F42D4C957F2D)
-_SENT = "bucket int, __chunk int, texts binary, sizes binary, ords binary, ids binary"
+_RUNS = "__chunk int, texts binary, sizes binary, ords binary, ids binary, raw long"
+_SENT = f"bucket int, {_RUNS}"
+_NEXT = np.uint64(0xD6E8FEB86659FD93)
 _ANSWER = "__chunk int, piece int, bucket int, bits binary"
 
 
@@ -201,6 +205,31 @@ def _texts(chunk: chunks.Chunk, runs: _Runs, length: int) -> Iterator[tuple[int,
         had.add(text)
 
 
+def _packed(own: list[tuple[bytes, int]], doc: np.ndarray, ids: np.ndarray) -> dict[str, bytes | int]:
+    """Runs of bytes, each with its place in ``doc``, as a row: the bytes, their sizes, and the document of each among the distinct ones."""
+    docs_here, ords = np.unique(doc[[j for _, j in own]], return_inverse=True)
+    joined = b"".join(x for x, _ in own)
+    return {
+        "texts": zstandard.compress(joined, 1),
+        "sizes": packing.pack_ints(np.array([len(x) for x, _ in own])),
+        "ords": packing.pack_ints(ords),
+        "ids": ids[docs_here].astype(np.int64).tobytes(),
+        "raw": len(joined),
+    }
+
+
+def _unpacked(row: dict) -> tuple[list[bytes], np.ndarray]:
+    """A row's runs and the id of each one's document."""
+    blob = zstandard.decompress(row["texts"])
+    ends = np.cumsum(packing.unpack_ints(row["sizes"]).astype(np.int64))
+    texts = [blob[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+    return texts, np.frombuffer(row["ids"], np.int64)[packing.unpack_ints(row["ords"]).astype(np.int64)]
+
+
+def _sent(rows: list[dict], schema: pa.Schema) -> pa.Table:
+    return pa.Table.from_pylist(rows, schema)
+
+
 def _send_runs(ident: str, text: str, length: int, bits: int, block: int, blocks: int):
     def send(key: tuple, docs: pa.Table, ranks: pa.Table) -> pa.Table:
         chunk = chunks.load(docs, ident, text)
@@ -212,17 +241,71 @@ def _send_runs(ident: str, text: str, length: int, bits: int, block: int, blocks
         for j, run, had in _texts(chunk, runs, length):
             if not had:
                 parts.setdefault(int(runs.bucket[j]), []).append((run, j))
-        out = []
-        for b, own in parts.items():
-            docs_here, ords = np.unique(doc[[j for _, j in own]], return_inverse=True)
-            joined = zstandard.compress(b"".join(x for x, _ in own), 1)
-            out.append((b, key[0].as_py(), joined, packing.pack_ints(np.array([len(x) for x, _ in own])), packing.pack_ints(ords), chunk.ids[docs_here].astype(np.int64).tobytes()))
-        b, k, *rest = zip(*out, strict=True) if out else ((), (), (), (), (), ())
-        return pa.table({"bucket": pa.array(b, pa.int32()), chunks.KEY: pa.array(k, pa.int32())} | {n: chunks.binary(list(x)) for n, x in zip(("texts", "sizes", "ords", "ids"), rest, strict=True)})
+        return _sent([{"bucket": b, chunks.KEY: key[0].as_py()} | _packed(own, doc, chunk.ids) for b, own in parts.items()], _SENT_ARROW)
 
     return send
 
 
+_RUNS_ARROW = [(chunks.KEY, pa.int32()), *((c, pa.binary()) for c in ("texts", "sizes", "ords", "ids")), ("raw", pa.int64())]
+_SENT_ARROW = pa.schema([("bucket", pa.int32()), *_RUNS_ARROW])
+_SPLIT_ARROW = pa.schema([("bucket", pa.int32()), ("part", pa.int32()), *_RUNS_ARROW])
+
+
+def _next_runs(run: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where a run's suffixes change the least of their strings of 8 bytes but for the run's own least one; how many follow, and that string's mixed value."""
+    gram = min(_GRAM, length)
+    k, n = length - gram + 1, len(run) - length + 1
+    values = rolling.mix(_eight(run, "<u8")[: len(run) - gram + 1] & np.uint64((1 << 8 * gram) - 1))
+    other = values.copy()
+    other[values == values.min()] = np.iinfo(np.uint64).max
+    least = _least(other, k)
+    begin = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+    return begin, np.diff(np.append(begin, n)), least[begin]
+
+
+def _parts(row: dict, length: int) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a row of a heavy bucket: its runs, and for each of their stretches the run, its start and count, and its part."""
+    texts, _ = _unpacked(row)
+    found = [_next_runs(np.frombuffer(t, np.uint8), length) for t in texts]
+    of = np.repeat(np.arange(len(texts)), [len(b) for b, _, _ in found])
+    start, count, value = (np.concatenate(x) for x in zip(*found, strict=True))
+    part = rolling.mix(value ^ _NEXT) % np.uint64(row["parts"])
+    return texts, of, start, count, part.astype(np.int64)
+
+
+def _split_heavy(length: int):
+    def split(key: tuple, table: pa.Table) -> pa.Table:
+        """A chunk's row of a heavy bucket dealt by part; a stretch goes with the bytes that it reaches."""
+        (row,) = table.to_pylist()
+        texts, of, start, count, part = _parts(row, length)
+        ids = _unpacked(row)[1]
+        by: dict[int, list[tuple[bytes, int]]] = {}
+        for j in np.argsort(part, kind="stable").tolist():
+            a = int(start[j])
+            by.setdefault(int(part[j]), []).append((texts[of[j]][a : a + int(count[j]) + length - 1], int(of[j])))
+        every = np.arange(len(texts))
+        return _sent([{"bucket": row["bucket"], "part": p, chunks.KEY: row[chunks.KEY]} | _packed(own, every, ids) for p, own in by.items()], _SPLIT_ARROW)
+
+    return split
+
+
+def _joined_parts(length: int):
+    def join(key: tuple, runs: pa.Table, answers: pa.Table) -> pa.Table:
+        """The answers of a heavy bucket's parts to a chunk, in the order of the chunk's suffixes."""
+        (row,) = runs.to_pylist()
+        texts, of, start, count, part = _parts(row, length)
+        size = np.array([len(t) - length + 1 for t in texts])
+        base = (np.cumsum(size) - size)[of] + start
+        later = np.zeros(int(size.sum()), bool)
+        got = {p: packing.unpack_flags(b) for p, b in zip(answers["piece"].to_pylist(), answers["bits"].to_pylist(), strict=True)}
+        for p, bits in got.items():
+            mine = np.flatnonzero(part == p)
+            later[np.repeat(base[mine] - np.cumsum(count[mine]) + count[mine], count[mine]) + np.arange(count[mine].sum())] = bits
+        return pa.table({chunks.KEY: runs[chunks.KEY], "piece": pa.array([-1], pa.int32()), "bucket": runs["bucket"], "bits": chunks.binary([packing.pack_flags(later)])})
+
+    return join
+
+
 def _ranks(keys: np.ndarray) -> np.ndarray:
     """The rank of each key among the distinct ones."""
     return np.unique(keys, return_inverse=True)[1].astype(np.uint64)
@@ -234,6 +317,8 @@ def first_equal(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     Suffixes are sorted by their first 8 bytes and their last 8 or 16; ties are resolved by ranks of the samples of the cover {0, 1, 3} modulo 7 to a depth that
     spans the middle.  The ranks come from the bytes themselves: 8 bytes are a number, and the ranks of two overlapping stretches give that of both.
     """
+    if len(text) >= 1 << 30:
+        raise ValueError("a bucket of a gigabyte: ranks would not fit their bits")
     eight = _eight(np.concatenate([text, np.zeros(length + 8, np.uint8)]))
     n, high = len(text), np.uint64(32)
     if length <= 8:
@@ -266,18 +351,15 @@ def first_equal(text: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
 
 def _sort_bucket(length: int):
     def sort(key: tuple, table: pa.Table) -> pa.Table:
-        """For each suffix of the bucket: does an earlier one have its bytes?  Places go by document id, chunk and place in the chunk."""
+        """For each suffix of the bucket, or of a part of one: does an earlier one have its bytes?  Places go by document id, chunk and place in the chunk."""
         rows = table.select([chunks.KEY, "texts", "sizes", "ords", "ids"]).to_pylist()
         texts, ids, chunk_of, row_of = [], [], [], []
         for r, row in enumerate(rows):
-            blob, at = zstandard.decompress(row["texts"]), 0
-            sizes = packing.unpack_ints(row["sizes"]).astype(np.int64)
-            for size in sizes.tolist():
-                texts.append(blob[at : at + size])
-                at += size
-            ids.append(np.frombuffer(row["ids"], np.int64)[packing.unpack_ints(row["ords"]).astype(np.int64)])
-            chunk_of.append(np.full(len(sizes), row[chunks.KEY]))
-            row_of.append(np.full(len(sizes), r))
+            own, of = _unpacked(row)
+            texts += own
+            ids.append(of)
+            chunk_of.append(np.full(len(own), row[chunks.KEY]))
+            row_of.append(np.full(len(own), r))
         ids, chunk_of, row_of = np.concatenate(ids), np.concatenate(chunk_of), np.concatenate(row_of)
         order = np.lexsort((np.arange(len(texts)), chunk_of, ids))
         # whole runs first: of equal ones the first alone is sorted
@@ -293,7 +375,8 @@ def _sort_bucket(length: int):
         for i, r in enumerate(row_of.tolist()):
             flags[r].append(own[i] if i in own else np.ones(len(texts[i]) - length + 1, bool))
         bits = [packing.pack_flags(np.concatenate(f)) for f in flags]
-        return pa.table({chunks.KEY: table[chunks.KEY], "piece": pa.array([-1] * len(rows), pa.int32()), "bucket": table["bucket"], "bits": chunks.binary(bits)})
+        piece = table["part"] if "part" in table.column_names else pa.array([-1] * len(rows), pa.int32())
+        return pa.table({chunks.KEY: table[chunks.KEY], "piece": piece, "bucket": table["bucket"], "bits": chunks.binary(bits)})
 
     return sort
 
@@ -345,14 +428,30 @@ def _remove(ident: str, text: str, length: int, bits: int, names: list[str], who
     return remove
 
 
-def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 1, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000, bucket_bytes: int = 4 << 20, characters: bool = False) -> DataFrame:
+def _sorted(scratch: Scratch, runs: DataFrame, length: int, heavy: int, part_bytes: int, block: int) -> DataFrame:
+    """Answers of all buckets, those of more than ``heavy`` bytes by parts."""
+    loads = runs.groupBy("bucket").agg(F.sum("raw").alias("load")).where(F.col("load") > heavy)
+    # stretches overlap, which makes about three times the bytes of them, and parts are not even
+    loads = scratch.write(loads.select("bucket", F.ceil(6 * F.col("load") / part_bytes).cast("int").alias("parts")), f"heavy{block}")
+    light = runs if loads.isEmpty() else runs.join(loads, "bucket", "left_anti")
+    ties = scratch.write(light.groupBy("bucket").applyInArrow(_sort_bucket(length), _ANSWER), f"ties{block}")
+    if loads.isEmpty():
+        return ties
+    rows = runs.join(loads, "bucket")
+    parts = rows.groupBy("bucket", chunks.KEY).applyInArrow(_split_heavy(length), f"bucket int, part int, {_RUNS}")
+    told = scratch.write(parts.groupBy("bucket", "part").applyInArrow(_sort_bucket(length), _ANSWER), f"parts{block}")
+    whole = rows.groupBy("bucket", chunks.KEY).cogroup(told.groupBy("bucket", chunks.KEY)).applyInArrow(_joined_parts(length), _ANSWER)
+    return ties.unionByName(scratch.write(whole, f"whole{block}"))
+
+
+def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", length: int = 100, blocks: int = 1, chunk_bytes: int = 6 << 20, bucket_keys: int = 1_500_000, bucket_bytes: int = 4 << 20, heavy_bytes: int | None = None, characters: bool = False) -> DataFrame:
     """Mark and remove every byte covered by a string of ``length`` bytes that also starts earlier in the corpus.
 
     Earlier means a smaller id, or the same document and an earlier start; strings are judged on the input.  Returns the input
     columns and ``n_bytes``, ``n_removed`` (long), ``spans`` (removed runs as byte offsets) and ``kept`` (binary, the bytes that
     stay); input columns of these names are replaced.  With ``characters`` a character of which a byte goes goes whole, so that what stays is text.  A null text counts as empty and a null id as smallest; an empty table
     gives an empty result; of equal rows one keeps its text and the others lose theirs if it is long enough.  Texts may be of
-    any length: a chunk is worked on in pieces of 2 MB.  Buckets are sent and sorted in ``blocks`` turns, each of which reads the texts once and holds
+    any length: a chunk is worked on in pieces of 2 MB.  A bucket of more than ``heavy_bytes`` (four times ``bucket_bytes`` where none is given) is split.  Buckets are sent and sorted in ``blocks`` turns, each of which reads the texts once and holds
     its share of the tied runs on disk.  ``ident`` must be an integer column and the input must give the same
     rows when a task is run again, as a table does.
     """
@@ -372,7 +471,8 @@ def remove_repeats(docs: DataFrame, ident: str = "doc_id", text: str = "text", l
     answers = ranks
     for block in range(blocks):
         runs = slim.groupBy(chunks.KEY).cogroup(ranks.groupBy(chunks.KEY)).applyInArrow(_send_runs(ident, text, length, run_bits, block, blocks), _SENT)
-        answers = answers.unionByName(scratch.write(runs.groupBy("bucket").applyInArrow(_sort_bucket(length), _ANSWER), f"ties{block}"))
+        answers = answers.unionByName(_sorted(scratch, scratch.write(runs, f"runs{block}"), length, heavy_bytes or 4 * bucket_bytes, bucket_bytes, block))
+        scratch.drop(f"runs{block}")
     schema = T.StructType([docs.schema[n] for n in names]).add("n_bytes", "long").add("n_removed", "long")
     schema = schema.add("spans", T.ArrayType(T.StructType().add("start", "long").add("end", "long"))).add("kept", "binary")
     return keyed.groupBy(chunks.KEY).cogroup(answers.groupBy(chunks.KEY)).applyInArrow(_remove(ident, text, length, run_bits, names, characters), schema)

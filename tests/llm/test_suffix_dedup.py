@@ -1,9 +1,15 @@
 """Removal of repeats against brute force."""
 
+import collections
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from junctura.llm import rolling
+from junctura.llm import suffix_dedup as d
 from junctura.llm.suffix_dedup import COVERS, remove_repeats
 
 
@@ -124,3 +130,36 @@ def test_empty_and_clashing_columns(spark):
     df = spark.createDataFrame([(1, "x" * 300, "mine", 7)], "doc_id long, text string, kept string, other int")
     row = remove_repeats(df).first()
     assert row.other == 7 and row.n_removed == 299 and bytes(row.kept) == b"x" and row.spans[0].start == 1
+
+
+def test_heavy_buckets_are_split(spark, monkeypatch):
+    """One string of eight bytes that is the least of half of all windows: no task gets more than twice a bucket's bytes."""
+    r, grams = random.Random(11), np.random.default_rng(3)
+    many = grams.integers(97, 123, (200_000, 8), dtype=np.uint8)
+    hot = many[np.argmin(rolling.mix(np.ascontiguousarray(many).view("<u8").ravel()))].tobytes().decode()
+    text = lambda: "".join(hot if r.random() < 0.035 else r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(4_000))
+    texts = [text() for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(100 + i, r.choice(texts)[: r.randint(300, 4_000)] + text()[:200]) for i in range(60)]
+    seen, own = {}, d._sorted
+
+    def watch(scratch, runs, length, heavy, part_bytes, block):
+        seen["buckets"] = [x.load for x in runs.groupBy("bucket").agg(F.sum("raw").alias("load")).collect()]
+        loads = {x.bucket: -(-6 * x.load // part_bytes) for x in runs.groupBy("bucket").agg(F.sum("raw").alias("load")).where(F.col("load") > heavy).collect()}
+        sizes = collections.Counter()
+        for row in runs.where(F.col("bucket").isin(list(loads))).collect():
+            table = pa.Table.from_pylist([row.asDict() | {"parts": loads[row.bucket]}])
+            for x in d._split_heavy(length)((), table).to_pylist():
+                sizes[x["bucket"], x["part"]] += x["raw"]
+        seen["parts"] = sizes
+        return own(scratch, runs, length, heavy, part_bytes, block)
+
+    monkeypatch.setattr(d, "_sorted", watch)
+    bound = 30_000
+    got = run(spark, rows, 100, chunk_bytes=60_000, bucket_bytes=bound)
+    assert got == brute(rows, 100)
+    assert max(seen["buckets"]) > 4 * bound and len(seen["parts"]) > 8 and max(seen["parts"].values()) < 2 * bound
+    monkeypatch.setattr(d, "_sorted", own)
+    assert run(spark, rows[::4], 100, chunk_bytes=30_000, bucket_bytes=2_000, heavy_bytes=1) == brute(rows[::4], 100)  # all are split
+    for length in (3, 8, 9, 20):
+        small = [(i, "".join(r.choices("ab", k=r.randint(0, 60)))) for i in range(40)]
+        assert run(spark, small, length, chunk_bytes=300, bucket_bytes=50, heavy_bytes=1) == brute(small, length)
