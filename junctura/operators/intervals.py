@@ -6,22 +6,55 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def contains(outer: DataFrame, inner: DataFrame, on: list[str], width: int = 4096) -> DataFrame:
+#: Bins of a level are so many times as wide as those of the one below it.
+_STEP, _WIDEST = 8, 1 << 28
+
+
+def _widths(width: int) -> list[int]:
+    """Bin widths by level, from ``width`` up to more than a chromosome has."""
+    out = [width]
+    while out[-1] < _WIDEST:
+        out.append(out[-1] * _STEP)
+    return out
+
+
+def _own_bins(start: Column, end: Column, widths: list[int]) -> Column:
+    """(level, bin) of an interval, at the level whose bins are about as wide as it is long: nine bins at most."""
+    length = F.greatest(end - start, F.lit(1))
+    at = lambda i, w: F.transform(F.sequence(F.floor(start / w), F.floor(F.greatest(end - 1, start) / w)), lambda b: F.struct(F.lit(i).alias("level"), b.alias("bin")))
+    out = at(len(widths) - 1, widths[-1])
+    for i, w in reversed(list(enumerate(widths[:-1]))):
+        out = F.when(length <= w * _STEP, at(i, w)).otherwise(out)
+    return out
+
+
+def _width_of(widths: list[int]) -> Column:
+    return F.element_at(F.array(*map(F.lit, widths)), F.col("level") + 1)
+
+
+def contains(outer: DataFrame, inner: DataFrame, on: list[str], width: int = 128) -> DataFrame:
     """Pairs of an outer interval (start, end) and an inner one (in_start, in_end) inside it with equal ``on`` columns.
 
-    The outer interval is exploded into the bins that it touches; the inner one has the bin of its start alone, so no pair comes twice.
+    Bins form levels of rising width.  An outer interval lies in the few bins that it touches at the level of its own length, so that long ones take no more bins than
+    short ones and a deep locus is spread over levels; an inner one asks in the bin of its start at each level, so no pair comes twice.
     """
-    o = outer.withColumn("bin", F.explode(F.sequence(F.floor(F.col("start") / width), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / width))))
-    i = inner.withColumn("bin", F.floor(F.col("in_start") / width))
-    return o.join(i, [*on, "bin"]).where("start <= in_start and in_end <= end").drop("bin")
+    widths = _widths(width)
+    o = outer.select("*", F.inline(_own_bins(F.col("start"), F.col("end"), widths)))
+    asked = F.array(*(F.struct(F.lit(i).alias("level"), F.floor(F.col("in_start") / w).alias("bin")) for i, w in enumerate(widths)))
+    return o.join(inner.select("*", F.inline(asked)), [*on, "level", "bin"]).where("start <= in_start and in_end <= end").drop("level", "bin")
 
 
-def overlaps(left: DataFrame, right: DataFrame, on: list[str], width: int = 4096) -> DataFrame:
-    """Pairs of intervals (start, end) and (r_start, r_end) that share a base; a pair counts in the bin where its common part begins."""
-    touch = lambda s, e: F.explode(F.sequence(F.floor(F.col(s) / width), F.floor(F.greatest(F.col(e) - 1, F.col(s)) / width)))
-    both = left.withColumn("bin", touch("start", "end")).join(right.withColumn("bin", touch("r_start", "r_end")), [*on, "bin"])
+def overlaps(left: DataFrame, right: DataFrame, on: list[str], width: int = 128) -> DataFrame:
+    """Pairs of intervals (start, end) and (r_start, r_end) that share a base, with equal ``on`` columns.
+
+    A right interval lies in the bins of its own level, a left one asks in those that it touches at each; a pair counts in the bin where its common part begins.
+    """
+    widths = _widths(width)
+    r = right.select("*", F.inline(_own_bins(F.col("r_start"), F.col("r_end"), widths)))
+    touched = lambda i, w: F.transform(F.sequence(F.floor(F.col("start") / w), F.floor(F.greatest(F.col("end") - 1, F.col("start")) / w)), lambda b: F.struct(F.lit(i).alias("level"), b.alias("bin")))
+    both = left.select("*", F.inline(F.concat(*(touched(i, w) for i, w in enumerate(widths))))).join(r, [*on, "level", "bin"])
     both = both.where("start < r_end and r_start < end")
-    return both.where(F.col("bin") == F.floor(F.greatest("start", "r_start") / width)).drop("bin")
+    return both.where(F.col("bin") == F.floor(F.greatest("start", "r_start") / _width_of(widths))).drop("level", "bin")
 
 
 def mean_value(regions: DataFrame, values: DataFrame, ident: list[str], flank: int = 2, width: int = 128) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 import re
 import statistics
 
+from junctura.operators import intervals as I
 from junctura.operators import regions as R
 
 
@@ -81,3 +82,17 @@ def test_shrunken_introns_over_ranges(spark):
             saved = (e - s) - int((e - s) ** 0.7)
             assert got[g, s, e] == (s - shift, e - shift - saved)
             shift += saved
+
+
+def test_interval_joins_over_levels(spark):
+    r = random.Random(6)
+    lengths = [1, 5, 127, 128, 129, 1_025, 9_000, 70_000, 3_000_000]
+    some = lambda n: [(r.choice("ab"), s, s + r.choice(lengths)) for s in (r.randint(0, 2_000) if r.random() < 0.7 else r.randint(0, 4_000_000) for _ in range(n))]
+    left, right = some(150), some(150)
+    l = spark.createDataFrame(left, "c string, start int, end int")  # noqa: E741
+    x = spark.createDataFrame(right, "c string, r_start int, r_end int")
+    got = sorted(map(tuple, I.overlaps(l, x, ["c"], 16).select("c", "start", "end", "r_start", "r_end").collect()))
+    assert got == sorted((c, s, e, t, f) for c, s, e in left for d, t, f in right if c == d and s < f and t < e) and len(got) > 300
+    inside = x.withColumnsRenamed({"r_start": "in_start", "r_end": "in_end"})
+    got = sorted(map(tuple, I.contains(l, inside, ["c"]).select("c", "start", "end", "in_start", "in_end").collect()))
+    assert got == sorted((c, s, e, t, f) for c, s, e in left for d, t, f in right if c == d and s <= t and f <= e) and len(got) > 100
