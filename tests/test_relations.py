@@ -1,5 +1,10 @@
 """Joins and list steps between the stages, on tables small enough to check by eye."""
 
+import random
+import time
+
+from pyspark.sql import functions as F
+
 from junctura.operators import annotation as A
 from junctura.operators import coverage as Q
 from junctura.operators import differential as D
@@ -66,3 +71,18 @@ def test_comparison_lists(spark):
     assert rows(D.side_files(cmp, cells)) == [("c1", "A", "f1,f2")]
     diff = spark.createDataFrame([("g", "1", True), ("g", "1", True), ("g", "2", False), ("h", "3", None)], "gene string, coord string, diff boolean")
     assert rows(D.targets(diff)) == [("g", "1")]
+
+
+def test_neighbours_of_a_common_item(spark):
+    """One item of very many keys, each with an item of its own: one list, not one for each key."""
+    n = 60_000
+    hot = spark.range(n).select(F.col("id").cast("string").alias("k"), F.lit("hot").alias("i"))
+    own = spark.range(n).select(F.col("id").cast("string").alias("k"), F.concat(F.lit("own"), (F.col("id") / 2).cast("long").cast("string")).alias("i"))
+    began = time.time()
+    got = X.neighbour_sets(hot.unionByName(own), "k", "i").select(F.size("keys").alias("n")).collect()
+    assert [r.n for r in got] == [n] and time.time() - began < 60
+    r = random.Random(2)
+    rows = sorted({(f"k{r.randint(0, 60)}", f"i{int(r.paretovariate(0.6)) % 40}") for _ in range(150)})
+    keys = {k: {i for x, i in rows if x == k} for k, _ in rows}
+    want = {tuple(sorted(o for o in keys if keys[o] & items)) for items in keys.values()}
+    assert {tuple(x["keys"]) for x in X.neighbour_sets(spark.createDataFrame(rows, "k string, i string"), "k", "i").collect()} == want
