@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from .files import fresh, read
 from .store import Scratch
+from .words import batches_of
 
 INDEX = "page_id long, url string, file string, offset long, length long, payload_digest string, payload_bytes long, record_type string, refers_to long"
 _SALTS = 32
@@ -27,6 +28,9 @@ _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
+#: Bytes of payloads that a task works on at once, but for a longer one.
+TURN = 4 << 20
+
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool, date: str) -> bytes:
     """One record: an HTTP response, or a revisit whose block has its head alone."""
@@ -72,22 +76,21 @@ def parse(data: bytes) -> dict:
 def _write(uri: str, date: str):
     def write(batches):
         out, at = None, 0
-        for batch in batches:
-            for a in range(0, batch.num_rows, 200):
-                rows = []
-                for r in batch.slice(a, 200).to_pylist():
-                    if out is None:
-                        system, path, name = fresh(uri, ".warc.gz")
-                        out = system.open_output_stream(path, compression=None)
-                    payload = (r["html"] or "").encode()
-                    revisit = bool(r["revisit"])
-                    data = gzip.compress(record(r["page_id"], r["url"], payload, r["refers_to"], revisit, date), 6, mtime=0)
-                    out.write(data)
-                    rows.append((r["page_id"], r["url"], name, at, len(data), digest(payload), len(payload), "revisit" if revisit else "response", r["refers_to"]))
-                    at += len(data)
-                cols = list(zip(*rows, strict=True))
-                types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in INDEX.split(", ")])
+        for batch in batches_of(batches, "html", TURN):
+            rows = []
+            for r in batch.to_pylist():
+                if out is None:
+                    system, path, name = fresh(uri, ".warc.gz")
+                    out = system.open_output_stream(path, compression=None)
+                payload = (r["html"] or "").encode()
+                revisit = bool(r["revisit"])
+                data = gzip.compress(record(r["page_id"], r["url"], payload, r["refers_to"], revisit, date), 6, mtime=0)
+                out.write(data)
+                rows.append((r["page_id"], r["url"], name, at, len(data), digest(payload), len(payload), "revisit" if revisit else "response", r["refers_to"]))
+                at += len(data)
+            cols = list(zip(*rows, strict=True))
+            types = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], [x.split()[0] for x in INDEX.split(", ")])
         if out is not None:
             out.close()
 

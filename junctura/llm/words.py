@@ -16,12 +16,15 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+_ROW = 64
+
+
 def gather(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterator[pa.Table]:
-    """The batches' rows again, in tables of about ``most`` bytes of text; a longer text is a table of its own."""
+    """The batches' rows again, in tables of about ``most`` bytes of text and of rows, a row counting as 64; a longer text is a table of its own."""
     held: list[pa.RecordBatch] = []
     size = 0
     for batch in batches:
-        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)).astype(np.int64)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + _ROW)
         lo = done = 0
         while lo < batch.num_rows:
             hi = min(batch.num_rows, max(int(np.searchsorted(ends, done + most - size, "right")), lo if size else lo + 1))
@@ -37,6 +40,12 @@ def gather(batches: Iterable[pa.RecordBatch], text: str, most: int) -> Iterator[
         yield pa.Table.from_batches(held)
 
 
+def batches_of(batches: Iterable[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """The same as batches."""
+    for table in gather(batches, column, most):
+        yield from table.combine_chunks().to_batches()
+
+
 def encoded(column: pa.ChunkedArray, null: str) -> tuple[np.ndarray, list[str]]:
     """Number of each value among the distinct ones, and these; ``null`` stands for a null."""
     coded = pc.dictionary_encode(pc.fill_null(column, null).combine_chunks())

@@ -66,3 +66,11 @@ def test_ranges_of_odd_indexes(spark):
     assert sorted(r.page_id for r in got) == list(range(40))
     assert read_warc(index, part_bytes=300).rdd.getNumPartitions() > 4
     assert read_warc(index.limit(0)).collect() == []
+
+
+def test_very_long_payloads(spark):
+    long = "<p>" + "x" * 9_000_000
+    rows = [(1, "u1", long), (2, "u2", long), (3, "u3", None), (4, "u4", "y" * 5_000_000)] + [(10 + i, "u", None) for i in range(300)]
+    index = write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+    got = {x.page_id: (x.payload_bytes, x.record_type, x.refers_to) for x in read_warc(index).collect()}
+    assert got[1] == (len(long), "revisit", 2) and got[2] == (len(long), "response", None) and got[4] == (5_000_000, "response", None) and len(got) == 304
