@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .store import Scratch
+from .words import batches_of
 
 #: Tables of ISO/IEC 11172-3 and 13818-3; fixed values: kbit/s by (MPEG-1, layer), Hz by version bits.
 KBPS = {
@@ -262,14 +263,15 @@ def padded(text: bytes, unit: int = 64) -> bytes:
     """``text`` with zero bytes up to a positive multiple of ``unit``."""
     return text + bytes(-len(text) % unit if text else unit)
 
+#: Bytes of texts or streams that a task works on at once, but for a longer one.
+TURN = 4 << 20
+
 
 def _encode(text: str, names: list[str]):
     def encode(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                own = batch.slice(a, 500)
-                media = [store(padded((t or "").encode())) for t in own[text].to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(own[n] for n in names), pa.array(media, pa.binary())], [*names, "media"])
+        for own in batches_of(batches, text, TURN):
+            media = [store(padded((t or "").encode())) for t in own[text].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(own[n] for n in names), pa.array(media, pa.binary())], [*names, "media"])
 
     return encode
 
@@ -287,28 +289,26 @@ def encode_text(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def _decode(media: str, names: list[str]):
     def decode(batches):
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                own = batch.slice(a, 500)
-                got = [read(x or b"") for x in own[media].to_pylist()]
-                new = {
-                    "payload": pa.array([s.payload for s in got], pa.binary()),
-                    "frames": pa.array([len(s.offsets) for s in got], pa.int64()),
-                    "hertz": pa.array([s.hertz for s in got], pa.int32()),
-                    "max_kbps": pa.array([max(s.kbps, default=0) for s in got], pa.int32()),
-                    "samples": pa.array([s.samples for s in got], pa.int64()),
-                    "seconds": pa.array([s.seconds for s in got], pa.float64()),
-                    "bad_checksums": pa.array([s.bad for s in got], pa.int64()),
-                    "skipped_bytes": pa.array([s.skipped for s in got], pa.int64()),
-                    "layer": pa.array([s.layer for s in got], pa.int32()),
-                    "table_kind": pa.array([s.table.kind if s.table else None for s in got], pa.string()),
-                    "table_frames": pa.array([s.table.frames if s.table else None for s in got], pa.int64()),
-                    "table_bytes": pa.array([s.table.bytes if s.table else None for s in got], pa.int64()),
-                    "table_offsets": pa.array([s.table.offsets if s.table else None for s in got], pa.list_(pa.int64())),
-                    "seek": pa.array([s.offsets for s in got], pa.list_(pa.int64())),
-                    "tags": pa.array([list(s.tags.items()) for s in got], pa.map_(pa.string(), pa.string())),
-                }
-                yield pa.RecordBatch.from_arrays([*(own[n] for n in names), *new.values()], [*names, *new])
+        for own in batches_of(batches, media, TURN):
+            got = [read(x or b"") for x in own[media].to_pylist()]
+            new = {
+                "payload": pa.array([s.payload for s in got], pa.binary()),
+                "frames": pa.array([len(s.offsets) for s in got], pa.int64()),
+                "hertz": pa.array([s.hertz for s in got], pa.int32()),
+                "max_kbps": pa.array([max(s.kbps, default=0) for s in got], pa.int32()),
+                "samples": pa.array([s.samples for s in got], pa.int64()),
+                "seconds": pa.array([s.seconds for s in got], pa.float64()),
+                "bad_checksums": pa.array([s.bad for s in got], pa.int64()),
+                "skipped_bytes": pa.array([s.skipped for s in got], pa.int64()),
+                "layer": pa.array([s.layer for s in got], pa.int32()),
+                "table_kind": pa.array([s.table.kind if s.table else None for s in got], pa.string()),
+                "table_frames": pa.array([s.table.frames if s.table else None for s in got], pa.int64()),
+                "table_bytes": pa.array([s.table.bytes if s.table else None for s in got], pa.int64()),
+                "table_offsets": pa.array([s.table.offsets if s.table else None for s in got], pa.list_(pa.int64())),
+                "seek": pa.array([s.offsets for s in got], pa.list_(pa.int64())),
+                "tags": pa.array([list(s.tags.items()) for s in got], pa.map_(pa.string(), pa.string())),
+            }
+            yield pa.RecordBatch.from_arrays([*(own[n] for n in names), *new.values()], [*names, *new])
 
     return decode
 
