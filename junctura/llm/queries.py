@@ -154,7 +154,7 @@ def _op10_sql() -> str:
 WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
 r AS (SELECT *, CASE {fits} END AS rule FROM h)
-SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN array_to_string(list_slice(string_split(host, '.'), -3, -1), '.') IN ({listed}) THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
+SELECT page_id, host, path, rule, CASE rule {says} ELSE CASE WHEN list_has_any(list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')), [{listed}]) THEN 'block' ELSE 'allow' END END AS verdict FROM r"""
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
