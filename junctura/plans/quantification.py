@@ -441,10 +441,11 @@ def f20_inside_tx(spark, sf):
 # nodes, replicates, pools ---------------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT n.node, round(coalesce(m.psi, n.psi), 9) AS psi FROM v_node n LEFT JOIN (SELECT node, CASE WHEN node % 4 = 0 THEN NULL ELSE psi / 2 END AS psi FROM v_node WHERE node % 2 = 0) m USING (node)", "v_node")
+@query("SELECT n.node, round(coalesce(m.psi, n.psi), 9) AS psi FROM v_node n LEFT JOIN (SELECT node, CASE WHEN node % 4 = 0 THEN NULL ELSE psi / 2 END AS psi FROM v_node JOIN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_returnflag = 'A') ON l_partkey = node) m USING (node)", "v_node")
 def j18_replace_psi(spark, sf):
     d = v_node(spark, sf).withColumn("coord", F.col("node"))
-    mes = d.where("node % 2 = 0").select("coord", F.when(F.col("node") % 4 != 0, F.col("psi") / 2).alias("psi"), F.lit(1).alias("row"))
+    listed = table(spark, sf, "lineitem").where("l_returnflag = 'A'").select(F.col("l_partkey").cast("long").alias("node")).distinct()
+    mes = d.join(listed, "node", "left_semi").select("coord", F.when(F.col("node") % 4 != 0, F.col("psi") / 2).alias("psi"), F.lit(1).alias("row"))
     return D.replace_psi(d, mes).select("node", F.round("psi", 9).alias("psi"))
 
 

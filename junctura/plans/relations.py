@@ -36,17 +36,17 @@ def f2_has_insertion(spark, sf):
 
 
 @query(
-    """WITH t AS (SELECT read, max(score) AS t_score FROM v_align WHERE line % 2 = 1 GROUP BY read),
-g AS (SELECT read, score AS g_score, tag FROM v_align WHERE line % 2 = 0 QUALIFY row_number() OVER (PARTITION BY read ORDER BY score DESC, line, tag, supp) = 1)
+    """WITH t AS (SELECT CAST(o_orderkey AS BIGINT) AS read, CAST(o_custkey % 60 AS BIGINT) AS t_score FROM orders),
+g AS (SELECT read, score AS g_score, tag FROM v_align QUALIFY row_number() OVER (PARTITION BY read ORDER BY score DESC, line, tag, supp) = 1)
 SELECT t.read, t_score, g_score, tag FROM t LEFT JOIN g ON g.read = t.read""",
     "v_align",
 )
 def j3_best_genome(spark, sf):
-    """Reads with their best alignment to the genome, or none."""
+    """Reads (orders) with their best alignment to the genome (line items), or none."""
     d = v_align(spark, sf)
     row = (F.col("line").cast("long") * 1_000_000_000 + F.col("tag")) * 100_000 + F.col("supp")
-    best = X.best_alignment(d.where("line % 2 = 0").select("read", "score", row.alias("row"), "tag"))
-    reads = d.where("line % 2 = 1").groupBy("read").agg(F.max("score").alias("t_score"))
+    best = X.best_alignment(d.select("read", "score", row.alias("row"), "tag"))
+    reads = table(spark, sf, "orders").select(F.col("o_orderkey").cast("long").alias("read"), (F.col("o_custkey") % 60).cast("long").alias("t_score"))
     return reads.join(best.select("read", F.col("score").alias("g_score"), "tag"), "read", "left").select("read", "t_score", "g_score", "tag")
 
 
@@ -79,21 +79,29 @@ def j25_substring_search(spark, sf):
 _INTRON_ID = "chrom || ':' || \"start\" || strand || \"end\""
 
 
+def _of_orders(spark, sf, rows, *statuses: str):
+    """Rows of the transcripts whose order has one of the statuses: the second table of a join."""
+    orders = table(spark, sf, "orders").where(F.col("o_orderstatus").isin(*statuses)).select(F.col("o_orderkey").alias("tx"))
+    return rows.join(orders, "tx", "left_semi")
+
+
 def _genome(spark, sf):
     return v_dna(spark, sf).select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("chrom"), "seq")
 
 
 @query(
     """WITH m AS (SELECT DISTINCT chrom, strand, "start" AS s, "end" AS e FROM v_exon WHERE "end" - "start" <= 12 AND "start" >= 2),
-d AS (SELECT DISTINCT chrom, strand, "start" AS s, "end" AS e FROM v_exon WHERE tx % 3 = 0)
+d AS (SELECT DISTINCT chrom, strand, "start" AS s, "end" AS e FROM v_exon JOIN orders ON o_orderkey = tx WHERE o_orderstatus = 'F')
 SELECT m.chrom, m.strand, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end" FROM (SELECT * FROM m EXCEPT SELECT * FROM d) m JOIN (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, seq FROM v_dna) g ON g.chrom = m.chrom
 WHERE substr(seq, s - 1, 2) || substr(seq, e + 1, 2) = CASE WHEN strand = '-' THEN 'ACCT' ELSE 'AGGT' END""",
     "v_exon",
     "v_dna",
 )
 def f12_annotated_me(spark, sf):
+    """Annotated microexons that the found ones do not hold yet."""
     e = v_exon(spark, sf)
-    return A.annotated_mes(e, _genome(spark, sf), e.where("tx % 3 = 0"), 12).select("chrom", "strand", long("start"), long("end"))
+    # what was found are the exons of finished orders
+    return A.annotated_mes(e, _genome(spark, sf), _of_orders(spark, sf, e, "F"), 12).select("chrom", "strand", long("start"), long("end"))
 
 
 @query("SELECT tx, blocks, CAST(length(seq) AS BIGINT) AS n FROM (SELECT CAST(tx AS BIGINT) AS tx, count(*) AS blocks FROM v_exon GROUP BY tx) JOIN v_dna ON doc_id = tx", "v_exon", "v_dna")
@@ -104,27 +112,27 @@ def j1_tx_join(spark, sf):
 
 
 @query(
-    f"""WITH t AS (SELECT {_INTRON_ID} AS sj, CAST(min(tx) AS BIGINT) AS tag FROM v_intron WHERE tx % 4 <> 0 GROUP BY 1),
+    f"""WITH t AS (SELECT {_INTRON_ID} AS sj, CAST(min(tx) AS BIGINT) AS tag FROM v_intron JOIN orders ON o_orderkey = tx WHERE o_orderstatus <> 'P' GROUP BY 1),
 m AS (SELECT DISTINCT chrom || '_' || ("start" % 50) AS me, {_INTRON_ID} AS sj FROM v_intron) SELECT me, m.sj, tag FROM m JOIN t ON t.sj = m.sj""",
     "v_intron",
 )
 def j7_tag_join(spark, sf):
     g = A.introns(v_exon(spark, sf)).withColumn("sj", F.concat("chrom", F.lit(":"), "start", "strand", "end"))
     mes = g.groupBy(F.concat_ws("_", "chrom", (F.col("start") % 50).cast("string")).alias("me")).agg(F.array_join(F.collect_set("sj"), ",").alias("total_sjs"))
-    tags = g.where("tx % 4 <> 0").groupBy("sj").agg(F.min("tx").cast("long").alias("tag"))
+    tags = _of_orders(spark, sf, g, "F", "O").groupBy("sj").agg(F.min("tx").cast("long").alias("tag"))
     return A.tags_of(mes, tags).select("me", "sj", "tag")
 
 
 @query(
-    """WITH u AS (SELECT chrom, "end" AS at, CAST(max(len) AS BIGINT) AS up FROM v_exon WHERE len % 2 = 0 GROUP BY ALL), d AS (SELECT chrom, "start" AS at, CAST(max(len) AS BIGINT) AS down FROM v_exon WHERE len % 3 = 0 GROUP BY ALL)
+    """WITH u AS (SELECT chrom, "end" AS at, CAST(max(len) AS BIGINT) AS up FROM v_exon JOIN orders ON o_orderkey = tx WHERE o_orderstatus = 'F' GROUP BY ALL), d AS (SELECT chrom, "start" AS at, CAST(max(len) AS BIGINT) AS down FROM v_exon JOIN orders ON o_orderkey = tx WHERE o_orderstatus <> 'F' GROUP BY ALL)
 SELECT CAST(i.tx AS BIGINT) AS tx, i.block, up, down FROM v_intron i JOIN u ON u.chrom = i.chrom AND u.at = i."start" JOIN d ON d.chrom = i.chrom AND d.at = i."end\"""",
     "v_intron",
 )
 def j10_flank_join(spark, sf):
     """Introns with what is known of both their flanks; lengths stand in for sequences."""
     e = v_exon(spark, sf)
-    ups = e.where("len % 2 = 0").groupBy("chrom", F.col("end").alias("at")).agg(F.max("len").alias("up"))
-    downs = e.where("len % 3 = 0").groupBy("chrom", F.col("start").alias("at")).agg(F.max("len").alias("down"))
+    ups = _of_orders(spark, sf, e, "F").groupBy("chrom", F.col("end").alias("at")).agg(F.max("len").alias("up"))
+    downs = _of_orders(spark, sf, e, "O", "P").groupBy("chrom", F.col("start").alias("at")).agg(F.max("len").alias("down"))
     return A.flank_pairs(A.introns(e), ups, downs).select(long("tx"), "block", "up", "down")
 
 
@@ -181,13 +189,15 @@ def j17_pair_join(spark, sf):
 
 
 @query(
-    """SELECT CAST(p_partkey AS VARCHAR) || '.' || p_size AS tx, CASE WHEN p_partkey % 3 <> 0 THEN 'g' || CAST(p_partkey AS VARCHAR) END AS gene, p_partkey % 3 = 1 AS exact FROM part""",
+    """SELECT CAST(p_partkey AS VARCHAR) || '.' || p_size AS tx, CASE WHEN s IS NOT NULL THEN 'g' || CAST(p_partkey AS VARCHAR) END AS gene, coalesce(p_partkey % 3 = 1 AND s IS NOT NULL, FALSE) AS exact
+FROM part LEFT JOIN (SELECT DISTINCT l_partkey AS s FROM lineitem WHERE l_returnflag = 'R') ON s = p_partkey""",
 )
 def j21_tx_gene(spark, sf):
     """Genes by id, else by the id without version, else none."""
     p = table(spark, sf, "part").withColumn("key", F.col("p_partkey").cast("string")).withColumn("tx", F.concat_ws(".", "key", "p_size"))
     known = F.when(F.col("p_partkey") % 3 == 1, F.col("tx")).otherwise(F.concat("key", F.lit(".9999")))
-    genes = p.where("p_partkey % 3 <> 0").select(known.alias("tx"), F.concat(F.lit("g"), "key").alias("gene"))
+    listed = table(spark, sf, "lineitem").where("l_returnflag = 'R'").select(F.col("l_partkey").alias("p_partkey")).distinct()
+    genes = p.join(listed, "p_partkey", "left_semi").select(known.alias("tx"), F.concat(F.lit("g"), "key").alias("gene"))
     exact = genes.select("tx", F.lit(True).alias("hit"))
     return G.with_gene(p.select("tx"), genes).join(exact, "tx", "left").select("tx", "gene", F.coalesce("hit", F.lit(False)).alias("exact"))
 

@@ -427,13 +427,14 @@ def a3_best_alignment(spark, sf):
 
 
 @query(
-    """WITH g AS (SELECT read, max(score) AS g_score, max(supp) AS g_supp FROM v_align WHERE supp % 3 = 0 GROUP BY read)
+    """WITH g AS (SELECT read, max(score) AS g_score, max(supp) AS g_supp FROM v_align JOIN orders ON o_orderkey = read WHERE o_orderstatus = 'F' GROUP BY read)
 SELECT a.read, line, tag, a.supp FROM v_align a LEFT JOIN g USING (read) WHERE g_score IS NULL OR g_supp = a.supp OR a.score > g_score""",
     "v_align",
 )
 def f8_competition(spark, sf):
     d = v_align(spark, sf)
-    g = d.where(F.col("supp") % 3 == 0).groupBy("read").agg(F.max("score").alias("g_score"), F.max("supp").alias("g_supp"))
+    hits = d.join(table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").cast("long").alias("read")), "read", "left_semi")
+    g = hits.groupBy("read").agg(F.max("score").alias("g_score"), F.max("supp").alias("g_supp"))
     both = d.join(g, "read", "left").withColumns({"same_me": F.col("g_supp") == F.col("supp"), "t_score": F.col("score")}).drop("g_score", "g_supp")
     same = both.groupBy("read", "supp").agg(F.max("same_me").alias("same_me"))
     reads = d.withColumn("t_score", F.col("score"))
