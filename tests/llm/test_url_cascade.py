@@ -1,6 +1,6 @@
 """URL rules and cascades against brute force."""
 
-from junctura.llm.url_cascade import Cascade, Rule, build_cascade, judge_urls, listed_hosts, match_rule, site
+from junctura.llm.url_cascade import Cascade, Rule, build_cascade, build_parted, judge_urls, match_rule, site
 from pyspark.sql import functions as F
 
 import pytest
@@ -41,8 +41,22 @@ def test_cascade_is_exact(spark):
     judged = universe.withColumn("is", cascade.listed(F.col("key"))).where("is <> (cast(substring(key, 2) as int) % 7 = 0)")
     assert judged.count() == 0
     assert sum(x.bits for x in cascade.levels) < 3000 * 8
-    same = listed_hosts(universe.withColumnRenamed("key", "host"), listed).select(F.col("host").alias("key"))
-    assert same.exceptAll(universe.where(cascade.listed(F.col("key")))).count() == 0 and same.count() == listed.count()
+
+
+@pytest.mark.parametrize("part_bits", [100, 1_000, 1 << 20])
+def test_parted_cascades_are_exact(spark, part_bits):
+    universe = spark.range(5_000).select(F.concat(F.lit("k"), "id").alias("key"))
+    outside = spark.createDataFrame([("not in it",), (None,), ("k3",)], "key string")
+    listed = spark.range(0, 5_000, 7).select(F.concat(F.lit("k"), "id").alias("key")).unionByName(outside)
+    cascade = build_parted(listed.unionByName(listed), universe, part_bits)
+    assert cascade.parts == 1 if part_bits == 1 << 20 else cascade.parts > 1
+    assert len(cascade.levels) > 2
+    known = {r.key for r in cascade.with_listed(universe).where("listed").collect()}
+    assert known == {f"k{i}" for i in range(0, 5_000, 7)} | {"k3"}
+    assert {r.listed for r in cascade.with_listed(spark.createDataFrame([("not in it",)], "key string")).collect()} == {True}
+    assert {r.listed for r in cascade.with_listed(spark.createDataFrame([(None,)], "key string")).collect()} == {False}
+    none = build_parted(listed.limit(0), universe, part_bits)
+    assert none.levels == () and none.with_listed(universe).where("listed").count() == 0
 
 
 def test_empty_and_large(spark):
