@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.shared import written
+
 _WIDTH, _TAIL = 1e-5, 0.025
 
 
@@ -163,7 +165,7 @@ def mixture(scores: DataFrame, score: str, rounds: int = 200) -> DataFrame:
 
     Each round is an aggregation over distinct scores with their counts, so data stay distributed; five numbers go round.  Ends early once none moves by 1e-9.
     """
-    table = scores.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("x")).agg(F.count("*").alias("n")).cache()
+    table = written(scores.where(F.col(score).isNotNull()).groupBy(F.col(score).cast("double").alias("x")).agg(F.count("*").alias("n")), "scores")
     s = table.agg(F.percentile("x", 0.5, F.col("n")).alias("mid"), F.sum("n").alias("n")).first()
     spark = scores.sparkSession
     kind = "w double, m1 double, s1 double, m2 double, s2 double"
