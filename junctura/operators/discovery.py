@@ -93,26 +93,25 @@ def sharing(pairs: DataFrame, key: str, item: str) -> DataFrame:
     return d.join(d.withColumnRenamed("k", "other"), "i").where("k < other").groupBy("k", "other").agg(F.count("*").alias("shared"))
 
 
-def widest_items(pairs: DataFrame) -> DataFrame:
-    """Pairs (k, i) without the items whose keys all have another, wider item too: they bring no key a neighbour that the wider one does not.
+def widest_items(pairs: DataFrame, wide: int) -> DataFrame:
+    """Pairs (k, i) without the items whose keys all have a common item too, one of ``wide`` keys or more: they bring no key a neighbour that the common one does not.
 
-    An item is within another if it stands beside it as often as it stands anywhere, which is counted over the pairs of items of each key, never over pairs of keys.  Of
-    items with the same keys the smallest stays.
+    An item is within a common one if it stands beside it as often as it stands anywhere, which is counted over the pairs of an item and a common one of each key, never over
+    pairs of keys.  Of common items with the same keys the smallest stays.
     """
-    lists = pairs.groupBy("k").agg(F.collect_list("i").alias("items")).where(F.size("items") > 1)
-    beside = lists.select(F.explode("items").alias("i"), "items").select("i", F.explode("items").alias("other")).where("i <> other").groupBy("i", "other").agg(F.count("*").alias("n"))
     degree = pairs.groupBy("i").agg(F.count("*").alias("degree"))
-    within = beside.join(degree, "i").where("n = degree").join(degree.withColumnsRenamed({"i": "other", "degree": "wide"}), "other")
-    within = within.where("wide > degree or other < i").select("i").distinct()
+    common = pairs.join(degree.where(F.col("degree") >= wide).withColumnRenamed("degree", "wide"), "i").withColumnRenamed("i", "other")
+    beside = pairs.join(common, "k").where("i <> other").groupBy("i", "other", "wide").agg(F.count("*").alias("n"))
+    within = beside.join(degree, "i").where("n = degree and (wide > degree or other < i)").select("i").distinct()
     return pairs.join(within, "i", "left_anti").select("k", "i")
 
 
-def neighbour_sets(pairs: DataFrame, key: str, item: str) -> DataFrame:
+def neighbour_sets(pairs: DataFrame, key: str, item: str, wide: int = 1000) -> DataFrame:
     """For each key the keys that share an item with it, as a sorted list; equal lists once.
 
-    Items that most keys have leave few of the others (:func:`widest_items`), so that a list of a common item's keys is made for few sets of items.
+    Items that lie within one of ``wide`` keys or more are dropped first (:func:`widest_items`), so that a list of a common item's keys is made for few sets of items.
     """
-    d = widest_items(pairs.select(F.col(key).alias("k"), F.col(item).alias("i")).distinct())
+    d = widest_items(pairs.select(F.col(key).alias("k"), F.col(item).alias("i")).distinct(), wide)
     # keys with the same items have the same neighbours: each set of items is joined once, to whole lists of keys in place of pairs
     sets = d.groupBy("k").agg(F.array_sort(F.collect_list("i")).alias("items")).select("items").distinct()
     lists = d.groupBy("i").agg(F.collect_list("k").alias("ks"))

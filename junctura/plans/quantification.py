@@ -16,6 +16,7 @@ from ..operators import filters as L
 from ..operators import intervals as I
 from ..operators import isoforms as G
 from ..operators import regions as R
+from ..sources.shared import written
 from .registry import query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
 from .sequences import _CUT
 
@@ -378,7 +379,7 @@ _PUT = _put_sql()
 
 @query(f'WITH {_PUT} SELECT tx, gene, me, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end" FROM p', "v_intron")
 def g2_inclusions(spark, sf):
-    return G.inclusions(_genes(spark, sf), _mes(spark, sf)).select("tx", "gene", "me", long("start"), long("end"))
+    return G.inclusions(written(_genes(spark, sf), "exons"), _mes(spark, sf)).select("tx", "gene", "me", long("start"), long("end"))
 
 
 _ISO = f"""{_PUT}, i AS (SELECT tx, tx || '_' || string_agg(CAST(s + 1 AS VARCHAR), '.' ORDER BY s) AS new_tx FROM (SELECT DISTINCT tx, s FROM p) GROUP BY tx),
@@ -387,7 +388,7 @@ o AS (SELECT i.new_tx AS tx, i.tx AS "of", gene, chrom, strand, "start", "end" F
 
 
 def _iso(spark, sf) -> DataFrame:
-    x = _genes(spark, sf)
+    x = written(_genes(spark, sf), "exons")
     put = G.inclusions(x, _mes(spark, sf))
     return G.isoforms(x, put)
 
@@ -407,7 +408,7 @@ FROM p JOIN sec ON "primary" = p.me JOIN whole w ON w.tx = p.tx""",
 )
 def g4_secondary(spark, sf):
     """Exon rows of transcripts with a secondary microexon, by junction starts and junction ends."""
-    x, mes = _genes(spark, sf), _mes(spark, sf)
+    x, mes = written(_genes(spark, sf), "exons"), _mes(spark, sf)
     return G.secondary_isoforms(x, G.inclusions(x, mes), mes).select("tx", "primary", "secondary", long("start"), long("end"))
 
 
@@ -420,7 +421,7 @@ UNION ALL SELECT feature, chrom, s, e, 'gene_id "' || gene || '"; transcript_id
 )
 def g3_gtf_rows(spark, sf):
     """Genes, their transcripts and exons, and the transcripts with microexons."""
-    x = _genes(spark, sf)
+    x = written(_genes(spark, sf), "exons")  # an annotation is a table
     rows = G.gtf_rows(x).unionByName(G.new_gtf_rows(x, G.isoforms(x, G.inclusions(x, _mes(spark, sf)))))
     return rows.select("feature", "chrom", long("start"), long("end"), "attributes")
 

@@ -85,4 +85,5 @@ def test_neighbours_of_a_common_item(spark):
     rows = sorted({(f"k{r.randint(0, 60)}", f"i{int(r.paretovariate(0.6)) % 40}") for _ in range(150)})
     keys = {k: {i for x, i in rows if x == k} for k, _ in rows}
     want = {tuple(sorted(o for o in keys if keys[o] & items)) for items in keys.values()}
-    assert {tuple(x["keys"]) for x in X.neighbour_sets(spark.createDataFrame(rows, "k string, i string"), "k", "i").collect()} == want
+    for wide in (1, 4, 1000):
+        assert {tuple(x["keys"]) for x in X.neighbour_sets(spark.createDataFrame(rows, "k string, i string"), "k", "i", wide).collect()} == want
