@@ -182,3 +182,14 @@ def test_registered_queries_have_plans(spark):
     known, sql = e.queries(), e.oracle_sql()
     assert set(sql) <= set(known) and len(known) > 100
     assert e.entry(spark).limit(1).count() == 1
+
+
+def test_exons_by_rows_a_task(spark, monkeypatch):
+    """A task of the view of exons has a bounded number of rows, however many the table has."""
+    from junctura.plans import registry
+
+    monkeypatch.setattr(registry, "TASK_ROWS", 500)
+    d = registry.v_exon(spark, "/root/testdata/sf0.001")
+    sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 10 and max(sizes) < 1_000
+    assert registry.parts_of(0, 8) == 1 and registry.parts_of(10**6, 8) == 2000 and registry.parts_of(400, 8) == 7
