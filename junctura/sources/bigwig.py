@@ -7,7 +7,6 @@ of the index is walked by tasks.
 
 from __future__ import annotations
 
-import bisect
 import struct
 import uuid
 import zlib
@@ -72,7 +71,8 @@ class BigWig:
             leaf, _, n = self._unpack(_NODE, self.ranges.read(at, 4))
             body = self.ranges.read(at + 4, n * (key + 8))
             for i in range(n):
-                name, rest = body[i * (key + 8) :][:key], body[i * (key + 8) + key :][:8]
+                own = body[i * (key + 8) : (i + 1) * (key + 8)]
+                name, rest = own[:key], own[key:]
                 if leaf:
                     number, size = self._unpack("II", rest)
                     out[number] = name.rstrip(b"\0").decode(), size
@@ -111,9 +111,25 @@ def decode(blob: bytes, packed: bool, order: str) -> tuple[int, np.ndarray, np.n
     raise ValueError(f"unknown kind of block: {kind}")
 
 
-def _batch(chrom: str, start: np.ndarray, end: np.ndarray, value: np.ndarray) -> pa.RecordBatch:
-    name = pa.DictionaryArray.from_arrays(pa.array(np.zeros(len(start), np.int32)), [chrom]).cast(pa.string())
-    return pa.record_batch([name, pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(value.astype(np.float64))], ["chrom", "start", "end", "value"])
+def _batch(found: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    names, starts, ends, values = zip(*found, strict=True)
+    number = np.repeat(np.arange(len(names), dtype=np.int32), [len(s) for s in starts])
+    name = pa.DictionaryArray.from_arrays(pa.array(number), pa.array(names)).cast(pa.string())
+    column = lambda parts, kind: pa.array(np.concatenate([x.astype(kind) for x in parts]))
+    return pa.record_batch([name, column(starts, np.int32), column(ends, np.int32), column(values, np.float64)], ["chrom", "start", "end", "value"])
+
+
+def _batches(found: Iterator[tuple[str, np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Blocks (chromosome, starts, ends, values) as batches; small ones, as of many short chromosomes, share one."""
+    held, n = [], 0
+    for block in found:
+        held.append(block)
+        n += len(block[1])
+        if n >= _ITEMS:
+            yield _batch(held)
+            held, n = [], 0
+    if held:
+        yield _batch(held)
 
 
 @dataclass
@@ -128,6 +144,7 @@ class _Part(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path, self.index, self.tasks = options["path"], options.get("index", "false") == "true", int(options.get("tasks", "64"))
+        self.sizes = options.get("sizes", "false") == "true"
         self.chroms: set[str] | None = None
         self.after, self.before = -1, 2**40  # a row ends behind ``after`` and starts in front of ``before``
 
@@ -152,6 +169,8 @@ class _Reader(DataSourceReader):
 
     def partitions(self):
         parts = []
+        if self.sizes:
+            return [_Part(uri, []) for uri, _ in binary.files(self.path, ".bw")] or [_Part("", [])]
         for uri, _ in binary.files(self.path, ".bw"):
             with binary.Ranges(uri) as r:
                 f = BigWig(r)
@@ -170,33 +189,56 @@ class _Reader(DataSourceReader):
         return parts or [_Part("", [])]
 
     def read(self, part: _Part) -> Iterator[pa.RecordBatch]:
-        if not part.nodes:
+        if not part.uri:
             return
         with binary.Ranges(part.uri) as r:
             f = BigWig(r)
-            chroms, todo = f.chroms(), list(reversed(part.nodes))
-            while todo:
-                node = todo.pop()
-                if node.size is None:
-                    todo += reversed([c for c in f.children(node.at) if self._wanted(c, chroms)])
-                elif self.index:
-                    for number in range(node.lo[0], node.hi[0] + 1):
-                        start = node.lo[1] if number == node.lo[0] else 0
-                        end = node.hi[1] if number == node.hi[0] else chroms[number][1]
-                        yield pa.RecordBatch.from_pylist([dict(zip(_INDEX.names, (part.uri, chroms[number][0], start, end, node.at, node.size, f.packed, f.order == ">"), strict=True))], _INDEX)
-                else:
-                    number, *rows = decode(r.read(node.at, node.size), f.packed, f.order)
-                    if self.chroms is None or chroms[number][0] in self.chroms:
-                        yield _batch(chroms[number][0], *rows)
-
-
+            chroms = f.chroms()
+            if self.sizes:
+                yield pa.RecordBatch.from_pylist([{"chrom": c, "size": n} for c, n in chroms.values()], _SIZES)
+            elif self.index:
+                yield from self._blocks(part.uri, f, chroms, self._leaves(part, f, chroms))
+            else:
+                yield from _batches(self._values(f, chroms, self._leaves(part, f, chroms)))
+
+    def _leaves(self, part: _Part, f: BigWig, chroms: dict[int, tuple[str, int]]) -> Iterator[Node]:
+        todo = list(reversed(part.nodes))
+        while todo:
+            node = todo.pop()
+            if node.size is None:
+                todo += reversed([c for c in f.children(node.at) if self._wanted(c, chroms)])
+            else:
+                yield node
+
+    def _blocks(self, uri: str, f: BigWig, chroms: dict[int, tuple[str, int]], leaves: Iterator[Node]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for node in leaves:
+            for number in range(node.lo[0], node.hi[0] + 1):
+                start = node.lo[1] if number == node.lo[0] else 0
+                end = node.hi[1] if number == node.hi[0] else chroms[number][1]
+                held.append(dict(zip(_INDEX.names, (uri, chroms[number][0], start, end, node.at, node.size, f.packed, f.order == ">"), strict=True)))
+            if len(held) >= _ITEMS:
+                yield pa.RecordBatch.from_pylist(held, _INDEX)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held, _INDEX)
+
+    def _values(self, f: BigWig, chroms: dict[int, tuple[str, int]], leaves: Iterator[Node]) -> Iterator[tuple]:
+        for node in leaves:
+            number, *rows = decode(f.ranges.read(node.at, node.size), f.packed, f.order)
+            if self.chroms is None or chroms[number][0] in self.chroms:
+                yield chroms[number][0], *rows
+
+
+_SIZES = pa.schema([("chrom", pa.string()), ("size", pa.int64())])
 _INDEX = pa.schema([("file", pa.string()), ("chrom", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("offset", pa.int64()), ("bytes", pa.int64()), ("packed", pa.bool_()), ("swapped", pa.bool_())])
 
 
 class BigWigSource(DataSource):
     """``spark.read.format("bigwig")``: a bigWig file or a folder of ``.bw`` files as (chrom, start, end, value), 0-based and half open.
 
-    Options: ``index`` = true for the table of blocks in place of values; ``tasks``, the least number of subtrees of a file to deal out.
+    Options: ``index`` = true for the table of blocks in place of values, ``sizes`` = true for each file's chromosomes (chrom, size); ``tasks``, the least number of
+    subtrees of a file to deal out.
     """
 
     @classmethod
@@ -204,6 +246,8 @@ class BigWigSource(DataSource):
         return "bigwig"
 
     def schema(self) -> str:
+        if self.options.get("sizes", "false") == "true":
+            return "chrom string, size long"
         return BLOCKS if self.options.get("index", "false") == "true" else VALUES
 
     def reader(self, schema) -> DataSourceReader:
@@ -227,13 +271,11 @@ def blocks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def chrom_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """(chrom, size) as the files' headers have them."""
-    sizes: dict[str, int] = {}
+    """(chrom, size) as the files' headers have them; each file's list is read by a task."""
     for uri, _ in binary.files(path, ".bw"):
         with binary.Ranges(uri) as r:
-            for name, size in BigWig(r).chroms().values():
-                sizes[name] = max(size, sizes.get(name, 0))
-    return spark.createDataFrame(list(sizes.items()), "chrom string, size long")
+            BigWig(r)  # what is no bigWig file is refused at once
+    return _read(spark, path, sizes="true").groupBy("chrom").agg(F.max("size").alias("size"))
 
 
 def touched(regions: DataFrame, index: DataFrame, bin_size: int = 1 << 17) -> DataFrame:
@@ -244,7 +286,11 @@ def touched(regions: DataFrame, index: DataFrame, bin_size: int = 1 << 17) -> Da
 
 
 def _decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Values of blocks that come sorted by file and offset; neighbours are read at once."""
+    return _batches(_decoded(batches))
+
+
+def _decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Chromosome, starts, ends and values of blocks that come sorted by file and offset; neighbours are read at once."""
     open_file, f, chroms = None, None, {}
     for batch in batches:
         rows = batch.to_pylist()
@@ -262,7 +308,7 @@ def _decode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for row in rows[i:j]:
                 at = row["offset"] - first["offset"]
                 number, *found = decode(blob[at : at + row["bytes"]], f.packed, f.order)
-                yield _batch(chroms[number][0], *found)
+                yield chroms[number][0], *found
             i = j
 
 
@@ -309,11 +355,26 @@ def _tree(items: list[tuple], at: int, leaf: str, inner: str) -> bytes:
     return out
 
 
+def _chrom_tree(names: list[tuple[str, int]], at: int) -> bytes:
+    """The tree of chromosomes (name, size), numbered by name, from its header at ``at`` on; a node's count has 16 bits, so many chromosomes make levels."""
+    key = max(len(n.encode()) for n, _ in names)
+    full = 4 + _FANOUT * (key + 8)
+    dealt = lambda x: [x[i : i + _FANOUT] for i in range(0, len(x), _FANOUT)]
+    levels = [dealt([(n.encode().ljust(key, b"\0"), struct.pack("<II", i, size)) for i, (n, size) in enumerate(names)])]
+    while len(levels[0]) > 1:
+        levels.insert(0, dealt([(node[0][0], i) for i, node in enumerate(levels[0])]))
+    out, place = [struct.pack("<IIIIQQ", _CHROM_MAGIC, _FANOUT, key, 8, len(names), 0)], at + 32
+    for depth, level in enumerate(levels):
+        leaf = depth == len(levels) - 1
+        place += sum(4 + len(n) * (key + 8) for n in level)  # where the next level begins, all of whose nodes but the last are full
+        for n in level:
+            out.append(struct.pack("<" + _NODE, leaf, 0, len(n)) + b"".join(k + (x if leaf else struct.pack("<Q", place + x * full)) for k, x in n))
+    return b"".join(out)
+
+
 def _file(sections: list[tuple[tuple, tuple, bytes]], names: list[tuple[str, int]], raw: int, items: int) -> bytes:
     """A whole file of compressed sections (lo, hi, blob) on the chromosomes ``names`` (name, size)."""
-    key = max(len(n.encode()) for n, _ in names)
-    tree = struct.pack("<IIIIQQ", _CHROM_MAGIC, max(1, len(names)), key, 8, len(names), 0) + struct.pack("<" + _NODE, 1, 0, len(names))
-    tree += b"".join(n.encode().ljust(key, b"\0") + struct.pack("<II", i, size) for i, (n, size) in enumerate(names))
+    tree = _chrom_tree(names, 64)
     data_at = 64 + len(tree)
     placed, at = [], data_at + 8
     for lo, hi, blob in sections:
@@ -328,27 +389,29 @@ def _file(sections: list[tuple[tuple, tuple, bytes]], names: list[tuple[str, int
 def write_bigwig(rows: DataFrame, sizes: DataFrame, path: str, file_bytes: int = 64 << 20) -> None:
     """Write (chrom, start, end, value) as a folder of ``.bw`` files, each a stretch of the genome of at most about ``file_bytes``.
 
-    ``sizes`` (chrom, size) is a genome's list of chromosomes and comes to the driver; rows of others are left out.  Values become 32-bit floats.
+    ``sizes`` (chrom, size) is a genome's list of chromosomes, joined to the rows; rows of others are left out.  A file lists the chromosomes it has values of.
+    Values become 32-bit floats.
     """
-    listed = sorted(map(tuple, sizes.select("chrom", "size").collect()))
-    place = [c for c, _ in listed]
     folder = path.rstrip("/")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sections, held, n = [], 0, 0
+        sections, names, held, n = [], {}, 0, 0
 
         def flush():
             if not sections:
                 return None
-            # chromosomes are numbered by name, as the tree wants them; a file has those up to its last one
-            last = max(s[1][0] for s in sections)
             uri = f"{folder}/{uuid.uuid4().hex}.bw"
-            binary.put(uri, _file(sections, listed[: last + 1], 24 + 12 * _ITEMS, n))
+            binary.put(uri, _file(sections, list(names.items()), 24 + 12 * _ITEMS, n))
             return pa.RecordBatch.from_pylist([{"file": uri}], pa.schema([("file", pa.string())]))
 
         for batch in batches:
-            chrom, start, end, value = (batch.column(i) for i in range(4))
-            chrom = np.array([bisect.bisect_left(place, c) for c in chrom.to_pylist()], np.int64)
+            chrom, start, end, value, size = (batch.column(i) for i in range(5))
+            # rows come by name, so that chromosomes are numbered by it, as the tree wants them
+            numbers = []
+            for c, m in zip(chrom.to_pylist(), size.to_pylist(), strict=True):
+                names.setdefault(c, m)
+                numbers.append(len(names) - 1)
+            chrom = np.array(numbers, np.int64)
             rows = np.empty(len(chrom), np.dtype([("s", "<u4"), ("e", "<u4"), ("v", "<f4")]))
             rows["s"], rows["e"], rows["v"] = start.to_numpy(), end.to_numpy(), value.to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(chrom)) + 1).tolist(), len(chrom)]
@@ -361,13 +424,13 @@ def write_bigwig(rows: DataFrame, sizes: DataFrame, path: str, file_bytes: int =
                     held, n = held + len(blob), n + len(own)
             if held >= file_bytes:
                 yield flush()
-                sections, held, n = [], 0, 0
+                sections, names, held, n = [], {}, 0, 0
         done = flush()
         if done is not None:
             yield done
 
-    known = F.col("chrom").isin(place) if place else F.lit(False)
-    dealt = rows.where(known & F.col("value").isNotNull()).select("chrom", F.col("start").cast("long"), F.col("end").cast("long"), F.col("value").cast("double"))
+    listed = sizes.groupBy("chrom").agg(F.max("size").cast("long").alias("size"))
+    dealt = rows.where("value is not null").select("chrom", F.col("start").cast("long"), F.col("end").cast("long"), F.col("value").cast("double")).join(listed, "chrom")
     written = dealt.repartitionByRange("chrom", "start").sortWithinPartitions("chrom", "start", "end").mapInArrow(write, "file string")
     # the files of finished tasks alone belong to the folder
     keep = {r.file.rsplit("/", 1)[1] for r in written.collect()}

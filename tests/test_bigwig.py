@@ -5,6 +5,7 @@ import struct
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import EqualTo, GreaterThan, LessThan
 
 from junctura.sources import bigwig as B
@@ -101,3 +102,24 @@ def test_empty_table(spark, tmp_path):
     none = spark.createDataFrame([], "chrom string, start int, end int, value double")
     B.write_bigwig(none, spark.createDataFrame(SIZES, "chrom string, size long"), f"file://{tmp_path}/e")
     assert B.bigwig(spark, f"file://{tmp_path}/e").collect() == []
+
+
+def test_many_chromosomes(spark, tmp_path):
+    """More than a node of the tree can count, each with one value."""
+    n = 70_000
+    rows = spark.range(n).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("chrom"), F.lit(5).alias("start"), F.lit(9).alias("end"), (F.col("id") % 8).cast("double").alias("value"))
+    path = f"file://{tmp_path}/many"
+    B.write_bigwig(rows, rows.select("chrom", F.lit(20).alias("size")), path)
+    assert rows.exceptAll(B.bigwig(spark, path)).isEmpty() and B.bigwig(spark, path).count() == n
+    assert B.chrom_sizes(spark, path).where("size = 20").count() == n
+    mes = rows.where("cast(substr(chrom, 2) as int) % 7 = 0").select(F.col("chrom").alias("me"), "chrom", "start", "end")
+    assert B.conservation(spark, mes, path, ["me"]).join(rows.withColumnRenamed("chrom", "me"), "me").where("mean = value").count() == n // 7
+
+
+def test_chromosome_tree_in_one_file(tmp_path):
+    names = [(f"c{i:06}", i + 1) for i in range(70_000)]
+    section = ((0, 5), (0, 9), zlib.compress(struct.pack("<IIIIIBBHIIf", 0, 5, 9, 0, 0, 1, 0, 1, 5, 9, 1.0)))
+    binary.put(f"{tmp_path}/x.bw", B._file([section], names, 36, 1))
+    with binary.Ranges(f"{tmp_path}/x.bw") as r:
+        f = B.BigWig(r)
+        assert f.chroms() == dict(enumerate(names)) and [x.size for x in f.children(f.root())] == [len(section[2])]
