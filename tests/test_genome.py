@@ -133,3 +133,22 @@ def test_microexon_scores(spark, tmp_path):
         u2, own = got[f"{c}_{x}_{s}_{t}"]
         assert abs(u2 - score(c, x, s, t)) < 1e-9 and abs(own - k) < 1e-9
     assert {x.cons for x in P.microexon_scores(found, genome, *P.splice_matrices(e, genome)).collect()} == {0.0}
+
+
+def test_slices_are_cut_once(spark):
+    """Of rows with equal windows only one brings its bases to an exchange."""
+    rows = spark.range(20_000).select(F.lit("chr1").alias("chrom"), F.col("id").alias("tag"), (F.col("id") % 3 * 100).alias("start"))
+    genome = spark.createDataFrame([("chr1", "".join(random.Random(3).choices("ACGT", k=3_000)))], "id string, seq string")
+    got = G.with_slices(rows, genome, {"cut": (F.col("start"), F.col("start") + 2_000)}, 1_024)
+    assert got.groupBy("cut").count().count() == 3 and got.count() == 20_000
+    assert got.where(F.length("cut") != 2_000).isEmpty()
+    # no grouping is by row: the rows' own column is no key of one
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan and not any("tag" in line for line in plan.splitlines() if "Aggregate" in line)
+
+
+def test_slices_without_bounds(spark):
+    rows = spark.createDataFrame([("chr1", 1, None), ("chr1", None, 3), ("chr1", 1, 3), (None, 1, 3)], "chrom string, start int, end int")
+    genome = spark.createDataFrame([("chr1", "ACGT")], "id string, seq string")
+    got = G.with_slices(rows, genome, {"cut": (F.col("start"), F.col("end"))}, 2).collect()
+    assert {(r.chrom, r.start, r.end): r.cut for r in got} == {("chr1", 1, None): None, ("chr1", None, 3): None, ("chr1", 1, 3): "CG", (None, 1, 3): ""}
