@@ -15,6 +15,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -480,18 +481,24 @@ def bam_region(spark: SparkSession, path: str, chrom: str, start: int, end: int)
     return region_reads(found, chrom, start, end)
 
 
-def _record(row: dict, refs: dict[str, int]) -> tuple[bytes, int, int, int]:
-    """A record's bytes, its reference, start and end."""
-    ops = []
-    n = 0
-    for c in row["cigar"].encode() if row["cigar"] not in (None, "*") else b"":
+@lru_cache(1 << 16)
+def _operations(cigar: str | None) -> tuple[bytes, int, int]:
+    """A CIGAR's operations as a record has them, their number and the bases of the reference that they span; reads share few CIGARs."""
+    ops, n = [], 0
+    for c in cigar.encode() if cigar not in (None, "*") else b"":
         if 48 <= c <= 57:
             n = n * 10 + c - 48
         else:
             ops.append(n << 4 | _OPS.index(c))
             n = 0
+    return struct.pack(f"<{len(ops)}I", *ops), len(ops), max(1, sum(o >> 4 for o in ops if o & 15 in (0, 2, 3, 7, 8)))
+
+
+def _record(row: dict, refs: dict[str, int]) -> tuple[bytes, int, int, int]:
+    """A record's bytes, its reference, start and end."""
+    ops, count, span = _operations(row["cigar"])
     ref, pos = refs.get(row["tag"], -1), row["start"] if row["start"] is not None else -1
-    end = pos + max(1, sum(o >> 4 for o in ops if o & 15 in (0, 2, 3, 7, 8)))
+    end = pos + span
     name = (row["read"] or "*").encode() + b"\0"
     seq = b"" if row["seq"] in (None, "*") else row["seq"].upper().encode()
     codes = [max(0, _BASES.find(c)) if c in _BASES else 15 for c in seq] + [0] * (len(seq) % 2)
@@ -499,8 +506,8 @@ def _record(row: dict, refs: dict[str, int]) -> tuple[bytes, int, int, int]:
     qual = bytes(c - 33 for c in row["qual"].encode()) if row["qual"] not in (None, "*") and len(row["qual"]) == len(seq) else b"\xff" * len(seq)
     tags = b"".join(key + b"i" + struct.pack("<i", row[c]) for key, c in ((b"AS", "score"), (b"XS", "second")) if row[c] is not None)
     tags += b"XAZ" + row["others"].encode() + b"\0" if row["others"] is not None else b""
-    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name), 255, bin_of(max(pos, 0), max(end, 1)), len(ops), row["flag"], len(seq), -1, -1, 0)
-    body += name + struct.pack(f"<{len(ops)}I", *ops) + packed + qual + tags
+    body = struct.pack("<iiBBHHHiiii", ref, pos, len(name), 255, bin_of(max(pos, 0), max(end, 1)), count, row["flag"], len(seq), -1, -1, 0)
+    body += name + ops + packed + qual + tags
     return struct.pack("<i", len(body)) + body, ref, pos, end
 
 
@@ -509,7 +516,7 @@ class _Writer:
 
     def __init__(self, refs: list[tuple[str, int]]):
         text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in refs)
-        self.out, self.held, self.size, self.rows = [], b"", 0, 0
+        self.out, self.held, self.size, self.rows = [], bytearray(), 0, 0
         self.bins, self.linear = [defaultdict(list) for _ in refs], [{} for _ in refs]
         self._push(b"BAM\1" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(refs)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", s) for n, s in refs))
         self._flush(0)
@@ -520,7 +527,8 @@ class _Writer:
 
     def _flush(self, least: int) -> None:
         while len(self.held) > least:
-            part, self.held = self.held[:_BLOCK], self.held[_BLOCK:]
+            part = bytes(self.held[:_BLOCK])
+            del self.held[:_BLOCK]
             press = zlib.compressobj(6, zlib.DEFLATED, -15)
             body = press.compress(part) + press.flush()
             block = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(part), len(part))

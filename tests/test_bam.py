@@ -142,3 +142,11 @@ def test_read_pairs(spark):
     first, second, single = (sorted(map(tuple, d.collect())) for d in B.paired(reads))
     assert first == [("a", "ACGT", "abcd")] and second == [("a", "GGTT", "dcba")]
     assert single == [("b", "NTT", "zyx"), ("c", "GG", "xx")]
+
+
+def test_equal_cigars_are_parsed_once():
+    B._operations.cache_clear()
+    row = {"read": "r", "flag": 0, "tag": "c", "start": 5, "cigar": "3S10M4N2D5M", "score": 1, "seq": None, "qual": None, "second": None, "others": None}
+    made = {B._record(row | {"start": s}, {"c": 0})[1:] for s in range(100)}
+    assert made == {(0, s, s + 21) for s in range(100)} and B._operations.cache_info().misses == 1
+    assert B._operations("*") == B._operations(None) == (b"", 0, 1)
