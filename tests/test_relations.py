@@ -87,3 +87,19 @@ def test_neighbours_of_a_common_item(spark):
     want = {tuple(sorted(o for o in keys if keys[o] & items)) for items in keys.values()}
     for wide in (1, 4, 1000):
         assert {tuple(x["keys"]) for x in X.neighbour_sets(spark.createDataFrame(rows, "k string, i string"), "k", "i", wide).collect()} == want
+
+
+def test_neighbour_lists_move_once(spark):
+    """Only lists of keys whose marks are those of other sets are compared, and keys that fit are moved as ints."""
+    r = random.Random(5)
+    for far in (0, 1 << 31, -(1 << 31), -(1 << 31) - 1):
+        rows = {(r.randrange(300) + far, r.randrange(200)) for _ in range(500)} | {(1000 + k + far, 900) for k in range(5)}
+        d = X.neighbour_sets(spark.createDataFrame(sorted(rows), "k long, i long"), "k", "i")
+        plan = d._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Aggregate [keys#") == 1 and "NOT alone" in plan and d.schema["keys"].dataType.simpleString() == "array<bigint>"
+        of, items = {}, {}
+        for k, i in rows:
+            of.setdefault(k, set()).add(i)
+            items.setdefault(i, set()).add(k)
+        want = sorted({tuple(sorted(set().union(*(items[i] for i in x)))) for x in of.values()})
+        assert sorted(tuple(x["keys"]) for x in d.collect()) == want
