@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import cigar as C
+from ..sources.shared import written
 from .intervals import carried
 
 
@@ -17,11 +18,12 @@ def blocks_of(reads: DataFrame) -> DataFrame:
 def base_coverage(reads: DataFrame, by: tuple[str, ...] = ("chrom",)) -> DataFrame:
     """(by, pos, depth) from block edges: +1 and -1 events and their running sum, one row for each place where the depth changes.
 
-    With a column of samples in ``by`` each sample has its own.
+    With a column of samples in ``by`` each sample has its own.  The sums of events by place are a table in the shared folder, so each CIGAR is parsed once.
     """
-    b = blocks_of(reads).select(*by, F.explode("blocks").alias("b"))
+    # of an outer generator no filter on its input is inferred, which would parse each CIGAR again
+    b = blocks_of(reads).select(*by, F.explode_outer("blocks").alias("b")).where("b is not null")
     events = b.select(*by, F.explode(F.array(F.struct(F.col("b.start").alias("pos"), F.lit(1).alias("d")), F.struct(F.col("b.end").alias("pos"), F.lit(-1).alias("d")))).alias("e"))
-    sums = events.groupBy(*by, F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d"))
+    sums = written(events.groupBy(*by, F.col("e.pos").alias("pos")).agg(F.sum("e.d").alias("d")), "events")
     return _running(sums, by).where("d <> 0").select(*by, "pos", "depth")
 
 
@@ -52,7 +54,7 @@ def overlay(coverage: DataFrame, samples: DataFrame) -> DataFrame:
     base-by-base arrays.  Stretches where no sample has reads are left out; a base-weighted mean over a region is sum(mean * (end - start)) over its length.
     """
     members = samples.select("group", "sample").distinct()
-    own = members.join(coverage, "sample").select("group", "sample", "chrom", F.col("pos").cast("long").alias("pos"), "depth")
+    own = written(members.join(coverage, "sample").select("group", "sample", "chrom", F.col("pos").cast("long").alias("pos"), "depth"), "depths")
     # each breakpoint of a group comes to all its members
     marks = own.select("group", "chrom", "pos").distinct().join(members, "group")
     d = marks.join(own, ["group", "sample", "chrom", "pos"], "left").withColumn("held", F.when(F.col("depth").isNotNull(), F.struct("pos", "depth")))

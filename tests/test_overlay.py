@@ -96,3 +96,10 @@ def test_interval_joins_over_levels(spark):
     inside = x.withColumnsRenamed({"r_start": "in_start", "r_end": "in_end"})
     got = sorted(map(tuple, I.contains(l, inside, ["c"]).select("c", "start", "end", "in_start", "in_end").collect()))
     assert got == sorted((c, s, e, t, f) for c, s, e in left for d, t, f in right if c == d and s <= t and f <= e) and len(got) > 100
+
+
+def test_cigars_are_parsed_once(spark):
+    reads = spark.createDataFrame([("a", "c", 0, "5M3N5M"), ("b", "c", 2, "4M"), ("b", "c", 2, None)], "sample string, chrom string, start int, cigar string")
+    d = R.overlay(R.base_coverage(reads, ("sample", "chrom")), spark.createDataFrame([("g", "a"), ("g", "b")], "group string, sample string"))
+    assert "regexp" not in d._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((x.start, x.end, x.total) for x in d.collect()) == [(0, 2, 1), (2, 5, 2), (5, 6, 1), (8, 13, 1)]
