@@ -16,8 +16,9 @@ from ..operators import filters as L
 from ..operators import intervals as I
 from ..operators import isoforms as G
 from ..operators import regions as R
+from ..operators.dealing import dealt
 from ..sources.shared import written
-from .registry import query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
+from .registry import exon_parts, query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
 from .sequences import _CUT
 
 
@@ -327,12 +328,12 @@ _MES = """m AS (SELECT DISTINCT chrom || '_' || strand || '_' || s || '_' || (s
 
 def _mes(spark, sf) -> DataFrame:
     g = A.introns(v_exon(spark, sf)).where("end - start > 60")
-    return _distinct_mes(g.select("chrom", "strand", F.col("start").alias("sj_start"), F.col("end").alias("sj_end"), (F.col("start") + 20 + F.col("tx") % 4).cast("int").alias("start"), (F.col("start") + 32 + F.col("tx") % 4).cast("int").alias("end")))
+    return _distinct_mes(exon_parts(spark, sf), g.select("chrom", "strand", F.col("start").alias("sj_start"), F.col("end").alias("sj_end"), (F.col("start") + 20 + F.col("tx") % 4).cast("int").alias("start"), (F.col("start") + 32 + F.col("tx") % 4).cast("int").alias("end")))
 
 
-def _distinct_mes(d: DataFrame) -> DataFrame:
+def _distinct_mes(parts: int, d: DataFrame) -> DataFrame:
     # dealt by place at once: to look a place up among exons then needs no other exchange
-    return d.repartition("chrom", "strand", "start", "end").distinct().withColumn("me", K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")))
+    return dealt(d, parts, "chrom", "strand", "start", "end").distinct().withColumn("me", K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")))
 
 
 _ENDS = f"""{_MES}, w AS (SELECT m.*, g.seq FROM m JOIN (SELECT 'chr' || CAST(doc_id AS VARCHAR) AS chrom, seq FROM v_dna) g USING (chrom)),
@@ -366,10 +367,10 @@ def _annotation(spark, sf) -> DataFrame:
     return written(x.select(F.col("tx").cast("string").alias("tx"), gene.alias("gene"), "chrom", "strand", "start", "end", "i_end", "after", "tx_start", "tx_end", "k"), "exons")
 
 
-def _mes_of(x: DataFrame) -> DataFrame:
+def _mes_of(parts: int, x: DataFrame) -> DataFrame:
     """:func:`_mes` of the annotation's exons."""
     at = F.col("end") + 20 + F.col("tx").cast("long") % 4
-    return _distinct_mes(x.where("i_end - end > 60").select("chrom", "strand", F.col("end").alias("sj_start"), F.col("i_end").alias("sj_end"), at.cast("int").alias("start"), (at + 12).cast("int").alias("end")))
+    return _distinct_mes(parts, x.where("i_end - end > 60").select("chrom", "strand", F.col("end").alias("sj_start"), F.col("i_end").alias("sj_end"), at.cast("int").alias("start"), (at + 12).cast("int").alias("end")))
 
 
 _ROUNDS = 4  # at most so many rounds decide all candidates of these tables
@@ -396,8 +397,8 @@ _PUT = _put_sql()
 
 @query(f'WITH {_PUT} SELECT tx, gene, me, CAST(s AS BIGINT) AS "start", CAST(e AS BIGINT) AS "end" FROM p', "v_intron")
 def g2_inclusions(spark, sf):
-    x = _annotation(spark, sf)
-    return G.inclusions(x, _mes_of(x)).select("tx", "gene", "me", long("start"), long("end"))
+    x, parts = _annotation(spark, sf), exon_parts(spark, sf)
+    return G.inclusions(x, _mes_of(parts, x), parts=parts).select("tx", "gene", "me", long("start"), long("end"))
 
 
 _ISO = f"""{_PUT}, i AS (SELECT tx, tx || '_' || string_agg(CAST(s + 1 AS VARCHAR), '.' ORDER BY s) AS new_tx FROM (SELECT DISTINCT tx, s FROM p) GROUP BY tx),
@@ -406,9 +407,8 @@ o AS (SELECT i.new_tx AS tx, i.tx AS "of", gene, chrom, strand, "start", "end" F
 
 
 def _iso(spark, sf) -> DataFrame:
-    x = _annotation(spark, sf)
-    put = G.inclusions(x, _mes_of(x))
-    return G.isoforms(x, put)
+    x, parts = _annotation(spark, sf), exon_parts(spark, sf)
+    return G.isoforms(x, G.inclusions(x, _mes_of(parts, x), parts=parts))
 
 
 @query(f'WITH {_ISO} SELECT tx, gene, chrom, strand, CAST("start" AS BIGINT) AS "start", CAST("end" AS BIGINT) AS "end" FROM o', "v_intron")
@@ -426,9 +426,9 @@ FROM p JOIN sec ON "primary" = p.me JOIN whole w ON w.tx = p.tx""",
 )
 def g4_secondary(spark, sf):
     """Exon rows of transcripts with a secondary microexon, by junction starts and junction ends."""
-    x = _annotation(spark, sf)
-    mes = written(G.unannotated(x, _mes_of(x)), "microexons")
-    return G.secondary_isoforms(x, G.inclusions(x, mes, new=True), mes, new=True).select("tx", "primary", "secondary", long("start"), long("end"))
+    x, parts = _annotation(spark, sf), exon_parts(spark, sf)
+    mes = written(G.unannotated(x, _mes_of(parts, x)), "microexons")
+    return G.secondary_isoforms(x, G.inclusions(x, mes, new=True, parts=parts), mes, new=True).select("tx", "primary", "secondary", long("start"), long("end"))
 
 
 @query(
@@ -440,8 +440,8 @@ UNION ALL SELECT feature, chrom, s, e, 'gene_id "' || gene || '"; transcript_id
 )
 def g3_gtf_rows(spark, sf):
     """Genes, their transcripts and exons, and the transcripts with microexons."""
-    x = _annotation(spark, sf)
-    rows = G.gtf_rows(x).unionByName(G.new_gtf_rows(x, G.isoforms(x, G.inclusions(x, _mes_of(x)))))
+    x, parts = _annotation(spark, sf), exon_parts(spark, sf)
+    rows = G.gtf_rows(x).unionByName(G.new_gtf_rows(x, G.isoforms(x, G.inclusions(x, _mes_of(parts, x), parts=parts))))
     return rows.select("feature", "chrom", long("start"), long("end"), "attributes")
 
 
@@ -455,8 +455,8 @@ def g5_version_fallback(spark, sf):
 
 @query(f"WITH {_PUT} SELECT tx, count(*) AS n FROM p GROUP BY tx", "v_intron")
 def f20_inside_tx(spark, sf):
-    x = _annotation(spark, sf)
-    return G.inclusions(x, _mes_of(x)).groupBy("tx").agg(F.count("*").alias("n"))
+    x, parts = _annotation(spark, sf), exon_parts(spark, sf)
+    return G.inclusions(x, _mes_of(parts, x), parts=parts).groupBy("tx").agg(F.count("*").alias("n"))
 
 
 # nodes, replicates, pools ---------------------------------------------------------------------------------------------------------------

@@ -216,3 +216,21 @@ def test_exons_by_rows_a_task(spark, monkeypatch):
     sizes = [r["count"] for r in d.groupBy(F.spark_partition_id()).count().collect()]
     assert len(sizes) >= 10 and max(sizes) < 1_000
     assert registry.parts_of(0, 8) == 1 and registry.parts_of(10**6, 8) == 2000 and registry.parts_of(400, 8) == 7
+
+
+def test_inclusions_by_rows_a_task(spark, monkeypatch):
+    """Candidates are dealt by their number, too: a round has as many parts as its rows need, whatever the session's number of partitions."""
+    from junctura.plans import quantification as Q
+    from junctura.plans import registry
+
+    monkeypatch.setattr(registry, "TASK_ROWS", 500)
+    sf = "/root/testdata/sf0.001"
+    parts = registry.exon_parts(spark, sf)
+    x = Q._annotation(spark, sf)
+    mes = Q._mes_of(parts, x)
+    assert parts >= 20 and mes.rdd.getNumPartitions() == parts
+    put = isoforms.inclusions(x, mes, parts=parts)
+    sizes = [r["count"] for r in put.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) >= 15 and max(sizes) < 500
+    by = ["tx", "gene", "me", "start", "end"]
+    assert sorted(put.select(*by).collect()) == sorted(isoforms.inclusions(x, mes).select(*by).collect())
