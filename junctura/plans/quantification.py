@@ -456,7 +456,7 @@ def g5_version_fallback(spark, sf):
 @query(f"WITH {_PUT} SELECT tx, count(*) AS n FROM p GROUP BY tx", "v_intron")
 def f20_inside_tx(spark, sf):
     x, parts = _annotation(spark, sf), exon_parts(spark, sf)
-    return G.inclusions(x, _mes_of(parts, x), parts=parts).groupBy("tx").agg(F.count("*").alias("n"))
+    return dealt(G.inclusions(x, _mes_of(parts, x), parts=parts), parts, "tx").groupBy("tx").agg(F.count("*").alias("n"))
 
 
 # nodes, replicates, pools ---------------------------------------------------------------------------------------------------------------
