@@ -351,13 +351,15 @@ def p36_intron_ends(spark, sf):
 
 @query(f"WITH {_MES} SELECT me, CAST(sj_end AS BIGINT) AS sj_end, row_number() OVER (PARTITION BY chrom, strand, sj_end ORDER BY me, sj_start, sj_end) = 1 AS primary_me FROM m", "v_intron")
 def a26_primary_secondary(spark, sf):
-    return G.ranked_mes(_mes(spark, sf), "sj_end").select("me", long("sj_end"), (F.col("rank") == 1).alias("primary_me"))
+    return G.ranked_mes(_mes(spark, sf), "sj_end", exon_parts(spark, sf)).select("me", long("sj_end"), (F.col("rank") == 1).alias("primary_me"))
 
 
 @query(f"WITH {_MES} SELECT DISTINCT me FROM m WHERE (chrom, strand, s, e) NOT IN (SELECT chrom, strand, \"start\", \"end\" FROM v_exon)", "v_intron")
 def g1_skip_annotated(spark, sf):
-    known = v_exon(spark, sf).select("chrom", "strand", "start", "end").distinct()
-    return _mes(spark, sf).join(known, ["chrom", "strand", "start", "end"], "left_anti").select("me").distinct()
+    # dealt by place once, for the join and the distinct microexons, whose place is their name
+    place = ["chrom", "strand", "start", "end"]
+    new = _mes(spark, sf).join(v_exon(spark, sf).select(*place), place, "left_anti").select(*place).distinct()
+    return new.select(K.me_id(*map(F.col, place)).alias("me"))
 
 
 def _annotation(spark, sf) -> DataFrame:

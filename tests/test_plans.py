@@ -1,6 +1,7 @@
 """A synthetic genome with planted microexons, end to end; and the registered queries."""
 
 import random
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -234,3 +235,21 @@ def test_inclusions_by_rows_a_task(spark, monkeypatch):
     assert len(sizes) >= 15 and max(sizes) < 500
     by = ["tx", "gene", "me", "start", "end"]
     assert sorted(put.select(*by).collect()) == sorted(isoforms.inclusions(x, mes).select(*by).collect())
+
+
+@pytest.mark.parametrize("name", ["g1_skip_annotated", "a26_primary_secondary"])
+def test_exchanges_by_rows_a_task(spark, monkeypatch, name):
+    """No exchange behind the view of exons goes into the session's number of partitions."""
+    import __spark_entry__ as e
+    from junctura.plans import registry
+
+    monkeypatch.setattr(registry, "TASK_ROWS", 500)
+    sf, key = "/root/testdata/sf0.001", "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = e.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, held)
+    parts = [int(n) for n in re.findall(r"Exchange hashpartitioning\(.*?, (\d+)\),", plan)]
+    assert parts and min(parts) >= registry.exon_parts(spark, sf, 1) > 10, plan
