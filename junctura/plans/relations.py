@@ -14,7 +14,7 @@ from ..operators import isoforms as G
 from ..sources import text as IO
 from ..sources.shared import shared_folder
 from .quantification import _BOUND, _CMP, _MES, _comparisons, _mes
-from .registry import query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
+from .registry import exon_parts, query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
 from .sequences import _CUT
 
 
@@ -210,7 +210,7 @@ UNION ALL SELECT tx, block, me, 'end' FROM v_intron i JOIN b ON b.chrom = i.chro
     "v_intron",
 )
 def j22_intron_me(spark, sf):
-    return G.mes_of_introns(A.introns(v_exon(spark, sf)), _mes(spark, sf)).select(long("tx"), "block", "me", "by")
+    return G.mes_of_introns(A.introns(v_exon(spark, sf)), _mes(spark, sf), exon_parts(spark, sf)).select(long("tx"), "block", "me", "by")
 
 
 @query(
