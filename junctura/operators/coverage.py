@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import binomial_interval
 from .annotation import but_last
+from .dealing import dealt
 
 ANCHOR = 8
 
@@ -52,42 +53,45 @@ def _sides(rows: DataFrame, start: str, end: str) -> DataFrame:
     return rows.select("*", F.inline(F.array(*(F.struct(F.lit(k).alias("kind"), at.alias("at")) for k, at in zip(_KINDS, (left, right), strict=True)))))
 
 
-def boundary_partners(mes: DataFrame, exons: DataFrame, me_len: int) -> DataFrame:
+def boundary_partners(mes: DataFrame, exons: DataFrame, me_len: int, parts: int | None = None) -> DataFrame:
     """Longer exons (me, chrom, e_start, e_end, kind) that begin or end where a microexon does, by strand; kind is alt5 or alt3.
 
     A transcript's last exon (by place) is no partner, as in the coverage table that this mirrors; an exon that another transcript has inside counts.
     """
-    e = but_last(exons).where(F.col("end") - F.col("start") > me_len).select("chrom", "strand", F.col("start").alias("e_start"), F.col("end").alias("e_end")).distinct()
-    hit = _sides(mes, "start", "end").join(_sides(e, "e_start", "e_end").drop("strand"), ["chrom", "kind", "at"])
+    e = but_last(exons).where(F.col("end") - F.col("start") > me_len).select("chrom", "strand", F.col("start").alias("e_start"), F.col("end").alias("e_end"))
+    e = dealt(e, parts, "chrom", "strand", "e_start", "e_end").distinct()
+    at = ["chrom", "kind", "at"]
+    hit = dealt(_sides(mes, "start", "end"), parts, *at).join(_sides(e, "e_start", "e_end").drop("strand"), at)
     return hit.where("not (e_start = start and e_end = end)").select("me", "chrom", "e_start", "e_end", "kind")
 
 
-def _beside(both: DataFrame, gaps: DataFrame, how: str) -> DataFrame:
+def _beside(both: DataFrame, gaps: DataFrame, how: str, parts: int | None = None) -> DataFrame:
     """Partners with the introns that end at their start (L) or start at their end (R): one join for both sides."""
     at = lambda side, here, other: F.struct(F.lit(side).alias("side"), F.col(here).alias("at"), *([F.col(other).alias("other")] if other else []))
     mine = both.select("*", F.inline(F.array(at("L", "e_start", None), at("R", "e_end", None))))
     theirs = gaps.select("chrom", "n", F.inline(F.array(at("L", "end", "start"), at("R", "start", "end"))))
-    return mine.join(theirs, ["chrom", "side", "at"], how).select("me", "kind", "e_start", "e_end", F.when(F.col("n").isNotNull(), F.concat_ws("|", "side", "at", "other")).alias("intron"), "n")
+    return dealt(mine, parts, "chrom", "side", "at").join(theirs, ["chrom", "side", "at"], how).select("me", "kind", "e_start", "e_end", F.when(F.col("n").isNotNull(), F.concat_ws("|", "side", "at", "other")).alias("intron"), "n")
 
 
-def adjacent_introns(both: DataFrame, gaps: DataFrame) -> DataFrame:
+def adjacent_introns(both: DataFrame, gaps: DataFrame, parts: int | None = None) -> DataFrame:
     """Introns that end at a partner's start or start at its end, with their counts: (me, kind, e_start, e_end, intron, n)."""
-    return _beside(both, gaps, "inner")
+    return _beside(both, gaps, "inner", parts)
 
 
-def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len: int) -> DataFrame:
+def alternative_exons(mes: DataFrame, exons: DataFrame, gaps: DataFrame, me_len: int, parts: int | None = None) -> DataFrame:
     """Coverage of exons that share a boundary with a microexon.
 
     ``mes`` (me, chrom, strand, start, end), ``exons`` (tx, block, chrom, strand, start, end), ``gaps`` (chrom, start, end, n): intron counts.  An exon's coverage
     sums the introns that end at its start or start at its end; a microexon's total sums distinct (boundary, intron) counts.  Boundaries have no strand, as
     introns are keyed by place.  Returns (me, kind, exons, total) with kind alt5 or alt3.
     """
-    hit = _beside(boundary_partners(mes, exons, me_len), gaps, "left")
+    hit = _beside(boundary_partners(mes, exons, me_len, parts), gaps, "left", parts)
     # each hit counts for its exon and, once for all exons, for its intron
     none = F.lit(None)
     of_exon = F.struct(F.col("e_start").alias("s"), F.col("e_end").alias("e"), none.cast("string").alias("i"))
     of_intron = F.struct(none.cast("int").alias("s"), none.cast("int").alias("e"), F.col("intron").alias("i"))
-    both = hit.select("me", "kind", "n", F.inline(F.array(of_exon, of_intron))).groupBy("me", "kind", "s", "e", "i").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cov"), F.max("n").alias("n"))
+    # dealt once by the columns of the last grouping, which the first has, too
+    both = dealt(hit.select("me", "kind", "n", F.inline(F.array(of_exon, of_intron))), parts, "me", "kind").groupBy("me", "kind", "s", "e", "i").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cov"), F.max("n").alias("n"))
     listed = F.array_sort(F.collect_list(F.when(F.col("s").isNotNull(), F.struct("s", "e", "cov"))))
     text = F.array_join(F.transform(listed, lambda x: F.concat_ws(":", x["s"].cast("string"), x["e"].cast("string"), x["cov"].cast("string"))), ",")
     return both.groupBy("me", "kind").agg(text.alias("exons"), F.coalesce(F.sum(F.when(F.col("i").isNotNull(), F.col("n"))), F.lit(0)).alias("total"))

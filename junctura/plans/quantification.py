@@ -86,16 +86,25 @@ b AS (SELECT DISTINCT m.me, m.chrom, x.xs, x.xe, k.kind FROM m JOIN x ON x.chrom
 h AS (SELECT me, kind, xs, xe, 'L|' || xs || '|' || gs AS i, n FROM b JOIN g ON g.chrom = b.chrom AND g.ge = xs UNION ALL SELECT me, kind, xs, xe, 'R|' || xe || '|' || ge, n FROM b JOIN g ON g.chrom = b.chrom AND g.gs = xe)"""
 
 
+def _short(e: DataFrame, parts: int) -> DataFrame:
+    """The exons of at most 12 bases, each once, as microexons."""
+    place = ["chrom", "strand", "start", "end"]
+    return dealt(e.where("end - start <= 12").select(*place), parts, *place).distinct().select(K.me_id(*map(F.col, place)).alias("me"), *place)
+
+
+def _intron_counts(e: DataFrame, parts: int) -> DataFrame:
+    place = ["chrom", "start", "end"]
+    return dealt(A.introns(e).select(*place), parts, *place).groupBy(*place).agg(F.count("*").alias("n"))
+
+
 @query(
     f"""WITH {_BOUND}, c AS (SELECT b.me, b.kind, b.xs, b.xe, CAST(coalesce(sum(n), 0) AS BIGINT) AS cov FROM b LEFT JOIN h USING (me, kind, xs, xe) GROUP BY ALL), t AS (SELECT me, kind, CAST(sum(n) AS BIGINT) AS total FROM (SELECT DISTINCT me, kind, i, n FROM h) GROUP BY ALL)
 SELECT c.me, c.kind, string_agg(xs || ':' || xe || ':' || cov, ',' ORDER BY xs, xe, cov) AS exons, coalesce(any_value(total), 0) AS total FROM c LEFT JOIN t USING (me, kind) GROUP BY c.me, c.kind""",
     "v_intron",
 )
 def a12_alt_cov(spark, sf):
-    e = v_exon(spark, sf)
-    mes = e.where("end - start <= 12").select(K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")).alias("me"), "chrom", "strand", "start", "end").distinct()
-    gaps = A.introns(e).groupBy("chrom", "start", "end").agg(F.count("*").alias("n"))
-    return Q.alternative_exons(mes, e, gaps, 12)
+    e, parts = v_exon(spark, sf), exon_parts(spark, sf)
+    return Q.alternative_exons(_short(e, parts), e, _intron_counts(e, parts), 12, parts)
 
 
 @query("SELECT me, count(*) FILTER (WHERE inc >= 2) AS n_samples FROM v_cov GROUP BY me", "v_cov")
