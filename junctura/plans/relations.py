@@ -13,7 +13,7 @@ from ..operators import discovery as X
 from ..operators import isoforms as G
 from ..sources import text as IO
 from ..sources.shared import shared_folder
-from .quantification import _BOUND, _CMP, _MES, _comparisons, _mes
+from .quantification import _BOUND, _CMP, _MES, _comparisons, _intron_counts, _mes, _short
 from .registry import exon_parts, query, table, v_align, v_cell, v_cov, v_dna, v_exon, v_node
 from .sequences import _CUT
 
@@ -157,19 +157,20 @@ def j11_counts(spark, sf):
 
 def _partners(spark, sf):
     e = v_exon(spark, sf)
-    mes = e.where("end - start <= 12").select(K.me_id(F.col("chrom"), F.col("strand"), F.col("start"), F.col("end")).alias("me"), "chrom", "strand", "start", "end").distinct()
-    return e, Q.boundary_partners(mes, e, 12)
+    parts = exon_parts(spark, sf)
+    return e, Q.boundary_partners(_short(e, parts), e, 12, parts), parts
 
 
 @query(f"WITH {_BOUND} SELECT me, kind, chrom, CAST(xs AS BIGINT) AS e_start, CAST(xe AS BIGINT) AS e_end FROM b", "v_intron")
 def j12_boundaries(spark, sf):
-    return _partners(spark, sf)[1].select("me", "kind", "chrom", long("e_start"), long("e_end"))
+    _, both, _ = _partners(spark, sf)
+    return both.select("me", "kind", "chrom", long("e_start"), long("e_end"))
 
 
 @query(f"WITH {_BOUND} SELECT me, kind, CAST(xs AS BIGINT) AS e_start, CAST(xe AS BIGINT) AS e_end, i AS intron, n FROM h", "v_intron")
 def j13_adjacent_introns(spark, sf):
-    e, both = _partners(spark, sf)
-    return Q.adjacent_introns(both, A.introns(e).groupBy("chrom", "start", "end").agg(F.count("*").alias("n")))
+    e, both, parts = _partners(spark, sf)
+    return Q.adjacent_introns(both, _intron_counts(e, parts), parts)
 
 
 @query("SELECT sample, me, inc FROM v_cov WHERE me IN (SELECT me FROM v_cov GROUP BY me HAVING count(*) FILTER (WHERE inc >= 2) >= 3)", "v_cov")
