@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dealing import dealt
+
 
 #: Bins of a level are so many times as wide as those of the one below it.
 _STEP, _WIDEST = 8, 1 << 28
@@ -69,16 +71,17 @@ def mean_value(regions: DataFrame, values: DataFrame, ident: list[str], flank: i
     return regions.select(*ident).distinct().join(means, ident, "left")
 
 
-def carried(rows: DataFrame, group: list[str], at: str, value: Column, agg, width: float = 1 << 14, later: bool = False) -> DataFrame:
+def carried(rows: DataFrame, group: list[str], at: str, value: Column, agg, width: float = 1 << 14, later: bool = False, parts: int | None = None) -> DataFrame:
     """``rows`` with ``bin`` (of ``at``) and ``carried``: ``agg`` of ``value`` over all earlier bins of the group (or ``later`` ones), null where there is none.
 
     A running aggregate over a whole chromosome is then a window over (group, bin) on top of ``carried``; only one row a bin passes the chromosome's task.
-    The rows are dealt by group and bin once, for the bins' sums, the join and windows over both.
+    The rows are dealt by group and bin once, for the bins' sums, the join and windows over both; into ``parts``, or for None as many as the session has.
     """
-    d = rows.withColumn("bin", F.floor(F.col(at) / width)).repartition(*group, "bin")
+    d = rows.withColumn("bin", F.floor(F.col(at) / width))
+    d = d.repartition(*group, "bin") if parts is None else dealt(d, parts, *group, "bin")
     before = Window.partitionBy(*group).orderBy("bin")
     before = before.rowsBetween(1, Window.unboundedFollowing) if later else before.rowsBetween(Window.unboundedPreceding, -1)
-    bins = d.groupBy(*group, "bin").agg(agg(value).alias("own")).withColumn("carried", agg(F.col("own")).over(before)).drop("own")
+    bins = dealt(d.groupBy(*group, "bin").agg(agg(value).alias("own")), parts, *group).withColumn("carried", agg(F.col("own")).over(before)).drop("own")
     return d.join(bins, [*group, "bin"])
 
 

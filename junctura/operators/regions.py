@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import cigar as C
 from ..sources.shared import written
+from .dealing import dealt
 from .intervals import carried
 
 
@@ -74,19 +75,19 @@ def merge_junctions(j: DataFrame) -> DataFrame:
     return j.groupBy("x", "xend").agg(F.max("y").alias("y"), F.max("yend").alias("yend"), F.sum("n").alias("n"), F.array_join(F.array_sort(F.collect_list("label")), ",").alias("labels"))
 
 
-def intersect_runs(gaps: DataFrame) -> DataFrame:
+def intersect_runs(gaps: DataFrame, parts: int | None = None) -> DataFrame:
     """Overlapping introns of a group reduced to their common part: a fold over the sorted list that starts anew where an intron does not touch the common part.
 
     Where an intron starts behind the end of all before it a new run begins in any case; the fold is done for each such island.
     """
-    d = gaps.select("group", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")).distinct()
+    d = dealt(gaps.select("group", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end")), parts, "group", "start", "end").distinct()
     by = Window.partitionBy("group", "bin").orderBy("start", "end")
     before, upto = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(Window.unboundedPreceding, 0)
-    d = carried(d, ["group"], "start", F.col("end"), F.max).withColumn("reach", F.greatest("carried", F.max("end").over(before)))
+    d = carried(d, ["group"], "start", F.col("end"), F.max, parts=parts).withColumn("reach", F.greatest("carried", F.max("end").over(before)))
     d = d.withColumn("head", F.when(F.col("reach").isNull() | (F.col("start") >= F.col("reach")), F.col("start"))).drop("bin", "carried", "reach")
-    d = carried(d, ["group"], "start", F.col("head"), F.max).withColumn("island", F.greatest("carried", F.max("head").over(upto)))
+    d = carried(d, ["group"], "start", F.col("head"), F.max, parts=parts).withColumn("island", F.greatest("carried", F.max("head").over(upto)))
     kind = "struct<done:array<struct<start:int,end:int>>,start:int,end:int>"
-    islands = d.groupBy("group", "island").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("g"))
+    islands = dealt(d.select("group", "island", "start", "end"), parts, "group", "island").groupBy("group", "island").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("g"))
     first = F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("done"), F.get("g", 0)["start"].alias("start"), F.get("g", 0)["end"].alias("end")).cast(kind)
     pair = lambda a: F.array(F.struct(a["start"].alias("start"), a["end"].alias("end")))
 

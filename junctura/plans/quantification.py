@@ -702,7 +702,7 @@ SELECT grp AS "group", CAST(u.s AS BIGINT) AS "start", CAST(u.e AS BIGINT) AS "e
 )
 def a29_intersect_runs(spark, sf):
     g = A.introns(v_exon(spark, sf)).withColumn("group", F.concat("chrom", "strand"))
-    return R.intersect_runs(g).select("group", long("start"), long("end"))
+    return R.intersect_runs(g, exon_parts(spark, sf)).select("group", long("start"), long("end"))
 
 
 @query("SELECT chrom, count(*) AS n FROM v_exon WHERE \"end\" > 500 AND \"start\" < 900 GROUP BY chrom", "v_exon")
