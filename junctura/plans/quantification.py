@@ -257,9 +257,11 @@ def j5_anti(spark, sf):
 
 @query("WITH t AS (SELECT DISTINCT chrom, strand, \"start\" AS s, \"end\" AS e FROM v_exon WHERE \"end\" - \"start\" <= 15) SELECT chrom, strand, CAST(s AS BIGINT) AS \"start\", CAST(e AS BIGINT) AS \"end\" FROM t WHERE NOT EXISTS (SELECT 1 FROM v_intron i WHERE i.chrom = t.chrom AND i.strand = t.strand AND i.\"start\" = t.s)", "v_intron")
 def j8_annot_anti(spark, sf):
-    e = v_exon(spark, sf)
-    gaps = A.introns(e).select("chrom", "strand", "start").distinct()
-    return e.where("end - start <= 15").select("chrom", "strand", "start", "end").distinct().join(gaps, ["chrom", "strand", "start"], "left_anti").select("chrom", "strand", long("start"), long("end"))
+    e, parts, at = v_exon(spark, sf), exon_parts(spark, sf), ["chrom", "strand", "start"]
+    # dealt by start once, to be told apart and to meet the introns
+    gaps = A.introns(e).select(*at)
+    short = dealt(e.where("end - start <= 15").select(*at, "end"), parts, *at).distinct()
+    return short.join(gaps, at, "left_anti").select("chrom", "strand", long("start"), long("end"))
 
 
 @query('SELECT i.tx, CAST(i.block AS BIGINT) AS block, count(*) AS n, CAST(sum(e."start") AS BIGINT) AS places FROM v_intron i JOIN (SELECT DISTINCT chrom, strand, "start", "end" FROM v_exon WHERE "end" - "start" <= 10) e ON e.chrom = i.chrom AND e.strand = i.strand AND i."start" <= e."start" AND e."end" <= i."end" GROUP BY ALL', "v_intron")
