@@ -60,14 +60,14 @@ def shared_boundaries(mes: DataFrame) -> DataFrame:
     return d.join(starts, ["chrom", "strand", "start"]).join(ends, ["chrom", "strand", "end"]).select("me", (F.col("n_start") + F.col("n_end")).alias("share"))
 
 
-def intron_end_sequences(mes: DataFrame, genome: DataFrame) -> DataFrame:
+def intron_end_sequences(mes: DataFrame, genome: DataFrame, parts: int | None = None) -> DataFrame:
     """First and last bases (``up``, ``down``) of each junction's intron, as many as the microexon has and as its strand reads them.
 
     ``mes`` (me, chrom, strand, sj_start, sj_end, start, end).  A junction that starts or ends where the microexon does is left out.
     """
     n = F.col("end") - F.col("start")
     windows = {"__l": (F.col("sj_start"), F.col("sj_start") + n), "__r": (F.col("sj_end") - n, F.col("sj_end"))}
-    d = with_slices(mes.where("sj_start <> start and sj_end <> end"), genome, windows)
+    d = with_slices(mes.where("sj_start <> start and sj_end <> end"), genome, windows, parts=parts)
     minus = F.col("strand") == "-"
     return d.select(*mes.columns, F.when(minus, S.revcomp("__r")).otherwise(F.col("__l")).alias("up"), F.when(minus, S.revcomp("__l")).otherwise(F.col("__r")).alias("down"))
 

@@ -357,7 +357,7 @@ def p36_intron_ends(spark, sf):
     d = _mes(spark, sf)
     edge = d.select(*d.columns).withColumns({"sj_end": F.col("end")})  # junctions that share a boundary: left out by the operator
     genome = v_dna(spark, sf).select(F.concat(F.lit("chr"), F.col("doc_id").cast("string")).alias("chrom"), "seq")
-    return L.intron_end_sequences(d.unionByName(edge), genome).select("me", long("sj_start"), long("sj_end"), "up", "down")
+    return L.intron_end_sequences(d.unionByName(edge), genome, exon_parts(spark, sf)).select("me", long("sj_start"), long("sj_end"), "up", "down")
 
 
 @query(f"WITH {_MES} SELECT me, CAST(sj_end AS BIGINT) AS sj_end, row_number() OVER (PARTITION BY chrom, strand, sj_end ORDER BY me, sj_start, sj_end) = 1 AS primary_me FROM m", "v_intron")

@@ -237,7 +237,7 @@ def test_inclusions_by_rows_a_task(spark, monkeypatch):
     assert sorted(put.select(*by).collect()) == sorted(isoforms.inclusions(x, mes).select(*by).collect())
 
 
-@pytest.mark.parametrize("name", ["g1_skip_annotated", "a26_primary_secondary", "j22_intron_me", "a12_alt_cov", "j12_boundaries", "j13_adjacent_introns", "a29_intersect_runs", "j8_annot_anti"])
+@pytest.mark.parametrize("name", ["g1_skip_annotated", "a26_primary_secondary", "j22_intron_me", "a12_alt_cov", "j12_boundaries", "j13_adjacent_introns", "a29_intersect_runs", "j8_annot_anti", "p36_intron_ends"])
 def test_exchanges_by_rows_a_task(spark, monkeypatch, name):
     """No exchange behind the view of exons goes into the session's number of partitions."""
     import __spark_entry__ as e
