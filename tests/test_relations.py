@@ -3,6 +3,7 @@
 import random
 import time
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from junctura.operators import annotation as A
@@ -10,6 +11,7 @@ from junctura.operators import coverage as Q
 from junctura.operators import differential as D
 from junctura.operators import discovery as X
 from junctura.operators import isoforms as G
+from junctura.operators import neighbours as N
 
 
 def rows(df):
@@ -103,3 +105,25 @@ def test_neighbour_lists_move_once(spark):
             items.setdefault(i, set()).add(k)
         want = sorted({tuple(sorted(set().union(*(items[i] for i in x)))) for x in of.values()})
         assert sorted(tuple(x["keys"]) for x in d.collect()) == want
+
+
+def test_neighbour_lists_move_once_to_a_part(spark, monkeypatch):
+    """Lists are not joined to each of their keys: one goes once to each part of the keys, so that keys made together cost no more than their lists."""
+    monkeypatch.setattr(N, "PART_PAIRS", 100)
+    r = random.Random(7)
+    ints = sorted({(70 * c + r.randrange(50), 9 * c + r.randrange(9)) for c in range(12) for _ in range(100)})
+    words = sorted({(f"é{r.randrange(90)}ü", f"i{r.randrange(60)}") for _ in range(300)})
+    for rows, kinds in ((ints, "k int, i long"), (words, "k string, i string"), ([], "k long, i long")):
+        d = X.neighbour_sets(spark.createDataFrame(rows + [(None, 1 if rows is not words else "i1")], kinds), "k", "i")
+        plan = d._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and d.schema["keys"].dataType.elementType.simpleString() == kinds.split()[1].strip(",").replace("long", "bigint")
+        of, items = {}, {}
+        for k, i in rows:
+            of.setdefault(k, set()).add(i)
+            items.setdefault(i, set()).add(k)
+        want = sorted({tuple(sorted(set().union(*(items[i] for i in x)))) for x in of.values()})
+        assert sorted(tuple(x["keys"]) for x in d.collect()) == want
+    lists = spark.createDataFrame(ints, "k int, i long").groupBy("i").agg(F.array_sort(F.collect_set("k")).alias("ks")).withColumn("own", F.col("ks"))
+    n, parts = lists.count(), N.parts_of_pairs(len(ints), 0, 1)
+    moved = sum(pa.ipc.open_stream(x["packed"]).read_all().num_rows for x in N.packed_lists(lists, parts, len(ints) / n).collect())
+    assert parts > 6 and n <= moved <= 3 * n < len(ints)
