@@ -116,7 +116,7 @@ def test_neighbour_lists_move_once_to_a_part(spark, monkeypatch):
     for rows, kinds in ((ints, "k int, i long"), (words, "k string, i string"), ([], "k long, i long")):
         d = X.neighbour_sets(spark.createDataFrame(rows + [(None, 1 if rows is not words else "i1")], kinds), "k", "i")
         plan = d._jdf.queryExecution().optimizedPlan().toString()
-        assert "Join" not in plan and d.schema["keys"].dataType.elementType.simpleString() == kinds.split()[1].strip(",").replace("long", "bigint")
+        assert ("Join" in plan) == (rows is words) and d.schema["keys"].dataType.elementType.simpleString() == kinds.split()[1].strip(",").replace("long", "bigint")
         of, items = {}, {}
         for k, i in rows:
             of.setdefault(k, set()).add(i)
@@ -127,3 +127,14 @@ def test_neighbour_lists_move_once_to_a_part(spark, monkeypatch):
     n, parts = lists.count(), N.parts_of_pairs(len(ints), 0, 1)
     moved = sum(pa.ipc.open_stream(x["packed"]).read_all().num_rows for x in N.packed_lists(lists, parts, len(ints) / n).collect())
     assert parts > 6 and n <= moved <= 3 * n < len(ints)
+
+
+def test_neighbours_of_common_items_in_parts(spark, monkeypatch):
+    """Keys that are integers, common items and several parts: one key asks for each set of items."""
+    monkeypatch.setattr(N, "PART_PAIRS", 20)
+    r = random.Random(3)
+    rows = sorted({(r.choice((-1, 1)) * r.randint(0, 60) << 41, int(r.paretovariate(0.6)) % 40) for _ in range(150)})
+    keys = {k: {i for x, i in rows if x == k} for k, _ in rows}
+    want = sorted({tuple(sorted(o for o in keys if keys[o] & items)) for items in keys.values()})
+    for wide in (1, 4, 1000):
+        assert sorted(tuple(x["keys"]) for x in X.neighbour_sets(spark.createDataFrame(rows, "k long, i long"), "k", "i", wide).collect()) == want
